@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roasty.functions.dates import as_date, days_back
+
 from roasty.schemas import FACT, FACT_COLUMNS, FACT_TAGGED
 
 
@@ -62,3 +64,62 @@ def feed_since(feed: DataFrame, from_ymd: str, key: str = "ymd") -> DataFrame:
     """Rows of landing days ``>= from_ymd`` (the sharded-table suffix
     filter). On a table partitioned by ``ymd`` this prunes partitions."""
     return feed.where(F.col(key) >= F.lit(from_ymd))
+
+
+def refresh_fact(
+    target: DataFrame,
+    installs: DataFrame,
+    inapp: DataFrame,
+    from_date,
+    late: str = "widen",
+    tag: bool = True,
+    landing_key: str = "ymd",
+) -> DataFrame:
+    """Window replace of the fact from the landing days ``>= from_date``.
+
+    The feeds are selected by landing day (partition pruning on ``ymd``) and
+    the fact rows replaced by event day. An event can land after its day;
+    with ``late="widen"`` (default) the window then starts at the oldest
+    event day found in the new files and every row of those days is reloaded,
+    so a rerun never duplicates a late row and never loses one. ``"drop"``
+    and ``"reject"`` are as in ``replace_window``.
+    """
+    from roasty.operators.incremental import replace_window, window_start
+
+    from_ymd = F.date_format(as_date(from_date), "yyyyMMdd")
+    window_new = build_fact(
+        installs.where(F.col(landing_key) >= from_ymd), inapp.where(F.col(landing_key) >= from_ymd), tag
+    )
+    if late != "widen":
+        return replace_window(target, window_new, "dt", from_date, late)
+    start = window_start(window_new, "dt", from_date, "widen")
+    start_ymd = F.date_format(start, "yyyyMMdd")
+    # dt <= landing day for every row, so the widened window is fully
+    # contained in the landing days >= start.
+    new = build_fact(
+        installs.where(F.col(landing_key) >= start_ymd), inapp.where(F.col(landing_key) >= start_ymd), tag
+    ).where(F.col("dt") >= start)
+    return target.where(F.col("dt") < start).unionByName(new.select(*target.columns))
+
+
+def refresh_fact_lookback(
+    target: DataFrame,
+    installs: DataFrame,
+    inapp: DataFrame,
+    as_of,
+    lookback_days: int = 7,
+    tag: bool = True,
+    landing_key: str | None = "ymd",
+) -> DataFrame:
+    """Partition overwrite of the last ``lookback_days`` event days.
+
+    Event day <= landing day, so the feeds are also cut to landing days in
+    the window (pruning the raw tables) without changing the result."""
+    from roasty.operators.incremental import lookback, overwrite_partitions
+
+    if landing_key:
+        first = F.date_format(days_back(as_of, lookback_days), "yyyyMMdd")
+        installs = installs.where(F.col(landing_key) >= first)
+        inapp = inapp.where(F.col(landing_key) >= first)
+    new = lookback(build_fact(installs, inapp, tag), "dt", as_of, lookback_days)
+    return overwrite_partitions(target, new, "dt")

@@ -112,3 +112,23 @@ def channel_daily(fact: DataFrame) -> DataFrame:
         F.round(money_sum("event_revenue"), 2).alias("revenue"),
         F.round(money_sum("af_cost_value"), 2).alias("cost"),
     )
+
+
+def refresh_panel(target: DataFrame, fact: DataFrame, from_date, by_install: bool = True) -> DataFrame:
+    """Window replace of the panel from ``from_date`` on."""
+    from roasty.operators.incremental import replace_window
+
+    return replace_window(target, panel_since(fact, from_date, by_install), "dt", from_date, late="reject")
+
+
+def refresh_panel_lookback(target: DataFrame, fact: DataFrame, as_of, lookback_days: int = 7, by_install: bool = False) -> DataFrame:
+    """Partition overwrite of the panel's look-back window."""
+    from roasty.operators.incremental import overwrite_partitions
+
+    return overwrite_partitions(target, panel_lookback(fact, as_of, lookback_days, by_install), "dt")
+
+
+def daily_counts(df: DataFrame, key: str = "dt", top: int = 100) -> DataFrame:
+    """Row count per day, newest first, the ``top`` newest days (a top-k:
+    each partition keeps its ``top`` rows before the merge)."""
+    return df.groupBy(key).agg(count_rows().alias("cnt")).orderBy(F.col(key).desc()).limit(top)
