@@ -1,0 +1,73 @@
+import datetime as dt
+
+from helpers import TS, as_dicts, fact_df, fact_row, inapp_df, inapp_row, install_row, installs_df
+
+from roasty.operators.fact import build_fact, init_fact
+from roasty.operators.panel import campaign_kpis, campaign_panel, channel_daily, daily_counts
+from roasty.schemas import FACT_TAGGED, PANEL_BY_INSTALL, PANEL_CAMPAIGN
+
+
+def test_fact_union_by_name_with_typed_nulls(spark):
+    inst = installs_df(spark, [install_row()])
+    app = inapp_df(spark, [inapp_row()])
+    f = build_fact(inst, app)
+    assert f.schema.fieldNames() == FACT_TAGGED.fieldNames()
+    rows = {r.data_source: r for r in f.collect()}
+    assert rows["inapp"].af_cost_value is None and rows["inapp"].appsflyer_id is None
+    assert rows["inapp"].af_cost_model is None
+    assert rows["inapp"].event_value == '{"a": 1, "b": "0"}'
+    assert rows["installs"].dt == dt.date(2024, 1, 10)
+    assert dict(f.dtypes)["af_cost_value"] == "double"
+
+
+def test_init_fact_is_empty_with_schema(spark):
+    f = init_fact(spark)
+    assert f.count() == 0 and f.schema.fieldNames() == FACT_TAGGED.fieldNames()[:-1]
+
+
+def test_panel_null_counts_roas_and_media_source(spark):
+    rows = [
+        # c1: revenue 6.99 + cost 2.0 -> roas 3.5
+        fact_row(campaign="c1", event_name="install", af_cost_value=2.0, event_revenue=0.0, event_revenue_usd=0.0),
+        fact_row(campaign="c1", event_name="af_purchase", af_cost_value=None, event_revenue=6.99,
+                 event_revenue_usd=6.99, af_channel="Google", data_source="inapp"),
+        # c2: cost 0 -> roas NULL; c3: cost NULL -> roas NULL
+        fact_row(campaign="c2", event_name="install", af_cost_value=0.0, event_revenue_usd=0.0),
+        fact_row(campaign="c3", event_name="RealCashBalance", af_cost_value=None, event_revenue=None,
+                 event_revenue_usd=None, data_source="inapp"),
+    ]
+    p = {r["campaign"]: r for r in as_dicts(campaign_panel(fact_df(spark, rows), by_install=False))}
+    assert p["c1"]["roas"] == 3.5 and p["c1"]["media_source"] == "Google"
+    assert p["c2"]["roas"] is None and p["c3"]["roas"] is None
+    assert p["c1"]["t_TournamentFinished"] is None  # no match -> NULL, not 0
+    assert p["c3"]["t_events"] == 1 and p["c3"]["t_install"] is None  # outside the six: t_events only
+    assert p["c1"]["data_source"] == "installs"
+    assert campaign_panel(fact_df(spark, rows), by_install=False).schema.fieldNames() == PANEL_CAMPAIGN.fieldNames()
+
+
+def test_panel_by_install_grain_and_rounding(spark):
+    rows = [
+        fact_row(event_name="install", af_cost_value=1.25),
+        fact_row(event_name="install", af_cost_value=1.25),
+        fact_row(event_name="SessionStart", event_revenue=-1.25, af_cost_value=None),
+        fact_row(event_name="SessionStart", event_revenue=-1.25, af_cost_value=None),
+        fact_row(event_name=None, event_revenue=None, af_cost_value=None),
+    ]
+    p = campaign_panel(fact_df(spark, rows), by_install=True)
+    assert p.schema.fieldNames() == PANEL_BY_INSTALL.fieldNames()
+    got = {r["is_install"]: r for r in as_dicts(p)}
+    assert got["install"]["cost"] == 3.0  # 2.5 -> 3
+    assert got["non_install"]["revenue"] == -3.0  # -2.5 -> -3
+    assert got["non_install"]["t_events"] == 3  # NULL event name is non_install
+    assert got["install"]["t_installs"] == 2 and got["non_install"]["t_installs"] is None
+
+
+def test_kpis_and_channel_and_counts(spark):
+    rows = [fact_row(event_name="install", af_cost_value=3.0), fact_row(event_name="install", af_cost_value=1.0)]
+    f = fact_df(spark, rows)
+    k = campaign_kpis(campaign_panel(f, by_install=True)).first()
+    assert k.installs == 2 and k.cpi == 2.0
+    c = channel_daily(f).first()
+    assert c.installs == 2 and c.cost == 4.0
+    d = daily_counts(f, "dt", 1).collect()
+    assert len(d) == 1 and d[0].cnt == 2
