@@ -35,9 +35,9 @@ CSV_OPTIONS = {
     "escape": '"',
     "encoding": "UTF-8",
     "mode": "FAILFAST",
-    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]",
 }
-JSON_OPTIONS = {"mode": "FAILFAST", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss"}
+JSON_OPTIONS = {"mode": "FAILFAST", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
 
 DAY_IN_PATH = r"/(\d{8})/"
 
