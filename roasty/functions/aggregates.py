@@ -40,13 +40,27 @@ def conditional_counts(
     return out
 
 
+def money_units(c: str | Column) -> Column:
+    """A money value as a whole number of 1/10,000 units."""
+    return F.round(_col(c) * F.lit(MONEY_SCALE)).cast("long")
+
+
+def units_to_money(c: str | Column) -> Column:
+    """A sum of money units back to a double amount."""
+    return _col(c) / F.lit(float(MONEY_SCALE))
+
+
 def money_sum(c: str | Column) -> Column:
     """Exact sum of a money column as a double; NULL if every input is NULL."""
-    units = F.round(_col(c) * F.lit(MONEY_SCALE)).cast("long")
-    return F.sum(units) / F.lit(float(MONEY_SCALE))
+    return units_to_money(F.sum(money_units(c)))
+
+
+def ratio(num: Column, den: Column, scale: int = 2) -> Column:
+    """``ROUND(num / NULLIF(den, 0), scale)``: NULL when ``den`` is 0 or NULL."""
+    return F.round(num / F.nullif(den, F.lit(0.0)), scale)
 
 
 def roas(revenue: str | Column, cost: str | Column, scale: int = 2) -> Column:
     """``ROUND(SUM(revenue) / NULLIF(SUM(cost), 0), 2)``: NULL when the cost
     total is 0 or NULL."""
-    return F.round(money_sum(revenue) / F.nullif(money_sum(cost), F.lit(0.0)), scale)
+    return ratio(money_sum(revenue), money_sum(cost), scale)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roasty.functions.aggregates import conditional_counts, count_rows, money_sum, roas
+from roasty.functions.aggregates import count_rows, money_sum, money_units, ratio, units_to_money
 from roasty.functions.dates import as_date, days_back
 from roasty.schemas import (
     PANEL_BY_INSTALL,
@@ -27,6 +27,15 @@ def is_install_label():
     return F.when(F.col("event_name") == F.lit("install"), F.col("event_name")).otherwise(F.lit("non_install"))
 
 
+def _count_columns(by_install: bool) -> list[tuple[str, str, str]]:
+    """(column, value, output name) of every conditional count of a panel."""
+    if by_install:
+        return [(c, v, n) for c, m in PANEL_BY_INSTALL_COUNT_NAMES.items() for v, n in m.items()]
+    pairs = [("event_name", v) for v in PANEL_EVENTS] + [("platform", v) for v in PANEL_PLATFORMS]
+    pairs += [("af_channel", v) for v in PANEL_CHANNELS]
+    return [(c, v, f"t_{v}") for c, v in pairs]
+
+
 def campaign_panel(fact: DataFrame, by_install: bool = True) -> DataFrame:
     """Conditional event counts, revenue and cost per campaign and day.
 
@@ -35,34 +44,38 @@ def campaign_panel(fact: DataFrame, by_install: bool = True) -> DataFrame:
     ``data_source``. ``media_source`` is the greatest ``af_channel`` of the
     group; a count with no matching row is NULL; revenue and cost are rounded
     half away from zero.
+
+    Plan: a string ``MAX`` has no fixed-width aggregation buffer, and Spark
+    would sort every input row to aggregate it. So the rows are first
+    hash-aggregated at the grain plus the string columns (channel, feed),
+    where every measure is a count or a sum of whole money units, and only
+    that small result is aggregated again to the panel grain with the
+    maxima. Both steps are exact: counts and integer sums add up.
     """
-    if by_install:
-        counts = []
-        for column, names in PANEL_BY_INSTALL_COUNT_NAMES.items():
-            counts += conditional_counts(column, list(names), names)
-        panel = fact.groupBy("campaign", "dt", is_install_label().alias("is_install")).agg(
-            F.max("af_channel").alias("media_source"),
-            count_rows().alias("t_events"),
-            *counts,
-            F.round(money_sum("event_revenue")).alias("revenue"),
-            F.round(money_sum("af_cost_value")).alias("cost"),
-        )
-        return panel.select(*PANEL_BY_INSTALL.fieldNames())
-    counts = (
-        conditional_counts("event_name", PANEL_EVENTS)
-        + conditional_counts("platform", PANEL_PLATFORMS)
-        + conditional_counts("af_channel", PANEL_CHANNELS)
+    keys = ["campaign", "dt"] + (["is_install"] if by_install else [])
+    has_tag = "data_source" in fact.columns and not by_install
+    src = fact.withColumn("is_install", is_install_label()) if by_install else fact
+    strings = ["af_channel"] + (["data_source"] if has_tag else [])
+    counts = _count_columns(by_install)
+    money = {"revenue": "event_revenue", "cost": "af_cost_value"}
+    if not by_install:
+        money["revenue_usd"] = "event_revenue_usd"
+    fine = src.groupBy(*keys, *strings).agg(
+        count_rows().alias("_n"),
+        *[F.sum(F.when(F.col(c) == F.lit(v), F.lit(1))).alias(f"_{n}") for c, v, n in counts],
+        *[F.sum(money_units(col)).alias(f"_u_{name}") for name, col in money.items()],
     )
-    has_tag = "data_source" in fact.columns
-    panel = fact.groupBy("campaign", "dt").agg(
+    panel = fine.groupBy(*keys).agg(
         F.max("af_channel").alias("media_source"),
-        count_rows().alias("t_events"),
-        *counts,
-        F.round(money_sum("event_revenue")).alias("revenue"),
-        F.round(money_sum("af_cost_value")).alias("cost"),
-        roas("event_revenue_usd", "af_cost_value").alias("roas"),
+        F.sum("_n").cast("long").alias("t_events"),
+        *[F.sum(f"_{n}").cast("long").alias(n) for _, _, n in counts],
+        *[units_to_money(F.sum(f"_u_{name}")).alias(f"_m_{name}") for name in money],
         (F.max("data_source") if has_tag else F.lit(None).cast("string")).alias("data_source"),
     )
+    panel = panel.withColumn("revenue", F.round("_m_revenue")).withColumn("cost", F.round("_m_cost"))
+    if by_install:
+        return panel.select(*PANEL_BY_INSTALL.fieldNames())
+    panel = panel.withColumn("roas", ratio(F.col("_m_revenue_usd"), F.col("_m_cost")))
     return panel.select(*PANEL_CAMPAIGN.fieldNames())
 
 

@@ -21,7 +21,7 @@ Rules for ``events`` (``k`` = the integer at ``$.k`` of ``props``):
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roasty.schemas import INAPP, INSTALLS, JOB_LOG
@@ -46,95 +46,91 @@ ORDER_STEPS = {"F": ("end", 3), "O": ("start", 1), "P": ("error", 2)}
 LOG_FILE = "my_etl.py"
 
 
-def _pick(values: list[str], idx: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), idx + F.lit(1))
+def _sql_list(values: list[str]) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-def _case(c: Column, mapping: dict[str, str]) -> Column:
-    out = None
-    for k, v in mapping.items():
-        out = F.when(c == F.lit(k), F.lit(v)) if out is None else out.when(c == F.lit(k), F.lit(v))
-    return out
+def _sql_case(expr: str, mapping: dict[str, str]) -> str:
+    return f"CASE {expr} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in mapping.items()) + " END"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _enriched(events: DataFrame) -> DataFrame:
-    k = F.get_json_object("props", "$.k").cast("int")
-    return events.select(
-        "ts",
-        "user_id",
-        "event_type",
-        "value",
-        "props",
-        k.alias("k"),
-    )
-
-
-def _common(e: DataFrame) -> dict[str, Column]:
-    channel = _pick(CHANNELS, F.pmod("k", F.lit(4)))
-    platform = _pick(PLATFORMS, F.pmod("k", F.lit(2)))
-    return {
-        "event_name": _case(F.col("event_type"), EVENT_NAMES),
-        "af_channel": channel,
-        "media_source": _case(channel, MEDIA_SOURCES),
-        "platform": platform,
-        "install_app_store": _case(platform, APP_STORES),
-        "campaign": F.concat(F.lit("c"), F.pmod("k", F.lit(5)).cast("string")),
-        "country_code": _pick(COUNTRIES, F.pmod("k", F.lit(7))),
-        "app_version": F.concat(F.lit("1.5."), (F.pmod("k", F.lit(3)) + 1).cast("string")),
-        "app_name": F.lit(APP_NAME),
-        "event_source": F.lit("SDK"),
-        "event_value": F.col("props"),
-        "af_keywords": F.when(channel == F.lit("Organic"), F.lit(None).cast("string"))
-        .when(F.pmod("k", F.lit(10)) == 9, F.lit("  "))
-        .otherwise(F.concat(F.lit("kw"), F.pmod("k", F.lit(3)).cast("string"))),
-    }
+# Each rule is one SQL expression; a feed is one projection of the scan.
+_BASE = [
+    "ts",
+    "user_id",
+    "event_type",
+    "value",
+    "props",
+    "CAST(get_json_object(props, '$.k') AS INT) AS k",
+]
+_COMMON = [
+    "ts",
+    "user_id",
+    "event_type",
+    "value",
+    "props",
+    "k",
+    _sql_case("event_type", EVENT_NAMES) + " AS event_name",
+    f"element_at({_sql_list(CHANNELS)}, pmod(k, 4) + 1) AS af_channel",
+    f"element_at({_sql_list(PLATFORMS)}, pmod(k, 2) + 1) AS platform",
+    "concat('c', CAST(pmod(k, 5) AS STRING)) AS campaign",
+    f"element_at({_sql_list(COUNTRIES)}, pmod(k, 7) + 1) AS country_code",
+    "concat('1.5.', CAST(pmod(k, 3) + 1 AS STRING)) AS app_version",
+]
+_DERIVED = {
+    "media_source": _sql_case("af_channel", MEDIA_SOURCES),
+    "install_app_store": _sql_case("platform", APP_STORES),
+    "af_keywords": "CASE WHEN af_channel = 'Organic' THEN CAST(NULL AS STRING) "
+    "WHEN pmod(k, 10) = 9 THEN '  ' ELSE concat('kw', CAST(pmod(k, 3) AS STRING)) END",
+    "event_source": "'SDK'",
+    "event_value": "props",
+    "app_name": f"'{APP_NAME}'",
+    "event_time": "ts",
+}
+_INSTALLS = dict(
+    _DERIVED,
+    install_time="ts",
+    event_revenue="0.0D",
+    event_revenue_usd="0.0D",
+    af_cost_model="CASE WHEN af_channel <> 'Organic' THEN 'CPI' END",
+    af_cost_value="CASE WHEN af_channel = 'Organic' THEN 0.0D ELSE value END",
+    af_cost_currency="CASE WHEN af_channel <> 'Organic' THEN 'USD' END",
+    appsflyer_id="concat('af-', CAST(user_id AS STRING))",
+    ymd="date_format(ts, 'yyyyMMdd')",
+)
+_INAPP = dict(
+    _DERIVED,
+    install_time="ts - make_dt_interval(pmod(k, 30) + 1)",
+    event_revenue="CASE WHEN event_type = 'purchase' THEN value END",
+    event_revenue_usd="CASE WHEN event_type = 'purchase' THEN value END",
+    af_cost_currency="NULL",
+    af_cost_value="NULL",
+    ymd="date_format(ts + INTERVAL 1 HOUR, 'yyyyMMdd')",
+)
+
+
+def _project(df: DataFrame, rules: dict[str, str], schema) -> DataFrame:
+    cols = [f"CAST({rules.get(f.name, f.name)} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema.fields]
+    return df.selectExpr(*cols, f"{rules['ymd']} AS ymd")
+
+
+def _enriched(events: DataFrame, installs: bool) -> DataFrame:
+    cond = "event_type = 'signup'" if installs else "event_type <> 'signup'"
+    return events.where(cond).selectExpr(*_BASE).selectExpr(*_COMMON)
 
 
 def installs_feed(events: DataFrame) -> DataFrame:
     """Installs feed (20 declared columns + ``ymd`` landing day)."""
-    e = _enriched(events).where(F.col("event_type") == F.lit("signup"))
-    c = _common(e)
-    organic = c["af_channel"] == F.lit("Organic")
-    cols = dict(c)
-    cols.update(
-        {
-            "install_time": F.col("ts"),
-            "event_time": F.col("ts"),
-            "event_revenue": F.lit(0.0),
-            "event_revenue_usd": F.lit(0.0),
-            "af_cost_model": F.when(~organic, F.lit("CPI")),
-            "af_cost_value": F.when(organic, F.lit(0.0)).otherwise(F.col("value")),
-            "af_cost_currency": F.when(~organic, F.lit("USD")),
-            "appsflyer_id": F.concat(F.lit("af-"), F.col("user_id").cast("string")),
-        }
-    )
-    out = [cols[f.name].cast(f.dataType).alias(f.name) for f in INSTALLS.fields]
-    return e.select(*out, F.date_format("ts", "yyyyMMdd").alias("ymd"))
+    return _project(_enriched(events, True), _INSTALLS, INSTALLS)
 
 
 def inapp_feed(events: DataFrame) -> DataFrame:
     """In-app feed (18 declared columns + ``ymd`` landing day)."""
-    e = _enriched(events).where(F.col("event_type") != F.lit("signup"))
-    c = _common(e)
-    revenue = F.when(F.col("event_type") == F.lit("purchase"), F.col("value"))
-    cols = dict(c)
-    cols.update(
-        {
-            "install_time": F.col("ts") - F.make_dt_interval(F.pmod("k", F.lit(30)) + 1),
-            "event_time": F.col("ts"),
-            "event_revenue": revenue,
-            "event_revenue_usd": revenue,
-            "af_cost_currency": F.lit(None),
-            "af_cost_value": F.lit(None),
-        }
-    )
-    out = [cols[f.name].cast(f.dataType).alias(f.name) for f in INAPP.fields]
-    landing_day = F.date_format(F.col("ts") + F.expr("INTERVAL 1 HOUR"), "yyyyMMdd")
-    return e.select(*out, landing_day.alias("ymd"))
+    return _project(_enriched(events, False), _INAPP, INAPP)
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -167,26 +163,18 @@ def user_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job log (declared 11 columns, ``job_type`` = daily) from ``orders``."""
     o = read_table(spark, sf_dir, "orders")
-    step = F.col("o_orderstatus")
-    step_name = _case(step, {k: v[0] for k, v in ORDER_STEPS.items()})
-    step_id = _case(step, {k: str(v[1]) for k, v in ORDER_STEPS.items()}).cast("int")
-    job = F.col("o_orderpriority")
-    cols = {
-        "ts": F.col("o_orderdate"),
-        "dt": F.date_format("o_orderdate", "yyyy-MM-dd"),
-        "uid": F.lpad(F.hex("o_orderkey"), 8, "0"),
-        "username": F.lit("etl"),
-        "job_name": job,
-        "job_type": F.lit("daily"),
-        "file_name": F.lit(LOG_FILE),
-        "step_name": step_name,
-        "step_id": step_id,
-        "log_type": F.lit("prod"),
-        "message": F.concat(
-            F.lit(f"{LOG_FILE} proj --etl-name "),
-            job,
-            F.lit(" --etl-action daily --days-back "),
-            F.pmod("o_custkey", F.lit(3)).cast("string"),
-        ),
+    rules = {
+        "ts": "o_orderdate",
+        "dt": "date_format(o_orderdate, 'yyyy-MM-dd')",
+        "uid": "lpad(hex(o_orderkey), 8, '0')",
+        "username": "'etl'",
+        "job_name": "o_orderpriority",
+        "job_type": "'daily'",
+        "file_name": f"'{LOG_FILE}'",
+        "step_name": _sql_case("o_orderstatus", {k: v[0] for k, v in ORDER_STEPS.items()}),
+        "step_id": _sql_case("o_orderstatus", {k: str(v[1]) for k, v in ORDER_STEPS.items()}),
+        "log_type": "'prod'",
+        "message": f"concat('{LOG_FILE} proj --etl-name ', o_orderpriority, "
+        "' --etl-action daily --days-back ', CAST(pmod(o_custkey, 3) AS STRING))",
     }
-    return o.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in JOB_LOG.fields])
+    return o.selectExpr(*[f"CAST({rules[f.name]} AS {f.dataType.simpleString()}) AS {f.name}" for f in JOB_LOG.fields])
