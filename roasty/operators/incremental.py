@@ -72,10 +72,13 @@ def overwrite_partitions(target: DataFrame, new: DataFrame, key: str) -> DataFra
     """Partitions of ``target`` whose key appears in ``new`` are replaced by
     the new rows; every other partition is kept as it is.
 
-    The set of new keys is small (days of a window); AQE turns the anti join
-    into a broadcast join at run time when it is, without a hint."""
-    touched = new.select(key).distinct()
-    kept = target.join(touched, on=key, how="left_anti")
+    The set of keys in ``new`` (one per partition it touches, e.g. the days
+    of a window) is computed once as a scalar subquery and applied to
+    ``target`` as a filter. On a table partitioned by ``key`` it becomes a
+    partition filter, so replaced partitions are not even read, and the
+    target is never shuffled or joined."""
+    touched = new.agg(F.collect_set(key)).scalar()
+    kept = target.where(~F.array_contains(touched, F.col(key)) | F.col(key).isNull())
     return kept.unionByName(new.select(*target.columns))
 
 

@@ -80,10 +80,11 @@ def log_staleness(logs: DataFrame, expectations: DataFrame, as_of_ts, missing: s
     expectation's threshold in hour boundaries crossed up to ``as_of_ts``.
 
     All expectations are checked in one pass: the log is joined with the
-    broadcast expectations (no shuffle of the log), then the newest row per
-    expectation is kept by a max over (ts, step_id, uid, ...), computed
-    partially per partition, so a job with most of the rows is no hot spot.
-    Ties on ``ts`` are broken by the other columns, so the answer is
+    broadcast expectations (no shuffle of the log); the newest timestamp per
+    expectation is a hash aggregation (partial per partition, so a job with
+    most of the rows is no hot spot); the rows at that timestamp are kept by
+    a semi join with those maxima (broadcast: one row per expectation) and
+    ties on ``ts`` are broken by the other columns, so the answer is
     deterministic.
 
     ``missing="ignore"`` returns nothing for an expectation without a log
@@ -107,8 +108,18 @@ def log_staleness(logs: DataFrame, expectations: DataFrame, as_of_ts, missing: s
         & (e["_e_message"].isNull() | F.expr("message LIKE _e_message"))
     )
     matched = logs.join(e, cond, "inner")
+    # Newest timestamp per expectation: a hash aggregation of one timestamp.
+    newest = matched.groupBy("alert_name").agg(F.max("ts").alias("_max_ts"))
+    # One row per expectation, so bounded by the checked configuration size.
+    at_newest = matched.join(
+        F.broadcast(newest),
+        (matched["alert_name"] == newest["alert_name"]) & (matched["ts"] == newest["_max_ts"]),
+        "left_semi",
+    )
+    # Only rows at the newest timestamp remain; ties are broken by the other
+    # columns so the answer is deterministic.
     order = ["ts", "step_id", "uid"] + [c for c in log_cols if c not in ("ts", "step_id", "uid")]
-    latest = matched.groupBy("alert_name", "thresh_in_hours").agg(F.max(F.struct(*order)).alias("_r"))
+    latest = at_newest.groupBy("alert_name", "thresh_in_hours").agg(F.max(F.struct(*order)).alias("_r"))
     if missing != "ignore":
         latest = expectations.select("alert_name", "thresh_in_hours").join(
             latest, ["alert_name", "thresh_in_hours"], "left"

@@ -71,3 +71,20 @@ def test_commit_window_on_disk_is_idempotent(spark, tmp):
     assert got == [(1, "v1"), (3, "v2")]
     inc.commit_partitions(_t(spark, [(D(2024, 1, 5), "v3")]), path, "dt")
     assert inc.partition_values(spark, path, "dt") == ["2024-01-01", "2024-01-03", "2024-01-05"]
+
+
+def test_commit_full_replaces_every_partition(spark, tmp):
+    path = f"{tmp}/full"
+    inc.commit_partitions(_t(spark, [(D(2024, 1, d), "v1") for d in (1, 2)]), path, "dt")
+    inc.commit_full(_t(spark, [(D(2024, 1, 3), "v2")]), path, "dt")
+    assert [(r.dt.day, r.v) for r in spark.read.parquet(path).collect()] == [(3, "v2")]
+    assert inc.partition_values(spark, path, "dt") == ["2024-01-03"]
+
+
+def test_overwrite_partitions_prunes_replaced_partitions(spark, tmp):
+    path = f"{tmp}/pruned"
+    inc.commit_partitions(_t(spark, [(D(2024, 1, d), "v1") for d in (1, 2, 3)]), path, "dt")
+    out = inc.overwrite_partitions(spark.read.parquet(path), _t(spark, [(D(2024, 1, 2), "v2")]), "dt")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "array_contains" in plan
+    assert sorted((r.dt.day, r.v) for r in out.collect()) == [(1, "v1"), (2, "v2"), (3, "v1")]

@@ -124,3 +124,31 @@ def test_streaming_ingest_matches_batch_load(spark, landing_root, tmp):
     s = L.read_raw(spark, raw_s, FEEDS["inapp"])
     b = L.read_raw(spark, raw_b, FEEDS["inapp"])
     assert s.count() == b.count() and s.exceptAll(b).count() == 0
+
+
+def test_csv_schema_inference_option(spark, tmp):
+    p = f"{tmp}/20240105/small.csv"
+    os.makedirs(os.path.dirname(p))
+    with open(p, "w") as fh:
+        fh.write("a,b,c\n1,2.5,\n2,3.5,\n")
+    df = L.read_landing(spark, p, infer=True)
+    types = dict(df.dtypes)
+    assert types["a"] == "int" and types["b"] == "double" and types["c"] == "string"  # all-empty -> string
+
+
+def test_external_view(spark, landing_root):
+    L.register_external(spark, "ext_installs", f"{landing_root}/*/installs.csv", schema=INSTALLS)
+    n = spark.sql("SELECT COUNT(*) AS n FROM ext_installs").first().n
+    assert n == A.installs_feed(A.read_table(spark, SF, "events")).count()
+
+
+def test_last_modified_of_raw_table(spark, landing_root, tmp):
+    from roasty.operators.checks import freshness, last_modified
+
+    raw = f"{tmp}/raw_lm"
+    L.load_raw(L.read_feed(spark, landing_root, "installs.csv", INSTALLS, days=["20240101"]), raw)
+    lm = last_modified(spark.read.parquet(raw))
+    ts = lm.first().ts
+    assert ts is not None and abs((dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - ts).total_seconds()) < 3600
+    r = freshness(lm, "ts", ts + dt.timedelta(hours=30), 24, "raw freshness", "raw.installs").first()
+    assert r.raise_flag and r.metric == 30.0
