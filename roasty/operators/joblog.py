@@ -121,8 +121,10 @@ def log_staleness(logs: DataFrame, expectations: DataFrame, as_of_ts, missing: s
     order = ["ts", "step_id", "uid"] + [c for c in log_cols if c not in ("ts", "step_id", "uid")]
     latest = at_newest.groupBy("alert_name", "thresh_in_hours").agg(F.max(F.struct(*order)).alias("_r"))
     if missing != "ignore":
+        # ``latest`` has one row per expectation (a checked bound), so it is
+        # the broadcast side; the preserved side of an outer join cannot be.
         latest = expectations.select("alert_name", "thresh_in_hours").join(
-            latest, ["alert_name", "thresh_in_hours"], "left"
+            F.broadcast(latest), ["alert_name", "thresh_in_hours"], "left"
         )
     flag = hour_boundaries_between(F.col("_r.ts"), as_of_ts) > F.col("thresh_in_hours")
     if missing != "ignore":

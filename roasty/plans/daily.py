@@ -24,18 +24,25 @@ from roasty.sources import landing
 
 @dataclass(frozen=True)
 class Layout:
-    """Where each table of the chain lives."""
+    """Where each table of the chain lives. ``landing_template`` names the
+    landing files of one feed and day (``{root}``, ``{feed}``, ``{day}`` =
+    yyyyMMdd); globs are allowed."""
 
     landing_root: str
     raw_root: str
     fact_path: str
     panel_path: str
-    feed_files: tuple = (("installs", "installs.csv"), ("inapp", "inapp.csv"))
+    landing_template: str = "{root}/{day}/{feed}.csv"
+    feeds: tuple = ("installs", "inapp")
     by_install: bool = True
 
     def raw_path(self, feed: str) -> str:
         return f"{self.raw_root.rstrip('/')}/{feed}"
 
+    def landing_paths(self, feed: str, days: list[str]) -> list[str]:
+        root = self.landing_root.rstrip("/")
+        return [self.landing_template.format(root=root, feed=feed, day=d) for d in days]
+
 
 def _ymd(d: _dt.date) -> str:
     return d.strftime("%Y%m%d")
@@ -49,8 +56,8 @@ def _days(first: _dt.date, last: _dt.date) -> list[str]:
 def load_landing(spark: SparkSession, layout: Layout, days: list[str]) -> None:
     """Load the given landing days of every feed into its raw table (one
     job per feed, however many days)."""
-    for feed, file_glob in layout.feed_files:
-        df = landing.read_feed(spark, layout.landing_root, file_glob, FEEDS[feed], days=days)
+    for feed in layout.feeds:
+        df = landing.read_landing(spark, layout.landing_paths(feed, days), schema=FEEDS[feed])
         landing.load_raw(df, layout.raw_path(feed))
 
 
@@ -59,7 +66,7 @@ def refresh_fact_on_disk(spark: SparkSession, layout: Layout, from_date) -> _dt.
     of the new files) and return the first day rewritten."""
     frm = as_date(from_date)
     from_ymd = F.date_format(frm, "yyyyMMdd")
-    raw = {f: landing.read_raw(spark, layout.raw_path(f), FEEDS[f]) for f, _ in layout.feed_files}
+    raw = {f: landing.read_raw(spark, layout.raw_path(f), FEEDS[f]) for f in layout.feeds}
     window = fact_ops.build_fact(*(raw[f].where(F.col("ymd") >= from_ymd) for f in ("installs", "inapp")))
     start = window.agg(F.least(frm, F.min("dt")).alias("s")).first()["s"]
     if start is None:

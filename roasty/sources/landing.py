@@ -39,7 +39,7 @@ CSV_OPTIONS = {
 }
 JSON_OPTIONS = {"mode": "FAILFAST", "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
 
-DAY_IN_PATH = r"/(\d{8})/"
+DAY_IN_PATH = r"/(?:ymd=)?(\d{8})/"
 
 
 def infer_format(path: str) -> str:
@@ -140,6 +140,19 @@ def read_feed(
     return read_landing(spark, paths, fmt=fmt or infer_format(file_glob), schema=schema)
 
 
+def write_landing(df: DataFrame, root: str) -> None:
+    """Write feed rows as landing CSV, one folder per day
+    (``{root}/ymd={day}/part-*.csv``), quoted as the feeds quote."""
+    opts = {k: v for k, v in CSV_OPTIONS.items() if k not in ("mode", "timestampNTZFormat")}
+    (
+        df.write.mode("overwrite")
+        .options(**opts)
+        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        .partitionBy("ymd")
+        .csv(root)
+    )
+
+
 def load_raw(df: DataFrame, raw_path: str) -> None:
     """Replace the raw table's day partitions present in ``df`` (truncate
     and load per day): a rerun of the same days gives the same table."""
