@@ -169,7 +169,7 @@ def backfill_plan(flags: DataFrame, as_of, date_col: str = "dt") -> DataFrame:
         "job_name", "job_type", "file_name", strip_days_back("message").alias("base_command"),
         F.explode(days).alias("run_date"),
     )
-    back = F.datediff(today, F.col("run_date"))
+    back = F.datediff(today, F.col("run_date")).cast("long")
     return plan.select(
         "job_name",
         "job_type",
