@@ -95,6 +95,16 @@ def retain(df: DataFrame, key: str | Column, as_of, days: int = 7, fmt: str = "y
     return df.where(d.isNull() | (d >= days_back(as_of, days)))
 
 
+def retain_by_name(df: DataFrame, name: str | Column, as_of, days: int = 7) -> DataFrame:
+    """Retention of named items (files, tables): drop those whose name holds
+    a ``_YYYYMMDD`` date strictly older than ``as_of - days``; keep undated
+    ones."""
+    from roasty.functions.dates import date_in_name
+
+    d = date_in_name(name)
+    return df.where(d.isNull() | (d >= days_back(as_of, days)))
+
+
 # --- on disk ---------------------------------------------------------------
 
 

@@ -54,3 +54,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written intermediate."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 split_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a large run, sized from the bytes a job scans.
+
+    Scans are split in ``split_bytes`` pieces. Every shuffle of this library
+    moves pre-aggregated rows (panel groups, daily counts) or a bounded
+    window, so the initial shuffle width is set from the slots, not the
+    input, and AQE coalesces it to ``advisoryPartitionSizeInBytes`` at run
+    time; skewed partitions are split by AQE as well."""
+    slots = executors * cores_per_executor
+    scan_tasks = max(1, input_bytes // split_bytes)
+    return {
+        **DEFAULT_CONF,
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(max(2 * slots, min(scan_tasks, 4 * slots))),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
+    }

@@ -185,3 +185,46 @@ def register_external(spark: SparkSession, name: str, path: str, fmt: str | None
     df = read_landing(spark, path, fmt=fmt, schema=schema)
     df.createOrReplaceTempView(name)
     return df
+
+
+def list_day(spark: SparkSession, root: str, ymd: str) -> list[str]:
+    """Files under one day prefix ``{root}/{ymd}`` (a listing, no data)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{ymd}")
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    return sorted(
+        st.getPath().toString()
+        for st in fs.listStatus(p)
+        if st.isFile() and not st.getPath().getName().startswith(("_", "."))
+    )
+
+
+def load_day_by_file(
+    spark: SparkSession,
+    root: str,
+    ymd: str,
+    raw_root: str,
+    schemas: dict[str, T.StructType] | None = None,
+    infer: bool = True,
+) -> dict[str, str]:
+    """Load every file of one landing day into the raw table named after the
+    file (``table_name_of``), replacing that table's day partition.
+
+    The reader comes from each file's extension (an unknown extension fails
+    the load, naming it); the schema is the declared one of the table when
+    ``schemas`` has it, else inferred. An empty day loads nothing. Returns
+    ``{table: raw path}``."""
+    loaded = {}
+    files = list_day(spark, root, ymd)
+    for f in files:
+        infer_format(f)  # fail before anything is written
+    for f in files:
+        table = table_name_of(f)
+        schema = (schemas or {}).get(table)
+        df = read_landing(spark, f, schema=schema, infer=infer and schema is None)
+        path = f"{raw_root.rstrip('/')}/{table}"
+        load_raw(df, path)
+        loaded[table] = path
+    return loaded

@@ -50,3 +50,11 @@ def test_money_sum_rounds_half_away_from_zero(spark):
 def test_money_sum_all_null_is_null(spark):
     df = spark.createDataFrame([("a", None)], "k string, v double")
     assert df.agg(money_sum("v").alias("s")).first().s is None
+
+
+def test_conditional_counts_macro(spark):
+    from roasty.functions import conditional_counts
+
+    df = spark.createDataFrame([("a", "ios"), ("a", "ios"), ("b", "android")], "k string, platform string")
+    r = {x.k: x for x in df.groupBy("k").agg(*conditional_counts("platform", ["ios", "android"])).collect()}
+    assert (r["a"].t_ios, r["a"].t_android, r["b"].t_ios, r["b"].t_android) == (2, None, None, 1)

@@ -88,3 +88,9 @@ def test_overwrite_partitions_prunes_replaced_partitions(spark, tmp):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "array_contains" in plan
     assert sorted((r.dt.day, r.v) for r in out.collect()) == [(1, "v1"), (2, "v2"), (3, "v1")]
+
+
+def test_retain_by_name(spark):
+    df = spark.createDataFrame([("a_20240102.csv",), ("a_20240103.csv",), ("notes.txt",)], "name string")
+    kept = sorted(r.name for r in inc.retain_by_name(df, "name", D(2024, 1, 10), days=7).collect())
+    assert kept == ["a_20240103.csv", "notes.txt"]

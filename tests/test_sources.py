@@ -152,3 +152,19 @@ def test_last_modified_of_raw_table(spark, landing_root, tmp):
     assert ts is not None and abs((dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - ts).total_seconds()) < 3600
     r = freshness(lm, "ts", ts + dt.timedelta(hours=30), 24, "raw freshness", "raw.installs").first()
     assert r.raise_flag and r.metric == 30.0
+
+
+def test_load_day_by_file_name(spark, landing_root, tmp):
+    loaded = L.load_day_by_file(spark, landing_root, "20240102", f"{tmp}/raw_by_name", schemas={"installs": INSTALLS})
+    assert set(loaded) == {"installs", "inapp"}
+    inst = L.read_raw(spark, loaded["installs"], INSTALLS)
+    assert inst.count() > 0 and inst.select("ymd").distinct().first().ymd == "20240102"
+    assert dict(spark.read.parquet(loaded["inapp"]).dtypes)["event_revenue"] == "double"  # inferred
+    assert L.load_day_by_file(spark, landing_root, "20990101", f"{tmp}/raw_by_name") == {}
+
+
+def test_load_day_rejects_unknown_extension(spark, tmp):
+    os.makedirs(f"{tmp}/20240101")
+    open(f"{tmp}/20240101/report.xlsx", "w").write("x")
+    with pytest.raises(ValueError, match="xlsx"):
+        L.load_day_by_file(spark, tmp, "20240101", f"{tmp}/raw")
