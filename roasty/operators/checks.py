@@ -116,6 +116,7 @@ def reconcile_stages(
     panel: DataFrame,
     as_of,
     lookback_days: int = 7,
+    landing_key: str | None = "ymd",
 ) -> DataFrame:
     """Days of the look-back window where raw rows, fact rows and the sum of
     panel events disagree; one row per such day with the three counts.
@@ -125,9 +126,19 @@ def reconcile_stages(
     in any stage appears once."""
     start = days_back(as_of, lookback_days)
     ev_day = F.to_date("event_time")
+
+    def raw_window(raw: DataFrame) -> DataFrame:
+        # An event lands on or after its day, so the raw partitions before
+        # the window's first day cannot hold a row of the window: the
+        # landing-day bound prunes them and changes no count.
+        if landing_key and landing_key in raw.columns:
+            raw = raw.where(F.col(landing_key) >= F.date_format(start, "yyyyMMdd"))
+        return raw.where(ev_day >= start)
+
+    raw_installs, raw_inapp = raw_window(raw_installs), raw_window(raw_inapp)
     parts = [
-        raw_installs.where(ev_day >= start).groupBy(ev_day.alias("dt")).agg(F.count(F.lit(1)).alias("n")).withColumn("stage", F.lit("ext")),
-        raw_inapp.where(ev_day >= start).groupBy(ev_day.alias("dt")).agg(F.count(F.lit(1)).alias("n")).withColumn("stage", F.lit("ext")),
+        raw_installs.groupBy(ev_day.alias("dt")).agg(F.count(F.lit(1)).alias("n")).withColumn("stage", F.lit("ext")),
+        raw_inapp.groupBy(ev_day.alias("dt")).agg(F.count(F.lit(1)).alias("n")).withColumn("stage", F.lit("ext")),
         fact.where(F.col("dt") >= start).groupBy("dt").agg(F.count(F.lit(1)).alias("n")).withColumn("stage", F.lit("fact")),
         panel.where(F.col("dt") >= start).groupBy("dt").agg(F.sum("t_events").cast("long").alias("n")).withColumn("stage", F.lit("panel")),
     ]
