@@ -11,7 +11,6 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-DateLike = "str | datetime.date | Column"
 
 
 def _col(c: str | Column) -> Column:
