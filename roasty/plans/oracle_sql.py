@@ -148,11 +148,11 @@ JOB_LOG_SQL = """
 job_log AS (
   SELECT o_orderdate AS ts, strftime(o_orderdate, '%Y-%m-%d') AS dt,
     lpad(hex(o_orderkey), 8, '0') AS uid, 'etl' AS username, o_orderpriority AS job_name,
-    'daily' AS job_type, 'my_etl.py' AS file_name,
+    'daily' AS job_type, 'daily_etl.py' AS file_name,
     CASE o_orderstatus WHEN 'F' THEN 'end' WHEN 'O' THEN 'start' WHEN 'P' THEN 'error' END AS step_name,
     CAST(CASE o_orderstatus WHEN 'F' THEN 3 WHEN 'O' THEN 1 WHEN 'P' THEN 2 END AS INTEGER) AS step_id,
     'prod' AS log_type,
-    'my_etl.py proj --etl-name ' || o_orderpriority || ' --etl-action daily --days-back '
+    'daily_etl.py proj --etl-name ' || o_orderpriority || ' --etl-action daily --days-back '
       || CAST(o_custkey % 3 AS VARCHAR) AS message
   FROM orders
 )"""

@@ -43,7 +43,7 @@ APP_NAME = "roasty_demo"
 
 # Job-log rules for ``orders``: status -> step, id of the step.
 ORDER_STEPS = {"F": ("end", 3), "O": ("start", 1), "P": ("error", 2)}
-LOG_FILE = "my_etl.py"
+LOG_FILE = "daily_etl.py"
 
 
 def _sql_list(values: list[str]) -> str:

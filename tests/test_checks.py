@@ -123,17 +123,17 @@ def test_backfill_plan_days(spark):
 
 
 def test_job_logger_and_flag_json(spark, tmp):
-    lg = J.JobLogger(spark, f"{tmp}/logs", "fact", "daily", "my_etl.py", message="my_etl.py p --days-back 2")
+    lg = J.JobLogger(spark, f"{tmp}/logs", "fact", "daily", "daily_etl.py", message="daily_etl.py p --days-back 2")
     lg.log("start", TS(2024, 1, 1, 7))
     lg.log("end", TS(2024, 1, 1, 8))
     logs = spark.read.parquet(f"{tmp}/logs")
     assert sorted((r.step_id, r.step_name) for r in logs.collect()) == [(1, "start"), (2, "end")]
-    exp = J.log_expectations(spark, [{"alert_name": "a", "job_type": "daily", "job_name": "fact", "file_name": "my_etl.py", "step_name": "end", "thresh_in_hours": 24}])
+    exp = J.log_expectations(spark, [{"alert_name": "a", "job_type": "daily", "job_name": "fact", "file_name": "daily_etl.py", "step_name": "end", "thresh_in_hours": 24}])
     st = J.log_staleness(logs.select(*JOB_LOG.fieldNames()), exp, TS(2024, 1, 3, 8))
     flags = J.flags_for_retry(st)
     J.write_flags(flags, f"{tmp}/flags")
     back = spark.read.json(f"{tmp}/flags").collect()
-    assert len(back) == 1 and back[0].message == "my_etl.py p"
+    assert len(back) == 1 and back[0].message == "daily_etl.py p"
     J.write_flags(flags.where(F.lit(False)), f"{tmp}/none")
     assert spark.read.format("text").load(f"{tmp}/none").count() == 0
 

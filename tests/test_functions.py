@@ -21,10 +21,10 @@ def test_hour_differences_boundaries_vs_whole(spark):
 
 
 def test_strip_days_back_and_safe_name(spark):
-    df = spark.createDataFrame([("x.py p --days-back 3", "appsflyer-installs data.csv")], "m string, n string")
+    df = spark.createDataFrame([("x.py p --days-back 3", "vendor-installs data.csv")], "m string, n string")
     r = df.select(strip_days_back("m").alias("m"), safe_name("n").alias("n")).first()
     assert r.m == "x.py p"
-    assert r.n == "appsflyer_installs_data_csv"
+    assert r.n == "vendor_installs_data_csv"
 
 
 def test_date_in_name(spark):

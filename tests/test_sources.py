@@ -38,7 +38,7 @@ def test_infer_format_and_table_name():
     assert L.infer_format("x.orc") == "orc"
     with pytest.raises(ValueError, match="'xlsx'"):
         L.infer_format("report.xlsx")
-    assert L.table_name_of("appsflyer/20240101/appsflyer-installs data.csv") == "appsflyer_installs_data"
+    assert L.table_name_of("landing/20240101/vendor-installs data.csv") == "vendor_installs_data"
 
 
 def test_csv_json_field_round_trip(spark, tmp):
