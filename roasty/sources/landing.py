@@ -147,6 +147,9 @@ def write_landing(df: DataFrame, root: str) -> None:
     (
         df.write.mode("overwrite")
         .options(**opts)
+        # The writer trims spaces by default; a blank value must stay blank.
+        .option("ignoreLeadingWhiteSpace", "false")
+        .option("ignoreTrailingWhiteSpace", "false")
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
         .partitionBy("ymd")
         .csv(root)
