@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roasty.functions.dates import as_date, as_ts, days_back, whole_hours_between
+from roasty.functions.dates import as_date, days_back, whole_hours_between
 from roasty.functions.strings import is_blank
 from roasty.schemas import CHECK_COLUMNS, CHECK_RESULT
 
@@ -356,5 +356,4 @@ __all__ = [
     "has_todays_data",
     "run_checks",
     "any_flag",
-    "as_ts",
 ]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roasty.functions.dates import as_date, days_back
+from roasty.operators.incremental import lookback, overwrite_partitions, replace_window, window_start
 
 from roasty.schemas import FACT, FACT_COLUMNS, FACT_TAGGED
 
@@ -84,8 +85,6 @@ def refresh_fact(
     so a rerun never duplicates a late row and never loses one. ``"drop"``
     and ``"reject"`` are as in ``replace_window``.
     """
-    from roasty.operators.incremental import replace_window, window_start
-
     from_ymd = F.date_format(as_date(from_date), "yyyyMMdd")
     window_new = build_fact(
         installs.where(F.col(landing_key) >= from_ymd), inapp.where(F.col(landing_key) >= from_ymd), tag
@@ -115,8 +114,6 @@ def refresh_fact_lookback(
 
     Event day <= landing day, so the feeds are also cut to landing days in
     the window (pruning the raw tables) without changing the result."""
-    from roasty.operators.incremental import lookback, overwrite_partitions
-
     if landing_key:
         first = F.date_format(days_back(as_of, lookback_days), "yyyyMMdd")
         installs = installs.where(F.col(landing_key) >= first)

@@ -22,7 +22,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roasty.functions.dates import as_date, days_back
+from roasty.functions.dates import as_date, date_in_name, days_back
 
 LATE_MODES = ("reject", "drop", "widen")
 
@@ -99,8 +99,6 @@ def retain_by_name(df: DataFrame, name: str | Column, as_of, days: int = 7) -> D
     """Retention of named items (files, tables): drop those whose name holds
     a ``_YYYYMMDD`` date strictly older than ``as_of - days``; keep undated
     ones."""
-    from roasty.functions.dates import date_in_name
-
     d = date_in_name(name)
     return df.where(d.isNull() | (d >= days_back(as_of, days)))
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from roasty.functions.aggregates import count_rows, money_sum, money_units, ratio, units_to_money
 from roasty.functions.dates import as_date, days_back
+from roasty.operators.incremental import overwrite_partitions, replace_window
 from roasty.schemas import (
     PANEL_BY_INSTALL,
     PANEL_BY_INSTALL_COUNT_NAMES,
@@ -129,15 +130,11 @@ def channel_daily(fact: DataFrame) -> DataFrame:
 
 def refresh_panel(target: DataFrame, fact: DataFrame, from_date, by_install: bool = True) -> DataFrame:
     """Window replace of the panel from ``from_date`` on."""
-    from roasty.operators.incremental import replace_window
-
     return replace_window(target, panel_since(fact, from_date, by_install), "dt", from_date, late="reject")
 
 
 def refresh_panel_lookback(target: DataFrame, fact: DataFrame, as_of, lookback_days: int = 7, by_install: bool = False) -> DataFrame:
     """Partition overwrite of the panel's look-back window."""
-    from roasty.operators.incremental import overwrite_partitions
-
     return overwrite_partitions(target, panel_lookback(fact, as_of, lookback_days, by_install), "dt")
 
 
