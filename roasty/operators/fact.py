@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from roasty.functions.dates import as_date, days_back
 from roasty.operators.incremental import lookback, overwrite_partitions, replace_window, window_start
-
 from roasty.schemas import FACT, FACT_COLUMNS, FACT_TAGGED
 
 
