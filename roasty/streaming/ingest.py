@@ -45,3 +45,17 @@ def ingest_available(spark: SparkSession, root: str, file_glob: str, schema: T.S
     )
     q.awaitTermination()
     return q
+
+
+def start_ingest(spark: SparkSession, root: str, file_glob: str, schema: T.StructType,
+                 raw_path: str, checkpoint: str, every: str = "1 hour", fmt: str | None = None,
+                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """The scheduled form: a running query that loads new landing files every
+    ``every`` (the hourly ingest). Stop it with ``query.stop()``."""
+    stream = landing_stream(spark, root, file_glob, schema, fmt, max_files_per_trigger)
+    return (
+        stream.writeStream.foreachBatch(lambda batch, _id: load_raw(batch, raw_path))
+        .option("checkpointLocation", checkpoint)
+        .trigger(processingTime=every)
+        .start()
+    )

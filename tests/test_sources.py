@@ -168,3 +168,33 @@ def test_load_day_rejects_unknown_extension(spark, tmp):
     open(f"{tmp}/20240101/report.xlsx", "w").write("x")
     with pytest.raises(ValueError, match="xlsx"):
         L.load_day_by_file(spark, tmp, "20240101", f"{tmp}/raw")
+
+
+def test_scheduled_ingest_and_sql_views(spark, landing_root, tmp):
+    from roasty.plans.views import register_views
+    from roasty.streaming.ingest import start_ingest
+
+    q = start_ingest(spark, landing_root, "installs.csv", INSTALLS, f"{tmp}/raw/installs", f"{tmp}/ck", every="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    lay = Layout(landing_root, f"{tmp}/raw", f"{tmp}/fact", f"{tmp}/panel")
+    assert register_views(spark, lay) == ["raw_installs", "raw_inapp"]
+    n = spark.sql("SELECT COUNT(*) AS n FROM raw_installs").first().n
+    assert n == A.installs_feed(A.read_table(spark, SF, "events")).count()
+    # The panel as the reference writes it, in Spark SQL (GROUP BY ALL), over
+    # the fact built by the library.
+    build_fact(A.installs_feed(A.read_table(spark, SF, "events")), A.inapp_feed(A.read_table(spark, SF, "events")),
+               tag=False).createOrReplaceTempView("fact")
+    sql_panel = spark.sql("""
+        SELECT campaign, dt, MAX(af_channel) AS media_source,
+          CASE WHEN event_name = 'install' THEN event_name ELSE 'non_install' END AS is_install,
+          COUNT(1) AS t_events,
+          SUM(CASE WHEN event_name = 'install' THEN 1 END) AS t_installs,
+          SUM(CASE WHEN platform = 'ios' THEN 1 END) AS t_ios_users
+        FROM fact GROUP BY ALL""")
+    lib = {(r.campaign, r.dt, r.is_install): r for r in _expected_panel(spark).collect()}
+    for r in sql_panel.collect():
+        p = lib[(r.campaign, r.dt, r.is_install)]
+        assert (p.media_source, p.t_events, p.t_installs, p.t_ios_users) == (r.media_source, r.t_events, r.t_installs, r.t_ios_users)
