@@ -109,11 +109,11 @@ def log_staleness(logs: DataFrame, expectations: DataFrame, as_of_ts, missing: s
     )
     matched = logs.join(e, cond, "inner")
     # Newest timestamp per expectation: a hash aggregation of one timestamp.
-    newest = matched.groupBy("alert_name").agg(F.max("ts").alias("_max_ts"))
+    newest = matched.groupBy(F.col("alert_name").alias("_newest_alert")).agg(F.max("ts").alias("_max_ts"))
     # One row per expectation, so bounded by the checked configuration size.
     at_newest = matched.join(
         F.broadcast(newest),
-        (matched["alert_name"] == newest["alert_name"]) & (matched["ts"] == newest["_max_ts"]),
+        (F.col("alert_name") == F.col("_newest_alert")) & (F.col("ts") == F.col("_max_ts")),
         "left_semi",
     )
     # Only rows at the newest timestamp remain; ties are broken by the other
