@@ -245,6 +245,21 @@ def freshness(df: DataFrame, ts_col: str, as_of_ts, hours: int, kpi: str, table_
     )
 
 
+def newest_by_landing(df: DataFrame, ts_col: str, newest_landing: str, landing_key: str = "ymd",
+                      fmt: str = "yyyyMMdd") -> DataFrame:
+    """``df`` cut to the landing partitions that can hold its newest
+    ``ts_col``, exactly, given that every row lands on or after its day.
+
+    ``L``, the newest timestamp of the newest landing partition, is a lower
+    bound of the overall newest; that one lands on or after its own day, so
+    on or after ``DATE(L)``. Only partitions from ``DATE(L)`` on are read
+    (a scalar subquery in a partition filter) instead of the whole table.
+    ``newest_landing`` is the newest partition value, from a listing
+    (``incremental.partition_values``)."""
+    lower = df.where(F.col(landing_key) == F.lit(newest_landing)).agg(F.max(ts_col)).scalar()
+    return df.where(F.col(landing_key) >= F.date_format(F.to_date(lower), fmt))
+
+
 def last_modified(df: DataFrame) -> DataFrame:
     """Newest file modification time of a file-based table, as ``ts``
     (a ``timestamp_ntz`` in UTC), read from the hidden ``_metadata`` column."""
@@ -349,6 +364,7 @@ __all__ = [
     "change_alert",
     "inactive_users",
     "freshness",
+    "newest_by_landing",
     "last_modified",
     "severity",
     "freshness_severity",

@@ -144,3 +144,20 @@ def test_run_checks_flagged_only(spark):
     out = C.run_checks({"a": a, "b": b}).collect()
     assert len(out) == 1 and C.any_flag(a) and not C.any_flag(b)
     assert C.run_checks({"a": a, "b": b}, enabled=["b"]).count() == 0
+
+
+def test_freshness_reads_only_newest_landing_partitions(spark, tmp):
+    from roasty.operators.incremental import partition_values
+
+    rows = [(TS(2024, 1, d, h), f"202401{l:02d}") for d, h, l in
+            [(1, 5, 1), (2, 23, 3), (3, 1, 3), (4, 2, 4), (3, 22, 5)]]  # the last is a late row
+    spark.createDataFrame(rows, "event_time timestamp_ntz, ymd string").write.partitionBy("ymd").parquet(f"{tmp}/raw")
+    raw = spark.read.schema("event_time timestamp_ntz, ymd string").parquet(f"{tmp}/raw")
+    top = partition_values(spark, f"{tmp}/raw", "ymd")[-1]
+    cut = C.newest_by_landing(raw, "event_time", top)
+    assert cut.agg(F.max("event_time")).first()[0] == TS(2024, 1, 4, 2)
+    assert sorted(r.ymd for r in cut.select("ymd").distinct().collect()) == ["20240103", "20240104", "20240105"]
+    plan = cut._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan
+    r = C.freshness(cut, "event_time", TS(2024, 1, 4, 12), 24, "raw", "raw").first()
+    assert r.metric == 10.0 and not r.raise_flag
