@@ -145,6 +145,11 @@ def flags_for_retry(staleness: DataFrame) -> DataFrame:
     return staleness.where(F.col("raise_flag")).withColumn("message", strip_days_back("message"))
 
 
+def alert_rows(flags: DataFrame) -> DataFrame:
+    """Flagged rows as shown in an alert: every column but the command line."""
+    return flags.drop("message")
+
+
 def write_flags(flags: DataFrame, path: str) -> None:
     """Write flagged rows as JSON lines; an empty folder of records means no
     flag. Readers take the folder, not one file."""

@@ -131,6 +131,7 @@ def test_job_logger_and_flag_json(spark, tmp):
     exp = J.log_expectations(spark, [{"alert_name": "a", "job_type": "daily", "job_name": "fact", "file_name": "daily_etl.py", "step_name": "end", "thresh_in_hours": 24}])
     st = J.log_staleness(logs.select(*JOB_LOG.fieldNames()), exp, TS(2024, 1, 3, 8))
     flags = J.flags_for_retry(st)
+    assert "message" not in J.alert_rows(flags).columns and "job_name" in J.alert_rows(flags).columns
     J.write_flags(flags, f"{tmp}/flags")
     back = spark.read.json(f"{tmp}/flags").collect()
     assert len(back) == 1 and back[0].message == "daily_etl.py p"
