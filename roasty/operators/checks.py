@@ -257,7 +257,9 @@ def newest_by_landing(df: DataFrame, ts_col: str, newest_landing: str, landing_k
     ``newest_landing`` is the newest partition value, from a listing
     (``incremental.partition_values``)."""
     lower = df.where(F.col(landing_key) == F.lit(newest_landing)).agg(F.max(ts_col)).scalar()
-    return df.where(F.col(landing_key) >= F.date_format(F.to_date(lower), fmt))
+    # No row in the newest partition gives no bound: every partition is read.
+    bound = F.coalesce(F.date_format(F.to_date(lower), fmt), F.lit(""))
+    return df.where(F.col(landing_key) >= bound)
 
 
 def last_modified(df: DataFrame) -> DataFrame:

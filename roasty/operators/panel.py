@@ -1,8 +1,9 @@
 """Daily campaign panels built from the fact table.
 
-Both variants are one hash aggregation: partial aggregates are computed
+The rows meet a hash aggregation whose partial aggregates are computed
 map-side, so only one row per group and input partition is shuffled, and a
-campaign holding a third of all rows costs no more than any other.
+campaign holding a third of all rows costs no more than any other. A second,
+small aggregation over those groups takes the string maxima.
 """
 
 from __future__ import annotations
@@ -99,7 +100,8 @@ def panel_lookback(fact: DataFrame, as_of, lookback_days: int = 7, by_install: b
 
 def campaign_kpis(panel: DataFrame) -> DataFrame:
     """Dashboard grain (dt, media_source, campaign) from the by-install panel:
-    installs, events, revenue, cost, cost per install and revenue over cost."""
+    installs, events, revenue, cost and cost per install (NULL without
+    installs)."""
     g = panel.groupBy("dt", "media_source", "campaign").agg(
         F.sum("t_installs").cast("long").alias("installs"),
         F.sum("t_events").cast("long").alias("events"),
