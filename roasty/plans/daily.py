@@ -18,7 +18,7 @@ from roasty.functions.dates import as_date
 from roasty.operators import fact as fact_ops
 from roasty.operators import incremental as inc
 from roasty.operators import panel as panel_ops
-from roasty.schemas import FEEDS, PANEL_BY_INSTALL, PANEL_CAMPAIGN
+from roasty.schemas import FACT_TAGGED, FEEDS, PANEL_BY_INSTALL, PANEL_CAMPAIGN
 from roasty.sources import landing
 
 
@@ -44,6 +44,17 @@ class Layout:
         return [self.landing_template.format(root=root, feed=feed, day=d) for d in days]
 
 
+def read_fact(spark: SparkSession, layout: Layout):
+    """The fact table, with its declared schema (no inference over the
+    partition folders; ``dt`` typed as a date)."""
+    return spark.read.schema(FACT_TAGGED).parquet(layout.fact_path)
+
+
+def read_panel(spark: SparkSession, layout: Layout):
+    """The panel table, with its declared schema."""
+    return spark.read.schema(PANEL_BY_INSTALL if layout.by_install else PANEL_CAMPAIGN).parquet(layout.panel_path)
+
+
 def _ymd(d: _dt.date) -> str:
     return d.strftime("%Y%m%d")
 
@@ -79,8 +90,7 @@ def refresh_fact_on_disk(spark: SparkSession, layout: Layout, from_date) -> _dt.
 
 def refresh_panel_on_disk(spark: SparkSession, layout: Layout, from_date) -> None:
     """Rewrite the panel's days ``>= from_date`` from the fact on disk."""
-    fact = spark.read.parquet(layout.fact_path)
-    new = panel_ops.panel_since(fact, from_date, layout.by_install)
+    new = panel_ops.panel_since(read_fact(spark, layout), from_date, layout.by_install)
     schema = PANEL_BY_INSTALL if layout.by_install else PANEL_CAMPAIGN
     inc.commit_window(new.select(*schema.fieldNames()), layout.panel_path, "dt", from_date)
 

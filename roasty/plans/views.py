@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from roasty.plans.daily import Layout
+from roasty.plans.daily import Layout, read_fact, read_panel
 from roasty.schemas import FEEDS
 from roasty.sources.landing import path_exists, read_raw
 
@@ -17,8 +17,8 @@ def register_views(spark: SparkSession, layout: Layout, panel_view: str = "daily
     for feed in layout.feeds:
         read_raw(spark, layout.raw_path(feed), FEEDS[feed]).createOrReplaceTempView(f"raw_{feed}")
         names.append(f"raw_{feed}")
-    for name, path in (("fact", layout.fact_path), (panel_view, layout.panel_path)):
+    for name, path, read in (("fact", layout.fact_path, read_fact), (panel_view, layout.panel_path, read_panel)):
         if path_exists(spark, path):
-            spark.read.parquet(path).createOrReplaceTempView(name)
+            read(spark, layout).createOrReplaceTempView(name)
             names.append(name)
     return names
