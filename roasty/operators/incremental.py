@@ -27,9 +27,11 @@ from roasty.functions.dates import as_date, date_in_name, days_back
 LATE_MODES = ("reject", "drop", "widen")
 
 
-def _late_guard(new: DataFrame, key: str, frm: Column) -> DataFrame:
-    """Fail the job, inside the task that meets it, on a row older than the
-    window. Lazy: costs nothing until the rows are computed."""
+def reject_late(new: DataFrame, key: str, from_date) -> DataFrame:
+    """Fail the job, inside the task that meets it, on a row whose ``key``
+    is before ``from_date``. Lazy: costs nothing until the rows are
+    computed."""
+    frm = as_date(from_date)
     bad = F.raise_error(F.concat(F.lit(f"row with {key} before the refresh window: "), F.col(key).cast("string")))
     return new.withColumn(key, F.when(F.col(key) < frm, bad.cast(new.schema[key].dataType)).otherwise(F.col(key)))
 
@@ -61,7 +63,7 @@ def replace_window(target: DataFrame, new: DataFrame, key: str, from_date, late:
         raise ValueError(f"late must be one of {LATE_MODES}, got {late!r}")
     start = window_start(new, key, from_date, late)
     if late == "reject":
-        new = _late_guard(new, key, start)
+        new = reject_late(new, key, start)
     elif late == "drop":
         new = new.where(F.col(key) >= start)
     kept = target.where(F.col(key) < start)

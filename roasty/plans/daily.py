@@ -72,18 +72,27 @@ def load_landing(spark: SparkSession, layout: Layout, days: list[str]) -> None:
         landing.load_raw(df, layout.raw_path(feed))
 
 
-def refresh_fact_on_disk(spark: SparkSession, layout: Layout, from_date) -> _dt.date:
-    """Rewrite the fact from ``from_date`` (widened to the oldest event day
-    of the new files) and return the first day rewritten."""
+def refresh_fact_on_disk(spark: SparkSession, layout: Layout, from_date, late: str = "widen") -> _dt.date:
+    """Rewrite the fact from ``from_date`` and return the first day rewritten.
+
+    ``late="widen"`` starts at the oldest event day of the new files when
+    that is older (every row of those days is reloaded); ``"drop"`` leaves
+    such late rows out; ``"reject"`` fails the job on one."""
+    if late not in inc.LATE_MODES:
+        raise ValueError(f"late must be one of {inc.LATE_MODES}, got {late!r}")
     frm = as_date(from_date)
     from_ymd = F.date_format(frm, "yyyyMMdd")
     raw = {f: landing.read_raw(spark, layout.raw_path(f), FEEDS[f]) for f in layout.feeds}
     window = fact_ops.build_fact(*(raw[f].where(F.col("ymd") >= from_ymd) for f in ("installs", "inapp")))
-    start = window.agg(F.least(frm, F.min("dt")).alias("s")).first()["s"]
-    if start is None:
-        start = from_date if isinstance(from_date, _dt.date) else _dt.date.fromisoformat(str(from_date))
-    new = fact_ops.build_fact(*(raw[f].where(F.col("ymd") >= _ymd(start)) for f in ("installs", "inapp")))
-    new = new.where(F.col("dt") >= F.lit(start))
+    first = from_date if isinstance(from_date, _dt.date) else _dt.date.fromisoformat(str(from_date))
+    if late == "widen":
+        start = window.agg(F.least(frm, F.min("dt")).alias("s")).first()["s"] or first
+        new = fact_ops.build_fact(*(raw[f].where(F.col("ymd") >= _ymd(start)) for f in ("installs", "inapp")))
+        new = new.where(F.col("dt") >= F.lit(start))
+    elif late == "drop":
+        start, new = first, window.where(F.col("dt") >= F.lit(first))
+    else:
+        start, new = first, inc.reject_late(window, "dt", first)
     inc.commit_window(new, layout.fact_path, "dt", start)
     return start
 
@@ -95,14 +104,15 @@ def refresh_panel_on_disk(spark: SparkSession, layout: Layout, from_date) -> Non
     inc.commit_window(new.select(*schema.fieldNames()), layout.panel_path, "dt", from_date)
 
 
-def run_daily(spark: SparkSession, layout: Layout, as_of, days_back: int = 1, logger=None) -> _dt.date:
+def run_daily(spark: SparkSession, layout: Layout, as_of, days_back: int = 1, logger=None,
+              late: str = "widen") -> _dt.date:
     """The daily action for the day ``as_of - days_back``: load its landing
     files, then refresh fact and panel from that day on, in that order."""
     day = (as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))) - _dt.timedelta(days=days_back)
-    return backfill(spark, layout, day, day, logger)
+    return backfill(spark, layout, day, day, logger, late)
 
 
-def backfill(spark: SparkSession, layout: Layout, first_day, last_day, logger=None) -> _dt.date:
+def backfill(spark: SparkSession, layout: Layout, first_day, last_day, logger=None, late: str = "widen") -> _dt.date:
     """Reload landing days ``first_day .. last_day`` and rebuild fact and
     panel from ``first_day`` on, as one job per stage. Equal in final state
     to running the daily action for each day in turn."""
@@ -112,7 +122,7 @@ def backfill(spark: SparkSession, layout: Layout, first_day, last_day, logger=No
         logger.log("start")
     try:
         load_landing(spark, layout, _days(first, last))
-        start = refresh_fact_on_disk(spark, layout, first)
+        start = refresh_fact_on_disk(spark, layout, first, late)
         refresh_panel_on_disk(spark, layout, start)
     except Exception:
         if logger:
@@ -122,3 +132,30 @@ def backfill(spark: SparkSession, layout: Layout, first_day, last_day, logger=No
         logger.log("success")
         logger.log("end")
     return start
+
+
+def run_lookback(spark: SparkSession, layout: Layout, as_of, lookback_days: int = 7, logger=None) -> None:
+    """The partition-overwrite flavour of the daily run: load the landing
+    days of the look-back window, then overwrite the fact partitions of
+    event days ``>= as_of - lookback_days`` and the panel partitions of the
+    same days (days with no new rows keep their rows)."""
+    day = as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))
+    first = day - _dt.timedelta(days=lookback_days)
+    if logger:
+        logger.log("start")
+    try:
+        load_landing(spark, layout, _days(first, day))
+        raw = {f: landing.read_raw(spark, layout.raw_path(f), FEEDS[f]) for f in layout.feeds}
+        # Event day <= landing day: the window's rows are all in landing days >= first.
+        fact = fact_ops.build_fact(*(raw[f].where(F.col("ymd") >= _ymd(first)) for f in ("installs", "inapp")))
+        inc.commit_partitions(inc.lookback(fact, "dt", day, lookback_days), layout.fact_path, "dt")
+        panel = panel_ops.panel_lookback(read_fact(spark, layout), day, lookback_days, layout.by_install)
+        schema = PANEL_BY_INSTALL if layout.by_install else PANEL_CAMPAIGN
+        inc.commit_partitions(panel.select(*schema.fieldNames()), layout.panel_path, "dt")
+    except Exception:
+        if logger:
+            logger.log("error")
+        raise
+    if logger:
+        logger.log("success")
+        logger.log("end")
