@@ -159,3 +159,58 @@ def run_lookback(spark: SparkSession, layout: Layout, as_of, lookback_days: int
     if logger:
         logger.log("success")
         logger.log("end")
+
+
+# The step kinds a job configuration names (its ``sql`` field).
+JOB_STEPS = ("fact_init", "fact_daily", "daily_panel_init", "daily_panel_daily")
+
+
+def run_step(spark: SparkSession, layout: Layout, step: str, day: _dt.date, late: str = "widen") -> None:
+    """One configured step for the day ``day``:
+
+    * ``fact_init``: the empty fact table with the union schema;
+    * ``fact_daily``: window replace of the fact from ``day``;
+    * ``daily_panel_init``: full panel build of days ``<= day``;
+    * ``daily_panel_daily``: window replace of the panel from ``day``.
+    """
+    if step == "fact_init":
+        inc.commit_full(fact_ops.init_fact(spark, tag=True), layout.fact_path, "dt")
+    elif step == "fact_daily":
+        refresh_fact_on_disk(spark, layout, day, late)
+    elif step == "daily_panel_init":
+        schema = PANEL_BY_INSTALL if layout.by_install else PANEL_CAMPAIGN
+        panel = panel_ops.panel_up_to(read_fact(spark, layout), day, layout.by_install)
+        inc.commit_full(panel.select(*schema.fieldNames()), layout.panel_path, "dt")
+    elif step == "daily_panel_daily":
+        refresh_panel_on_disk(spark, layout, day)
+    else:
+        raise ValueError(f"unknown step {step!r} (one of {JOB_STEPS})")
+
+
+def run_jobs(spark: SparkSession, layout: Layout, config: dict, action: str, as_of, days_back: int = 1,
+             jobs: list[str] | None = None, logger_for=None) -> list[str]:
+    """Run the enabled ``action`` of every job of a job configuration
+    (``{"etl_jobs": {job: {action: {"enabled": ..., "sql": step}}}}``) in
+    configuration order, for the day ``as_of - days_back``. A failing step
+    stops the chain. ``logger_for(job)`` may give a ``JobLogger``. Returns the
+    steps run."""
+    day = (as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))) - _dt.timedelta(days=days_back)
+    done = []
+    for job, actions in config["etl_jobs"].items():
+        conf = actions.get(action)
+        if (jobs is not None and job not in jobs) or not conf or not conf.get("enabled"):
+            continue
+        logger = logger_for(job) if logger_for else None
+        if logger:
+            logger.log("start")
+        try:
+            run_step(spark, layout, conf["sql"], day)
+        except Exception:
+            if logger:
+                logger.log("error")
+            raise
+        if logger:
+            logger.log("success")
+            logger.log("end")
+        done.append(conf["sql"])
+    return done

@@ -219,3 +219,21 @@ def test_lookback_run_and_late_modes_on_disk(spark, landing_root, tmp):
     assert read_fact(spark, lay).count() == n
     with pytest.raises(Exception, match="before the refresh window"):
         run_daily(spark, lay, dt.date(2024, 1, 31), days_back=1, late="reject")
+
+
+def test_run_jobs_from_job_config(spark, landing_root, tmp):
+    from roasty.plans.daily import load_landing, read_panel, run_jobs, _days
+
+    config = {"etl_jobs": {
+        "fact": {"init": {"enabled": True, "sql": "fact_init"}, "daily": {"enabled": True, "sql": "fact_daily"},
+                 "hourly": {"enabled": False, "sql": "fact_hourly"}},
+        "daily_panel": {"init": {"enabled": True, "sql": "daily_panel_init"},
+                        "daily": {"enabled": True, "sql": "daily_panel_daily"}},
+    }}
+    lay = Layout(landing_root, f"{tmp}/raw", f"{tmp}/fact", f"{tmp}/panel")
+    load_landing(spark, lay, _days(dt.date(2024, 1, 1), dt.date(2024, 1, 31)))
+    assert run_jobs(spark, lay, config, "init", dt.date(2024, 1, 1), days_back=0) == ["fact_init", "daily_panel_init"]
+    assert read_panel(spark, lay).count() == 0
+    assert run_jobs(spark, lay, config, "hourly", dt.date(2024, 1, 1)) == []
+    assert run_jobs(spark, lay, config, "daily", dt.date(2024, 1, 2), days_back=1) == ["fact_daily", "daily_panel_daily"]
+    assert _rows(read_panel(spark, lay)) == _rows(_expected_panel(spark))
