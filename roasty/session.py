@@ -37,14 +37,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``; it is only set here
-    when the session has none (local runs and tests)."""
+    The cluster names it in ``spark.checkpoint.dir``; a local folder is only
+    made when a local-mode session has none (tests). On a cluster without
+    one the job fails rather than write to one machine's disk."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on shared storage for checkpoints "
+                "and intermediate tables"
+            )
         conf = tempfile.mkdtemp(prefix="roasty-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf
