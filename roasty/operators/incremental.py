@@ -140,6 +140,29 @@ def drop_partitions(spark: SparkSession, path: str, key: str, values) -> int:
     return n
 
 
+def expire_partitions(spark: SparkSession, path: str, key: str, as_of, days: int = 7,
+                      fmt: str = "%Y%m%d") -> list[str]:
+    """Retention on disk: drop the partitions whose dated key is strictly
+    older than ``as_of - days`` (partitions with no valid date are kept).
+    Works on the folder listing; no data is read. Returns the dropped
+    values."""
+    day = as_of.date() if isinstance(as_of, _dt.datetime) else as_of
+    day = day if isinstance(day, _dt.date) else _dt.date.fromisoformat(str(day))
+    cutoff = day - _dt.timedelta(days=days)
+    old = []
+    for v in partition_values(spark, path, key):
+        for f in (fmt, "%Y-%m-%d"):
+            try:
+                d = _dt.datetime.strptime(v, f).date()
+            except ValueError:
+                continue
+            if d < cutoff:
+                old.append(v)
+            break
+    drop_partitions(spark, path, key, old)
+    return old
+
+
 def commit_partitions(new: DataFrame, path: str, key: str, fmt: str = "parquet") -> None:
     """Write ``new`` replacing only the partitions it holds (insert
     overwrite). Reading and rewriting the same table in one job is safe in

@@ -94,3 +94,11 @@ def test_retain_by_name(spark):
     df = spark.createDataFrame([("a_20240102.csv",), ("a_20240103.csv",), ("notes.txt",)], "name string")
     kept = sorted(r.name for r in inc.retain_by_name(df, "name", D(2024, 1, 10), days=7).collect())
     assert kept == ["a_20240103.csv", "notes.txt"]
+
+
+def test_expire_partitions_on_disk(spark, tmp):
+    path = f"{tmp}/exp"
+    df = spark.createDataFrame([("20240102", 1), ("20240103", 2), ("undated", 3)], "ymd string, v int")
+    df.write.partitionBy("ymd").parquet(path)
+    assert inc.expire_partitions(spark, path, "ymd", D(2024, 1, 10), days=7) == ["20240102"]
+    assert inc.partition_values(spark, path, "ymd") == ["20240103", "undated"]
