@@ -18,8 +18,9 @@ rerun after a failure with the same result.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from roasty.functions.dates import as_date, date_in_name, days_back
@@ -181,11 +182,15 @@ def commit_window(new: DataFrame, path: str, key: str, from_date, fmt: str = "pa
     the partitions in ``new`` are overwritten, then window partitions that
     received no rows are removed. Returns the removed values.
 
-    A rerun after a failure at any point gives the same final state."""
+    A rerun after a failure at any point gives the same final state. The
+    partition values written are observed during the write itself (a set
+    per task, merged on the driver: one value per partition written), so the
+    new rows are computed once."""
     spark = new.sparkSession
-    commit_partitions(new, path, key, fmt)
+    seen = Observation(f"written_{uuid.uuid4().hex}")
+    commit_partitions(new.observe(seen, F.collect_set(F.col(key).cast("string")).alias("keys")), path, key, fmt)
     frm = _as_iso(from_date)
-    written = {str(r[0]) for r in new.select(key).distinct().collect()}
+    written = set(seen.get["keys"])
     stale = [v for v in partition_values(spark, path, key) if v >= frm and v not in written]
     drop_partitions(spark, path, key, stale)
     return stale
