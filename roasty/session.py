@@ -21,6 +21,15 @@ DEFAULT_CONF = {
 }
 
 
+def apply_defaults(spark: SparkSession) -> SparkSession:
+    """Set the runtime SQL settings of ``DEFAULT_CONF`` on an existing
+    session (a cluster's); static ones (the UI) are left to the launcher."""
+    for k, v in DEFAULT_CONF.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
+    return spark
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "roasty") -> SparkSession:
     """A local session for tests and the benchmark."""
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)

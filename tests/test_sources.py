@@ -237,3 +237,30 @@ def test_run_jobs_from_job_config(spark, landing_root, tmp):
     assert run_jobs(spark, lay, config, "hourly", dt.date(2024, 1, 1)) == []
     assert run_jobs(spark, lay, config, "daily", dt.date(2024, 1, 2), days_back=1) == ["fact_daily", "daily_panel_daily"]
     assert _rows(read_panel(spark, lay)) == _rows(_expected_panel(spark))
+
+
+def test_command_line_daily_and_backfill_plan_command(spark, landing_root, tmp):
+    import json
+
+    from roasty.__main__ import main
+    from roasty.operators import joblog as J
+    from roasty.plans.daily import read_panel
+
+    conf = {"landing_root": landing_root, "raw_root": f"{tmp}/raw", "fact_path": f"{tmp}/fact",
+            "panel_path": f"{tmp}/panel", "log_path": f"{tmp}/log"}
+    path = f"{tmp}/layout.json"
+    with open(path, "w") as fh:
+        json.dump(conf, fh)
+    assert main(["backfill", "--layout", path, "--first", "2024-01-01", "--last", "2024-01-31"], spark=spark) == 0
+    assert main(["daily", "--layout", path, "--as-of", "2024-01-31", "--days-back", "1"], spark=spark) == 0
+    assert _rows(read_panel(spark, Layout(landing_root, f"{tmp}/raw", f"{tmp}/fact", f"{tmp}/panel"))) == _rows(
+        _expected_panel(spark))
+    logs = spark.read.parquet(f"{tmp}/log").select(*J.JOB_LOG.fieldNames())
+    daily_end = logs.where((F.col("job_type") == "daily") & (F.col("step_name") == "end")).first()
+    assert daily_end.message == f"python -m roasty daily --layout {path} --days-back 1"
+    flags = logs.where(F.col("job_type") == "daily").withColumn("dt", F.lit("2024-01-29")).where("step_name = 'end'")
+    plan = J.order_plan(J.backfill_plan(flags, dt.date(2024, 1, 31))).collect()
+    assert [p.command for p in plan] == [
+        f"python -m roasty daily --layout {path} --days-back 2",
+        f"python -m roasty daily --layout {path} --days-back 1",
+    ]
