@@ -82,3 +82,26 @@ def test_two_step_panel_equals_direct_aggregation(spark, rows):
     for d in direct:
         p = panel[(d.campaign, d.dt)]
         assert (p.media_source, p.t_events, p.t_install, p.t_Organic, p.cost) == (d.m, d.n, d.i, d.o, d.cost)
+
+
+late_rows = st.lists(st.tuples(days, st.integers(min_value=0, max_value=2), st.integers(0, 23)), min_size=1, max_size=25)
+
+
+@SETTINGS
+@given(late_rows, st.integers(min_value=1, max_value=12), st.booleans())
+def test_refresh_fact_widen_keeps_every_event_once(spark, events, refresh_day, stale_copy):
+    from helpers import inapp_df, inapp_row, install_row, installs_df
+
+    from roasty.operators.fact import build_fact, refresh_fact
+
+    rows = [(dt.datetime(2024, 1, d, h), f"202401{d + delay:02d}") for d, delay, h in events]
+    app = inapp_df(spark, [inapp_row(event_time=t, campaign=f"{i}") for i, (t, _) in enumerate(rows)])
+    app = app.withColumn("ymd", F.element_at(F.array(*[F.lit(y) for _, y in rows]), F.col("campaign").cast("int") + 1))
+    inst = installs_df(spark, [install_row()]).where(F.lit(False))
+    y = f"202401{refresh_day:02d}"
+    # State before the refresh: every file before the refresh day, and
+    # possibly a stale copy of some later files.
+    loaded = app.where(F.col("ymd") < y) if not stale_copy else app.where((F.col("ymd") < y) | (F.col("campaign") == "0"))
+    target = build_fact(inst, loaded)
+    out = refresh_fact(target, inst, app, D(2024, 1, refresh_day), late="widen")
+    assert sorted(r.campaign for r in out.collect()) == sorted(str(i) for i in range(len(rows)))
