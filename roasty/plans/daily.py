@@ -214,3 +214,37 @@ def run_jobs(spark: SparkSession, layout: Layout, config: dict, action: str, as_
             logger.log("end")
         done.append(conf["sql"])
     return done
+
+
+def run_loader(spark: SparkSession, config: dict, etl_name: str, action: str, landing_root: str, raw_root: str,
+               day, schemas: dict | None = None, checkpoint_root: str | None = None,
+               fmt: str = "csv") -> dict[str, str]:
+    """The landing loader from a loader configuration
+    (``{group: {etl_name: {action: {"enabled": ..., "dataset_id": ...}}}}``).
+
+    ``daily``: every file of ``{landing_root}/{etl_name}/{yyyyMMdd}`` into
+    the raw table named after the file, under ``{raw_root}/{dataset_id}``
+    (``load_day_by_file``). ``hourly``: the files landed since the last run,
+    by a file stream per declared table (``schemas``, files ``{table}.{fmt}``),
+    checkpointed under ``checkpoint_root``. Disabled actions load nothing. Returns
+    ``{table: raw path}``."""
+    from roasty.streaming.ingest import ingest_available
+
+    loaded: dict[str, str] = {}
+    for _group, etls in config.items():
+        conf = etls.get(etl_name, {}).get(action)
+        if not conf or not conf.get("enabled"):
+            continue
+        dest = f"{raw_root.rstrip('/')}/{conf.get('dataset_id', etl_name)}"
+        src = f"{landing_root.rstrip('/')}/{etl_name}"
+        if action == "hourly":
+            if not schemas or not checkpoint_root:
+                raise ValueError("the hourly load streams declared tables: give schemas and checkpoint_root")
+            for table, schema in schemas.items():
+                path = f"{dest}/{table}"
+                ingest_available(spark, src, f"{table}.{fmt}", schema, path, f"{checkpoint_root.rstrip('/')}/{table}")
+                loaded[table] = path
+        else:
+            d = day if isinstance(day, _dt.date) else _dt.date.fromisoformat(str(day))
+            loaded.update(landing.load_day_by_file(spark, src, _ymd(d), dest, schemas))
+    return loaded

@@ -264,3 +264,24 @@ def test_command_line_daily_and_backfill_plan_command(spark, landing_root, tmp):
         f"python -m roasty daily --layout {path} --days-back 2",
         f"python -m roasty daily --layout {path} --days-back 1",
     ]
+
+
+def test_run_loader_daily_and_hourly(spark, landing_root, tmp):
+    import shutil
+
+    from roasty.plans.daily import run_loader
+
+    root = f"{tmp}/landing"
+    shutil.copytree(landing_root, f"{root}/vendor")  # {root}/{etl_name}/{ymd}/{table}.csv
+    config = {"loader": {"vendor": {"daily": {"enabled": True, "dataset_id": "raw_ds"},
+                                    "hourly": {"enabled": True, "dataset_id": "raw_ds"},
+                                    "weekly": {"enabled": False}}}}
+    daily = run_loader(spark, config, "vendor", "daily", root, f"{tmp}/raw", dt.date(2024, 1, 3),
+                       schemas={"installs": INSTALLS, "inapp": FEEDS["inapp"]})
+    assert set(daily) == {"installs", "inapp"}
+    n_day = L.read_raw(spark, daily["installs"], INSTALLS).count()
+    hourly = run_loader(spark, config, "vendor", "hourly", root, f"{tmp}/raw_h", None,
+                        schemas={"installs": INSTALLS}, checkpoint_root=f"{tmp}/ck")
+    n_all = L.read_raw(spark, hourly["installs"], INSTALLS).count()
+    assert n_all == A.installs_feed(A.read_table(spark, SF, "events")).count() and n_all > n_day > 0
+    assert run_loader(spark, config, "vendor", "weekly", root, f"{tmp}/raw", dt.date(2024, 1, 3)) == {}
