@@ -41,8 +41,12 @@ def conditional_counts(
 
 
 def money_units(c: str | Column) -> Column:
-    """A money value as a whole number of 1/10,000 units."""
-    return F.round(_col(c) * F.lit(MONEY_SCALE)).cast("long")
+    """A money value as a whole number of 1/10,000 units, rounded half away
+    from zero. Written as ``sign * floor(|x| * scale + 0.5)``: plain double
+    arithmetic, where ``round`` on a double goes through a decimal per row
+    (several times slower in the hot loop of every panel)."""
+    x = _col(c)
+    return (F.signum(x) * F.floor(F.abs(x) * F.lit(float(MONEY_SCALE)) + F.lit(0.5))).cast("long")
 
 
 def units_to_money(c: str | Column) -> Column:
