@@ -116,7 +116,14 @@ def read_landing(
             ) from e
         raise
     if schema is not None and fmt not in ("csv", "json"):
-        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+        # Align by name; a declared column the file lacks becomes a typed NULL.
+        have = set(df.columns)
+        df = df.select(
+            *[
+                (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in schema.fields
+            ]
+        )
     if with_day:
         df = df.withColumn("ymd", F.regexp_extract(F.col("_metadata.file_path"), DAY_IN_PATH, 1))
     return df

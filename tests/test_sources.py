@@ -285,3 +285,15 @@ def test_run_loader_daily_and_hourly(spark, landing_root, tmp):
     n_all = L.read_raw(spark, hourly["installs"], INSTALLS).count()
     assert n_all == A.installs_feed(A.read_table(spark, SF, "events")).count() and n_all > n_day > 0
     assert run_loader(spark, config, "vendor", "weekly", root, f"{tmp}/raw", dt.date(2024, 1, 3)) == {}
+
+
+def test_parquet_missing_column_is_null_and_raw_reads_prune(spark, tmp):
+    inst, _ = A.feeds(spark, SF)
+    src = inst.where(F.col("ymd") == "20240101").drop("ymd", "appsflyer_id")
+    out = f"{tmp}/20240101/installs.parquet"
+    src.write.parquet(out)
+    df = L.read_landing(spark, out, schema=INSTALLS)
+    assert df.where(F.col("appsflyer_id").isNotNull()).count() == 0 and df.count() == src.count()
+    L.load_raw(df, f"{tmp}/raw")
+    plan = L.read_raw(spark, f"{tmp}/raw", INSTALLS, from_ymd="20240101")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ymd" in plan and "20240101" in plan
