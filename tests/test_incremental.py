@@ -102,3 +102,11 @@ def test_expire_partitions_on_disk(spark, tmp):
     df.write.partitionBy("ymd").parquet(path)
     assert inc.expire_partitions(spark, path, "ymd", D(2024, 1, 10), days=7) == ["20240102"]
     assert inc.partition_values(spark, path, "ymd") == ["20240103", "undated"]
+
+
+def test_commit_window_with_no_new_rows_empties_the_window(spark, tmp):
+    path = f"{tmp}/w"
+    inc.commit_partitions(_t(spark, [(D(2024, 1, d), "v1") for d in (1, 2, 3)]), path, "dt")
+    stale = inc.commit_window(_t(spark, []), path, "dt", D(2024, 1, 2))
+    assert stale == ["2024-01-02", "2024-01-03"]
+    assert [r.dt.day for r in spark.read.parquet(path).collect()] == [1]
