@@ -58,3 +58,14 @@ def test_conditional_counts_macro(spark):
     df = spark.createDataFrame([("a", "ios"), ("a", "ios"), ("b", "android")], "k string, platform string")
     r = {x.k: x for x in df.groupBy("k").agg(*conditional_counts("platform", ["ios", "android"])).collect()}
     assert (r["a"].t_ios, r["a"].t_android, r["b"].t_ios, r["b"].t_android) == (2, None, None, 1)
+
+
+def test_cluster_conf_sizes_from_slots():
+    from roasty.session import cluster_conf
+
+    conf = cluster_conf(input_bytes=100 * 10**12, executors=1000, cores_per_executor=8)
+    assert conf["spark.sql.shuffle.partitions"] == str(4 * 8000)  # capped by the slots, not 400k scan tasks
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert conf["spark.sql.adaptive.enabled"] == "true" and conf["spark.sql.session.timeZone"] == "UTC"
+    small = cluster_conf(input_bytes=10**9, executors=2, cores_per_executor=4)
+    assert small["spark.sql.shuffle.partitions"] == "16"
