@@ -164,6 +164,13 @@ def expire_partitions(spark: SparkSession, path: str, key: str, as_of, days: int
     return old
 
 
+def drop_table(spark: SparkSession, path: str) -> bool:
+    """Remove a table folder this job created as an intermediate (a listing
+    and a delete on the file system; no data read)."""
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p) and fs.delete(p, True))
+
+
 def commit_partitions(new: DataFrame, path: str, key: str, fmt: str = "parquet") -> None:
     """Write ``new`` replacing only the partitions it holds (insert
     overwrite). Reading and rewriting the same table in one job is safe in
