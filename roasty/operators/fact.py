@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from roasty.functions.dates import as_date, days_back
 from roasty.operators.incremental import lookback, overwrite_partitions, replace_window, window_start
-from roasty.schemas import FACT, FACT_COLUMNS, FACT_TAGGED
+from roasty.schemas import FACT, FACT_TAGGED, conform
 
 
 def align_to_fact(feed: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def build_fact(installs: DataFrame, inapp: DataFrame, tag: bool = True) -> DataF
     """
     rel = {"installs": align_to_fact(installs), "inapp": align_to_fact(inapp)}
     out = union_tagged(rel, "data_source" if tag else None)
-    return out.select(*(FACT_TAGGED.fieldNames() if tag else FACT_COLUMNS))
+    return conform(out, FACT_TAGGED if tag else FACT)
 
 
 def init_fact(spark: SparkSession, tag: bool = False) -> DataFrame:

@@ -21,6 +21,7 @@ from roasty.schemas import (
     PANEL_CHANNELS,
     PANEL_EVENTS,
     PANEL_PLATFORMS,
+    conform,
 )
 
 
@@ -76,9 +77,9 @@ def campaign_panel(fact: DataFrame, by_install: bool = True) -> DataFrame:
     )
     panel = panel.withColumn("revenue", F.round("_m_revenue")).withColumn("cost", F.round("_m_cost"))
     if by_install:
-        return panel.select(*PANEL_BY_INSTALL.fieldNames())
+        return conform(panel, PANEL_BY_INSTALL)
     panel = panel.withColumn("roas", ratio(F.col("_m_revenue_usd"), F.col("_m_cost")))
-    return panel.select(*PANEL_CAMPAIGN.fieldNames())
+    return conform(panel, PANEL_CAMPAIGN)
 
 
 def panel_up_to(fact: DataFrame, up_to, by_install: bool = True) -> DataFrame:

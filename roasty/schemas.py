@@ -9,6 +9,8 @@ runs the job.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -118,23 +120,27 @@ PANEL_BY_INSTALL = T.StructType(
         _f("is_install", S, "install or non_install"),
         _f("t_events", L, "total events"),
     ]
-    + [_f(n, L) for m in PANEL_BY_INSTALL_COUNT_NAMES.values() for n in m.values()]
+    + [_f(n, L, f"rows with {c} = '{v}'") for c, m in PANEL_BY_INSTALL_COUNT_NAMES.items() for v, n in m.items()]
     + [_f("revenue", D, "total revenue, rounded"), _f("cost", D, "total cost, rounded")]
 )
 
 PANEL_CAMPAIGN = T.StructType(
     [
         _f("campaign", S),
-        _f("dt", DT),
-        _f("media_source", S),
-        _f("t_events", L),
+        _f("dt", DT, "activity date"),
+        _f("media_source", S, "greatest channel of the group"),
+        _f("t_events", L, "total events"),
     ]
-    + [_f(f"t_{v}", L) for v in PANEL_EVENTS + PANEL_PLATFORMS + PANEL_CHANNELS]
     + [
-        _f("revenue", D),
-        _f("cost", D),
+        _f(f"t_{v}", L, f"rows with {c} = '{v}'")
+        for c, vs in (("event_name", PANEL_EVENTS), ("platform", PANEL_PLATFORMS), ("af_channel", PANEL_CHANNELS))
+        for v in vs
+    ]
+    + [
+        _f("revenue", D, "total revenue, rounded"),
+        _f("cost", D, "total cost, rounded"),
         _f("roas", D, "revenue_usd / cost, NULL when cost is 0 or NULL"),
-        _f("data_source", S),
+        _f("data_source", S, "greatest feed of the group"),
     ]
 )
 
@@ -181,3 +187,11 @@ LOG_EXPECTATION = T.StructType(
         _f("thresh_in_hours", I),
     ]
 )
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``df`` in the column order, types and column comments of ``schema``
+    (a projection: no data moves). Written tables keep the comments."""
+    return df.select(
+        *[F.col(f.name).cast(f.dataType).alias(f.name, metadata=f.metadata) for f in schema.fields]
+    )

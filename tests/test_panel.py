@@ -71,3 +71,13 @@ def test_kpis_and_channel_and_counts(spark):
     assert c.installs == 2 and c.cost == 4.0
     d = daily_counts(f, "dt", 1).collect()
     assert len(d) == 1 and d[0].cnt == 2
+
+
+def test_panel_and_fact_carry_column_comments(spark, tmp):
+    rows = [fact_row(event_name="install", af_cost_value=1.0)]
+    p = campaign_panel(fact_df(spark, rows), by_install=True)
+    p.write.parquet(f"{tmp}/p")
+    back = spark.read.parquet(f"{tmp}/p").schema
+    assert back["t_events"].metadata.get("comment") == "total events"
+    assert back["revenue"].metadata.get("comment") == "total revenue, rounded"
+    assert dict(p.dtypes)["t_events"] == "bigint"
