@@ -5,6 +5,14 @@ with one action of the chain.
     python -m roasty backfill --layout layout.json --first 2024-01-01 --last 2024-01-21
     python -m roasty lookback --layout layout.json [--as-of 2024-01-31] --lookback-days 7
     python -m roasty jobs     --layout layout.json --jobs jobs.json --job-action daily [--as-of ...] --days-back 1
+    python -m roasty checks   --validation validation.json --tables tables.json --out flags/ [--group kpis]
+    python -m roasty logs     --log-config logs.json --logs path/to/log --job-type daily --out flags/
+    python -m roasty plan     --flags flags/ --out plan/ [--as-of ...]
+
+``tables.json`` maps ``"dataset.table"`` to a Parquet path. ``checks`` and
+``logs`` write their flagged rows as JSON records (``logs`` without the
+``--days-back`` of each command); ``plan`` turns such flags into the
+commands to rerun, one per job and missed day.
 
 ``layout.json`` holds the ``Layout`` fields (``landing_root``, ``raw_root``,
 ``fact_path``, ``panel_path``; optional ``landing_template``, ``by_install``)
@@ -31,10 +39,29 @@ def _date(s: str) -> dt.date:
 def parse(argv: list[str]) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="roasty")
     sub = p.add_subparsers(dest="action", required=True)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    c = sub.add_parser("checks")
+    c.add_argument("--validation", required=True)
+    c.add_argument("--tables", required=True)
+    c.add_argument("--out", required=True)
+    c.add_argument("--group")
+    c.add_argument("--as-of", type=_date, default=now.date())
+    c.add_argument("--as-of-ts", type=dt.datetime.fromisoformat, default=now)
+    g = sub.add_parser("logs")
+    g.add_argument("--log-config", required=True)
+    g.add_argument("--logs", required=True)
+    g.add_argument("--job-type", default="daily")
+    g.add_argument("--out", required=True)
+    g.add_argument("--missing", choices=["ignore", "flag"], default="ignore")
+    g.add_argument("--as-of-ts", type=dt.datetime.fromisoformat, default=now)
+    pl = sub.add_parser("plan")
+    pl.add_argument("--flags", required=True)
+    pl.add_argument("--out", required=True)
+    pl.add_argument("--as-of", type=_date, default=now.date())
     for name in ("daily", "backfill", "lookback", "jobs"):
         a = sub.add_parser(name)
         a.add_argument("--layout", required=True)
-        a.add_argument("--as-of", type=_date, default=dt.datetime.now(dt.timezone.utc).date())
+        a.add_argument("--as-of", type=_date, default=now.date())
         if name in ("daily", "jobs"):
             a.add_argument("--days-back", type=int, default=1)
         if name in ("daily", "backfill"):
@@ -64,18 +91,59 @@ def _command(argv: list[str]) -> str:
     return " ".join(["python -m roasty"] + out)
 
 
+def _session(spark, action: str):
+    if spark is not None:
+        return spark
+    from pyspark.sql import SparkSession
+
+    from roasty.session import apply_defaults
+
+    return apply_defaults(SparkSession.builder.appName(f"roasty-{action}").getOrCreate())
+
+
+def monitor(args: argparse.Namespace, spark) -> int:
+    """The ``checks``, ``logs`` and ``plan`` actions."""
+    from pyspark.sql import functions as F
+
+    from roasty.operators import joblog
+    from roasty.plans import monitoring
+    from roasty.schemas import JOB_LOG
+
+    spark = _session(spark, args.action)
+    if args.action == "checks":
+        with open(args.validation) as fh:
+            config = json.load(fh)
+        with open(args.tables) as fh:
+            paths = json.load(fh)
+        flags = monitoring.run_validation(
+            config, lambda d, t: spark.read.parquet(paths[f"{d}.{t}"]), args.as_of, args.as_of_ts, args.group
+        )
+        joblog.write_flags(flags, args.out)
+    elif args.action == "logs":
+        with open(args.log_config) as fh:
+            config = json.load(fh)
+        logs = spark.read.schema(JOB_LOG).parquet(args.logs)
+        exp = monitoring.log_alerts_from_config(spark, config, args.job_type)
+        stale = joblog.log_staleness(logs, exp, args.as_of_ts, args.missing)
+        joblog.write_flags(joblog.flags_for_retry(stale), args.out)
+    else:
+        flags = spark.read.schema(
+            "job_name string, job_type string, file_name string, message string, dt string"
+        ).json(args.flags)
+        plan = joblog.backfill_plan(flags.where(F.col("job_name").isNotNull()), args.as_of)
+        plan.write.mode("overwrite").json(args.out)
+    return 0
+
+
 def main(argv: list[str] | None = None, spark=None) -> int:
     args = parse(sys.argv[1:] if argv is None else argv)
+    if args.action in ("checks", "logs", "plan"):
+        return monitor(args, spark)
     with open(args.layout) as fh:
         conf = json.load(fh)
     log_path = conf.pop("log_path", None)
     layout = daily.Layout(**conf)
-    if spark is None:
-        from pyspark.sql import SparkSession
-
-        from roasty.session import apply_defaults
-
-        spark = apply_defaults(SparkSession.builder.appName(f"roasty-{args.action}").getOrCreate())
+    spark = _session(spark, args.action)
     message = _command(sys.argv[1:] if argv is None else list(argv))
 
     def logger(job: str):

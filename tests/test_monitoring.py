@@ -89,3 +89,36 @@ def test_log_alerts_from_config(spark):
     st = J.log_staleness(A.job_log(spark, SF), exp, TS(2001, 8, 1, 12)).collect()
     assert {r.alert_name for r in st} <= {"etl.a_end", "etl.a_msg"}
     assert all(r.message.endswith("--days-back 2") for r in st if r.alert_name == "etl.a_msg")
+
+
+def test_command_line_checks_logs_and_plan(spark, tmp):
+    import json
+
+    from roasty.__main__ import main
+
+    tables = _tables(spark, tmp)
+    paths = {}
+    for (d, t), df in tables.items():
+        paths[f"{d}.{t}"] = f"{tmp}/tables/{d}.{t}"
+        df.write.parquet(paths[f"{d}.{t}"])
+    for name, obj in (("validation.json", CONFIG), ("tables.json", paths)):
+        with open(f"{tmp}/{name}", "w") as fh:
+            json.dump(obj, fh)
+    assert main(["checks", "--validation", f"{tmp}/validation.json", "--tables", f"{tmp}/tables.json",
+                 "--out", f"{tmp}/flags", "--group", "kpis", "--as-of", "2024-01-30"], spark=spark) == 0
+    flagged = spark.read.json(f"{tmp}/flags").collect()
+    assert flagged and all(r.raise_flag for r in flagged)
+
+    A.job_log(spark, SF).write.parquet(f"{tmp}/log")
+    log_config = {"etl": {"alerts": {"a": {"message": "", "enable_message": "--", "step_name": "end",
+                                           "file_name": "daily_etl.py", "job_name": "1-URGENT", "thresh_in_hours": 24}}}}
+    with open(f"{tmp}/logs.json", "w") as fh:
+        json.dump(log_config, fh)
+    assert main(["logs", "--log-config", f"{tmp}/logs.json", "--logs", f"{tmp}/log", "--out", f"{tmp}/lflags",
+                 "--as-of-ts", "2001-08-03T12:00:00"], spark=spark) == 0
+    lf = spark.read.json(f"{tmp}/lflags").collect()
+    assert len(lf) == 1 and "--days-back" not in lf[0].message
+    assert main(["plan", "--flags", f"{tmp}/lflags", "--out", f"{tmp}/plan", "--as-of", "2001-08-03"], spark=spark) == 0
+    plan = sorted(r.command for r in spark.read.json(f"{tmp}/plan").collect())
+    missed = (D(2001, 8, 3) - D.fromisoformat(lf[0].dt)).days  # from the last good day to yesterday
+    assert len(plan) == missed and plan[0].endswith("--days-back 1")
