@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -115,28 +116,33 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def partition_values(spark: SparkSession, path: str, key: str) -> list[str]:
-    """Values of the ``key=...`` partition folders of a table (a listing of
-    folder names, not a data scan)."""
+def _partition_dirs(spark: SparkSession, path: str, key: str) -> dict[str, object]:
+    """``{value: folder}`` of the ``key=...`` partition folders of a table;
+    values are unescaped (Spark escapes special characters in folder names)."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
-        return []
-    out = []
+        return {}
+    out = {}
     for st in fs.listStatus(p):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(f"{key}="):
-            out.append(name.split("=", 1)[1])
-    return sorted(out)
+            out[unquote(name.split("=", 1)[1])] = st.getPath()
+    return out
+
+
+def partition_values(spark: SparkSession, path: str, key: str) -> list[str]:
+    """Values of the ``key=...`` partition folders of a table (a listing of
+    folder names, not a data scan)."""
+    return sorted(_partition_dirs(spark, path, key))
 
 
 def drop_partitions(spark: SparkSession, path: str, key: str, values) -> int:
-    fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
+    """Delete the partition folders of the given values."""
+    fs, _ = _fs(spark, path)
+    dirs = _partition_dirs(spark, path, key)
     n = 0
     for v in values:
-        d = jvm.org.apache.hadoop.fs.Path(p, f"{key}={v}")
-        if fs.exists(d):
-            fs.delete(d, True)
+        if v in dirs and fs.delete(dirs[v], True):
             n += 1
     return n
 

@@ -110,3 +110,12 @@ def test_commit_window_with_no_new_rows_empties_the_window(spark, tmp):
     stale = inc.commit_window(_t(spark, []), path, "dt", D(2024, 1, 2))
     assert stale == ["2024-01-02", "2024-01-03"]
     assert [r.dt.day for r in spark.read.parquet(path).collect()] == [1]
+
+
+def test_commit_window_with_escaped_partition_values(spark, tmp):
+    path = f"{tmp}/esc"
+    df = lambda rows: spark.createDataFrame(rows, "k string, v string")
+    inc.commit_partitions(df([("a/b", "old"), ("c d", "old"), ("e", "old")]), path, "k")
+    stale = inc.commit_window(df([("a/b", "new")]), path, "k", "a")
+    assert stale == ["c d", "e"]
+    assert [(r.k, r.v) for r in spark.read.parquet(path).collect()] == [("a/b", "new")]
