@@ -1,9 +1,18 @@
 """Column-level helpers. All of them return built-in Spark expressions, so
 they stay inside whole-stage codegen; none is a Python UDF."""
 
-from roasty.functions.aggregates import conditional_counts, money_sum, roas, count_rows
+from roasty.functions.aggregates import (
+    conditional_counts,
+    count_rows,
+    money_sum,
+    money_units,
+    ratio,
+    roas,
+    units_to_money,
+)
 from roasty.functions.dates import (
     as_date,
+    as_ts,
     event_date,
     hour_boundaries_between,
     whole_hours_between,
@@ -15,10 +24,14 @@ from roasty.functions.strings import is_blank, safe_name, strip_days_back
 
 __all__ = [
     "conditional_counts",
+    "count_rows",
     "money_sum",
+    "money_units",
+    "ratio",
     "roas",
-    "count_rows",
+    "units_to_money",
     "as_date",
+    "as_ts",
     "event_date",
     "hour_boundaries_between",
     "whole_hours_between",
