@@ -119,3 +119,31 @@ def test_commit_window_with_escaped_partition_values(spark, tmp):
     stale = inc.commit_window(df([("a/b", "new")]), path, "k", "a")
     assert stale == ["c d", "e"]
     assert [(r.k, r.v) for r in spark.read.parquet(path).collect()] == [("a/b", "new")]
+
+
+def test_commit_window_recovers_from_failures(spark, tmp, monkeypatch):
+    path = f"{tmp}/rec"
+    inc.commit_partitions(_t(spark, [(D(2024, 1, d), "old") for d in (1, 2, 3)]), path, "dt")
+    new = _t(spark, [(D(2024, 1, 3), "new")])
+
+    def state():
+        return sorted((r.dt.day, r.v) for r in spark.read.parquet(path).collect())
+
+    # A task fails inside the write: nothing is committed, the table is as before.
+    bad = new.withColumn("v", F.when(F.col("dt") > D(2024, 1, 1), F.raise_error(F.lit("lost task"))).otherwise("x"))
+    with pytest.raises(Exception, match="lost task"):
+        inc.commit_window(bad, path, "dt", D(2024, 1, 2))
+    assert state() == [(1, "old"), (2, "old"), (3, "old")]
+
+    # The job dies between the write and the removal of stale days: the
+    # rerun finishes the work.
+    def die(*a, **k):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(inc, "drop_partitions", die)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        inc.commit_window(new, path, "dt", D(2024, 1, 2))
+    assert state() == [(1, "old"), (2, "old"), (3, "new")]
+    monkeypatch.undo()
+    inc.commit_window(new, path, "dt", D(2024, 1, 2))
+    assert state() == [(1, "old"), (3, "new")]
