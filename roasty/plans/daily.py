@@ -191,28 +191,45 @@ def run_jobs(spark: SparkSession, layout: Layout, config: dict, action: str, as_
              jobs: list[str] | None = None, logger_for=None) -> list[str]:
     """Run the enabled ``action`` of every job of a job configuration
     (``{"etl_jobs": {job: {action: {"enabled": ..., "sql": step}}}}``) in
-    configuration order, for the day ``as_of - days_back``. A failing step
-    stops the chain. ``logger_for(job)`` may give a ``JobLogger``. Returns the
-    steps run."""
+    configuration order, for the day ``as_of - days_back``. Returns the steps
+    run.
+
+    Per job, ``logger_for(job)`` (a ``JobLogger`` or None) gets ``start``,
+    then ``success`` and ``end``; a failing step logs ``error`` and stops the
+    chain; an unknown step logs ``sql_not_found`` and the chain goes on with
+    the next job; an entry without a step logs ``start`` and ``end`` only. A
+    single job asked for by name (``jobs=[name]``) that is not enabled logs
+    ``skipped``."""
     day = (as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))) - _dt.timedelta(days=days_back)
     done = []
     for job, actions in config["etl_jobs"].items():
-        conf = actions.get(action)
-        if (jobs is not None and job not in jobs) or not conf or not conf.get("enabled"):
+        if jobs is not None and job not in jobs:
             continue
+        conf = actions.get(action)
         logger = logger_for(job) if logger_for else None
+        if not conf or not conf.get("enabled"):
+            if jobs is not None and logger:
+                logger.log("skipped")
+            continue
         if logger:
             logger.log("start")
-        try:
-            run_step(spark, layout, conf["sql"], day)
-        except Exception:
+        step = conf.get("sql")
+        if step is not None and step not in JOB_STEPS:
             if logger:
-                logger.log("error")
-            raise
+                logger.log("sql_not_found")
+            continue
+        if step is not None:
+            try:
+                run_step(spark, layout, step, day)
+            except Exception:
+                if logger:
+                    logger.log("error")
+                raise
+            if logger:
+                logger.log("success")
+            done.append(step)
         if logger:
-            logger.log("success")
             logger.log("end")
-        done.append(conf["sql"])
     return done
 
 
@@ -248,3 +265,4 @@ def run_loader(spark: SparkSession, config: dict, etl_name: str, action: str, la
             d = day if isinstance(day, _dt.date) else _dt.date.fromisoformat(str(day))
             loaded.update(landing.load_day_by_file(spark, src, _ymd(d), dest, schemas))
     return loaded
+

@@ -297,3 +297,32 @@ def test_parquet_missing_column_is_null_and_raw_reads_prune(spark, tmp):
     L.load_raw(df, f"{tmp}/raw")
     plan = L.read_raw(spark, f"{tmp}/raw", INSTALLS, from_ymd="20240101")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ymd" in plan and "20240101" in plan
+
+
+def test_run_jobs_logs_like_the_runner(spark, landing_root, tmp):
+    from roasty.operators.joblog import JobLogger
+    from roasty.plans.daily import load_landing, run_jobs, _days
+
+    config = {"etl_jobs": {
+        "fact": {"daily": {"enabled": True, "sql": "fact_daily"}, "hourly": {"enabled": False, "sql": "x"}},
+        "extra": {"daily": {"enabled": True, "sql": "no_such_step"}},
+        "noop": {"daily": {"enabled": True}},
+        "daily_panel": {"daily": {"enabled": True, "sql": "daily_panel_daily"}},
+    }}
+    lay = Layout(landing_root, f"{tmp}/raw", f"{tmp}/fact", f"{tmp}/panel")
+    load_landing(spark, lay, _days(dt.date(2024, 1, 1), dt.date(2024, 1, 31)))
+
+    def logger_for(job):
+        return JobLogger(spark, f"{tmp}/log", job, "daily", "roasty")
+
+    assert run_jobs(spark, lay, config, "daily", dt.date(2024, 1, 2), logger_for=logger_for) == [
+        "fact_daily", "daily_panel_daily"]
+    assert run_jobs(spark, lay, config, "hourly", dt.date(2024, 1, 2), jobs=["fact"], logger_for=logger_for) == []
+    logs = spark.read.parquet(f"{tmp}/log")
+    steps = {}
+    for r in logs.orderBy("step_id").collect():
+        steps.setdefault(r.job_name, []).append(r.step_name)
+    assert steps["extra"] == ["start", "sql_not_found"]
+    assert steps["noop"] == ["start", "end"]
+    assert steps["daily_panel"] == ["start", "success", "end"]
+    assert "skipped" in steps["fact"]
