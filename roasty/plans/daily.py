@@ -235,7 +235,7 @@ def run_jobs(spark: SparkSession, layout: Layout, config: dict, action: str, as_
 
 def run_loader(spark: SparkSession, config: dict, etl_name: str, action: str, landing_root: str, raw_root: str,
                day, schemas: dict | None = None, checkpoint_root: str | None = None,
-               fmt: str = "csv") -> dict[str, str]:
+               fmt: str = "csv", logger=None) -> dict[str, str]:
     """The landing loader from a loader configuration
     (``{group: {etl_name: {action: {"enabled": ..., "dataset_id": ...}}}}``).
 
@@ -245,6 +245,20 @@ def run_loader(spark: SparkSession, config: dict, etl_name: str, action: str, la
     by a file stream per declared table (``schemas``, files ``{table}.{fmt}``),
     checkpointed under ``checkpoint_root``. Disabled actions load nothing. Returns
     ``{table: raw path}``."""
+    if logger:
+        logger.log("start")
+    try:
+        loaded = _load(spark, config, etl_name, action, landing_root, raw_root, day, schemas, checkpoint_root, fmt)
+    except Exception:
+        if logger:
+            logger.log("error")
+        raise
+    if logger:
+        logger.log("end")
+    return loaded
+
+
+def _load(spark, config, etl_name, action, landing_root, raw_root, day, schemas, checkpoint_root, fmt):
     from roasty.streaming.ingest import ingest_available
 
     loaded: dict[str, str] = {}

@@ -285,6 +285,11 @@ def test_run_loader_daily_and_hourly(spark, landing_root, tmp):
     n_all = L.read_raw(spark, hourly["installs"], INSTALLS).count()
     assert n_all == A.installs_feed(A.read_table(spark, SF, "events")).count() and n_all > n_day > 0
     assert run_loader(spark, config, "vendor", "weekly", root, f"{tmp}/raw", dt.date(2024, 1, 3)) == {}
+    from roasty.operators.joblog import JobLogger
+
+    log = JobLogger(spark, f"{tmp}/log", "vendor", "daily", "roasty")
+    run_loader(spark, config, "vendor", "daily", root, f"{tmp}/raw", dt.date(2024, 1, 4), logger=log)
+    assert [r.step_name for r in spark.read.parquet(f"{tmp}/log").orderBy("step_id").collect()] == ["start", "end"]
 
 
 def test_parquet_missing_column_is_null_and_raw_reads_prune(spark, tmp):
