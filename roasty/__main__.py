@@ -47,6 +47,7 @@ def parse(argv: list[str]) -> argparse.Namespace:
     c.add_argument("--group")
     c.add_argument("--as-of", type=_date, default=now.date())
     c.add_argument("--as-of-ts", type=dt.datetime.fromisoformat, default=now)
+    c.add_argument("--log-path")
     g = sub.add_parser("logs")
     g.add_argument("--log-config", required=True)
     g.add_argument("--logs", required=True)
@@ -54,10 +55,12 @@ def parse(argv: list[str]) -> argparse.Namespace:
     g.add_argument("--out", required=True)
     g.add_argument("--missing", choices=["ignore", "flag"], default="ignore")
     g.add_argument("--as-of-ts", type=dt.datetime.fromisoformat, default=now)
+    g.add_argument("--log-path")
     pl = sub.add_parser("plan")
     pl.add_argument("--flags", required=True)
     pl.add_argument("--out", required=True)
     pl.add_argument("--as-of", type=_date, default=now.date())
+    pl.add_argument("--log-path")
     for name in ("daily", "backfill", "lookback", "jobs"):
         a = sub.add_parser(name)
         a.add_argument("--layout", required=True)
@@ -101,15 +104,35 @@ def _session(spark, action: str):
     return apply_defaults(SparkSession.builder.appName(f"roasty-{action}").getOrCreate())
 
 
-def monitor(args: argparse.Namespace, spark) -> int:
-    """The ``checks``, ``logs`` and ``plan`` actions."""
+def monitor(args: argparse.Namespace, spark, argv: list[str] | None = None) -> int:
+    """The ``checks``, ``logs`` and ``plan`` actions, logged to
+    ``--log-path`` when given."""
+    spark = _session(spark, args.action)
+    logger = (
+        JobLogger(spark, args.log_path, args.action, "daily", "roasty", message=_command(sys.argv[1:] if argv is None else argv))
+        if args.log_path
+        else None
+    )
+    if logger:
+        logger.log("start")
+    try:
+        _monitor(args, spark)
+    except Exception:
+        if logger:
+            logger.log("error")
+        raise
+    if logger:
+        logger.log("end")
+    return 0
+
+
+def _monitor(args: argparse.Namespace, spark) -> None:
     from pyspark.sql import functions as F
 
     from roasty.operators import joblog
     from roasty.plans import monitoring
     from roasty.schemas import JOB_LOG
 
-    spark = _session(spark, args.action)
     if args.action == "checks":
         with open(args.validation) as fh:
             config = json.load(fh)
@@ -132,13 +155,12 @@ def monitor(args: argparse.Namespace, spark) -> int:
         ).json(args.flags)
         plan = joblog.backfill_plan(flags.where(F.col("job_name").isNotNull()), args.as_of)
         plan.write.mode("overwrite").json(args.out)
-    return 0
 
 
 def main(argv: list[str] | None = None, spark=None) -> int:
     args = parse(sys.argv[1:] if argv is None else argv)
     if args.action in ("checks", "logs", "plan"):
-        return monitor(args, spark)
+        return monitor(args, spark, argv)
     with open(args.layout) as fh:
         conf = json.load(fh)
     log_path = conf.pop("log_path", None)

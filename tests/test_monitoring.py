@@ -118,7 +118,9 @@ def test_command_line_checks_logs_and_plan(spark, tmp):
                  "--as-of-ts", "2001-08-03T12:00:00"], spark=spark) == 0
     lf = spark.read.json(f"{tmp}/lflags").collect()
     assert len(lf) == 1 and "--days-back" not in lf[0].message
-    assert main(["plan", "--flags", f"{tmp}/lflags", "--out", f"{tmp}/plan", "--as-of", "2001-08-03"], spark=spark) == 0
+    assert main(["plan", "--flags", f"{tmp}/lflags", "--out", f"{tmp}/plan", "--as-of", "2001-08-03",
+                 "--log-path", f"{tmp}/runlog"], spark=spark) == 0
+    assert [r.step_name for r in spark.read.parquet(f"{tmp}/runlog").orderBy("step_id").collect()] == ["start", "end"]
     plan = sorted(r.command for r in spark.read.json(f"{tmp}/plan").collect())
     missed = (D(2001, 8, 3) - D.fromisoformat(lf[0].dt)).days  # from the last good day to yesterday
     assert len(plan) == missed and plan[0].endswith("--days-back 1")
