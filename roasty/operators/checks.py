@@ -304,6 +304,8 @@ def column_audit(
     """Failing-row counts of every not-null and not-blank test of a table,
     in one scan: all counts are conditional sums of one aggregation, then
     unpivoted to one row per (test, column)."""
+    if not not_null and not not_empty:
+        raise ValueError("column_audit needs at least one column to test")
     aggs, keys = [], []
     for c in not_null:
         aggs.append(F.count(F.when(F.col(c).isNull(), F.lit(1))).alias(f"nn_{c}"))
