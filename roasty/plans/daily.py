@@ -18,7 +18,7 @@ from roasty.functions.dates import as_date
 from roasty.operators import fact as fact_ops
 from roasty.operators import incremental as inc
 from roasty.operators import panel as panel_ops
-from roasty.schemas import FACT_TAGGED, FEEDS, PANEL_BY_INSTALL, PANEL_CAMPAIGN
+from roasty.schemas import FACT_TAGGED, FEEDS, PANEL_BY_INSTALL, PANEL_CAMPAIGN, conform
 from roasty.sources import landing
 
 
@@ -47,12 +47,14 @@ class Layout:
 def read_fact(spark: SparkSession, layout: Layout):
     """The fact table, with its declared schema (no inference over the
     partition folders; ``dt`` typed as a date)."""
-    return spark.read.schema(FACT_TAGGED).parquet(layout.fact_path)
+    return conform(spark.read.schema(FACT_TAGGED).parquet(layout.fact_path), FACT_TAGGED)
 
 
 def read_panel(spark: SparkSession, layout: Layout):
     """The panel table, with its declared schema."""
-    return spark.read.schema(PANEL_BY_INSTALL if layout.by_install else PANEL_CAMPAIGN).parquet(layout.panel_path)
+    schema = PANEL_BY_INSTALL if layout.by_install else PANEL_CAMPAIGN
+    # A partitioned read puts the partition column last: back to the declared order.
+    return conform(spark.read.schema(schema).parquet(layout.panel_path), schema)
 
 
 def _ymd(d: _dt.date) -> str:

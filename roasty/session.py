@@ -32,10 +32,11 @@ DEFAULT_CONF = {
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
-    """Set the runtime SQL settings of ``DEFAULT_CONF`` on an existing
-    session (a cluster's); static ones (the UI) are left to the launcher."""
+    """Set the runtime-modifiable settings of ``DEFAULT_CONF`` on an
+    existing session (a cluster's); static ones (UI and status retention)
+    are left to the launcher."""
     for k, v in DEFAULT_CONF.items():
-        if k.startswith("spark.sql."):
+        if spark.conf.isModifiable(k):
             spark.conf.set(k, v)
     return spark
 

@@ -69,3 +69,10 @@ def test_cluster_conf_sizes_from_slots():
     assert conf["spark.sql.adaptive.enabled"] == "true" and conf["spark.sql.session.timeZone"] == "UTC"
     small = cluster_conf(input_bytes=10**9, executors=2, cores_per_executor=4)
     assert small["spark.sql.shuffle.partitions"] == "16"
+
+
+def test_apply_defaults_on_a_running_session(spark):
+    from roasty.session import apply_defaults
+
+    apply_defaults(spark)  # static settings (UI, retention) are skipped, not an error
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").lower() == "dynamic"

@@ -112,6 +112,11 @@ def test_backfill_then_daily_reruns_are_stable(spark, landing_root, tmp):
     run_daily(spark, lay, dt.date(2024, 1, 31), days_back=1)
     assert _rows(spark.read.parquet(lay.panel_path)) == want
     assert spark.read.parquet(lay.fact_path).count() == A.read_table(spark, SF, "events").count()
+    from roasty.plans.daily import read_fact, read_panel
+    from roasty.schemas import FACT_TAGGED
+
+    assert read_panel(spark, lay).columns == PANEL_BY_INSTALL.fieldNames()  # dt in its declared place
+    assert read_fact(spark, lay).columns == FACT_TAGGED.fieldNames()
 
 
 def test_streaming_ingest_matches_batch_load(spark, landing_root, tmp):
