@@ -168,8 +168,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     spark = _session(spark, args.action)
     message = _command(sys.argv[1:] if argv is None else list(argv))
 
+    job_type = args.job_action if args.action == "jobs" else args.action
+
     def logger(job: str):
-        return JobLogger(spark, log_path, job, args.action, "roasty", message=message) if log_path else None
+        return JobLogger(spark, log_path, job, job_type, "roasty", message=message) if log_path else None
 
     if args.action == "daily":
         daily.run_daily(spark, layout, args.as_of, args.days_back, logger("chain"), args.late)
