@@ -217,6 +217,10 @@ def test_lookback_run_and_late_modes_on_disk(spark, landing_root, tmp):
     assert sorted(tuple(map(str, r)) for r in read_panel(spark, lay).collect()) == before
     steps = [r.step_name for r in spark.read.parquet(f"{tmp}/log").orderBy("step_id").collect()]
     assert steps == ["start", "success", "end"]
+    from roasty.plans.views import register_views
+
+    assert register_views(spark, lay, panel_view="af_daily_panel")[-2:] == ["fact", "af_daily_panel"]
+    assert spark.sql("SELECT SUM(t_events) AS n FROM af_daily_panel").first().n == spark.table("fact").count()
     n = read_fact(spark, lay).count()
     # drop: the late rows of the 29th that landed on the 30th are left out of
     # the refresh, but the 29th itself is outside the window and kept as is.
