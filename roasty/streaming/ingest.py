@@ -2,9 +2,11 @@
 
 The file source remembers which files it has read (in the checkpoint), so
 each run with ``availableNow`` loads exactly the files that landed since the
-last run, then stops. Every micro-batch is written like the batch load:
-dynamic overwrite of the ``ymd`` partitions it holds, so a file that lands
-again (a corrected day) replaces that day.
+last run, then stops. A micro-batch only tells which day folders received files: those days are
+then reloaded whole from the landing folder and written like the batch load
+(dynamic overwrite of their ``ymd`` partitions). A day whose files arrive
+over several runs, or a corrected file, so always gives the complete day,
+and a replayed batch writes the same partitions again.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from roasty.sources.landing import CSV_OPTIONS, DAY_IN_PATH, JSON_OPTIONS, infer_format, load_raw
+from roasty.sources.landing import CSV_OPTIONS, DAY_IN_PATH, JSON_OPTIONS, infer_format, load_raw, read_landing
 
 
 def landing_stream(spark: SparkSession, root: str, file_glob: str, schema: T.StructType,
@@ -29,7 +31,23 @@ def landing_stream(spark: SparkSession, root: str, file_glob: str, schema: T.Str
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = r.format(fmt).load(f"{root.rstrip('/')}/*/{file_glob}")
-    return df.withColumn("ymd", F.regexp_extract(F.col("_metadata.file_path"), DAY_IN_PATH, 1))
+    path = F.col("_metadata.file_path")
+    return df.withColumn("ymd", F.regexp_extract(path, DAY_IN_PATH, 1)).withColumn(
+        "_day_dir", F.regexp_extract(path, r"^(.*)/[^/]*$", 1)
+    )
+
+
+def reload_days(schema: T.StructType, file_glob: str, raw_path: str, fmt: str | None = None):
+    """``foreachBatch`` function: reload every day folder the batch touched
+    (one value per day, collected on the driver) and replace those days."""
+
+    def run(batch: DataFrame, _batch_id: int) -> None:
+        dirs = [r[0] for r in batch.select("_day_dir").distinct().collect()]
+        if dirs:
+            paths = [f"{d}/{file_glob}" for d in dirs]
+            load_raw(read_landing(batch.sparkSession, paths, fmt=fmt or infer_format(file_glob), schema=schema), raw_path)
+
+    return run
 
 
 def ingest_available(spark: SparkSession, root: str, file_glob: str, schema: T.StructType,
@@ -38,7 +56,7 @@ def ingest_available(spark: SparkSession, root: str, file_glob: str, schema: T.S
     (``trigger(availableNow=True)``). Returns the finished query."""
     stream = landing_stream(spark, root, file_glob, schema, fmt)
     q = (
-        stream.writeStream.foreachBatch(lambda batch, _id: load_raw(batch, raw_path))
+        stream.select("_day_dir").writeStream.foreachBatch(reload_days(schema, file_glob, raw_path, fmt))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -54,7 +72,7 @@ def start_ingest(spark: SparkSession, root: str, file_glob: str, schema: T.Struc
     ``every`` (the hourly ingest). Stop it with ``query.stop()``."""
     stream = landing_stream(spark, root, file_glob, schema, fmt, max_files_per_trigger)
     return (
-        stream.writeStream.foreachBatch(lambda batch, _id: load_raw(batch, raw_path))
+        stream.select("_day_dir").writeStream.foreachBatch(reload_days(schema, file_glob, raw_path, fmt))
         .option("checkpointLocation", checkpoint)
         .trigger(processingTime=every)
         .start()

@@ -340,3 +340,18 @@ def test_run_jobs_logs_like_the_runner(spark, landing_root, tmp):
     assert steps["noop"] == ["start", "end"]
     assert steps["daily_panel"] == ["start", "success", "end"]
     assert "skipped" in steps["fact"]
+
+
+def test_stream_ingest_keeps_whole_days_when_files_arrive_apart(spark, tmp):
+    from roasty.streaming.ingest import ingest_available
+
+    inst, _ = A.feeds(spark, SF)
+    day = inst.where(F.col("ymd") == "20240105").drop("ymd").toPandas()
+    half = len(day) // 2
+    os.makedirs(f"{tmp}/landing/20240105")
+    day.iloc[:half].to_csv(f"{tmp}/landing/20240105/part-1.csv", index=False)
+    ingest_available(spark, f"{tmp}/landing", "*.csv", INSTALLS, f"{tmp}/raw", f"{tmp}/ck")
+    assert L.read_raw(spark, f"{tmp}/raw", INSTALLS).count() == half
+    day.iloc[half:].to_csv(f"{tmp}/landing/20240105/part-2.csv", index=False)  # a later file of the same day
+    ingest_available(spark, f"{tmp}/landing", "*.csv", INSTALLS, f"{tmp}/raw", f"{tmp}/ck")
+    assert L.read_raw(spark, f"{tmp}/raw", INSTALLS).count() == len(day)
