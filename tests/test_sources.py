@@ -355,3 +355,17 @@ def test_stream_ingest_keeps_whole_days_when_files_arrive_apart(spark, tmp):
     day.iloc[half:].to_csv(f"{tmp}/landing/20240105/part-2.csv", index=False)  # a later file of the same day
     ingest_available(spark, f"{tmp}/landing", "*.csv", INSTALLS, f"{tmp}/raw", f"{tmp}/ck")
     assert L.read_raw(spark, f"{tmp}/raw", INSTALLS).count() == len(day)
+
+
+def test_stream_ingest_under_a_root_with_spaces(spark, tmp):
+    from roasty.streaming.ingest import ingest_available
+
+    inst, _ = A.feeds(spark, SF)
+    day = inst.where(F.col("ymd") == "20240106").drop("ymd").toPandas()
+    root = f"{tmp}/my landing"
+    os.makedirs(f"{root}/20240106")
+    day.iloc[:3].to_csv(f"{root}/20240106/a.csv", index=False)
+    ingest_available(spark, root, "*.csv", INSTALLS, f"{tmp}/raw", f"{tmp}/ck")
+    day.iloc[3:].to_csv(f"{root}/20240106/b.csv", index=False)
+    ingest_available(spark, root, "*.csv", INSTALLS, f"{tmp}/raw", f"{tmp}/ck")
+    assert L.read_raw(spark, f"{tmp}/raw", INSTALLS).count() == len(day)
