@@ -369,3 +369,11 @@ def test_stream_ingest_under_a_root_with_spaces(spark, tmp):
     day.iloc[3:].to_csv(f"{root}/20240106/b.csv", index=False)
     ingest_available(spark, root, "*.csv", INSTALLS, f"{tmp}/raw", f"{tmp}/ck")
     assert L.read_raw(spark, f"{tmp}/raw", INSTALLS).count() == len(day)
+
+
+def test_first_run_on_an_empty_day(spark, tmp):
+    from roasty.plans.daily import read_fact, read_panel
+
+    lay = Layout(f"{tmp}/landing", f"{tmp}/raw", f"{tmp}/fact", f"{tmp}/panel")
+    run_daily(spark, lay, dt.date(2024, 1, 10), days_back=1)  # no landing file, no table yet
+    assert read_fact(spark, lay).count() == 0 and read_panel(spark, lay).count() == 0
