@@ -156,3 +156,8 @@ job_log AS (
       || CAST(o_custkey % 3 AS VARCHAR) AS message
   FROM orders
 )"""
+
+
+def with_ctes(body: str, *ctes: str) -> str:
+    """``WITH cte, cte, ... body`` (no adapter)."""
+    return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + body
