@@ -13,10 +13,6 @@ from pyspark.sql import SparkSession
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Coalesce shuffle partitions to the advisory size, not to the default
-    # parallelism: pre-aggregated shuffles are small, and a task per core
-    # for a few kilobytes is pure overhead.
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
