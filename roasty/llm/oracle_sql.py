@@ -81,4 +81,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f LEFT JOIN odd USING (r)
 """
 
-ORACLE_SQL = {"op1_quality_rules": OP1, "op8_benchmark_decontamination": OP8}
+OP10 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+x AS (SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest FROM p),
+g AS (SELECT payload_digest, max(page_id) AS top FROM x WHERE payload_bytes >= 1000 GROUP BY 1 HAVING count(*) > 1)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN top IS NULL OR top IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN top IS NULL OR top IS NOT DISTINCT FROM page_id THEN NULL ELSE top END AS refers_to
+FROM x LEFT JOIN g USING (payload_digest)
+"""
+
+ORACLE_SQL = {"op10_warc": OP10, "op1_quality_rules": OP1, "op8_benchmark_decontamination": OP8}

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from roasty.llm import decontamination, quality
+from roasty.llm import decontamination, html_extraction, pieces, quality, warc
 from roasty.llm.common import table
 from roasty.llm.oracle_sql import ORACLE_SQL
 
@@ -15,12 +16,29 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("text_key")
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.encode(docs)
+    return coded.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "round_trip")
+
+
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url", "complete")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op5_html_extraction": op5_html_extraction,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op10_warc": op10_warc,
 }
 ORACLE: dict[str, str] = {k: v for k, v in ORACLE_SQL.items() if k in QUERIES}
