@@ -91,4 +91,16 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM x LEFT JOIN g USING (payload_digest)
 """
 
-ORACLE_SQL = {"op10_warc": OP10, "op1_quality_rules": OP1, "op8_benchmark_decontamination": OP8}
+OP4 = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(w[i : i + 4], ' ') AS g
+      FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+c AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+o AS (SELECT a.r AS a, b.r AS b, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN c x ON x.r = a JOIN c y ON y.r = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+reach AS (SELECT r, doc_id AS x FROM d UNION SELECT l.b, x FROM reach JOIN l ON l.a = reach.r)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM d LEFT JOIN c USING (r) JOIN (SELECT r, min(x) AS component_id FROM reach GROUP BY r) USING (r)
+"""
+
+ORACLE_SQL = {"op4_jaccard_join": OP4, "op10_warc": OP10, "op1_quality_rules": OP1, "op8_benchmark_decontamination": OP8}

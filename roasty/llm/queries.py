@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roasty.llm import decontamination, html_extraction, pieces, quality, warc
+from roasty.llm import decontamination, html_extraction, jaccard_join, pieces, quality, warc
 from roasty.llm.common import table
 from roasty.llm.oracle_sql import ORACLE_SQL
 
@@ -22,6 +22,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "round_trip")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+
+
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
 
@@ -37,6 +41,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_html_extraction": op5_html_extraction,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_warc": op10_warc,
