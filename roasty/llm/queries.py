@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roasty.llm import decontamination, html_extraction, jaccard_join, pieces, quality, warc
+from roasty.llm import decontamination, html_extraction, jaccard_join, pieces, quality, suffix_dedup, warc
 from roasty.llm.common import table
 from roasty.llm.oracle_sql import ORACLE_SQL
 
@@ -16,6 +16,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("text_key")
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = pieces.encode(docs)
@@ -40,6 +44,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_html_extraction": op5_html_extraction,
