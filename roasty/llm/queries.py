@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roasty.llm import decontamination, html_extraction, jaccard_join, pieces, quality, suffix_dedup, warc
+from roasty.llm import decontamination, html_extraction, jaccard_join, pieces, quality, suffix_dedup, toxicity, warc
 from roasty.llm.common import table
 from roasty.llm.oracle_sql import ORACLE_SQL
 
@@ -38,6 +38,10 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontamination.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url", "complete")
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_jaccard_join": op4_jaccard_join,
     "op5_html_extraction": op5_html_extraction,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
 }
 ORACLE: dict[str, str] = {k: v for k, v in ORACLE_SQL.items() if k in QUERIES}
