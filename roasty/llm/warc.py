@@ -32,8 +32,10 @@ CRLF = b"\r\n"
 HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-#: Between two records of a file: the end of one and the start of the next.
-BETWEEN = "\r\n\r\nWARC/1.1\r\n"
+#: Files are split where a record starts. A longer mark that begins with the
+#: line ends before it would overlap itself, and Hadoop's line reader misses
+#: such a mark where it straddles two of its buffers.
+BETWEEN = VERSION.decode()
 
 #: Payloads of at least so many bytes are stored once.
 REVISIT_BYTES = 1000
@@ -142,10 +144,24 @@ def page_records(
     return out
 
 
+def parse_records(raw: bytes) -> Iterator[dict]:
+    """The records in ``raw``: usually one; more if a record's end was not
+    seen, which its length tells."""
+    while raw:
+        r = parse_record(raw)
+        if r is None:
+            return
+        end = r.pop("end")
+        yield r
+        at = raw.find(VERSION, end)
+        raw = raw[at:] if at >= 0 else b""
+
+
 def parse_record(raw: bytes) -> dict | None:
-    """The fields of RECORD from the bytes between two record starts; None if
-    there is no record."""
-    raw = raw.removeprefix(VERSION)
+    """The fields of RECORD, and the place where its block ends, from the
+    bytes after a record's start; None if there is no record."""
+    skipped = len(VERSION) if raw.startswith(VERSION) else 0
+    raw = raw[skipped:]
     head, mark, rest = raw.partition(b"\r\n\r\n")
     if not mark:
         return None
@@ -170,7 +186,7 @@ def parse_record(raw: bytes) -> dict | None:
         "page_id": number("x-page-id"), "digest": digest or None, "refers_to_record": ident("warc-refers-to"),
         "origin": ident("warc-segment-origin-id"), "segment": number("warc-segment-number"),
         "total_length": number("warc-segment-total-length"), "length_ok": 0 <= size <= len(rest),
-        "block": rest[: max(size, 0)],
+        "block": rest[: max(size, 0)], "end": skipped + len(head) + len(mark) + max(size, 0),
     }
 
 
@@ -234,7 +250,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [r for r in map(parse_record, b.column(0).to_pylist()) if r]
+            rows = [r for raw in b.column(0).to_pylist() for r in parse_records(raw)]
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     return raw.mapInArrow(parse, RECORD)
