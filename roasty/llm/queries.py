@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roasty.llm import decontamination, html_extraction, jaccard_join, pieces, quality, suffix_dedup, toxicity, warc
+from roasty.llm import decontamination, html_extraction, jaccard_join, pieces, quality, suffix_dedup, token_counts, toxicity, warc
 from roasty.llm.common import table
 from roasty.llm.oracle_sql import ORACLE_SQL
 
@@ -34,6 +34,18 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts before and after edits derived from the documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    built = token_counts.build(token_counts.derived_edits(docs)).withColumn("n_edits", F.size("edits").cast("long"))
+    built = built.withColumn("n_tokens_before", F.col("n_tokens"))
+    done = token_counts.apply_edits(built)
+    return done.select(
+        "doc_id", "n_edits", "n_tokens_before", F.col("n_tokens").alias("n_tokens_after"),
+        F.char_length("text").cast("long").alias("n_chars_after"), "encoded_chars", F.size("tree").cast("long").alias("n_segments"),
+    )
+
+
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
@@ -52,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_html_extraction": op5_html_extraction,
+    "op7_token_counts": op7_token_counts,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
