@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from roasty.llm import decontamination, quality
+from roasty.llm import decontamination, jaccard_join, pieces, quality, suffix_dedup
 from roasty.llm.common import stored, table
 
 
@@ -14,17 +14,39 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.keep(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, the one with the
+    smallest id."""
+    return jaccard_join.keep_one(docs)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the bytes of 400-byte strings that occur elsewhere;
+    ``n_chars`` follows the text. Documents of which nothing is left go."""
+    return suffix_dedup.remove_duplicates(docs, length_col="n_chars")
+
+
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any ten-word window of a benchmark item."""
     return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with the piece ids of their text, and whether decoding
+    them gives the text back."""
+    return pieces.encode(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("repeated_strings", repeated_strings),
     ("benchmark_decontamination", benchmark_decontamination),
+    ("piece_encoding", piece_encoding),
 ]
 
-#: Piece encoding has no SQL form; the tests hold run() against brute force.
+#: Piece encoding and the removal of repeated bytes have no SQL form; the
+#: tests hold run() against brute force.
 ORACLE_SQL = None
 
 

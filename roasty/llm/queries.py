@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roasty.llm import decontamination, html_extraction, jaccard_join, pieces, quality, suffix_dedup, token_counts, toxicity, warc
+from roasty.llm import (
+    chat,
+    decontamination,
+    html_extraction,
+    jaccard_join,
+    pieces,
+    quality,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    warc,
+)
 from roasty.llm.common import table
 from roasty.llm.oracle_sql import ORACLE_SQL
 
@@ -34,6 +45,12 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations as flat transcripts, parsed back into turns."""
+    parts = chat.as_transcript(table(spark, sf_dir, "conversations"))
+    return chat.parse(parts, chat.fit(parts))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts before and after edits derived from the documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -64,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sentencepiece": op3_sentencepiece,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_html_extraction": op5_html_extraction,
+    "op6_chat_formatting": op6_chat_formatting,
     "op7_token_counts": op7_token_counts,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_toxicity": op9_toxicity,

@@ -396,10 +396,11 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_
     return named if with_text else named.drop("kept", "text_key")
 
 
-def remove_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
     """``docs`` with the repeated strings cut out of ``text_col``: a character
-    that loses some of its bytes goes whole. Documents of which nothing is
-    left go too; empty ones stay. Other columns stay as they are."""
+    that loses some of its bytes goes whole. ``length_col`` gets the new
+    number of characters of the texts that changed. Documents of which nothing
+    is left go; those that came empty stay, as do all other columns."""
     keyed = _keyed(docs, id_col, text_col)
     starts = (
         marks(keyed).distinct().groupBy("id", "key").agg(F.collect_list(F.struct("first", "last")).alias("_starts"))
@@ -422,4 +423,9 @@ def remove_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(keep, pa.bool_())], ["_row", "_cut", "_keep"])
 
     out = packed.mapInArrow(cut, f"_row {row_type}, _cut string, _keep boolean").filter("_keep")
-    return out.select(*[F.col("_cut").alias(c) if c == text_col else F.col("_row")[c].alias(c) for c in docs.columns])
+    new = {text_col: F.col("_cut")}
+    if length_col:
+        changed = ~F.col("_cut").eqNullSafe(F.col("_row")[text_col])
+        number = F.char_length("_cut").cast(docs.schema[length_col].dataType)
+        new[length_col] = F.when(changed, number).otherwise(F.col("_row")[length_col])
+    return out.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
