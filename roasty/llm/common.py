@@ -50,3 +50,14 @@ def bind(value: Column, body) -> Column:
     body uses it (the optimizer may otherwise copy the expression into every
     use, and into lambdas)."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def packed(docs: DataFrame, **keys: Column) -> DataFrame:
+    """``docs`` as one struct column ``row`` beside the ``keys``, so that no
+    name of a table can meet a name that an operator uses."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *[v.alias(k) for k, v in keys.items()])
+
+
+def unpacked(rows: DataFrame, columns: list[str], **replaced: Column) -> DataFrame:
+    """The columns that ``packed`` took in."""
+    return rows.select(*[replaced.get(c, F.col("row")[c]).alias(c) for c in columns])

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roasty.llm.common import ascii_lower, bind, text_key, words
+from roasty.llm.common import ascii_lower, packed, text_key, unpacked, words
 
 #: Everything but digits, letters and what lies beyond ASCII separates words.
 SEPARATORS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
@@ -177,22 +177,20 @@ def decontaminate(
     if mode not in ("documents", "spans"):
         raise ValueError(f"mode {mode!r}: 'documents' or 'spans'")
     grams = benchmark_windows(benchmark, size, item_id_col, item_text_col)
-    key = text_key(F.col(text_col))
-    keyed = docs.select(F.lit(0).alias("_id"), key.alias("_key"), F.col(text_col).alias("_text"))
-    found = _hits(keyed, grams, size, "_text").groupBy("_key").agg(
-        F.array_sort(F.collect_set(F.struct("start", "gram_len"))).alias("_spans")
-    ).withColumnRenamed("_key", "_hkey")
+    rows = packed(docs, key=text_key(F.col(text_col)), text=F.col(text_col))
+    keyed = rows.select(F.lit(0).alias("_id"), F.col("key").alias("_key"), F.col("text").alias("_text"))
+    found = (
+        _hits(keyed, grams, size, "_text")
+        .groupBy(F.col("_key").alias("hit_key"))
+        .agg(F.array_sort(F.collect_set(F.struct("start", "gram_len"))).alias("spans"))
+    )
     if mode == "documents":
-        return docs.join(found, key == F.col("_hkey"), "left_anti")
+        return unpacked(rows.join(found, F.col("key") == F.col("hit_key"), "left_anti"), docs.columns)
     # Text before the first word, then each word with what follows it.
-    parts = F.regexp_extract_all(F.col(text_col), F.lit(f"[^{RAW_SEPARATORS}]+[{RAW_SEPARATORS}]*"), F.lit(0))
-    head = F.regexp_extract(F.col(text_col), f"^[{RAW_SEPARATORS}]*", 0)
-    kept = bind(
-        parts,
-        lambda p: F.filter(
-            p, lambda _, i: ~F.exists(F.col("_spans"), lambda s: (s["start"] <= i) & (i < s["start"] + s["gram_len"]))
-        ),
+    parts = F.regexp_extract_all("text", F.lit(f"[^{RAW_SEPARATORS}]+[{RAW_SEPARATORS}]*"), F.lit(0))
+    head = F.regexp_extract("text", f"^[{RAW_SEPARATORS}]*", 0)
+    kept = F.filter(
+        parts, lambda _, i: ~F.exists(F.col("spans"), lambda s: (s["start"] <= i) & (i < s["start"] + s["gram_len"]))
     )
-    cut = F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(F.concat(head, F.array_join(kept, "")))
-    return docs.join(found, key == F.col("_hkey"), "left").withColumn(text_col, cut).select(*docs.columns)
-
+    cut = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.concat(head, F.array_join(kept, "")))
+    return unpacked(rows.join(found, F.col("key") == F.col("hit_key"), "left"), docs.columns, **{text_col: cut})

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roasty.llm.common import SPACE_CLASS, ascii_lower, bind, stored, text_key, words
+from roasty.llm.common import SPACE_CLASS, ascii_lower, bind, packed, stored, text_key, unpacked, words
 from roasty.llm.components import components
 
 SHINGLE = 5
@@ -236,7 +236,9 @@ def links(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Data
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row of ``docs``: ``id_col, n_shingles, component_id, text_key``.
+    """Per row of ``docs``: ``id_col, n_shingles, component_id``, and
+    ``text_key`` and ``node``, a hash of the text and the component's own
+    number (two components can have one smallest id if texts share ids).
 
     ``component_id`` is the smallest id among the documents reachable by links
     (a null id is passed over while there is another). Null and empty texts
@@ -251,7 +253,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = components(edges)
     named = _labelled(nodes.select("cid", "da", "db", "id", "n"), label, "cid", "comp")
     least = named.groupBy("comp").agg(F.min("id").alias("component_id")).withColumnRenamed("comp", "_comp")
-    of_class = named.join(least, F.col("comp") == F.col("_comp")).select("da", "db", "component_id")
+    of_class = named.join(least, F.col("comp") == F.col("_comp")).select("da", "db", "comp", "component_id")
     # Rows find their class by its set's digest, taken again from the text.
     rows = digests(own)
     found = rows.join(
@@ -260,7 +262,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return found.select(
         F.col("_id").alias(id_col), "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("_id")).alias("component_id"),
-        F.col("_key").alias("text_key"),
+        F.col("_key").alias("text_key"), F.col("comp").alias("node"),
     )
 
 
@@ -293,17 +295,18 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     judged = near_duplicates(docs, id_col, text_col)
     chosen = stored(
         judged.filter("n_shingles > 0")
-        .groupBy(F.col(id_col), "text_key", "component_id")
+        .groupBy(F.col(id_col), "text_key", "node")
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .groupBy("component_id")
+        .groupBy("node")
         .agg(F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "text_key", "_rows")).alias("best"))
         .select(F.col("best.id").alias("_best"), F.col("best.text_key").alias("_best_key"), F.col("best._rows").alias("_rows")),
         "jaccard-chosen",
     )
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_best")) & (text_key(F.col(text_col)) == F.col("_best_key"))
     bare = ~F.coalesce(F.col(text_col), F.lit("")).rlike(f"[^{SPACE_CLASS}]")
-    kept = docs.join(chosen, same, "left").filter((F.col("_rows") == 1) | bare)
+    rows = packed(docs, id=F.col(id_col).cast("long"), key=text_key(F.col(text_col)), bare=bare)
+    same = F.col("id").eqNullSafe(F.col("_best")) & (F.col("key") == F.col("_best_key"))
+    kept = rows.join(chosen, same, "left").filter((F.col("_rows") == 1) | F.col("bare"))
     # Rows that repeat id and text: few tables have any, and then not many.
     again = stored(chosen.filter("_rows > 1"), "jaccard-repeated")
-    one = docs.join(again, same).dropDuplicates(["_best", "_best_key"])
-    return kept.select(*docs.columns).unionByName(one.select(*docs.columns))
+    one = rows.join(again, same).dropDuplicates(["_best", "_best_key"])
+    return unpacked(kept.select("row").unionByName(one.select("row")), docs.columns)

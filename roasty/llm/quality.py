@@ -16,7 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roasty.llm.common import SPACE_CLASS, bind, stored, words
+from roasty.llm.common import SPACE_CLASS, bind, packed, stored, text_key, unpacked, words
 
 #: Base rules.
 MIN_WORDS = 20
@@ -234,7 +234,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     scratch folder, and sketches and limits work on those."""
     own = docs.select(
         F.col(id_col).alias("_id"), F.col(lang_col).alias("_lang"), F.col(source_col).alias("_source"),
-        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"), F.col(text_col).alias("_text"),
+        text_key(F.col(text_col)).alias("text_key"), F.col(text_col).alias("_text"),
     )
     counted = stored(measure(own, "_text"), "quality")
     measured = ratios(counted.select("*", "of_words.*", "of_lines.*").drop("of_words", "of_lines"))
@@ -257,5 +257,5 @@ def keep(docs: DataFrame, **columns: str) -> DataFrame:
     """The rows of ``docs`` that ``judge`` keeps, with their columns."""
     id_col, text_col = columns.get("id_col", "doc_id"), columns.get("text_col", "text")
     bad = judge(docs, **columns).filter(~F.col("kept")).select(F.col(id_col).alias("_bad"), F.col("text_key").alias("_bad_key"))
-    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")) & (key == F.col("_bad_key")), "left_anti")
+    rows = packed(docs, id=F.col(id_col), key=text_key(F.col(text_col)))
+    return unpacked(rows.join(bad, F.col("id").eqNullSafe(F.col("_bad")) & (F.col("key") == F.col("_bad_key")), "left_anti"), docs.columns)

@@ -38,7 +38,7 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "node")
 
 
 def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roasty.llm.common import stored, text_key
+from roasty.llm.common import packed, stored, text_key, unpacked
 
 LENGTH = 400
 GRAM = 128
@@ -406,9 +406,10 @@ def remove_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         marks(keyed).distinct().groupBy("id", "key").agg(F.collect_list(F.struct("first", "last")).alias("_starts"))
         .withColumnsRenamed({"id": "_id", "key": "_key"})
     )
-    same = F.col(id_col).cast("long").eqNullSafe(F.col("_id")) & (text_key(F.col(text_col)) == F.col("_key"))
-    packed = docs.join(starts, same, "left").select(F.struct(*docs.columns).alias("_row"), F.col(text_col).alias("_text"), "_starts")
-    row_type = packed.schema["_row"].dataType.simpleString()
+    rows = packed(docs, id=F.col(id_col).cast("long"), key=text_key(F.col(text_col)), text=F.col(text_col))
+    same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key"))
+    met = rows.join(starts, same, "left").select("row", "text", "_starts")
+    row_type = met.schema["row"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -420,12 +421,12 @@ def remove_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     text = "".join(p.decode("utf-8", "ignore") for p in left)
                 texts.append(text)
                 keep.append(bool(text) or not found)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(keep, pa.bool_())], ["_row", "_cut", "_keep"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string()), pa.array(keep, pa.bool_())], ["row", "_cut", "_keep"])
 
-    out = packed.mapInArrow(cut, f"_row {row_type}, _cut string, _keep boolean").filter("_keep")
+    out = met.mapInArrow(cut, f"row {row_type}, _cut string, _keep boolean").filter("_keep")
     new = {text_col: F.col("_cut")}
     if length_col:
-        changed = ~F.col("_cut").eqNullSafe(F.col("_row")[text_col])
+        changed = ~F.col("_cut").eqNullSafe(F.col("row")[text_col])
         number = F.char_length("_cut").cast(docs.schema[length_col].dataType)
-        new[length_col] = F.when(changed, number).otherwise(F.col("_row")[length_col])
-    return out.select(*[new.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
+        new[length_col] = F.when(changed, number).otherwise(F.col("row")[length_col])
+    return unpacked(out, docs.columns, **new)
