@@ -178,6 +178,27 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.filter(F.col("o") * 100 >= (F.col("s") - F.col("o")) * PERCENT).select(F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _whole_sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``cid, sh`` of the classes in ``pairs``, from one document each.
+
+    Only these classes' texts are hashed again. Of rows that repeat id and
+    text one is taken, map-side first; the key of that step is also the
+    join's, so texts are shuffled once, or not at all for a few classes."""
+    need = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
+    who = nodes.select("cid", "id", "tk").join(need, F.col("cid") == F.col("c"))
+    # Null ids get a key of their own, so that the join is on plain columns.
+    number = lambda c: F.coalesce(c, F.lit(0))
+    hashed = lambda c, k: F.xxhash64(c.isNull(), k)
+    who = stored(who.select("cid", number(F.col("id")).alias("w1"), hashed(F.col("id"), F.col("tk")).alias("w2")), "jaccard-need")
+    doc = F.col(id_col).cast("long")
+    text = docs.select(
+        number(doc).alias("t1"), hashed(doc, text_key(F.col(text_col))).alias("t2"), F.col(text_col).alias("text")
+    )
+    one = text.groupBy("t1", "t2").agg(F.first("text").alias("text"))
+    met = one.join(who, (F.col("t1") == F.col("w1")) & (F.col("t2") == F.col("w2")))
+    return stored(met.select("cid", shingles(F.col("text")).alias("sh")), "jaccard-sets")
+
+
 def _labelled(rows: DataFrame, label: DataFrame, cid: str, name: str) -> DataFrame:
     """``rows`` with the component of ``cid`` as ``name``."""
     of = label.select(F.col("u").alias("_u"), F.col("v").alias("_v"))
@@ -187,16 +208,6 @@ def _labelled(rows: DataFrame, label: DataFrame, cid: str, name: str) -> DataFra
 def links(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Edges (u, v) between classes that connect all that are similar."""
     met = stored(lists(nodes), "jaccard-lists")
-    # Whole sets of the classes that met another one, from the class's document.
-    need = met.select("cid").distinct()
-    who = nodes.select("cid", "id", "tk").join(need, "cid", "left_semi")
-    text = docs.select(F.col(id_col).cast("long").alias("_id"), text_key(F.col(text_col)).alias("_key"), F.col(text_col).alias("_text"))
-    sets = stored(
-        who.join(text, F.col("id").eqNullSafe(F.col("_id")) & (F.col("tk") == F.col("_key")))
-        .dropDuplicates(["cid"])
-        .select("cid", shingles(F.col("_text")).alias("sh")),
-        "jaccard-sets",
-    )
     stars = (
         met.filter(F.col("cid") != F.col("c_cid"))
         .filter(_may_link("n", "pos", "c_n", "c_pos"))
@@ -204,6 +215,7 @@ def links(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Data
         .agg(F.count(F.lit(1)).alias("shared"))
     )
     stars = stored(_suffix_filter(stars, nodes), "jaccard-stars")
+    sets = _whole_sets(stars, nodes, docs, id_col, text_col)
     best = stars.groupBy("a").agg(F.max(F.struct("shared", "b"))["b"].alias("b"))
     edges = stored(_verified(best, sets), "jaccard-edges")
     label = components(edges)
@@ -231,8 +243,11 @@ def links(nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> Data
     )
     done = stars.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
     rest = rest.join(done, (F.least("a", "b") == F.col("lo")) & (F.greatest("a", "b") == F.col("hi")), "left_anti")
-    last = stored(_verified(_suffix_filter(rest, nodes), sets), "jaccard-edges")
-    return edges.unionByName(last)
+    rest = stored(_suffix_filter(rest, nodes), "jaccard-rest")
+    if rest.isEmpty():
+        return edges
+    sets = _whole_sets(rest, nodes, docs, id_col, text_col)
+    return edges.unionByName(stored(_verified(rest, sets), "jaccard-edges"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
