@@ -182,8 +182,8 @@ def _whole_sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str
     """``cid, sh`` of the classes in ``pairs``, from one document each.
 
     Only these classes' texts are hashed again. Of rows that repeat id and
-    text one is taken, map-side first; the key of that step is also the
-    join's, so texts are shuffled once, or not at all for a few classes."""
+    text one is taken; that step groups by the join's key, so texts are
+    shuffled once, and only those that are needed if the classes are few."""
     need = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
     who = nodes.select("cid", "id", "tk").join(need, F.col("cid") == F.col("c"))
     # Null ids get a key of their own, so that the join is on plain columns.
@@ -194,9 +194,9 @@ def _whole_sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str
     text = docs.select(
         number(doc).alias("t1"), hashed(doc, text_key(F.col(text_col))).alias("t2"), F.col(text_col).alias("text")
     )
-    one = text.groupBy("t1", "t2").agg(F.first("text").alias("text"))
-    met = one.join(who, (F.col("t1") == F.col("w1")) & (F.col("t2") == F.col("w2")))
-    return stored(met.select("cid", shingles(F.col("text")).alias("sh")), "jaccard-sets")
+    met = text.join(who, (F.col("t1") == F.col("w1")) & (F.col("t2") == F.col("w2")))
+    one = met.groupBy("t1", "t2", "cid").agg(F.first("text").alias("text"))
+    return stored(one.select("cid", shingles(F.col("text")).alias("sh")), "jaccard-sets")
 
 
 def _labelled(rows: DataFrame, label: DataFrame, cid: str, name: str) -> DataFrame:
