@@ -316,6 +316,9 @@ def marks(keyed: DataFrame) -> DataFrame:
     runs = found.groupBy("run").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("da", "db")).alias("lo"), F.max(F.struct("da", "db")).alias("hi")
     ).filter("n > 1").select(F.col("run").alias("_run"), (F.col("lo") != F.col("hi")).alias("mixed"))
+    # Written first: the join below is then one of two plain tables, whose
+    # hot runs Spark can split over tasks.
+    runs = stored(runs, "suffix-runs")
     twice = stored(found.join(runs, F.col("run") == F.col("_run")).drop("_run"), "suffix-anchors")
     whole = twice.filter("NOT mixed").select("id", "key", "first", "last")
     mixed = twice.filter("mixed")
@@ -329,9 +332,11 @@ def marks(keyed: DataFrame) -> DataFrame:
     equal = equal.select("id", "key", "first", "last")
 
     # One stretch of each kind meets the others of its run.
-    sizes = kinds.groupBy(F.col("run").alias("_run")).agg(F.count(F.lit(1)).alias("k"))
-    dealt = kinds.join(sizes, F.col("run") == F.col("_run")).select(
-        "run", F.when(F.col("k") > GROUP, F.pmod("da", F.ceil(F.col("k") / GROUP)) + 1).otherwise(0).cast("int").alias("part"), "s.*"
+    large = stored(
+        kinds.groupBy(F.col("run").alias("_run")).agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > GROUP), "suffix-large"
+    )
+    dealt = kinds.join(large, F.col("run") == F.col("_run"), "left").select(
+        "run", F.when(F.col("k").isNotNull(), F.pmod("da", F.ceil(F.col("k") / GROUP)) + 1).otherwise(0).cast("int").alias("part"), "s.*"
     )
     totals = kinds.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
     buckets = max(1, -(-totals * 2 * LENGTH // BUCKET_BYTES))
@@ -339,9 +344,8 @@ def marks(keyed: DataFrame) -> DataFrame:
     small = cut.repartition(buckets, "run", "part").sortWithinPartitions("run", "part")
     out = whole.unionByName(equal).unionByName(_sort_stretches(small))
     # Only groups beyond GROUP were dealt out.
-    huge = dealt.filter("part > 0")
-    if huge.limit(1).count():
-        out = out.unionByName(_across_parts(_cut_stretches(keyed, huge)))
+    if not large.isEmpty():
+        out = out.unionByName(_across_parts(_cut_stretches(keyed, dealt.filter("part > 0"))))
     return out
 
 
