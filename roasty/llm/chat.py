@@ -259,9 +259,10 @@ def parse(parts: DataFrame, model: Model, conv_col: str = "conv_id", order_col:
             opens = states[0] % 2 == 0
             starts = len(turns) - (not opens)
             for k, (s, text) in enumerate(turns):
-                if s % 2 == 0 and len(text) > 1 and not text[0].strip():
+                # Without any text left a fragment is null: it adds no line.
+                if s % 2 == 0 and (opens or k) and not text[0].strip():
                     text = text[1:]  # the marker had a line of its own
-                out.append({"conv": conv, "block": block, "local": k + opens, "role": ROLES[s // 2], "text": "\n".join(text), "starts": starts})
+                out.append({"conv": conv, "block": block, "local": k + opens, "role": ROLES[s // 2], "text": "\n".join(text) if text else None, "starts": starts})
             if len(out) > 5000:
                 yield pa.RecordBatch.from_pylist(out, TURN)
                 out = []
