@@ -4,11 +4,11 @@ they stay inside whole-stage codegen; none is a Python UDF."""
 from roasty.functions.aggregates import (
     conditional_counts,
     count_rows,
+    money_round,
     money_sum,
-    money_units,
+    money_total,
     ratio,
     roas,
-    units_to_money,
 )
 from roasty.functions.dates import (
     as_date,
@@ -26,10 +26,10 @@ __all__ = [
     "conditional_counts",
     "count_rows",
     "money_sum",
-    "money_units",
+    "money_round",
+    "money_total",
     "ratio",
     "roas",
-    "units_to_money",
     "as_date",
     "as_ts",
     "event_date",

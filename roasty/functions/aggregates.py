@@ -7,10 +7,11 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Money is accumulated as a whole number of 1/10,000 units. A LongType sum
-# is associative, so a panel comes out bit-identical however the rows are
-# partitioned, and a half-unit total rounds the same way on every run.
-MONEY_SCALE = 10_000
+# Money is summed as a decimal with 18 places: exact for every amount a feed
+# writes (a double goes in by its shortest decimal form), associative, so a
+# panel comes out bit-identical however the rows are partitioned. The integer
+# part of a sum has room for 20 digits; beyond it the sum fails.
+MONEY_TYPE = "decimal(38,18)"
 
 
 def _col(c: str | Column) -> Column:
@@ -40,23 +41,20 @@ def conditional_counts(
     return out
 
 
-def money_units(c: str | Column) -> Column:
-    """A money value as a whole number of 1/10,000 units, rounded half away
-    from zero. Written as ``sign * floor(|x| * scale + 0.5)``: plain double
-    arithmetic, where ``round`` on a double goes through a decimal per row
-    (several times slower in the hot loop of every panel)."""
-    x = _col(c)
-    return (F.signum(x) * F.floor(F.abs(x) * F.lit(float(MONEY_SCALE)) + F.lit(0.5))).cast("long")
+def money_total(c: str | Column) -> Column:
+    """Exact sum of a money column as a decimal; NULL if every input is NULL.
+    Round this, not its double, where a result is rounded."""
+    return F.sum(_col(c).cast(MONEY_TYPE)).cast(MONEY_TYPE)
 
 
-def units_to_money(c: str | Column) -> Column:
-    """A sum of money units back to a double amount."""
-    return _col(c) / F.lit(float(MONEY_SCALE))
+def money_round(total: str | Column, scale: int = 0) -> Column:
+    """A decimal total rounded half away from zero, as a double."""
+    return F.round(_col(total), scale).cast("double")
 
 
 def money_sum(c: str | Column) -> Column:
-    """Exact sum of a money column as a double; NULL if every input is NULL."""
-    return units_to_money(F.sum(money_units(c)))
+    """``money_total`` as the nearest double."""
+    return money_total(c).cast("double")
 
 
 def ratio(num: Column, den: Column, scale: int = 2) -> Column:

@@ -10,10 +10,11 @@ flag collects the flagged rows only, which are few by construction.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from roasty.functions.dates import as_date, days_back, whole_hours_between
@@ -235,7 +236,8 @@ def freshness(df: DataFrame, ts_col: str, as_of_ts, hours: int, kpi: str, table_
     age = whole_hours_between("_last", as_of_ts)
     return last.select(
         *check_result(
-            age > hours,
+            # No newest row means an empty table, which is not fresh.
+            F.coalesce(age > hours, F.lit(True)),
             f"{kpi} (hours)",
             F.to_date("_last"),
             age,
@@ -262,22 +264,49 @@ def newest_by_landing(df: DataFrame, ts_col: str, newest_landing: str, landing_k
     return df.where(F.col(landing_key) >= bound)
 
 
+def modified_at(spark: SparkSession, path: str) -> _dt.datetime | None:
+    """Newest modification time (UTC) of the files under ``path``, from a
+    recursive listing; None without files. No data is read."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    newest = 0
+    if fs.exists(p):
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            f = files.next()
+            if not f.getPath().getName().startswith(("_", ".")):
+                newest = max(newest, f.getModificationTime())
+    return _dt.datetime(1970, 1, 1) + _dt.timedelta(milliseconds=newest) if newest else None
+
+
+def freshness_modified(spark: SparkSession, path: str, as_of_ts, hours: int, kpi: str, table_name: str) -> DataFrame:
+    """``freshness`` by the newest modification time of a table's files."""
+    one = spark.createDataFrame([(modified_at(spark, path),)], "ts timestamp_ntz")
+    return freshness(one, "ts", as_of_ts, hours, kpi, table_name)
+
+
 def last_modified(df: DataFrame) -> DataFrame:
-    """Newest file modification time of a file-based table, as ``ts``
-    (a ``timestamp_ntz`` in UTC), read from the hidden ``_metadata`` column."""
-    m = F.max(F.col("_metadata.file_modification_time"))
-    return df.select("_metadata").agg(
-        F.to_utc_timestamp(m, F.current_timezone()).cast("timestamp_ntz").alias("ts")
-    )
+    """Newest modification time of the files a DataFrame reads, as ``ts`` (a
+    ``timestamp_ntz`` in UTC). The files are those of its plan; their times
+    come from a listing of each, not from a scan."""
+    spark = df.sparkSession
+    conf, jvm, newest = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm, 0
+    for f in df.inputFiles():
+        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
+        newest = max(newest, p.getFileSystem(conf).getFileStatus(p).getModificationTime())
+    ts = _dt.datetime(1970, 1, 1) + _dt.timedelta(milliseconds=newest) if newest else None
+    return spark.createDataFrame([(ts,)], "ts timestamp_ntz")
 
 
 def severity(df: DataFrame, n_col: str, warn_above: int = 0, error_above: int = 0, out: str = "severity") -> DataFrame:
     """``error`` when ``n_col > error_above``, else ``warn`` when
-    ``> warn_above``, else ``pass`` (a test's warn_if / error_if)."""
+    ``> warn_above``, else ``pass`` (a test's warn_if / error_if). Without a
+    number there is nothing that passed: ``error``."""
     n = F.col(n_col)
     return df.withColumn(
         out,
-        F.when(n > error_above, F.lit("error")).when(n > warn_above, F.lit("warn")).otherwise(F.lit("pass")),
+        F.when(n.isNull() | (n > error_above), F.lit("error")).when(n > warn_above, F.lit("warn")).otherwise(F.lit("pass")),
     )
 
 

@@ -9,16 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roasty.functions.dates import as_date, days_back
-from roasty.operators.incremental import lookback, overwrite_partitions, replace_window, window_start
+from roasty.operators.incremental import lookback, overwrite_partitions, replace_window
 from roasty.schemas import FACT, FACT_TAGGED, conform
 
 
 def align_to_fact(feed: DataFrame) -> DataFrame:
     """Project a feed onto the fact columns (``DATE(event_time) AS dt``
-    first). Columns the feed lacks become typed NULLs; a column whose type
-    differs from the fact's is replaced by a NULL of the fact type when it
-    cannot hold data (the in-app cost, empty text in every row) and cast
-    otherwise. Extra feed columns (such as the landing day) are dropped."""
+    first). Columns the feed lacks become typed NULLs. Text where the fact
+    has another type (the in-app cost) is parsed: blank is NULL, a value that
+    does not parse fails the job, naming column and value. Other types are
+    cast. Extra feed columns (such as the landing day) are dropped."""
     have = dict((f.name, f.dataType) for f in feed.schema.fields)
     cols = []
     for f in FACT.fields:
@@ -29,12 +29,20 @@ def align_to_fact(feed: DataFrame) -> DataFrame:
         elif have[f.name] == f.dataType:
             cols.append(F.col(f.name))
         elif have[f.name].typeName() == "string" and f.dataType.typeName() != "string":
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
+            cols.append(_parsed(f.name, f.dataType).alias(f.name))
         else:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
     return feed.select(*cols)
 
 
+def _parsed(name: str, to):
+    """A text column as another type; blank is NULL."""
+    text = F.trim(F.col(name))
+    value = text.try_cast(to)
+    bad = F.raise_error(F.concat(F.lit(f"{name} does not hold a {to.simpleString()}: "), text)).cast(to)
+    return F.when(value.isNotNull(), value).when(F.coalesce(text, F.lit("")) != "", bad)
+
+
 def union_tagged(relations: Mapping[str, DataFrame], source_col: str | None = "data_source") -> DataFrame:
     """Union by name over the superset of columns, each row tagged with the
     name of its relation (``None`` for no tag). Missing columns are NULL."""
@@ -75,29 +83,53 @@ def refresh_fact(
     tag: bool = True,
     landing_key: str = "ymd",
 ) -> DataFrame:
-    """Window replace of the fact from the landing days ``>= from_date``.
-
-    The feeds are selected by landing day (partition pruning on ``ymd``) and
-    the fact rows replaced by event day. An event can land after its day;
-    with ``late="widen"`` (default) the window then starts at the oldest
-    event day found in the new files and every row of those days is reloaded,
-    so a rerun never duplicates a late row and never loses one. ``"drop"``
-    and ``"reject"`` are as in ``replace_window``.
+    """Refresh of the fact from the landing days ``>= from_date``.
+
+    Days ``>= from_date`` are replaced. So is, with ``late="widen"`` (default),
+    each earlier day that the new files hold events of, as long as the raw
+    tables reach back to it; no day in between is touched. Rows of days that
+    raw no longer holds, and rows without an event time, are added as far as
+    the fact lacks them. So a rerun never doubles a row and never loses one.
+    ``"drop"`` and ``"reject"`` are as in ``replace_window``.
     """
     from_ymd = F.date_format(as_date(from_date), "yyyyMMdd")
-    window_new = build_fact(
+    window = build_fact(
         installs.where(F.col(landing_key) >= from_ymd), inapp.where(F.col(landing_key) >= from_ymd), tag
     )
+    frm, dt = as_date(from_date), F.col("dt")
+    early = first_landing(from_date)
     if late != "widen":
-        return replace_window(target, window_new, "dt", from_date, late)
-    start = window_start(window_new, "dt", from_date, "widen")
-    start_ymd = F.date_format(start, "yyyyMMdd")
-    # dt <= landing day for every row, so the widened window is fully
-    # contained in the landing days >= start.
-    new = build_fact(
-        installs.where(F.col(landing_key) >= start_ymd), inapp.where(F.col(landing_key) >= start_ymd), tag
-    ).where(F.col("dt") >= start)
-    return target.where(F.col("dt") < start).unionByName(new.select(*target.columns))
+        rows = build_fact(installs.where(F.col(landing_key) >= early), inapp.where(F.col(landing_key) >= early), tag)
+        late_rows = window.where((dt < frm) | dt.isNull())
+        return replace_window(target, rows.where(dt >= frm).unionByName(late_rows), "dt", from_date, late)
+    # One value per late day, and the oldest landing day: scalar subqueries.
+    late_days = window.where(dt < frm).agg(F.collect_set("dt")).scalar()
+    oldest = installs.select(landing_key).unionByName(inapp.select(landing_key)).agg(F.min(landing_key)).scalar()
+    whole = (dt >= frm) | (F.array_contains(late_days, dt) & (F.date_format(dt, "yyyyMMdd") >= oldest))
+    start = F.date_format(F.date_sub(F.least(frm, F.coalesce(F.array_min(late_days), frm)), LEAD_DAYS), "yyyyMMdd")
+    new = build_fact(installs.where(F.col(landing_key) >= start), inapp.where(F.col(landing_key) >= start), tag)
+    kept = target.where(F.coalesce(~whole, F.lit(True)))
+    rest = window.where(dt.isNull() | ((dt < frm) & (F.date_format(dt, "yyyyMMdd") < oldest))).select(*target.columns)
+    return kept.unionByName(new.where(whole).select(*target.columns)).unionByName(rest.exceptAll(kept))
+
+
+#: An event may be dated so many days after the day it landed (clocks that are
+#: ahead, other time zones).
+LEAD_DAYS = 1
+
+
+def first_landing(day):
+    """The first landing day (``yyyyMMdd``) that can hold events of ``day``."""
+    return F.date_format(F.date_sub(as_date(day), LEAD_DAYS), "yyyyMMdd")
+
+
+def check_lead(feed: DataFrame, landing_key: str = "ymd") -> DataFrame:
+    """Fails the job, in the task that meets it, on an event dated more than
+    LEAD_DAYS after its landing day: a later refresh would not find it."""
+    day = F.to_date("event_time")
+    last = F.date_add(F.to_date(F.try_to_timestamp(landing_key, F.lit("yyyyMMdd"))), LEAD_DAYS)
+    bad = F.raise_error(F.concat(F.lit("event dated after its landing day "), F.col(landing_key), F.lit(": "), F.col("event_time").cast("string")))
+    return feed.withColumn(landing_key, F.when(day > last, bad.cast("string")).otherwise(F.col(landing_key)))
 
 
 def refresh_fact_lookback(
@@ -111,10 +143,11 @@ def refresh_fact_lookback(
 ) -> DataFrame:
     """Partition overwrite of the last ``lookback_days`` event days.
 
-    Event day <= landing day, so the feeds are also cut to landing days in
-    the window (pruning the raw tables) without changing the result."""
+    An event lands LEAD_DAYS before its day at the earliest, so the feeds are
+    also cut to the landing days that can hold the window (pruning the raw
+    tables) without changing the result."""
     if landing_key:
-        first = F.date_format(days_back(as_of, lookback_days), "yyyyMMdd")
+        first = first_landing(days_back(as_of, lookback_days))
         installs = installs.where(F.col(landing_key) >= first)
         inapp = inapp.where(F.col(landing_key) >= first)
     new = lookback(build_fact(installs, inapp, tag), "dt", as_of, lookback_days)

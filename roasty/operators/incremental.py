@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 
 from roasty.functions.dates import as_date, date_in_name, days_back
 
+#: The folder that holds the rows without a key; a fixed value of the format.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 LATE_MODES = ("reject", "drop", "widen")
 
 
@@ -67,8 +70,9 @@ def replace_window(target: DataFrame, new: DataFrame, key: str, from_date, late:
     if late == "reject":
         new = reject_late(new, key, start)
     elif late == "drop":
-        new = new.where(F.col(key) >= start)
-    kept = target.where(F.col(key) < start)
+        new = new.where((F.col(key) >= start) | F.col(key).isNull())
+    # Rows without a key are in no window: the old ones stay, new ones come.
+    kept = target.where((F.col(key) < start) | F.col(key).isNull())
     return kept.unionByName(new.select(*target.columns))
 
 
@@ -182,7 +186,8 @@ def commit_partitions(new: DataFrame, path: str, key: str, fmt: str = "parquet")
     overwrite). Reading and rewriting the same table in one job is safe in
     this mode: untouched partitions are never deleted."""
     (
-        new.write.mode("overwrite")
+        new.hint("rebalance", F.col(key))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(key)
         .format(fmt)
@@ -190,6 +195,17 @@ def commit_partitions(new: DataFrame, path: str, key: str, fmt: str = "parquet")
     )
 
 
+def write_observed(df: DataFrame, key: str, write) -> set[str]:
+    """Run ``write(df)`` and return the ``key`` values written (as text, null
+    left out), observed while the rows go by. Nothing is written of an empty
+    frame."""
+    if df.isEmpty():
+        return set()
+    seen = Observation(f"written_{uuid.uuid4().hex}")
+    write(df.observe(seen, F.collect_set(F.col(key).cast("string")).alias("keys")))
+    return set(seen.get["keys"])
+
+
 def commit_window(new: DataFrame, path: str, key: str, from_date, fmt: str = "parquet") -> list[str]:
     """Make the table at ``path`` hold ``new`` for every ``key >= from_date``:
     the partitions in ``new`` are overwritten, then window partitions that
@@ -200,19 +216,25 @@ def commit_window(new: DataFrame, path: str, key: str, from_date, fmt: str = "pa
     per task, merged on the driver: one value per partition written), so the
     new rows are computed once."""
     spark = new.sparkSession
-    seen = Observation(f"written_{uuid.uuid4().hex}")
-    commit_partitions(new.observe(seen, F.collect_set(F.col(key).cast("string")).alias("keys")), path, key, fmt)
+    written = write_observed(new, key, lambda df: commit_partitions(df, path, key, fmt))
     frm = _as_iso(from_date)
-    written = set(seen.get["keys"])
-    stale = [v for v in partition_values(spark, path, key) if v >= frm and v not in written]
+    stale = [v for v in partition_values(spark, path, key) if v != NULL_PARTITION and v >= frm and v not in written]
     drop_partitions(spark, path, key, stale)
     return stale
 
 
+def append_missing(new: DataFrame, table: DataFrame, path: str, key: str, fmt: str = "parquet") -> None:
+    """Append the rows of ``new`` that ``table`` (rows now at ``path``) does
+    not hold: as many copies of a row as are missing, so a rerun adds nothing.
+    For partitions that cannot be rebuilt as a whole."""
+    missing = new.select(*table.columns).exceptAll(table)
+    missing.hint("rebalance", F.col(key)).write.mode("append").partitionBy(key).format(fmt).save(path)
+
+
 def commit_full(new: DataFrame, path: str, key: str, fmt: str = "parquet") -> None:
     """Full refresh: the table is rebuilt from ``new`` alone (static
     overwrite). ``new`` must not read ``path`` itself."""
-    new.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(key).format(fmt).save(path)
+    new.hint("rebalance", F.col(key)).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(key).format(fmt).save(path)
 
 
 def _as_iso(d) -> str:

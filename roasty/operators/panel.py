@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roasty.functions.aggregates import count_rows, money_sum, money_units, ratio, units_to_money
+from roasty.functions.aggregates import count_rows, money_round, money_total, ratio
 from roasty.functions.dates import as_date, days_back
 from roasty.operators.incremental import overwrite_partitions, replace_window
 from roasty.schemas import (
@@ -51,9 +51,9 @@ def campaign_panel(fact: DataFrame, by_install: bool = True) -> DataFrame:
     Plan: a string ``MAX`` has no fixed-width aggregation buffer, and Spark
     would sort every input row to aggregate it. So the rows are first
     hash-aggregated at the grain plus the string columns (channel, feed),
-    where every measure is a count or a sum of whole money units, and only
+    where every measure is a count or an exact decimal sum, and only
     that small result is aggregated again to the panel grain with the
-    maxima. Both steps are exact: counts and integer sums add up.
+    maxima. Both steps are exact: counts and decimal sums add up.
     """
     keys = ["campaign", "dt"] + (["is_install"] if by_install else [])
     has_tag = "data_source" in fact.columns and not by_install
@@ -66,19 +66,19 @@ def campaign_panel(fact: DataFrame, by_install: bool = True) -> DataFrame:
     fine = src.groupBy(*keys, *strings).agg(
         count_rows().alias("_n"),
         *[F.sum(F.when(F.col(c) == F.lit(v), F.lit(1))).alias(f"_{n}") for c, v, n in counts],
-        *[F.sum(money_units(col)).alias(f"_u_{name}") for name, col in money.items()],
+        *[money_total(col).alias(f"_u_{name}") for name, col in money.items()],
     )
     panel = fine.groupBy(*keys).agg(
         F.max("af_channel").alias("media_source"),
         F.sum("_n").cast("long").alias("t_events"),
         *[F.sum(f"_{n}").cast("long").alias(n) for _, _, n in counts],
-        *[units_to_money(F.sum(f"_u_{name}")).alias(f"_m_{name}") for name in money],
+        *[money_total(f"_u_{name}").alias(f"_m_{name}") for name in money],
         (F.max("data_source") if has_tag else F.lit(None).cast("string")).alias("data_source"),
     )
-    panel = panel.withColumn("revenue", F.round("_m_revenue")).withColumn("cost", F.round("_m_cost"))
+    panel = panel.withColumn("revenue", money_round("_m_revenue")).withColumn("cost", money_round("_m_cost"))
     if by_install:
         return conform(panel, PANEL_BY_INSTALL)
-    panel = panel.withColumn("roas", ratio(F.col("_m_revenue_usd"), F.col("_m_cost")))
+    panel = panel.withColumn("roas", ratio(F.col("_m_revenue_usd").cast("double"), F.col("_m_cost").cast("double")))
     return conform(panel, PANEL_CAMPAIGN)
 
 
@@ -99,15 +99,16 @@ def panel_lookback(fact: DataFrame, as_of, lookback_days: int = 7, by_install: b
     return campaign_panel(fact, by_install).where(F.col("dt") >= days_back(as_of, lookback_days))
 
 
-def campaign_kpis(panel: DataFrame) -> DataFrame:
-    """Dashboard grain (dt, media_source, campaign) from the by-install panel:
-    installs, events, revenue, cost and cost per install (NULL without
-    installs)."""
-    g = panel.groupBy("dt", "media_source", "campaign").agg(
-        F.sum("t_installs").cast("long").alias("installs"),
-        F.sum("t_events").cast("long").alias("events"),
-        F.sum("revenue").alias("revenue"),
-        F.sum("cost").alias("cost"),
+def campaign_kpis(fact: DataFrame) -> DataFrame:
+    """Dashboard grain (dt, media_source, campaign) from the fact: installs,
+    events, revenue, cost and cost per install (NULL without installs). The
+    ratio is taken from the unrounded cost; revenue and cost are shown to the
+    cent."""
+    g = fact.groupBy("dt", "media_source", "campaign").agg(
+        F.count(F.when(F.col("event_name") == F.lit("install"), F.lit(1))).alias("installs"),
+        count_rows().alias("events"),
+        money_total("event_revenue").alias("_revenue"),
+        money_total("af_cost_value").alias("_cost"),
     )
     return g.select(
         "dt",
@@ -115,9 +116,9 @@ def campaign_kpis(panel: DataFrame) -> DataFrame:
         "campaign",
         "installs",
         "events",
-        "revenue",
-        "cost",
-        F.round(F.col("cost") / F.nullif(F.col("installs").cast("double"), F.lit(0.0)), 2).alias("cpi"),
+        money_round("_revenue", 2).alias("revenue"),
+        money_round("_cost", 2).alias("cost"),
+        ratio(F.col("_cost").cast("double"), F.col("installs").cast("double")).alias("cpi"),
     )
 
 
@@ -126,8 +127,8 @@ def channel_daily(fact: DataFrame) -> DataFrame:
     return fact.groupBy("dt", "af_channel").agg(
         F.sum(F.when(F.col("event_name") == F.lit("install"), F.lit(1))).cast("long").alias("installs"),
         count_rows().alias("events"),
-        F.round(money_sum("event_revenue"), 2).alias("revenue"),
-        F.round(money_sum("af_cost_value"), 2).alias("cost"),
+        money_round(money_total("event_revenue"), 2).alias("revenue"),
+        money_round(money_total("af_cost_value"), 2).alias("cost"),
     )
 
 

@@ -44,17 +44,23 @@ class Layout:
         return [self.landing_template.format(root=root, feed=feed, day=d) for d in days]
 
 
+def _read_table(spark: SparkSession, path: str, schema):
+    """A table of the chain with its declared schema (no inference over the
+    partition folders; a partitioned read puts the partition column last, so
+    back to the declared order); empty before anything was written."""
+    if not landing.path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return conform(spark.read.schema(schema).parquet(path), schema)
+
+
 def read_fact(spark: SparkSession, layout: Layout):
-    """The fact table, with its declared schema (no inference over the
-    partition folders; ``dt`` typed as a date)."""
-    return conform(spark.read.schema(FACT_TAGGED).parquet(layout.fact_path), FACT_TAGGED)
+    """The fact table."""
+    return _read_table(spark, layout.fact_path, FACT_TAGGED)
 
 
 def read_panel(spark: SparkSession, layout: Layout):
-    """The panel table, with its declared schema."""
-    schema = PANEL_BY_INSTALL if layout.by_install else PANEL_CAMPAIGN
-    # A partitioned read puts the partition column last: back to the declared order.
-    return conform(spark.read.schema(schema).parquet(layout.panel_path), schema)
+    """The panel table."""
+    return _read_table(spark, layout.panel_path, PANEL_BY_INSTALL if layout.by_install else PANEL_CAMPAIGN)
 
 
 def _ymd(d: _dt.date) -> str:
@@ -71,37 +77,53 @@ def load_landing(spark: SparkSession, layout: Layout, days: list[str]) -> None:
     job per feed, however many days)."""
     for feed in layout.feeds:
         df = landing.read_landing(spark, layout.landing_paths(feed, days), schema=FEEDS[feed])
-        landing.load_raw(df, layout.raw_path(feed))
+        landing.load_raw(fact_ops.check_lead(df), layout.raw_path(feed), days)
 
 
-def refresh_fact_on_disk(spark: SparkSession, layout: Layout, from_date, late: str = "widen") -> _dt.date:
-    """Rewrite the fact from ``from_date`` and return the first day rewritten.
+def refresh_fact_on_disk(spark: SparkSession, layout: Layout, from_date, late: str = "widen") -> list[_dt.date]:
+    """Refresh the fact from ``from_date`` and return the days rewritten,
+    ``from_date`` standing for all from there on.
 
-    ``late="widen"`` starts at the oldest event day of the new files when
-    that is older (every row of those days is reloaded); ``"drop"`` leaves
-    such late rows out; ``"reject"`` fails the job on one."""
+    ``late="widen"`` also replaces each earlier day that the new files hold
+    events of and the raw tables reach back to; rows of older days, and rows
+    without an event time, are appended as far as the fact lacks them.
+    ``"drop"`` leaves late rows out; ``"reject"`` fails the job on one."""
     if late not in inc.LATE_MODES:
         raise ValueError(f"late must be one of {inc.LATE_MODES}, got {late!r}")
-    frm = as_date(from_date)
-    from_ymd = F.date_format(frm, "yyyyMMdd")
-    raw = {f: landing.read_raw(spark, layout.raw_path(f), FEEDS[f]) for f in layout.feeds}
-    window = fact_ops.build_fact(*(raw[f].where(F.col("ymd") >= from_ymd) for f in ("installs", "inapp")))
     first = from_date if isinstance(from_date, _dt.date) else _dt.date.fromisoformat(str(from_date))
-    if late == "widen":
-        start = window.agg(F.least(frm, F.min("dt")).alias("s")).first()["s"] or first
-        new = fact_ops.build_fact(*(raw[f].where(F.col("ymd") >= _ymd(start)) for f in ("installs", "inapp")))
-        new = new.where(F.col("dt") >= F.lit(start))
-    elif late == "drop":
-        start, new = first, window.where(F.col("dt") >= F.lit(first))
-    else:
-        start, new = first, inc.reject_late(window, "dt", first)
-    inc.commit_window(new, layout.fact_path, "dt", start)
-    return start
-
+    raw = {f: landing.read_raw(spark, layout.raw_path(f), FEEDS[f]) for f in layout.feeds}
 
-def refresh_panel_on_disk(spark: SparkSession, layout: Layout, from_date) -> None:
-    """Rewrite the panel's days ``>= from_date`` from the fact on disk."""
-    new = panel_ops.panel_since(read_fact(spark, layout), from_date, layout.by_install)
+    def rows(from_ymd: str):
+        return fact_ops.build_fact(*(raw[f].where(F.col("ymd") >= from_ymd) for f in ("installs", "inapp")))
+
+    window, dt = rows(_ymd(first)), F.col("dt")
+    if late == "reject":
+        window = inc.reject_late(window, "dt", first)
+    # The late days, from the event time alone: one value a day.
+    late_days = set()
+    if late != "drop":
+        found = window.where(dt < F.lit(first)).select("dt").distinct().collect()
+        late_days = {r["dt"] for r in found}
+    landed = [v for f in layout.feeds for v in inc.partition_values(spark, layout.raw_path(f), "ymd")]
+    oldest = min(landed, default=_ymd(first))
+    whole = sorted(d for d in late_days if _ymd(d) >= oldest)
+    gone = sorted(late_days - set(whole))
+    start = _ymd(min([first, *whole]) - _dt.timedelta(days=fact_ops.LEAD_DAYS))
+    touched = (dt >= F.lit(first)) | dt.isin(whole) if whole else dt >= F.lit(first)
+    inc.commit_window(rows(start).where(touched), layout.fact_path, "dt", first)
+    rest = dt.isNull() | dt.isin(gone) if gone else dt.isNull()
+    inc.append_missing(window.where(rest), read_fact(spark, layout).where(rest), layout.fact_path, "dt")
+    return [*gone, *whole, first]
+
+
+def refresh_panel_on_disk(spark: SparkSession, layout: Layout, from_date, late_days=()) -> None:
+    """Rewrite the panel's days ``>= from_date``, the ``late_days`` before it
+    and the group of rows without a day, from the fact on disk."""
+    dt = F.col("dt")
+    days = (dt >= as_date(from_date)) | dt.isNull()
+    if late_days:
+        days = days | dt.isin(list(late_days))
+    new = panel_ops.campaign_panel(read_fact(spark, layout).where(days), layout.by_install)
     schema = PANEL_BY_INSTALL if layout.by_install else PANEL_CAMPAIGN
     inc.commit_window(new.select(*schema.fieldNames()), layout.panel_path, "dt", from_date)
 
@@ -124,8 +146,8 @@ def backfill(spark: SparkSession, layout: Layout, first_day, last_day, logger=No
         logger.log("start")
     try:
         load_landing(spark, layout, _days(first, last))
-        start = refresh_fact_on_disk(spark, layout, first, late)
-        refresh_panel_on_disk(spark, layout, start)
+        days = refresh_fact_on_disk(spark, layout, first, late)
+        refresh_panel_on_disk(spark, layout, first, days[:-1])
     except Exception:
         if logger:
             logger.log("error")
@@ -133,7 +155,7 @@ def backfill(spark: SparkSession, layout: Layout, first_day, last_day, logger=No
     if logger:
         logger.log("success")
         logger.log("end")
-    return start
+    return min(days)
 
 
 def run_lookback(spark: SparkSession, layout: Layout, as_of, lookback_days: int = 7, logger=None) -> None:
@@ -148,8 +170,8 @@ def run_lookback(spark: SparkSession, layout: Layout, as_of, lookback_days: int
     try:
         load_landing(spark, layout, _days(first, day))
         raw = {f: landing.read_raw(spark, layout.raw_path(f), FEEDS[f]) for f in layout.feeds}
-        # Event day <= landing day: the window's rows are all in landing days >= first.
-        fact = fact_ops.build_fact(*(raw[f].where(F.col("ymd") >= _ymd(first)) for f in ("installs", "inapp")))
+        early = _ymd(first - _dt.timedelta(days=fact_ops.LEAD_DAYS))
+        fact = fact_ops.build_fact(*(raw[f].where(F.col("ymd") >= early) for f in ("installs", "inapp")))
         inc.commit_partitions(inc.lookback(fact, "dt", day, lookback_days), layout.fact_path, "dt")
         panel = panel_ops.panel_lookback(read_fact(spark, layout), day, lookback_days, layout.by_install)
         schema = PANEL_BY_INSTALL if layout.by_install else PANEL_CAMPAIGN

@@ -3,16 +3,27 @@
 The same adapter rules as ``roasty.sources.adapters`` are restated in SQL
 (``ADAPTER``), then each query is written against the resulting ``fact``,
 feeds and derived panels. Two helpers state Spark's numeric semantics in
-DuckDB terms: money sums in whole 1/10,000 units, and rounding of a double
-to n places half-up on its decimal value.
+DuckDB terms: money sums of the amounts' shortest decimal forms, and rounding
+of a double to n places half-up on its decimal value.
 """
 
 from __future__ import annotations
 
 
+def mtotal(expr: str) -> str:
+    """Exact sum of amounts as a decimal: each by its shortest decimal form."""
+    return f"SUM(CAST(CAST(({expr}) AS VARCHAR) AS DECIMAL(38,18)))"
+
+
 def msum(expr: str) -> str:
-    """Exact money sum (see ``roasty.functions.aggregates.money_sum``)."""
-    return f"(SUM(CAST(ROUND(({expr}) * 10000) AS BIGINT)) / 10000.0)"
+    """The exact sum as the nearest double (by way of text: a cast from a wide
+    decimal can be one unit off in the last place)."""
+    return f"CAST(CAST({mtotal(expr)} AS VARCHAR) AS DOUBLE)"
+
+
+def mround(expr: str, n: int = 0) -> str:
+    """The exact sum rounded half away from zero, as a double."""
+    return f"CAST(ROUND({mtotal(expr)}, {n}) AS DOUBLE)"
 
 
 def round_n(expr: str, n: int) -> str:
@@ -119,8 +130,8 @@ SELECT campaign, dt, MAX(af_channel) AS media_source,
   {csum("af_channel = 'Google'")} AS t_users_from_Google,
   {csum("af_channel = 'TikTok'")} AS t_users_from_TikTok,
   {csum("af_channel = 'Organic'")} AS t_users_from_Organic,
-  ROUND({msum("event_revenue")}) AS revenue,
-  ROUND({msum("af_cost_value")}) AS cost
+  {mround("event_revenue")} AS revenue,
+  {mround("af_cost_value")} AS cost
 FROM {source}
 WHERE {where}
 GROUP BY ALL"""
@@ -135,8 +146,8 @@ def panel_campaign_sql(source: str = "fact", where: str = "TRUE") -> str:
     return f"""
 SELECT campaign, dt, MAX(af_channel) AS media_source, COUNT(1) AS t_events,
   {", ".join(counts)},
-  ROUND({msum("event_revenue")}) AS revenue,
-  ROUND({msum("af_cost_value")}) AS cost,
+  {mround("event_revenue")} AS revenue,
+  {mround("af_cost_value")} AS cost,
   {roas} AS roas,
   MAX(data_source) AS data_source
 FROM {source}

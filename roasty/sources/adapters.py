@@ -118,9 +118,9 @@ def _project(df: DataFrame, rules: dict[str, str], schema) -> DataFrame:
     return df.selectExpr(*cols, f"{rules['ymd']} AS ymd")
 
 
-def _enriched(events: DataFrame, installs: bool) -> DataFrame:
+def _enriched(events: DataFrame, installs: bool, *more: str) -> DataFrame:
     cond = "event_type = 'signup'" if installs else "event_type <> 'signup'"
-    return events.where(cond).selectExpr(*_BASE).selectExpr(*_COMMON)
+    return events.where(cond).selectExpr(*_BASE, *more).selectExpr(*_COMMON, *more)
 
 
 def installs_feed(events: DataFrame) -> DataFrame:
@@ -128,9 +128,13 @@ def installs_feed(events: DataFrame) -> DataFrame:
     return _project(_enriched(events, True), _INSTALLS, INSTALLS)
 
 
-def inapp_feed(events: DataFrame) -> DataFrame:
-    """In-app feed (18 declared columns + ``ymd`` landing day)."""
-    return _project(_enriched(events, False), _INAPP, INAPP)
+def inapp_feed(events: DataFrame, landed: str | None = None) -> DataFrame:
+    """In-app feed (18 declared columns + ``ymd`` landing day). ``landed``
+    names a column of ``events`` with the time a row lands, if it is not the
+    hour after the event."""
+    if landed is None:
+        return _project(_enriched(events, False), _INAPP, INAPP)
+    return _project(_enriched(events, False, landed), dict(_INAPP, ymd=f"date_format({landed}, 'yyyyMMdd')"), INAPP)
 
 
 def feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:

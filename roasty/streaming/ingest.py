@@ -2,18 +2,17 @@
 
 The file source remembers which files it has read (in the checkpoint), so
 each run with ``availableNow`` loads exactly the files that landed since the
-last run, then stops. Each micro-batch is written like the batch load (dynamic overwrite of its
-``ymd`` partitions), always with whole days: a day whose files all arrived in
-the batch is written from the batch; a day that also has files from earlier
-batches is reloaded from its landing folder. A day whose files arrive over
-several runs, or a corrected file, so gives the complete day, and a replayed
-batch writes the same partitions again.
+last run, then stops. A micro-batch only tells which landing days have new
+files; each of those days is loaded whole from its folder, like a batch load
+(dynamic overwrite of its ``ymd`` partition). A day whose files arrive over
+several runs so gives the complete day, and a replayed batch writes the same
+partitions again. A file that is replaced under its old name is not new to the
+file source: load its day again with the batch loader.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from urllib.parse import unquote, urlparse
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,11 +21,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from roasty.sources.landing import CSV_OPTIONS, DAY_IN_PATH, JSON_OPTIONS, infer_format, load_raw, read_landing
 
+#: Files of a micro-batch: bounds its days and its tasks.
+MAX_FILES = 1000
+
 
 def landing_stream(spark: SparkSession, root: str, file_glob: str, schema: T.StructType,
                    fmt: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming DataFrame over ``{root}/*/{file_glob}`` with ``ymd`` and
-    the file and day folder of each row."""
+    the day folder of each row."""
     fmt = fmt or infer_format(file_glob)
     r = spark.readStream.schema(schema)
     if fmt == "csv":
@@ -39,63 +41,33 @@ def landing_stream(spark: SparkSession, root: str, file_glob: str, schema: T.Str
     path = F.col("_metadata.file_path")
     return (
         df.withColumn("ymd", F.regexp_extract(path, DAY_IN_PATH, 1))
-        .withColumn("_file", path)
         .withColumn("_day_dir", F.regexp_extract(path, r"^(.*)/[^/]*$", 1))
     )
 
 
-def _listed(spark: SparkSession, pattern: str) -> set[str]:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(pattern)
-    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p) or []
-    return {st.getPath().toUri().getPath() for st in found}
-
-
 def reload_days(schema: T.StructType, file_glob: str, raw_path: str, fmt: str | None = None):
-    """``foreachBatch`` function: write every day the batch touched, whole.
-
-    A day whose landed files are all in the batch is written from the
-    batch's rows. A day that also has files from earlier batches is reloaded
-    from its landing folder, so its partition is never replaced by a part of
-    the day. The (day, file) pairs of the batch are collected on the driver:
-    one value per file."""
+    """``foreachBatch`` function: write every day the batch touched, whole,
+    from its landing folder. The driver gets one value per day of a batch,
+    and a batch holds ``max_files_per_trigger`` files at most."""
 
     def run(batch: DataFrame, _batch_id: int) -> None:
-        spark = batch.sparkSession
-        batch = batch.persist()
-        try:
-            files: dict[str, set[str]] = {}
-            for d, f in batch.select("_day_dir", "_file").distinct().collect():
-                # File paths come URI-encoded; listings and readers take them decoded.
-                files.setdefault(unquote(d), set()).add(_uri_path(f))
-            whole, partial = [], []
-            for d, got in files.items():
-                (whole if _listed(spark, f"{d}/{file_glob}") <= got else partial).append(d)
-            parts = []
-            if whole:
-                day_dir = F.expr("url_decode(_day_dir)")
-                parts.append(batch.where(day_dir.isin(whole)).drop("_day_dir", "_file"))
-            if partial:
-                paths = [f"{d}/{file_glob}" for d in partial]
-                parts.append(read_landing(spark, paths, fmt=fmt or infer_format(file_glob), schema=schema))
-            if parts:
-                load_raw(reduce(DataFrame.unionByName, parts), raw_path)
-        finally:
-            batch.unpersist()
+        # Folders come URI-encoded; readers take them decoded.
+        days = [unquote(r["_day_dir"]) for r in batch.select("_day_dir").distinct().collect()]
+        if days:
+            paths = [f"{d}/{file_glob}" for d in sorted(days)]
+            df = read_landing(batch.sparkSession, paths, fmt=fmt or infer_format(file_glob), schema=schema)
+            load_raw(df, raw_path)
 
     return run
 
 
-def _uri_path(uri: str) -> str:
-    """The path part of a file URI as the file system lists it."""
-    return unquote(urlparse(uri).path)
-
-
 def ingest_available(spark: SparkSession, root: str, file_glob: str, schema: T.StructType,
-                     raw_path: str, checkpoint: str, fmt: str | None = None) -> StreamingQuery:
+                     raw_path: str, checkpoint: str, fmt: str | None = None,
+                     max_files_per_trigger: int | None = MAX_FILES) -> StreamingQuery:
     """Load every landing file not loaded yet into the raw table, then stop
-    (``trigger(availableNow=True)``). Returns the finished query."""
-    stream = landing_stream(spark, root, file_glob, schema, fmt)
+    (``trigger(availableNow=True)``, in batches of ``max_files_per_trigger``
+    files). Returns the finished query."""
+    stream = landing_stream(spark, root, file_glob, schema, fmt, max_files_per_trigger)
     q = (
         stream.writeStream.foreachBatch(reload_days(schema, file_glob, raw_path, fmt))
         .option("checkpointLocation", checkpoint)
@@ -108,7 +80,7 @@ def ingest_available(spark: SparkSession, root: str, file_glob: str, schema: T.S
 
 def start_ingest(spark: SparkSession, root: str, file_glob: str, schema: T.StructType,
                  raw_path: str, checkpoint: str, every: str = "1 hour", fmt: str | None = None,
-                 max_files_per_trigger: int | None = None) -> StreamingQuery:
+                 max_files_per_trigger: int | None = MAX_FILES) -> StreamingQuery:
     """The scheduled form: a running query that loads new landing files every
     ``every`` (the hourly ingest). Stop it with ``query.stop()``."""
     stream = landing_stream(spark, root, file_glob, schema, fmt, max_files_per_trigger)

@@ -65,7 +65,7 @@ def test_panel_by_install_grain_and_rounding(spark):
 def test_kpis_and_channel_and_counts(spark):
     rows = [fact_row(event_name="install", af_cost_value=3.0), fact_row(event_name="install", af_cost_value=1.0)]
     f = fact_df(spark, rows)
-    k = campaign_kpis(campaign_panel(f, by_install=True)).first()
+    k = campaign_kpis(f).first()
     assert k.installs == 2 and k.cpi == 2.0
     c = channel_daily(f).first()
     assert c.installs == 2 and c.cost == 4.0
