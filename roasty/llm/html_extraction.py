@@ -53,14 +53,20 @@ BOILERPLATE = frozenset(
 #: Whole pages and articles are not dropped for what their classes mention.
 KEPT_TAGS = frozenset("html body main".split())
 
+#: An attribute as HTML reads it: quotes delimit a value right after the equals
+#: sign alone, however long it is; one that never closes is a character.
+NAME = r"[^\s/>][^\s/>=]*+"
+VALUE = r"\"[^\"]*+\"|'[^']*+'|[^\s>]*+"
+ATTRS = rf"(?:[\s/]++|{NAME}(?:\s*+=\s*+(?:{VALUE}))?+)*+"
+#: A tag that the end of the page cuts off is markup, not text.
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW_TEXT})\b(?:[^>\"']++|\"[^\"]{{0,4000}}+\"|'[^']{{0,4000}}+'|[\"'])*+>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{RAW_TEXT})\b{ATTRS}>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*+>"
-    r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^>\"']++|\"[^\"]{0,4000}+\"|'[^']{0,4000}+'|[\"'])*+)>",
+    rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>{ATTRS})(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
 )
-ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
+ATTR = re.compile(rf"({NAME})(?:\s*+=\s*+({VALUE}))?+")
 WORDS = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
 
@@ -182,8 +188,7 @@ def blocks(page: str) -> list[Block]:
             skipping += dropped
     if at < len(page):
         rest = page[at:]
-        # A tag that the end of the page cut off is markup, not text.
-        cut = re.search(r"<[a-zA-Z/!][^>]*\Z", rest)
+        cut = re.search(r"<[/!?][^>]*\Z", rest)
         text_piece(rest[: cut.start()] if cut else rest)
     close(0)
     return out

@@ -53,6 +53,16 @@ def test_very_long_page_is_read_whole():
     assert text.count("\n\n") == 29_999 and text.endswith("Paragraph 29999")
 
 
+def test_attribute_values_of_any_length():
+    data = "data:image/png;base64," + "A" * 100_000
+    page = f"""<html><body><article><img src="{data}"><p title='{"it is > " * 2000}'>Don't lose <a href="x">this</a> text.</p>
+<p data-x=a"b>It's "quoted"</p><div title="never closed><p>Last words</p></article></body></html>"""
+    assert html_extraction.extract(page, None)[0] == 'Don\'t lose this text.\n\nIt\'s "quoted"\n\nLast words'
+    assert html_extraction.extract(f'<article><p>Cut off</p><img alt="a > b" src="{data}', None)[0] == "Cut off"
+    # Each tag runs to the page's end: read once, not once a tag.
+    assert html_extraction.extract("<article><p>Words</p>" + '<a b="x>" ' * 100_000, None)[0] == "Words"
+
+
 # WARC.
 
 
