@@ -3,7 +3,8 @@
 Pages of a host share templates. Every page's containers are scored by the
 text they hold directly, each page votes with its scores on generalised
 tag-and-class paths, Spark sums the votes per host, and every page is then
-read again at its host's winning path.
+read again at its host's winning path, widened to what stands around it of
+the same article: titles, leads and sections in containers of their own.
 """
 
 from __future__ import annotations
@@ -50,6 +51,9 @@ BOILERPLATE = frozenset(
     "notices notification alert popup modal overlay newsletter subscribe subscription signup login search pagination "
     "pager toolbar copyright complementary contentinfo".split()
 )
+#: Of these, words of what leads through the site, and of what articles have too.
+SITE_NAV = frozenset("nav navbar navigation menu".split())
+OWN_NAV = frozenset("breadcrumb breadcrumbs pagination pager toc".split())
 #: Whole pages and articles are not dropped for what their classes mention.
 KEPT_TAGS = frozenset("html body main".split())
 
@@ -72,16 +76,27 @@ DIGITS = re.compile(r"\d+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "dropped", "header", "order")
+    __slots__ = ("tag", "path", "dropped", "header", "order", "nav")
 
     def __init__(self, tag: str, path: str, dropped: bool, header: bool, order: int):
         self.tag, self.path, self.dropped, self.header, self.order = tag, path, dropped, header, order
+        #: Whether the site's navigation is in it.
+        self.nav = False
 
 
 def _attributes(text: str) -> dict[str, str]:
     return {k.lower(): html_lib.unescape((v or "").strip("\"'")) for k, v in ATTR.findall(text)} if text.strip() else {}
 
 
+def _named(attrs: dict[str, str]) -> list[str]:
+    return WORDS.findall(" ".join([attrs.get("class", ""), attrs.get("id", ""), attrs.get("role", "")]).lower())
+
+
+def _is_site_nav(tag: str, attrs: dict[str, str]) -> bool:
+    named = _named(attrs)
+    return (tag == "nav" or not SITE_NAV.isdisjoint(named)) and OWN_NAV.isdisjoint(named)
+
+
 def _is_boilerplate(tag: str, attrs: dict[str, str]) -> bool:
     if tag in DROPPED:
         return True
@@ -89,8 +104,7 @@ def _is_boilerplate(tag: str, attrs: dict[str, str]) -> bool:
         return False
     if "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style", "")):
         return True
-    named = " ".join([attrs.get("class", ""), attrs.get("id", ""), attrs.get("role", "")]).lower()
-    return any(w in BOILERPLATE for w in WORDS.findall(named))
+    return any(w in BOILERPLATE for w in _named(attrs))
 
 
 class Block:
@@ -182,6 +196,9 @@ def blocks(page: str) -> list[Block]:
         step = ".".join([tag, *classes])
         path = f"{stack[-1].path}/{step}" if stack else step
         dropped = _is_boilerplate(tag, attrs)
+        if dropped and not skipping and _is_site_nav(tag, attrs):
+            for e in stack:
+                e.nav = True
         order += 1
         if not m["attrs"].endswith("/") or tag not in ("path", "rect"):
             stack.append(Element(tag, path, dropped, tag == "header", order))
@@ -228,22 +245,89 @@ def best_path(by_path: dict[str, int]) -> str | None:
     return max(by_path, key=lambda p: (by_path[p], p)) if by_path else None
 
 
+def _is_heading(b: Block) -> bool:
+    return re.fullmatch("h[1-6]", b.around[-1].tag) is not None
+
+
+def _article(found: list[Block], path: str) -> list[Block]:
+    """The blocks of the article that has its main container at ``path``.
+
+    All of the container; all of an ``article`` around it; of each other
+    element around it the sections (its children) that are not mostly links
+    and hold no other ``article``. Beyond an article, an element with a
+    section that is neither, or one with the site's navigation, and in the
+    body, only text that stands there directly is of the article. Headers
+    keep their headings alone, those of the site nothing."""
+    # Elements around the container by their number, the outermost first (0:
+    # the page), and those of their children that hold it.
+    above: dict[int, Element | None] = {0: None}
+    holding: dict[int, set[int]] = {0: set()}
+    under: dict[int, bool] = {0: False}
+    beyond: set[int] = set()
+    at, seen = [], set()
+    for b in found:
+        i = next((i for i, e in enumerate(b.around) if e.path == path), None)
+        at.append(i)
+        if i is None or b.around[i].order in seen:
+            continue
+        seen.add(b.around[i].order)
+        if b.around[i].tag == "article":
+            beyond.add(b.around[i].order)
+        last = 0
+        for e in b.around[: i + 1]:
+            holding[last].add(e.order)
+            if e.order not in seen:
+                above[e.order] = e
+                holding.setdefault(e.order, set())
+                under[e.order] = under[last] or (last and above[last].tag in ("article", "main"))
+            last = e.order
+    # A section is of the innermost such element around it.
+    sections: dict[int, dict[object, list[int]]] = {}
+    for k, (b, i) in enumerate(zip(found, at, strict=True)):
+        if i is None:
+            j = next((j for j, e in enumerate(b.around) if e.order not in above), len(b.around))
+            of = b.around[j - 1].order if j else 0
+            sections.setdefault(of, {}).setdefault(b.around[j].order if j < len(b.around) else ("text", k), []).append(k)
+            at[k] = -1 - j
+    kept = {k for k, i in enumerate(at) if i >= 0 and (not _in_header(found[k].around, i) or _is_heading(found[k]))}
+    for order in sorted(above, reverse=True):  # an element's number is above those of the elements around it
+        e = above[order]
+        tag = e.tag if e else "html"
+        page = tag in ("html", "body")
+        site = page or (e.nav and tag not in ("article", "main"))
+        frame = site or not beyond.isdisjoint(holding[order])
+        left_out = False
+        for ks in sections.get(order, {}).values():
+            j = -1 - at[ks[0]]
+            first = found[ks[0]].around
+            child = first[j] if j < len(first) else None
+            if child is not None and child.header:
+                if not site and not child.nav:
+                    kept.update(k for k in ks if _is_heading(found[k]))
+                continue
+            if frame or tag != "article":
+                links = 2 * sum(found[k].linked for k in ks) > sum(len(found[k].text) for k in ks)
+                direct = child is None or child.tag in TEXT_BLOCKS
+                if links or (frame and not direct) or any(x.tag == "article" for k in ks for x in found[k].around[j:]):
+                    left_out = True
+                    continue
+            kept.update(k for k in ks if not _in_header(found[k].around, j) or _is_heading(found[k]))
+        if frame or tag == "article" or (left_out and not under[order]):
+            beyond.add(order)
+    return [found[k] for k in sorted(kept)]
+
+
 def extract(page: str, winner: str | None) -> tuple[str, str | None]:
-    """The page's text at ``winner``, or at its own best path if it lacks the
-    winner or holds less than a fifth of its best there."""
+    """The text of the page's article around ``winner``, or around its own
+    best path if it lacks the winner or holds less than a fifth of its best
+    there; and that path."""
     found = blocks(page)
     own = scores(found)
     best = best_path(own)
     path = winner if winner in own and own[winner] * 5 >= own[best] else best
     if path is None:
         return "\n\n".join(b.text for b in found if not _in_header(b.around, 0)), None
-    kept = []
-    for b in found:
-        at = next((i for i, e in enumerate(b.around) if e.path == path), None)
-        # Headers inside the article keep their headings alone.
-        if at is not None and (not _in_header(b.around, at) or re.fullmatch("h[1-6]", b.around[-1].tag)):
-            kept.append(b.text)
-    return "\n\n".join(kept), path
+    return "\n\n".join(b.text for b in _article(found, path)), path
 
 
 def host(url: Column) -> Column:
@@ -284,8 +368,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     Null or empty html gives an empty text; a null or odd url belongs to the
     host ''; repeated rows are each returned; other columns are ignored. The
-    whole html is read, whatever its length. ``path`` is where the text was
-    found, null if the page has no container."""
+    whole html is read, whatever its length. ``path`` is the container that the
+    text was found in and around, null if the page has no container."""
     own = pages.select(F.col(id_col), F.col(url_col), host(F.col(url_col)).alias("host"), F.col(html_col).alias("html"))
     # Written, so that the join picks its way by the table's size: a row a host.
     won = stored(winners(votes(own)), "html-winners")

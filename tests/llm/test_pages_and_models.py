@@ -63,6 +63,27 @@ def test_attribute_values_of_any_length():
     assert html_extraction.extract("<article><p>Words</p>" + '<a b="x>" ' * 100_000, None)[0] == "Words"
 
 
+BODY = '<div class="body">' + "".join(f"<p>Paragraph {i} of the body, with words enough.</p>" for i in range(9)) + "</div>"
+NAV = '<nav><a href="/">Home</a></nav>'
+LINKS = '<div class="more"><a href="1">Another story</a> <a href="2">One more story</a></div>'
+
+
+@pytest.mark.parametrize("page, before, after", [
+    (f"<body>{NAV}<article><h1>Title</h1>{BODY}</article></body>", ["Title"], []),
+    (f'<body><div class="page">{NAV}<article><header><h1>Title</h1><p>by</p></header><div class="lead">Lead</div>{BODY}<section class="end"><p>End</p></section></article>{LINKS}</div></body>',
+     ["Title", "Lead"], ["End"]),
+    (f'<main><h1>Title</h1><div class="intro"><p>Intro</p></div><section class="x">{BODY}</section>{LINKS}<div class="end">End</div></main>', ["Title", "Intro"], ["End"]),
+    (f'<body><header>{NAV}<h1>Site</h1></header><div class="wrap"><div class="head"><h1>Title</h1></div>{BODY}</div><div class="x">Other</div></body>', ["Title"], []),
+    (f"<h1>Title</h1>{BODY}<p>End</p>{LINKS}", ["Title"], ["End"]),
+    (f"<main><h1>Title</h1><article>{BODY}</article><article><p>Another article</p></article><section><article><p>Third</p></article></section></main>", ["Title"], []),
+])
+def test_titles_and_sections_around_the_body(page, before, after):
+    body = [f"Paragraph {i} of the body, with words enough." for i in range(9)]
+    text, path = html_extraction.extract(page, None)
+    assert path.endswith("div.body") and text.split("\n\n") == [*before, *body, *after]
+    assert html_extraction.extract(page, path)[0] == text
+
+
 # WARC.
 
 
