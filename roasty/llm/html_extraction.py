@@ -27,7 +27,7 @@ INLINE = frozenset(
 )
 #: Never text of the article.
 DROPPED = frozenset(
-    "nav footer aside form button select textarea fieldset dialog menu script style noscript template svg math canvas "
+    "nav footer aside button select textarea fieldset dialog menu script style noscript template svg math canvas "
     "iframe object audio video map head title".split()
 )
 RAW_TEXT = "script|style|noscript|template|svg|iframe|textarea|title"
@@ -43,7 +43,8 @@ SIBLINGS = {
     "li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
 }
-#: Words of a class, id or role that mark something other than the article.
+#: Words of a class, id or role that mark something other than the article,
+#: unless the element holds the page's main text.
 BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar "
     "navigation menu breadcrumb breadcrumbs masthead footer sidebar widget widgets related recommended recommendations "
@@ -51,11 +52,19 @@ BOILERPLATE = frozenset(
     "notices notification alert popup modal overlay newsletter subscribe subscription signup login search pagination "
     "pager toolbar copyright complementary contentinfo".split()
 )
-#: Of these, words of what leads through the site, and of what articles have too.
+#: Of these, words of what can hold more text than the article beside it.
+WORDY = frozenset(
+    "ad ads advert adverts advertisement advertising adsense comment comments commentlist disqus respond reply replies "
+    "cookie cookies consent gdpr".split()
+)
+#: Words of what leads through the site, and of what articles have too.
 SITE_NAV = frozenset("nav navbar navigation menu".split())
 OWN_NAV = frozenset("breadcrumb breadcrumbs pagination pager toc".split())
 #: Whole pages and articles are not dropped for what their classes mention.
 KEPT_TAGS = frozenset("html body main".split())
+#: Main text where it has so large a share of the page's unlinked text; what
+#: is marked as wordy, where so little but headings is left beside it.
+MOST, REST = 1 / 2, 1 / 20
 
 #: An attribute as HTML reads it: quotes delimit a value right after the equals
 #: sign alone, however long it is; one that never closes is a character.
@@ -76,12 +85,15 @@ DIGITS = re.compile(r"\d+")
 
 
 class Element:
-    __slots__ = ("tag", "path", "dropped", "header", "order", "nav")
+    __slots__ = ("tag", "path", "dropped", "header", "order", "nav", "suspect", "wordy", "main", "titled")
 
     def __init__(self, tag: str, path: str, dropped: bool, header: bool, order: int):
         self.tag, self.path, self.dropped, self.header, self.order = tag, path, dropped, header, order
         #: Whether the site's navigation is in it.
         self.nav = False
+        #: What a suspect looks like, if it is one: its likes are judged together.
+        self.suspect: str | None = None
+        self.wordy = self.main = self.titled = False
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -92,8 +104,7 @@ def _named(attrs: dict[str, str]) -> list[str]:
     return WORDS.findall(" ".join([attrs.get("class", ""), attrs.get("id", ""), attrs.get("role", "")]).lower())
 
 
-def _is_site_nav(tag: str, attrs: dict[str, str]) -> bool:
-    named = _named(attrs)
+def _is_site_nav(tag: str, named: list[str]) -> bool:
     return (tag == "nav" or not SITE_NAV.isdisjoint(named)) and OWN_NAV.isdisjoint(named)
 
 
@@ -102,9 +113,7 @@ def _is_boilerplate(tag: str, attrs: dict[str, str]) -> bool:
         return True
     if tag in KEPT_TAGS or not attrs:
         return False
-    if "hidden" in attrs or attrs.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attrs.get("style", "")):
-        return True
-    return any(w in BOILERPLATE for w in _named(attrs))
+    return "hidden" in attrs or attrs.get("aria-hidden") == "true" or bool(re.search(r"display\s*:\s*none", attrs.get("style", "")))
 
 
 class Block:
@@ -120,6 +129,7 @@ class Block:
 def blocks(page: str) -> list[Block]:
     """The page's text blocks in order, boilerplate elements left out."""
     out: list[Block] = []
+    suspects = False
     stack: list[Element] = []
     pieces: list[str] = []
     linked = links = order = skipping = 0
@@ -196,19 +206,80 @@ def blocks(page: str) -> list[Block]:
         step = ".".join([tag, *classes])
         path = f"{stack[-1].path}/{step}" if stack else step
         dropped = _is_boilerplate(tag, attrs)
-        if dropped and not skipping and _is_site_nav(tag, attrs):
-            for e in stack:
-                e.nav = True
         order += 1
+        new = Element(tag, path, dropped, tag == "header", order)
+        if not skipping:
+            named = _named(attrs) if attrs else []
+            inner = tag == "article" and any(e.tag == "article" for e in stack)
+            if not dropped and (tag == "form" or not BOILERPLATE.isdisjoint(named)) and tag not in KEPT_TAGS and (tag != "article" or inner):
+                new.suspect, suspects = f"{step} {attrs.get('id', '')} {attrs.get('role', '')}", True
+                new.wordy = not WORDY.isdisjoint(named)
+            if (dropped or new.suspect) and _is_site_nav(tag, named):
+                for e in stack:
+                    e.nav = True
+            if tag in ("main", "h1") or "main" in attrs.get("role", "").split():
+                for e in stack:
+                    e.titled = True
+                    e.main |= tag != "h1"
         if not m["attrs"].endswith("/") or tag not in ("path", "rect"):
-            stack.append(Element(tag, path, dropped, tag == "header", order))
+            stack.append(new)
             skipping += dropped
     if at < len(page):
         rest = page[at:]
         cut = re.search(r"<[/!?][^>]*\Z", rest)
         text_piece(rest[: cut.start()] if cut else rest)
     close(0)
-    return out
+    return _cleared(out) if suspects else out
+
+
+def _is_heading(b: Block) -> bool:
+    return re.fullmatch("h[1-6]", b.around[-1].tag) is not None
+
+
+def _unlinked(found: list[Block]) -> int:
+    return sum(len(b.text) - b.linked for b in found)
+
+
+def _cleared(found: list[Block]) -> list[Block]:
+    """The blocks without those of suspects that do not hold the main text: a
+    ``main``, the page's longest article or most of the unlinked text; wordy
+    suspects only with a title besides, or with hardly a text beside them."""
+
+    def texts(of: list[Block]) -> dict[str, int]:
+        out: dict[str, int] = {}
+        for b in of:
+            for like in {e.suspect for e in b.around if e.suspect}:
+                out[like] = out.get(like, 0) + len(b.text) - b.linked
+        return out
+
+    def without(of: list[Block], likes: set[str]) -> list[Block]:
+        return [b for b in of if likes.isdisjoint(e.suspect for e in b.around)]
+
+    likes: dict[str, Element] = {}
+    articles: dict[int, int] = {}
+    for b in found:
+        outer = next((e for e in b.around if e.tag == "article"), None)
+        if outer:
+            articles[outer.order] = articles.get(outer.order, 0) + len(b.text) - b.linked
+        for e in b.around:
+            if e.suspect:
+                first = likes.setdefault(e.suspect, e)
+                first.main |= e.main
+                first.titled |= e.titled
+    longest = max(articles, key=lambda k: (articles[k], -k), default=None)
+    own = {e.suspect for b in found for k, e in enumerate(b.around) if e.suspect and any(x.order == longest for x in b.around[k + 1 :])}
+    share, total = texts(found), _unlinked(found)
+    wordy = {like for like, e in likes.items() if e.wordy and not (e.titled and (e.main or like in own or share[like] > MOST * total))}
+    beside = without(found, wordy)
+    if wordy and _unlinked([b for b in beside if not (b.around and _is_heading(b))]) < REST * total:
+        wordy = {like for like in wordy if share[like] <= MOST * total}
+        beside = without(found, wordy)
+    share, total = texts(beside), _unlinked(beside)
+    dropped = {
+        like for like, e in likes.items()
+        if not e.wordy and not (e.main or like in own or share.get(like, 0) > MOST * total)
+    }
+    return without(beside, dropped)
 
 
 def _container(around: tuple[Element, ...]) -> int:
@@ -245,10 +316,6 @@ def best_path(by_path: dict[str, int]) -> str | None:
     return max(by_path, key=lambda p: (by_path[p], p)) if by_path else None
 
 
-def _is_heading(b: Block) -> bool:
-    return re.fullmatch("h[1-6]", b.around[-1].tag) is not None
-
-
 def _article(found: list[Block], path: str) -> list[Block]:
     """The blocks of the article that has its main container at ``path``.
 

@@ -84,6 +84,26 @@ def test_titles_and_sections_around_the_body(page, before, after):
     assert html_extraction.extract(page, path)[0] == text
 
 
+@pytest.mark.parametrize("page, title", [
+    (f'<body>{NAV}<div class="wrap has-sidebar">{BODY}<div class="sidebar">Aside</div></div></body>', []),
+    (f'<body><article class="post comments-open"><h1>Title</h1>{BODY}<div class="comments">First!</div></article></body>', ["Title"]),
+    (f'<body><div id="search-result-page"><h1>Title</h1>{BODY}</div><div class="ad">Buy</div></body>', ["Title"]),
+    (f'<body><main><section class="press-notice">{BODY}</section></main></body>', []),
+    (f'<body><form id="aspnetForm"><div class="page">{BODY}<form class="search">Find</form></div></form></body>', []),
+    (f'<body><div class="popup"><main>{BODY}</main></div>{"".join(f"<div class=x{k}>{'Other words. ' * 18}</div>" for k in "abc")}</body>', []),
+    (f'<body><div class="no-sidebar"><article class="post">{BODY}</article></div><div class="comments">{"<p>I say</p>" * 300}</div></body>', []),
+    (f'<body>{BODY}<div id="comments">{"<article class=comment-body><p>I say so again.</p></article>" * 300}</div></body>', []),
+    (f'<body><div class="wrap comments-open"><h1>Title</h1>{BODY}</div></body>', ["Title"]),
+    (f'<body><h2>Title</h2><div class="comments-open">{BODY}</div></body>', ["Title"]),
+    ("<body>" + BODY.replace("<p>", '<div class="widget widget-text"><p>').replace("</p>", "</p></div>") + '<div class="widget">Tags</div></body>', []),
+])
+def test_articles_in_elements_named_like_boilerplate(page, title):
+    body = [f"Paragraph {i} of the body, with words enough." for i in range(9)]
+    winner = "html/body/div.none"
+    assert html_extraction.extract(page, winner)[0].split("\n\n") == title + body
+    assert html_extraction.scores(html_extraction.blocks(page))
+
+
 # WARC.
 
 
