@@ -5,7 +5,9 @@ half as long runs in them, form hash tables that every task holds. Documents
 are scanned once: of a document's runs, those at every ``size // 2 + 1``-th
 start are looked up; the windows around a known run are looked up in turn, and
 a hit is verified word by word. Each window holds one of those starts, so no
-window is missed.
+window is missed. Windows too many for a task are met by shuffle instead: what
+moves is then a run's hash, a document's known runs and a window's words,
+never a document a run. Items join the windows that were hit.
 """
 
 from __future__ import annotations
@@ -13,17 +15,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roasty.llm.common import ascii_lower, packed, text_key, unpacked, words
+from roasty.llm.common import ascii_lower, packed, stored, text_key, unpacked, words
 
 #: Everything but digits, letters and what lies beyond ASCII separates words.
 SEPARATORS = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
 #: The same before capitals are lowered.
 RAW_SEPARATORS = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 
-#: Windows of a benchmark that are broadcast; a larger benchmark is joined
-#: by shuffle. A window is ten words with its items: under 1 KB, so the bound
-#: is 200 MB at the very most and some 40 MB with usual words.
+#: Windows of a benchmark that are broadcast, and the bytes they may have as
+#: rows; a larger benchmark is joined by shuffle. Their runs are a hash each.
 BROADCAST_WINDOWS = 200_000
+BROADCAST_BYTES = 64 << 20
 
 
 def normal_words(text: Column) -> Column:
@@ -58,15 +60,37 @@ def benchmark_windows(benchmark: DataFrame, size: int = 10, id_col: str = "item_
     )
 
 
-def _hits(docs: DataFrame, grams: DataFrame, size: int, text_col: str) -> DataFrame:
-    """Verified hits: ``_id, _key, start`` (from 0), ``gram_len, items``."""
-    # How many windows there are, and the lengths below ``size``: at most
-    # ``size`` rows, whatever the benchmark holds.
-    lengths = grams.groupBy("gram_len").count().collect()
-    broadcast = sum(r["count"] for r in lengths) <= BROADCAST_WINDOWS
+def _measured(grams: DataFrame) -> tuple[DataFrame, DataFrame, list[int], bool]:
+    """The windows, ``gram, items`` of them, their lengths, and whether the
+    windows are broadcast; each of the two tables is, as far as its bytes
+    allow. Windows that are not are written, since several joins read them."""
+    # Rows of arrays: eight bytes and the word, rounded up to eight, a word.
+    room = lambda c: F.aggregate(c, F.lit(64).cast("long"), lambda n, w: n + 16 + F.octet_length(w))
+    # At most ``size`` rows, whatever the benchmark holds.
+    lengths = grams.groupBy("gram_len").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(room("gram")).alias("words"), F.sum(room("items")).alias("items")
+    ).collect()
+    total = {c: sum(r[c] for r in lengths) for c in ("n", "words", "items")}
+    broadcast = total["n"] <= BROADCAST_WINDOWS and total["words"] <= BROADCAST_BYTES
+    grams = grams if broadcast else stored(grams, "benchmark-windows")
+    items = grams.select(F.col("gram").alias("_gram"), "items")
+    if broadcast and total["words"] + total["items"] <= BROADCAST_BYTES:
+        items = F.broadcast(items)
+    return grams.drop("items"), items, sorted(r["gram_len"] for r in lengths), broadcast
+
+
+def _starts(k: Column, words_: Column, stride: int, n: int) -> Column:
+    """Starts of the windows that hold the sampled run ``k``."""
+    first = F.greatest(k * stride - (stride - 1), F.lit(0))
+    last = F.least(k * stride, words_ - n)
+    return F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+
+
+def _hits(docs: DataFrame, grams: DataFrame, lengths: list[int], broadcast: bool, text_col: str) -> DataFrame:
+    """Verified hits: ``_id, _key, start`` (from 0), ``gram_len, gram``."""
     found = None
     base = docs.select("_id", "_key", normal_words(F.col(text_col)).alias("w"))
-    for n in sorted(r["gram_len"] for r in lengths):
+    for n in lengths:
         # A window of n words holds exactly one run of ``gram`` words that
         # starts at a multiple of ``stride``: only those runs are hashed, and
         # the windows around a known run are looked up.
@@ -78,27 +102,38 @@ def _hits(docs: DataFrame, grams: DataFrame, size: int, text_col: str) -> DataFr
                 F.transform(F.sequence(F.lit(1), F.lit(stride)), lambda i: F.xxhash64(F.slice(F.col("gram"), i, gram)))
             ).alias("run")
         ).distinct()
+        sampled = F.posexplode(_sampled(F.col("w"), gram, stride)).alias("k", "h")
         if broadcast:
             side, runs = F.broadcast(side), F.broadcast(runs)
-        scan = base.select("_id", "_key", "w", F.posexplode(_sampled(F.col("w"), gram, stride)).alias("k", "h"))
-        at = F.col("k") * stride
-        first = F.greatest(at - (stride - 1), F.lit(0))
-        last = F.least(at, F.size("w") - n)
-        candidates = scan.join(runs, F.col("h") == F.col("run"), "left_semi").select(
-            "_id", "_key", "w",
-            F.explode(F.when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))).alias("start"),
-        )
-        # Verified by membership, not equality: an equality would become a
-        # second join key, built for each window and not for the hits alone.
-        window = F.slice(F.col("w"), F.col("start") + 1, n)
-        same = F.array_contains(F.array("gram"), window)
-        hit = candidates.join(side, (F.xxhash64(window) == F.col("gram_hash")) & same).select(
-            "_id", "_key", "start", "gram_len", "items"
-        )
+            scan = base.select("_id", "_key", "w", sampled)
+            candidates = scan.join(runs, F.col("h") == F.col("run"), "left_semi").select(
+                "_id", "_key", "w", F.explode(_starts(F.col("k"), F.size("w"), stride, n)).alias("start")
+            )
+            # Verified by membership, not equality: an equality would become a
+            # second join key, built for each window and not for the hits alone.
+            window = F.slice(F.col("w"), F.col("start") + 1, n)
+            same = F.array_contains(F.array("gram"), window)
+            hit = candidates.join(side, (F.xxhash64(window) == F.col("gram_hash")) & same)
+        else:
+            known = (
+                base.select("_id", "_key", sampled).join(runs, F.col("h") == F.col("run"), "left_semi")
+                .groupBy(F.col("_id").alias("_kid"), F.col("_key").alias("_kkey")).agg(F.collect_set("k").alias("ks"))
+            )
+            # The text is met once a document, however many runs are known.
+            met = docs.join(
+                known, F.col("_id").eqNullSafe(F.col("_kid")) & (F.col("_key") == F.col("_kkey"))
+            ).select("_id", "_key", "ks", normal_words(F.col(text_col)).alias("w"))
+            starts = F.flatten(F.transform("ks", lambda k: _starts(k, F.size("w"), stride, n)))
+            windows = F.transform(starts, lambda s: F.struct(s.alias("start"), F.slice(F.col("w"), s + 1, n).alias("words")))
+            candidates = met.select("_id", "_key", F.explode(windows).alias("at")).select(
+                "_id", "_key", F.col("at.start").alias("start"), F.col("at.words").alias("words")
+            )
+            hit = candidates.join(side, (F.xxhash64("words") == F.col("gram_hash")) & (F.col("words") == F.col("gram")))
+        hit = hit.select("_id", "_key", "start", "gram_len", "gram")
         found = hit if found is None else found.unionByName(hit)
     if found is None:
         found = docs.select(
-            "_id", "_key", F.lit(0).alias("start"), F.lit(0).alias("gram_len"), F.array().cast("array<string>").alias("items")
+            "_id", "_key", F.lit(0).alias("start"), F.lit(0).alias("gram_len"), F.array().cast("array<string>").alias("gram")
         ).filter(F.lit(False))
     return found
 
@@ -137,12 +172,16 @@ def score(
     its hits are kept per document, at most one for each of its words."""
     own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     keyed = own.withColumn("_key", text_key(F.col("_text")))
-    grams = benchmark_windows(benchmark, size, item_id_col, item_text_col)
+    grams, items, lengths, broadcast = _measured(benchmark_windows(benchmark, size, item_id_col, item_text_col))
+    # A window joins its items once a document, however often it was hit.
     hits = (
-        _hits(keyed, grams, size, "_text")
+        _hits(keyed, grams, lengths, broadcast, "_text")
+        .groupBy("_id", "_key", "gram")
+        .agg(F.collect_set(F.struct("start", "gram_len")).alias("at"))
+        .join(items, F.col("gram") == F.col("_gram"))
         .groupBy("_id", "_key")
         .agg(
-            F.array_sort(F.collect_set(F.struct("start", "gram_len"))).alias("spans"),
+            F.array_sort(F.flatten(F.collect_list("at"))).alias("spans"),
             F.collect_set("items").alias("items"),
         )
         .select(
@@ -176,11 +215,11 @@ def decontaminate(
     (``mode='spans'``). Columns and other rows stay as they are."""
     if mode not in ("documents", "spans"):
         raise ValueError(f"mode {mode!r}: 'documents' or 'spans'")
-    grams = benchmark_windows(benchmark, size, item_id_col, item_text_col)
+    grams, _, lengths, broadcast = _measured(benchmark_windows(benchmark, size, item_id_col, item_text_col))
     rows = packed(docs, key=text_key(F.col(text_col)), text=F.col(text_col))
     keyed = rows.select(F.lit(0).alias("_id"), F.col("key").alias("_key"), F.col("text").alias("_text"))
     found = (
-        _hits(keyed, grams, size, "_text")
+        _hits(keyed, grams, lengths, broadcast, "_text")
         .groupBy(F.col("_key").alias("hit_key"))
         .agg(F.array_sort(F.collect_set(F.struct("start", "gram_len"))).alias("spans"))
     )

@@ -297,6 +297,37 @@ def test_decontamination_by_shuffle(spark, monkeypatch):
     assert rows(decontamination.score(docs, items)) == held
 
 
+def test_decontamination_by_shuffle_moves_no_document_a_run(spark, monkeypatch, edge_docs):
+    long = " ".join(f"w{i * 7919 % 100_003}" for i in range(60_000))
+    docs = spark.createDataFrame([(1, long), (1, long), (None, long), (2, "w0 w1")], "doc_id long, text string")
+    words = long.split()
+    items = spark.createDataFrame([(1, " ".join(words[30_000:30_040])), (2, " ".join(words[30_005:30_015])), (3, "w0 w1")], "item_id long, text string")
+    held = rows(decontamination.score(docs, items)), rows(decontamination.score(edge_docs, items.union(edge_docs.select("doc_id", "text"))))
+    monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = decontamination.score(docs, items)
+        # Each sampled run drops the array of words from its row.
+        made = re.findall(r"Generate posexplode.*", got._jdf.queryExecution().optimizedPlan().toString())
+        assert made and all(re.search(r"posexplode\(.*\), \[\d+\]", g) for g in made)
+        assert rows(got) == held[0]
+        assert rows(decontamination.score(edge_docs, items.union(edge_docs.select("doc_id", "text")))) == held[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(r[2:4] for r in held[0]) == [(2, 1), (40, 2), (40, 2), (40, 2)]
+
+
+def test_decontamination_broadcasts_by_bytes(spark, monkeypatch):
+    items = spark.createDataFrame([(i, "one text of ten words that all of them share") for i in range(500)], "item_id long, text string")
+    grams = decontamination.benchmark_windows(items)
+    assert decontamination._measured(grams)[3]
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 1000)  # the words fit, their items do not
+    _, of, lengths, broadcast = decontamination._measured(grams)
+    assert broadcast and lengths == [10] and "ResolvedHint" not in of._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 100)
+    assert not decontamination._measured(grams)[3]
+
+
 def test_decontamination_odd_rows(spark, edge_docs, no_docs):
     items = spark.createDataFrame([(None, "quick brown fox jumps over the lazy dog near the old"), (2, None)], "item_id long, text string")
     got = {r.doc_id: r for r in decontamination.score(edge_docs, items).collect()}
