@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roasty.llm.common import text_key
+
 WINDOW = 64
 STRIDE = 48
 WORD_BUCKETS = 1 << 15
@@ -28,8 +30,8 @@ EMBED = 12
 HIDDEN = 10
 ATTENTION = 10
 
-#: Training sample: so many documents of each label at most, of at most so
-#: many characters each (longer ones say less about which words matter).
+#: Training sample: so many documents of each label at most, whole ones, of at
+#: most so many characters each on average: 4.5 million characters a label.
 TRAIN_DOCS = 1500
 TRAIN_CHARS = 3000
 EPOCHS = 6
@@ -203,7 +205,9 @@ def train(texts: list[str], labels: list[int], seed: int = 7, epochs: int = EPOC
             names = list(vocab)
             x = net.inputs(names)
             gates = net.projected(x)
-            logits = net.forward(gates[index], mask)
+            logits = np.concatenate([
+                net.forward(gates[index[j : j + BATCH_WINDOWS]], mask[j : j + BATCH_WINDOWS]) for j in range(0, len(index), BATCH_WINDOWS)
+            ])
             worst = np.array([np.flatnonzero(owner == j)[logits[owner == j].argmax()] for j in range(len(docs))])
             keep: dict = {}
             logits = net.forward(gates[index[worst]], mask[worst], keep)
@@ -281,28 +285,43 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[list[str], list[int]]:
-    """The training texts and labels: of each label, from the TRAIN_DOCS
-    * 4 labelled ids with the smallest hashes, TRAIN_DOCS texts at most that
-    are short enough. Only those bounded lists reach the driver."""
+    """The training texts and labels: of each label, of the documents that
+    have it and a text, TRAIN_DOCS at most in the order of their hashes, as
+    whole texts, without those that the rest of the label's TRAIN_DOCS *
+    TRAIN_CHARS characters does not hold (the shortest text if it holds none).
+    Only those bounded lists reach the driver. A label that the table has and
+    no document with a word is an error, unless there are no documents."""
     known = (
         labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
         .groupBy(F.col(id_col).alias("_lid")).agg(F.max(label_col).cast("int").alias("_label"))
-        .withColumn("_order", F.xxhash64("_lid"))
     )
-    texts, marks = [], []
+    own = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).filter(F.length("_text") > 0)
+    # Ids and lengths alone meet the labels; repeated rows count once.
+    usable = (
+        own.select("_id", text_key(F.col("_text")).alias("_key"), F.length("_text").alias("_n"))
+        .join(known, F.col("_id") == F.col("_lid")).groupBy("_id", "_key").agg(F.max("_n").alias("_n"), F.max("_label").alias("_label"))
+    )
+    chosen = []
     for label in (0, 1):
-        ids = [r["_lid"] for r in known.filter(F.col("_label") == label).orderBy("_order", "_lid").limit(TRAIN_DOCS * 4).select("_lid").collect()]
-        if not ids:
-            continue
-        wanted = docs.sparkSession.createDataFrame([(i,) for i in ids], f"_lid {dict(labels.dtypes)[id_col]}")
-        rows = (
-            docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-            .filter(F.length("_text").between(1, TRAIN_CHARS))
-            .join(F.broadcast(wanted), F.col("_id") == F.col("_lid"))
-            .orderBy(F.xxhash64("_lid"), "_lid", "_text").limit(TRAIN_DOCS).select("_text").collect()
-        )
-        texts += [r["_text"] for r in rows]
-        marks += [label] * len(rows)
+        has = usable.filter(F.col("_label") == label)
+        room, taken = TRAIN_DOCS * TRAIN_CHARS, []
+        for r in has.orderBy(F.xxhash64("_id"), "_id", "_key").limit(TRAIN_DOCS * 4).collect():
+            if r["_n"] <= room and len(taken) < TRAIN_DOCS:
+                taken.append((r["_id"], r["_key"], label))
+                room -= r["_n"]
+        chosen += taken or [(r["_id"], r["_key"], label) for r in has.orderBy("_n", "_id", "_key").limit(1).collect()]
+    texts, marks = [], []
+    if chosen:
+        wanted = docs.sparkSession.createDataFrame(chosen, f"_wid {dict(docs.dtypes)[id_col]}, _wkey long, _label int")
+        same = (F.col("_id") == F.col("_wid")) & (text_key(F.col("_text")) == F.col("_wkey"))
+        rows = own.join(F.broadcast(wanted), same).dropDuplicates(["_id", "_wkey"])
+        for r in rows.orderBy("_label", F.xxhash64("_id"), "_id", "_wkey").select("_text", "_label").collect():
+            texts.append(r["_text"])
+            marks.append(r["_label"])
+    learned = {m for t, m in zip(texts, marks, strict=True) if tokens(t)}
+    missing = [label for label in (0, 1) if label not in learned and not known.filter(F.col("_label") == label).isEmpty()]
+    if missing and not docs.isEmpty():
+        raise ValueError(f"labels {missing} are given, but no document to learn them from")
     return texts, marks
 
 
@@ -316,7 +335,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     A null or empty text, or one without words, scores 0. Null ids and labels
     are not learned from; of repeated labels of an id the largest counts;
     without labels, or with one label only, all texts with words get the same
-    score. Repeated rows score alike. Other columns are ignored."""
+    score; labels that no document can teach are an error. Repeated rows score alike. Other columns are ignored."""
     net = train(*sample(docs, labels, id_col, text_col, label_col))
     model = docs.sparkSession.sparkContext.broadcast(net)  # 2 MB, fixed by the parameters above
     id_type = dict(docs.dtypes)[id_col]

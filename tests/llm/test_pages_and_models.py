@@ -293,6 +293,19 @@ def test_toxic_words_are_found_anywhere(spark):
     assert {r.predicted for r in none} == {0} and toxicity.score(df.filter("false"), lab).count() == 0
 
 
+def test_sample_meets_documents_first(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAIN_DOCS", 3)
+    docs = spark.createDataFrame([(i, f"{i} " * (1000 if i % 2 else 10)) for i in range(10_000, 10_040)], "doc_id long, text string")
+    docs = docs.union(docs)
+    labels = spark.createDataFrame([(i, int(i % 4 == 1)) for i in range(10_040)], "doc_id long, toxic int")
+    texts, marks = toxicity.sample(docs, labels, "doc_id", "text", "toxic")
+    assert sorted(marks) == [0, 0, 0, 1] and len(set(texts)) == 4  # few of the labels; toxic texts are long, one fits
+    assert sum(len(t) for t, m in zip(texts, marks, strict=True) if m == 0) <= 9000
+    assert {len(t) for t, m in zip(texts, marks, strict=True) if m} == {6000}
+    with pytest.raises(ValueError, match="1"):
+        toxicity.score(docs.filter("doc_id % 4 != 1"), labels)
+
+
 # The pipeline.
 
 
