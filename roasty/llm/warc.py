@@ -98,8 +98,11 @@ def unchunked(body: bytes) -> bytes | None:
 
 
 def _record(fields: list[tuple[str, object]], block: bytes) -> bytes:
-    """A record but for its last line end, which the file writer adds."""
-    head = "".join(f"{k}: {v}\r\n" for k, v in fields if v is not None)
+    """A record but for its last line end, which the file writer adds. A value
+    that ends like a version line gets a blank, which is not of the value, so
+    that the mark that starts a record never occurs in a head."""
+    lines = [f"{k}: {v}" for k, v in fields if v is not None]
+    head = "".join(line + (" \r\n" if line.endswith(BETWEEN.rstrip()) else "\r\n") for line in lines)
     return b"".join([VERSION, head.encode(), b"Content-Length: %d\r\n\r\n" % len(block), block, CRLF])
 
 

@@ -124,6 +124,15 @@ def test_archives_come_back(spark):
     assert warc.round_trip(df.filter("false")).count() == 0
 
 
+def test_urls_that_end_like_a_version_line(spark):
+    r = random.Random(4)
+    big = "".join(r.choice("abc") for _ in range(40_000))
+    pages = [(1, "http://a/WARC/1.1", "<p>one</p>"), (2, "http://b/WARC/1.1", big), (3, "WARC/1.1", big), (4, "http://c/WARC/1.1/x", "two"), (5, "http://d/WARC/1%2E1", "three")]
+    got = {row.page_id: row for row in warc.round_trip(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert {(i, got[i].url, got[i].payload_bytes, got[i].complete) for i in got} == {(i, u, len(t), True) for i, u, t in pages}
+    assert got[2].record_type == "revisit" and got[2].refers_to == 3
+
+
 def test_broken_archives_are_told(spark, tmp_path):
     good = warc.page_records(1, "u", b"a" * 50_000, None, 16 << 10, 4 << 10, "d")
     assert len(good) == 4
