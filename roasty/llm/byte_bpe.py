@@ -15,11 +15,12 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,12 +30,12 @@ RANKS_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pattern that cuts texts into words; a fixed value of the vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Characters of the texts, and bytes of new words, that are taken at once.
-BLOCK_CHARS = 4_000_000
+#: Bytes of the texts, and of new words, that are taken at once.
 BLOCK_BYTES = 1_000_000
-#: Bytes of encoded words that a task keeps between blocks; the half in use
-#: comes over when it starts anew.
-KEPT_BYTES = 64_000_000
+CORPUS_BYTES = 400_000
+#: Bytes of encoded words that a task keeps between blocks; beyond that it
+#: starts anew, and words in use come over from before.
+KEPT_BYTES = 40_000_000
 
 
 def read_ranks(lines: bytes) -> dict[bytes, int]:
@@ -43,6 +44,11 @@ def read_ranks(lines: bytes) -> dict[bytes, int]:
     return {base64.b64decode(token): int(rank) for token, rank in pairs}
 
 
+def _weight(word: str) -> int:
+    """About the bytes that a word and its ids take up in memory."""
+    return 200 + 5 * len(word)
+
+
 class Merges:
     """The ranks of a vocabulary, by pairs of neighbouring tokens. A token's
     id is its rank; every single byte must be a token."""
@@ -56,9 +62,6 @@ class Merges:
         top = max(ranks.values())
         #: Ids of no token: the gap between two words, and what a merge used up.
         self.gap, self.gone, self.base = top + 1, top + 2, top + 3
-        self.bytes_of: list[bytes] = [b""] * (top + 1)
-        for token, rank in ranks.items():
-            self.bytes_of[rank] = token
         self.pairs: dict[int, int] = {}
         for token, rank in ranks.items():
             for i in range(1, len(token)):
@@ -172,7 +175,7 @@ class Merges:
         # Sorted, so that a block is the same in every run.
         for word in sorted(words):
             data = word.encode()
-            self._held += 100 + 3 * len(data)
+            self._held += _weight(word)
             whole = ranks.get(data)
             if whole is not None:
                 known[word] = whole.to_bytes(4, "little")
@@ -180,7 +183,7 @@ class Merges:
             new.append(word)
             raw.append(data)
             size += len(data)
-            if size >= BLOCK_BYTES:
+            if size >= CORPUS_BYTES:
                 flush()
                 size = 0
         flush()
@@ -197,15 +200,10 @@ class Merges:
         new = distinct.difference(known)
         for word in new.intersection(older):
             known[word] = older[word]
-            self._held += 100 + 3 * len(word)
+            self._held += _weight(word)
         self._learn(new.difference(known))
         return [b"".join([known[w] for w in words]) for words in cut]
 
-    def decode(self, ids: Iterable[int]) -> bytes:
-        """The bytes of ids; one that is no token's fails."""
-        of = self.bytes_of
-        return b"".join([of[i] for i in ids])
-
 
 _LOADED: dict[int, Merges] = {}
 
@@ -219,15 +217,17 @@ def _loaded(ranks, pattern: str) -> Merges:
     return _LOADED[key]
 
 
-def _blocks(sizes: list[int]) -> Iterator[slice]:
+def _blocks(column: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """A column of texts in runs of BLOCK_BYTES or a little more, each with
+    the place where it starts."""
     start = size = 0
-    for i, n in enumerate(sizes):
+    for i, n in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
         size += n
-        if size >= BLOCK_CHARS:
-            yield slice(start, i + 1)
+        if size >= BLOCK_BYTES:
+            yield start, column.slice(start, i + 1 - start)
             start, size = i + 1, 0
-    if start < len(sizes):
-        yield slice(start, len(sizes))
+    if start < len(column):
+        yield start, column.slice(start)
 
 
 def _kept(docs: DataFrame, value: str, result: str) -> tuple[DataFrame, list[str], str]:
@@ -254,16 +254,15 @@ def encode(docs: DataFrame, ranks_path: str = RANKS_PATH, pattern: str = PATTERN
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges = _loaded(ranks, pattern)
         for b in batches:
-            texts = [t or "" for t in b.column(1).to_pylist()]
-            for part in _blocks([len(t) for t in texts]):
-                coded = merges.encode_texts(texts[part])
+            for start, part in _blocks(b.column(1)):
+                coded = merges.encode_texts([t or "" for t in part.to_pylist()])
                 if packed:
                     ids = pa.array(coded, pa.binary())
                 else:
                     ends = [0, *accumulate(len(c) // 4 for c in coded)]
                     flat = np.frombuffer(b"".join(coded), "<u4").astype(np.int32)
                     ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(part.start, len(coded)), ids], ["_row", "ids"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(start, len(coded)), ids], ["_row", "ids"])
 
     out = rows.mapInArrow(run, f"_row {row_type}, ids {'binary' if packed else 'array<int>'}")
     return out.select(*[F.col("_row")[c].alias(c) for c in names], F.col("ids").alias(ids_col))
@@ -280,10 +279,10 @@ def decode(docs: DataFrame, ranks_path: str = RANKS_PATH, ids_col: str = "ids",
     packed = rows.schema["_value"].dataType.typeName() == "binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges = _loaded(ranks, PATTERN)
+        of = {rank: token for token, rank in read_ranks(ranks.value).items()}
         for b in batches:
-            lists = (None if v is None else np.frombuffer(v, "<u4").tolist() if packed else v for v in b.column(1).to_pylist())
-            out = [None if ids is None else merges.decode(ids) for ids in lists]
+            lists = (np.frombuffer(v, "<u4").tolist() if packed and v is not None else v for v in (x.as_py() for x in b.column(1)))
+            out = [None if ids is None else b"".join([of[i] for i in ids]) for ids in lists]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], ["_row", "decoded"])
 
     out = rows.mapInArrow(run, f"_row {row_type}, decoded binary")
