@@ -30,7 +30,10 @@ DROPPED = frozenset(
     "nav footer aside button select textarea fieldset dialog menu script style noscript template svg math canvas "
     "iframe object audio video map head title".split()
 )
-RAW_TEXT = "script|style|noscript|template|svg|iframe|textarea|title"
+RAW_TEXT = "script|style|noscript|iframe|textarea|title"
+#: Hold elements of another language: a slash closes those, and a block of the
+#: page ends them, unless it stands in the element named last.
+FOREIGN, HTML_AGAIN = frozenset("svg math".split()), "foreignobject"
 #: Hold text themselves; what they score counts for the element around them.
 TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 li pre blockquote dt dd td th tr figcaption caption address summary".split())
 #: Opening one of these ends an open paragraph.
@@ -62,6 +65,9 @@ SITE_NAV = frozenset("nav navbar navigation menu".split())
 OWN_NAV = frozenset("breadcrumb breadcrumbs pagination pager toc".split())
 #: Whole pages and articles are not dropped for what their classes mention.
 KEPT_TAGS = frozenset("html body main".split())
+#: Elements nested deeper than this stand beside each other for the paths and
+#: scores, as browsers lay them out; nothing of their text is lost.
+DEEPEST = 512
 #: Main text where it has so large a share of the page's unlinked text; what
 #: is marked as wordy, where so little but headings is left beside it.
 MOST, REST = 1 / 2, 1 / 20
@@ -74,7 +80,7 @@ ATTRS = rf"(?:[\s/]++|{NAME}(?:\s*+=\s*+(?:{VALUE}))?+)*+"
 #: A tag that the end of the page cuts off is markup, not text.
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<raw>{RAW_TEXT})\b{ATTRS}>.*?(?:</(?P=raw)\s*>|\Z)"
+    rf"|<(?P<raw>{RAW_TEXT})(?=[\s/>]){ATTRS}>.*?(?:</(?P=raw)(?=[\s/>])[^>]*+>|\Z)"
     r"|<[!?][^>]*+>"
     rf"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attrs>{ATTRS})(?:>|\Z)",
     re.DOTALL | re.IGNORECASE,
@@ -84,16 +90,60 @@ WORDS = re.compile(r"[a-z]+")
 DIGITS = re.compile(r"\d+")
 
 
+#: Of text blocks and lists of them, the element around is the container.
+HOLD_TEXT = TEXT_BLOCKS | frozenset("ul ol dl table tbody thead tfoot".split())
+
+
 class Element:
-    __slots__ = ("tag", "path", "dropped", "header", "order", "nav", "suspect", "wordy", "main", "titled")
+    """An element with a link to the one around it. What the elements around
+    it say is taken over when it opens, so that no text block has to walk up."""
+
+    __slots__ = ("tag", "parent", "depth", "path", "dropped", "order", "nav", "suspect", "wordy", "main", "titled",
+                 "suspects", "article", "last_article", "last_header", "container")
 
-    def __init__(self, tag: str, path: str, dropped: bool, header: bool, order: int):
-        self.tag, self.path, self.dropped, self.header, self.order = tag, path, dropped, header, order
+    def __init__(self, tag: str, parent: Element | None, path: int, dropped: bool, order: int):
+        self.tag, self.parent, self.path, self.dropped, self.order = tag, parent, path, dropped, order
+        self.depth = parent.depth + 1 if parent else 0
         #: Whether the site's navigation is in it.
         self.nav = False
         #: What a suspect looks like, if it is one: its likes are judged together.
         self.suspect: str | None = None
         self.wordy = self.main = self.titled = False
+        #: The suspects among it and the elements around it.
+        self.suspects: tuple[Element, ...] = parent.suspects if parent else ()
+        #: The outermost article, and the depths of the innermost article and header (-1: none).
+        self.article: Element | None = (parent.article if parent else None) or (self if tag == "article" else None)
+        self.last_article = self.depth if tag == "article" else parent.last_article if parent else -1
+        self.last_header = self.depth if tag == "header" else parent.last_header if parent else -1
+        #: The innermost element that is not itself a text block.
+        self.container: Element | None = (parent.container if parent else None) if tag in HOLD_TEXT else self
+
+    @property
+    def header(self) -> bool:
+        return self.last_header == self.depth
+
+
+class Paths:
+    """The tag-and-class paths of a page, each by number, from its parent's
+    number and its own step."""
+
+    def __init__(self) -> None:
+        self.numbers: dict[tuple[int, str], int] = {}
+        self.steps: list[tuple[int, str]] = []
+
+    def number(self, parent: int, step: str) -> int:
+        got = self.numbers.get((parent, step))
+        if got is None:
+            got = self.numbers[parent, step] = len(self.steps)
+            self.steps.append((parent, step))
+        return got
+
+    def text(self, number: int) -> str:
+        out = []
+        while number >= 0:
+            number, step = self.steps[number]
+            out.append(step)
+        return "/".join(reversed(out))
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -117,129 +167,172 @@ def _is_boilerplate(tag: str, attrs: dict[str, str]) -> bool:
 
 
 class Block:
-    """A run of text that ends at a block boundary: the elements around it,
-    its text and how many of its characters are in links."""
-
-    __slots__ = ("around", "text", "linked")
-
-    def __init__(self, around: tuple[Element, ...], text: str, linked: int):
-        self.around, self.text, self.linked = around, text, linked
-
-
-def blocks(page: str) -> list[Block]:
-    """The page's text blocks in order, boilerplate elements left out."""
-    out: list[Block] = []
-    suspects = False
-    stack: list[Element] = []
-    pieces: list[str] = []
-    linked = links = order = skipping = 0
-
-    def flush() -> None:
-        nonlocal linked
-        if pieces:
-            text = " ".join(html_lib.unescape("".join(pieces)).split())
-            pieces.clear()
-            if text:
-                out.append(Block(tuple(stack), text, min(linked, len(text))))
-        linked = 0
-
-    def close(at: int) -> None:
-        nonlocal skipping
-        flush()
-        while len(stack) > at:
-            skipping -= stack.pop().dropped
-
-    def text_piece(s: str) -> None:
-        nonlocal linked
-        if s and not skipping:
-            pieces.append(s)
-            if links:
-                linked += len(s)
-
-    at = 0
-    for m in TAG.finditer(page):
-        if m.start() > at:
-            text_piece(page[at : m.start()])
-        at = m.end()
-        tag = m["tag"]
-        if tag is None:
-            continue
-        tag = tag.lower()
-        if tag in INLINE:
-            if tag == "a":
-                links = max(0, links - 1) if m["end"] else 1
-            continue
-        if tag in VOID:
-            if tag == "hr":
-                flush()
-            elif tag == "br":
-                text_piece(" ")
-            continue
-        if m["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == tag:
+    """A run of text that ends at a block boundary: the innermost element
+    around it, its text and how many of its characters are in links."""
+
+    __slots__ = ("inside", "text", "linked")
+
+    def __init__(self, inside: Element | None, text: str, linked: int):
+        self.inside, self.text, self.linked = inside, text, linked
+
+
+class Page:
+    """The text blocks of a page in order, boilerplate elements left out, its
+    elements in the order they open, and their paths."""
+
+    def __init__(self, page: str):
+        self.blocks: list[Block] = []
+        self.elements: list[Element] = []
+        self.paths = Paths()
+        self._read(page)
+        for e in reversed(self.elements):  # what is in an element is in those around it
+            if e.parent:
+                e.parent.nav |= e.nav
+                e.parent.main |= e.main
+                e.parent.titled |= e.titled
+        if any(e.suspect for e in self.elements):
+            self.blocks = _cleared(self.blocks)
+
+    def _read(self, page: str) -> None:
+        out, stack, pieces = self.blocks, [], []
+        #: How many elements of a tag are open.
+        open_tags: dict[str, int] = {}
+        linked = links = skipping = 0
+
+        def flush() -> None:
+            nonlocal linked
+            if pieces:
+                text = " ".join(html_lib.unescape("".join(pieces)).split())
+                pieces.clear()
+                if text:
+                    out.append(Block(stack[-1] if stack else None, text, min(linked, len(text))))
+            linked = 0
+
+        def close(at: int) -> None:
+            nonlocal skipping
+            flush()
+            while len(stack) > at:
+                e = stack.pop()
+                skipping -= e.dropped
+                open_tags[e.tag] -= 1
+
+        def text_piece(s: str) -> None:
+            nonlocal linked
+            if s and not skipping:
+                pieces.append(s)
+                if links:
+                    linked += len(s)
+
+        at = 0
+        for m in TAG.finditer(page):
+            if m.start() > at:
+                text_piece(page[at : m.start()])
+            at = m.end()
+            tag = m["tag"]
+            if tag is None:
+                continue
+            tag = tag.lower()
+            if tag in INLINE:
+                if tag == "a":
+                    links = max(0, links - 1) if m["end"] else 1
+                continue
+            if tag in VOID:
+                if tag == "hr":
+                    flush()
+                elif tag == "br":
+                    text_piece(" ")
+                continue
+            if m["end"]:
+                if open_tags.get(tag):
+                    i = len(stack) - 1
+                    while stack[i].tag != tag:
+                        i -= 1
                     close(i)
-                    break
-            else:
-                flush()
+                else:
+                    flush()
+                links = 0
+                continue
+            foreign = any(open_tags.get(t) for t in FOREIGN) and not open_tags.get(HTML_AGAIN)
+            if foreign and tag in ENDS_P:
+                close(next(i for i, e in enumerate(stack) if e.tag in FOREIGN))
+                foreign = False
+            if (foreign or tag in FOREIGN) and m["attrs"].endswith("/"):
+                continue
+            if tag in ENDS_P and open_tags.get("p"):
+                for i in range(len(stack) - 1, -1, -1):
+                    if stack[i].tag == "p":
+                        close(i)
+                        break
+                    if stack[i].tag not in TEXT_BLOCKS:
+                        break
+            if tag in SIBLINGS:
+                ends, until = SIBLINGS[tag]
+                if any(open_tags.get(t) for t in ends):
+                    for i in range(len(stack) - 1, -1, -1):
+                        if stack[i].tag in until:
+                            break
+                        if stack[i].tag in ends:
+                            close(i)
+                            break
+            flush()
             links = 0
-            continue
-        if tag in ENDS_P:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == "p":
-                    close(i)
-                    break
-                if stack[i].tag not in TEXT_BLOCKS:
-                    break
-        if tag in SIBLINGS:
-            ends, until = SIBLINGS[tag]
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag in until:
-                    break
-                if stack[i].tag in ends:
-                    close(i)
-                    break
-        flush()
-        links = 0
-        attrs = _attributes(m["attrs"])
+            new = self._opened(tag, m["attrs"], stack[-1] if stack else None, skipping)
+            if not m["attrs"].endswith("/") or tag not in ("path", "rect"):
+                stack.append(new)
+                open_tags[tag] = open_tags.get(tag, 0) + 1
+                skipping += new.dropped
+        if at < len(page):
+            rest = page[at:]
+            cut = re.search(r"<[/!?][^>]*\Z", rest)
+            text_piece(rest[: cut.start()] if cut else rest)
+        close(0)
+
+    def _opened(self, tag: str, attributes: str, parent: Element | None, skipping: int) -> Element:
+        attrs = _attributes(attributes)
         classes = sorted({DIGITS.sub("#", c.lower()) for c in attrs.get("class", "").split()})
         step = ".".join([tag, *classes])
-        path = f"{stack[-1].path}/{step}" if stack else step
         dropped = _is_boilerplate(tag, attrs)
-        order += 1
-        new = Element(tag, path, dropped, tag == "header", order)
+        if parent and parent.depth >= DEEPEST:
+            parent = parent.parent
+        path = self.paths.number(parent.path if parent else -1, step)
+        new = Element(tag, parent, path, dropped, len(self.elements) + 1)
+        self.elements.append(new)
         if not skipping:
             named = _named(attrs) if attrs else []
-            inner = tag == "article" and any(e.tag == "article" for e in stack)
+            inner = tag == "article" and parent is not None and parent.article is not None
             if not dropped and (tag == "form" or not BOILERPLATE.isdisjoint(named)) and tag not in KEPT_TAGS and (tag != "article" or inner):
-                new.suspect, suspects = f"{step} {attrs.get('id', '')} {attrs.get('role', '')}", True
+                new.suspect = f"{step} {attrs.get('id', '')} {attrs.get('role', '')}"
+                new.suspects = (*new.suspects, new)
                 new.wordy = not WORDY.isdisjoint(named)
-            if (dropped or new.suspect) and _is_site_nav(tag, named):
-                for e in stack:
-                    e.nav = True
-            if tag in ("main", "h1") or "main" in attrs.get("role", "").split():
-                for e in stack:
-                    e.titled = True
-                    e.main |= tag != "h1"
-        if not m["attrs"].endswith("/") or tag not in ("path", "rect"):
-            stack.append(new)
-            skipping += dropped
-    if at < len(page):
-        rest = page[at:]
-        cut = re.search(r"<[/!?][^>]*\Z", rest)
-        text_piece(rest[: cut.start()] if cut else rest)
-    close(0)
-    return _cleared(out) if suspects else out
+            if parent:
+                # For the elements around it: see where the page has been read.
+                if (dropped or new.suspect) and _is_site_nav(tag, named):
+                    parent.nav = True
+                if tag in ("main", "h1") or "main" in attrs.get("role", "").split():
+                    parent.titled = True
+                    parent.main |= tag != "h1"
+        return new
 
 
 def _is_heading(b: Block) -> bool:
-    return re.fullmatch("h[1-6]", b.around[-1].tag) is not None
+    return b.inside is not None and re.fullmatch("h[1-6]", b.inside.tag) is not None
 
 
 def _unlinked(found: list[Block]) -> int:
     return sum(len(b.text) - b.linked for b in found)
 
 
+def _around(e: Element | None) -> Iterator[Element]:
+    """The element and those around it, the innermost first."""
+    while e is not None:
+        yield e
+        e = e.parent
+
+
+def _suspects(b: Block) -> tuple[Element, ...]:
+    return b.inside.suspects if b.inside else ()
+
+
 def _cleared(found: list[Block]) -> list[Block]:
     """The blocks without those of suspects that do not hold the main text: a
     ``main``, the page's longest article or most of the unlinked text; wordy
@@ -248,30 +341,31 @@ def _cleared(found: list[Block]) -> list[Block]:
     def texts(of: list[Block]) -> dict[str, int]:
         out: dict[str, int] = {}
         for b in of:
-            for like in {e.suspect for e in b.around if e.suspect}:
+            for like in {e.suspect for e in _suspects(b)}:
                 out[like] = out.get(like, 0) + len(b.text) - b.linked
         return out
 
     def without(of: list[Block], likes: set[str]) -> list[Block]:
-        return [b for b in of if likes.isdisjoint(e.suspect for e in b.around)]
+        return [b for b in of if likes.isdisjoint(e.suspect for e in _suspects(b))]
 
     likes: dict[str, Element] = {}
     articles: dict[int, int] = {}
+    by_order: dict[int, Element] = {}
     for b in found:
-        outer = next((e for e in b.around if e.tag == "article"), None)
+        outer = b.inside.article if b.inside else None
         if outer:
+            by_order[outer.order] = outer
             articles[outer.order] = articles.get(outer.order, 0) + len(b.text) - b.linked
-        for e in b.around:
-            if e.suspect:
-                first = likes.setdefault(e.suspect, e)
-                first.main |= e.main
-                first.titled |= e.titled
+        for e in _suspects(b):
+            first = likes.setdefault(e.suspect, e)
+            first.main |= e.main
+            first.titled |= e.titled
     longest = max(articles, key=lambda k: (articles[k], -k), default=None)
-    own = {e.suspect for b in found for k, e in enumerate(b.around) if e.suspect and any(x.order == longest for x in b.around[k + 1 :])}
+    own = {e.suspect for e in _around(by_order[longest].parent) if e.suspect} if longest is not None else set()
     share, total = texts(found), _unlinked(found)
     wordy = {like for like, e in likes.items() if e.wordy and not (e.titled and (e.main or like in own or share[like] > MOST * total))}
     beside = without(found, wordy)
-    if wordy and _unlinked([b for b in beside if not (b.around and _is_heading(b))]) < REST * total:
+    if wordy and _unlinked([b for b in beside if not _is_heading(b)]) < REST * total:
         wordy = {like for like in wordy if share[like] <= MOST * total}
         beside = without(found, wordy)
     share, total = texts(beside), _unlinked(beside)
@@ -282,33 +376,32 @@ def _cleared(found: list[Block]) -> list[Block]:
     return without(beside, dropped)
 
 
-def _container(around: tuple[Element, ...]) -> int:
-    """Index of the innermost element that is not itself a text block."""
-    for i in range(len(around) - 1, -1, -1):
-        if around[i].tag not in TEXT_BLOCKS and around[i].tag not in ("ul", "ol", "dl", "table", "tbody", "thead", "tfoot"):
-            return i
-    return 0
+def _in_header(b: Block, depth: int = 0) -> bool:
+    """Whether a header of this depth or deeper is around the block."""
+    return b.inside is not None and b.inside.last_header >= depth
 
 
-def _in_header(around: tuple[Element, ...], start: int) -> bool:
-    return any(e.header for e in around[start:])
+def _container(e: Element) -> Element:
+    """The innermost element around that is not itself a text block, else the
+    outermost."""
+    return e.container or list(_around(e))[-1]
 
 
-def scores(found: list[Block]) -> dict[str, int]:
+def scores(page: Page) -> dict[int, int]:
     """Score by container path: the unlinked characters a container's own
     blocks hold; the container around it gets half, so that an article cut
     into sections beats each of them."""
-    out: dict[str, int] = {}
-    for b in found:
-        if not b.around or _in_header(b.around, 0):
+    out: dict[int, int] = {}
+    for b in page.blocks:
+        if b.inside is None or _in_header(b):
             continue
         weight = 2 * max(0, len(b.text) - 2 * b.linked)
-        i = _container(b.around)
+        e: Element | None = _container(b.inside)
         for step in (weight, weight // 2):
-            if i < 0 or b.around[i].tag in ("html",):
+            if e is None or e.tag == "html":
                 break
-            out[b.around[i].path] = out.get(b.around[i].path, 0) + step
-            i -= 1
+            out[e.path] = out.get(e.path, 0) + step
+            e = e.parent
     return out
 
 
@@ -316,7 +409,7 @@ def best_path(by_path: dict[str, int]) -> str | None:
     return max(by_path, key=lambda p: (by_path[p], p)) if by_path else None
 
 
-def _article(found: list[Block], path: str) -> list[Block]:
+def _article(page: Page, path: int) -> list[Block]:
     """The blocks of the article that has its main container at ``path``.
 
     All of the container; all of an ``article`` around it; of each other
@@ -325,49 +418,58 @@ def _article(found: list[Block], path: str) -> list[Block]:
     section that is neither, or one with the site's navigation, and in the
     body, only text that stands there directly is of the article. Headers
     keep their headings alone, those of the site nothing."""
-    # Elements around the container by their number, the outermost first (0:
-    # the page), and those of their children that hold it.
+    found = page.blocks
+    # The container that each element is in, if any; elements open after those around them.
+    holder: dict[int, Element] = {}
+    for e in page.elements:
+        if e.path == path:
+            holder[e.order] = e
+        elif e.parent and e.parent.order in holder:
+            holder[e.order] = holder[e.parent.order]
+    # Elements around the containers that hold text by their number (0: the
+    # page), and those of their children that hold one.
     above: dict[int, Element | None] = {0: None}
     holding: dict[int, set[int]] = {0: set()}
-    under: dict[int, bool] = {0: False}
     beyond: set[int] = set()
-    at, seen = [], set()
-    for b in found:
-        i = next((i for i, e in enumerate(b.around) if e.path == path), None)
-        at.append(i)
-        if i is None or b.around[i].order in seen:
-            continue
-        seen.add(b.around[i].order)
-        if b.around[i].tag == "article":
-            beyond.add(b.around[i].order)
-        last = 0
-        for e in b.around[: i + 1]:
-            holding[last].add(e.order)
-            if e.order not in seen:
-                above[e.order] = e
-                holding.setdefault(e.order, set())
-                under[e.order] = under[last] or (last and above[last].tag in ("article", "main"))
-            last = e.order
-    # A section is of the innermost such element around it.
+    for order in dict.fromkeys(holder[b.inside.order].order for b in found if b.inside and b.inside.order in holder):
+        e = page.elements[order - 1]
+        if e.tag == "article":
+            beyond.add(order)
+        for x in _around(e):
+            known = x.order in above
+            above[x.order] = x
+            holding.setdefault(x.order, set())
+            holding.setdefault(x.parent.order if x.parent else 0, set()).add(x.order)
+            if known:
+                break
+    # The outermost element around that is not above.
+    off: dict[int, Element] = {}
+    for e in page.elements:
+        if e.order not in above:
+            off[e.order] = e if e.parent is None or e.parent.order in above else off[e.parent.order]
+    kept: set[int] = set()
+    # A section is of the innermost element above around it.
     sections: dict[int, dict[object, list[int]]] = {}
-    for k, (b, i) in enumerate(zip(found, at, strict=True)):
-        if i is None:
-            j = next((j for j, e in enumerate(b.around) if e.order not in above), len(b.around))
-            of = b.around[j - 1].order if j else 0
-            sections.setdefault(of, {}).setdefault(b.around[j].order if j < len(b.around) else ("text", k), []).append(k)
-            at[k] = -1 - j
-    kept = {k for k, i in enumerate(at) if i >= 0 and (not _in_header(found[k].around, i) or _is_heading(found[k]))}
+    for k, b in enumerate(found):
+        held = holder.get(b.inside.order) if b.inside else None
+        if held:
+            if not _in_header(b, held.depth) or _is_heading(b):
+                kept.add(k)
+            continue
+        child = off.get(b.inside.order) if b.inside else None
+        of = (child.parent if child else b.inside)
+        sections.setdefault(of.order if of else 0, {}).setdefault(child.order if child else ("text", k), []).append(k)
     for order in sorted(above, reverse=True):  # an element's number is above those of the elements around it
         e = above[order]
         tag = e.tag if e else "html"
-        page = tag in ("html", "body")
-        site = page or (e.nav and tag not in ("article", "main"))
+        around = e.parent if e else None
+        under = any(x.tag in ("article", "main") for x in _around(around)) if order in sections else False
+        site = tag in ("html", "body") or (e.nav and tag not in ("article", "main"))
         frame = site or not beyond.isdisjoint(holding[order])
         left_out = False
-        for ks in sections.get(order, {}).values():
-            j = -1 - at[ks[0]]
-            first = found[ks[0]].around
-            child = first[j] if j < len(first) else None
+        for name, ks in sections.get(order, {}).items():
+            child = page.elements[name - 1] if isinstance(name, int) else None
+            depth = child.depth if child else (e.depth + 1 if e else 0)
             if child is not None and child.header:
                 if not site and not child.nav:
                     kept.update(k for k in ks if _is_heading(found[k]))
@@ -375,26 +477,26 @@ def _article(found: list[Block], path: str) -> list[Block]:
             if frame or tag != "article":
                 links = 2 * sum(found[k].linked for k in ks) > sum(len(found[k].text) for k in ks)
                 direct = child is None or child.tag in TEXT_BLOCKS
-                if links or (frame and not direct) or any(x.tag == "article" for k in ks for x in found[k].around[j:]):
+                if links or (frame and not direct) or any(found[k].inside and found[k].inside.last_article >= depth for k in ks):
                     left_out = True
                     continue
-            kept.update(k for k in ks if not _in_header(found[k].around, j) or _is_heading(found[k]))
-        if frame or tag == "article" or (left_out and not under[order]):
+            kept.update(k for k in ks if not _in_header(found[k], depth) or _is_heading(found[k]))
+        if frame or tag == "article" or (left_out and not under):
             beyond.add(order)
     return [found[k] for k in sorted(kept)]
 
 
-def extract(page: str, winner: str | None) -> tuple[str, str | None]:
+def extract(text: str, winner: str | None) -> tuple[str, str | None]:
     """The text of the page's article around ``winner``, or around its own
     best path if it lacks the winner or holds less than a fifth of its best
     there; and that path."""
-    found = blocks(page)
-    own = scores(found)
-    best = best_path(own)
-    path = winner if winner in own and own[winner] * 5 >= own[best] else best
+    page = Page(text)
+    own = {page.paths.text(p): (p, score) for p, score in scores(page).items()}
+    best = best_path({p: score for p, (_, score) in own.items()})
+    path = winner if winner in own and own[winner][1] * 5 >= own[best][1] else best
     if path is None:
-        return "\n\n".join(b.text for b in found if not _in_header(b.around, 0)), None
-    return "\n\n".join(b.text for b in _article(found, path)), path
+        return "\n\n".join(b.text for b in page.blocks if not _in_header(b)), None
+    return "\n\n".join(b.text for b in _article(page, own[path][0])), path
 
 
 def host(url: Column) -> Column:
@@ -411,9 +513,11 @@ def votes(pages: DataFrame) -> DataFrame:
         for b in batches:
             tally: dict[tuple[str, str], int] = {}
             for h, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                by_path = scores(blocks(page or ""))
+                read = Page(page or "")
+                by_path = scores(read)
                 total = sum(by_path.values())
-                for p, s in by_path.items():
+                for number, s in by_path.items():
+                    p = read.paths.text(number)
                     tally[h, p] = tally.get((h, p), 0) + (1000 * s // total if total else 0)
             keys = list(tally)
             yield pa.RecordBatch.from_arrays(
