@@ -57,12 +57,27 @@ def money_sum(c: str | Column) -> Column:
     return money_total(c).cast("double")
 
 
+# Operands of an exact ratio: narrow enough that a hundredfold keeps all places.
+RATIO_TYPE = "decimal(33,18)"
+
+
 def ratio(num: Column, den: Column, scale: int = 2) -> Column:
-    """``ROUND(num / NULLIF(den, 0), scale)``: NULL when ``den`` is 0 or NULL."""
-    return F.round(num / F.nullif(den, F.lit(0.0)), scale)
+    """``ROUND(num / NULLIF(den, 0), scale)``: NULL when ``den`` is 0 or NULL.
+
+    Decimals and whole numbers are divided exactly and rounded once, half away
+    from zero: by the remainder of a whole division, as a decimal quotient
+    would be cut to few places first and a double one can miss a tie. Operands
+    of 10^15 or more, or a quotient as large, are divided as doubles."""
+    n, d = num.try_cast(RATIO_TYPE), F.nullif(den, F.lit(0)).try_cast(RATIO_TYPE)
+    about = num.cast("double") / F.nullif(den.cast("double"), F.lit(0.0))
+    units = n * F.lit(10**scale)
+    rest = F.abs(units % d)
+    up = F.when(rest * 2 >= F.abs(d), F.when((n < 0) == (d < 0), 1).otherwise(-1)).otherwise(0)
+    exact = (F.call_function("div", units, d) + up).cast("double") / float(10**scale)
+    return F.when(n.isNotNull() & d.isNotNull() & (F.abs(about) < 1e15 / 10**scale), exact).otherwise(F.round(about, scale))
 
 
 def roas(revenue: str | Column, cost: str | Column, scale: int = 2) -> Column:
     """``ROUND(SUM(revenue) / NULLIF(SUM(cost), 0), 2)``: NULL when the cost
     total is 0 or NULL."""
-    return ratio(money_sum(revenue), money_sum(cost), scale)
+    return ratio(money_total(revenue), money_total(cost), scale)

@@ -9,16 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roasty.functions.dates import as_date, days_back
-from roasty.operators.incremental import lookback, overwrite_partitions, replace_window
-from roasty.schemas import FACT, FACT_TAGGED, conform
+from roasty.operators.incremental import LATE_MODES, lookback, overwrite_partitions, reject_late, replace_window
+from roasty.schemas import FACT, FACT_LANDED, FACT_TAGGED, LANDED, conform
 
 
-def align_to_fact(feed: DataFrame) -> DataFrame:
+def align_to_fact(feed: DataFrame, landing_key: str | None = None) -> DataFrame:
     """Project a feed onto the fact columns (``DATE(event_time) AS dt``
     first). Columns the feed lacks become typed NULLs. Text where the fact
     has another type (the in-app cost) is parsed: blank is NULL, a value that
     does not parse fails the job, naming column and value. Other types are
-    cast. Extra feed columns (such as the landing day) are dropped."""
+    cast. Extra feed columns are dropped; the landing day is kept as
+    ``landed`` if ``landing_key`` names it."""
     have = dict((f.name, f.dataType) for f in feed.schema.fields)
     cols = []
     for f in FACT.fields:
@@ -32,6 +33,8 @@ def align_to_fact(feed: DataFrame) -> DataFrame:
             cols.append(_parsed(f.name, f.dataType).alias(f.name))
         else:
             cols.append(F.col(f.name).cast(f.dataType).alias(f.name))
+    if landing_key:
+        cols.append(F.col(landing_key).alias(LANDED))
     return feed.select(*cols)
 
 
@@ -52,14 +55,16 @@ def union_tagged(relations: Mapping[str, DataFrame], source_col: str | None = "d
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def build_fact(installs: DataFrame, inapp: DataFrame, tag: bool = True) -> DataFrame:
-    """Fact rows of both feeds: 21 columns, plus ``data_source`` when tagged.
+def build_fact(installs: DataFrame, inapp: DataFrame, tag: bool = True, landing_key: str | None = None) -> DataFrame:
+    """Fact rows of both feeds: 21 columns, plus ``data_source`` when tagged,
+    plus ``landed``, the landing day, if ``landing_key`` names its column
+    (then always tagged: the two say where a row came from).
 
     A narrow plan: two scans, two projections, one union; no shuffle.
     """
-    rel = {"installs": align_to_fact(installs), "inapp": align_to_fact(inapp)}
-    out = union_tagged(rel, "data_source" if tag else None)
-    return conform(out, FACT_TAGGED if tag else FACT)
+    rel = {"installs": align_to_fact(installs, landing_key), "inapp": align_to_fact(inapp, landing_key)}
+    out = union_tagged(rel, "data_source" if tag or landing_key else None)
+    return conform(out, FACT_LANDED if landing_key else FACT_TAGGED if tag else FACT)
 
 
 def init_fact(spark: SparkSession, tag: bool = False) -> DataFrame:
@@ -85,14 +90,24 @@ def refresh_fact(
 ) -> DataFrame:
     """Refresh of the fact from the landing days ``>= from_date``.
 
-    Days ``>= from_date`` are replaced. So is, with ``late="widen"`` (default),
-    each earlier day that the new files hold events of, as long as the raw
-    tables reach back to it; no day in between is touched. Rows of days that
-    raw no longer holds, and rows without an event time, are added as far as
-    the fact lacks them. So a rerun never doubles a row and never loses one.
-    ``"drop"`` and ``"reject"`` are as in ``replace_window``.
+    A target that has ``landed`` (see ``build_fact``) says which landing day
+    each row came from, and the refresh replaces the rows of those landing
+    days: what a landing day brought is in the fact once, whatever its event
+    time (late, early or none) and however often the refresh is run. Landing
+    days that a feed's raw no longer reaches back to stay as they are. With
+    ``late="drop"`` days before ``from_date`` are left as they are, and
+    ``"reject"`` fails the job on a new row of such a day.
+
+    A target without ``landed`` is refreshed by event day: days ``>=
+    from_date`` are replaced, and with ``late="widen"`` (default) each earlier
+    day that the new files hold events of, as far as both raw tables reach
+    back. Other new rows are added as far as the fact lacks rows of their
+    values, so equal rows without a time from two landing days count once:
+    keep ``landed`` where that matters.
     """
     from_ymd = F.date_format(as_date(from_date), "yyyyMMdd")
+    if LANDED in target.columns:
+        return _refresh_by_landing(target, installs, inapp, from_date, late, landing_key)
     window = build_fact(
         installs.where(F.col(landing_key) >= from_ymd), inapp.where(F.col(landing_key) >= from_ymd), tag
     )
@@ -104,7 +119,8 @@ def refresh_fact(
         return replace_window(target, rows.where(dt >= frm).unionByName(late_rows), "dt", from_date, late)
     # One value per late day, and the oldest landing day: scalar subqueries.
     late_days = window.where(dt < frm).agg(F.collect_set("dt")).scalar()
-    oldest = installs.select(landing_key).unionByName(inapp.select(landing_key)).agg(F.min(landing_key)).scalar()
+    # A day can be rebuilt only if no feed's raw has lost it.
+    oldest = F.greatest(*[f.agg(F.min(landing_key)).scalar() for f in (installs, inapp)])
     whole = (dt >= frm) | (F.array_contains(late_days, dt) & (F.date_format(dt, "yyyyMMdd") >= oldest))
     start = F.date_format(F.date_sub(F.least(frm, F.coalesce(F.array_min(late_days), frm)), LEAD_DAYS), "yyyyMMdd")
     new = build_fact(installs.where(F.col(landing_key) >= start), inapp.where(F.col(landing_key) >= start), tag)
@@ -116,6 +132,27 @@ def refresh_fact(
     return kept.unionByName(new.where(whole).select(*target.columns)).unionByName(missing)
 
 
+def _refresh_by_landing(target, installs, inapp, from_date, late, landing_key):
+    if late not in LATE_MODES:
+        raise ValueError(f"late must be one of {LATE_MODES}, got {late!r}")
+    frm, dt = as_date(from_date), F.col("dt")
+    from_ymd = F.date_format(frm, "yyyyMMdd")
+    new = build_fact(
+        installs.where(F.col(landing_key) >= from_ymd), inapp.where(F.col(landing_key) >= from_ymd), landing_key=landing_key
+    )
+    held = F.lit(False)
+    for name, feed in (("installs", installs), ("inapp", inapp)):
+        reaches = F.col(LANDED) >= feed.agg(F.min(landing_key)).scalar()
+        held = held | ((F.col("data_source") == name) & reaches)
+    replaced = (F.col(LANDED) >= from_ymd) & held
+    if late == "reject":
+        new = reject_late(new, "dt", from_date)
+    elif late == "drop":
+        here = (dt >= frm) | dt.isNull()
+        new, replaced = new.where(here), replaced & here
+    return target.where(F.coalesce(~replaced, F.lit(True))).unionByName(new.select(*target.columns))
+
+
 #: An event may be dated so many days after the day it landed (clocks that are
 #: ahead, other time zones).
 LEAD_DAYS = 1

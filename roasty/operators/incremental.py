@@ -195,21 +195,32 @@ def commit_partitions(new: DataFrame, path: str, key: str, fmt: str = "parquet")
     )
 
 
-def write_observed(df: DataFrame, key: str, write) -> set[str]:
-    """Run ``write(df)`` and return the ``key`` values written (as text, null
-    left out), observed while the rows go by. Nothing is written of an empty
-    frame."""
-    if df.isEmpty():
-        return set()
+def _observed(df: DataFrame, value: Column, write) -> list:
+    """Run ``write(df)`` and return the distinct ``value`` of its rows,
+    observed while they go by (a set per task, merged on the driver: one value
+    a partition written)."""
     seen = Observation(f"written_{uuid.uuid4().hex}")
-    write(df.observe(seen, F.collect_set(F.col(key).cast("string")).alias("keys")))
-    return set(seen.get["keys"])
+    write(df.observe(seen, F.collect_set(value).alias("values")))
+    try:
+        return seen.get["values"]
+    except Exception:
+        # A frame that is empty by its plan is not run, so nothing is observed.
+        if df.isEmpty():
+            return []
+        raise
+
 
+def write_observed(df: DataFrame, key: str, write) -> set[str]:
+    """Run ``write(df)`` and return the ``key`` values written, as text, null
+    left out."""
+    return set(_observed(df, F.col(key).cast("string"), write))
 
-def commit_window(new: DataFrame, path: str, key: str, from_date, fmt: str = "parquet") -> list[str]:
-    """Make the table at ``path`` hold ``new`` for every ``key >= from_date``:
-    the partitions in ``new`` are overwritten, then window partitions that
-    received no rows are removed. Returns the removed values.
+
+def commit_window(new: DataFrame, path: str, key: str, from_date, fmt: str = "parquet", also=()) -> list[str]:
+    """Make the table at ``path`` hold ``new`` for every ``key >= from_date``
+    and for the keys of ``also``: the partitions in ``new`` are overwritten,
+    then window partitions that received no rows are removed. Returns the
+    removed values.
 
     A rerun after a failure at any point gives the same final state. The
     partition values written are observed during the write itself (a set
@@ -217,24 +228,60 @@ def commit_window(new: DataFrame, path: str, key: str, from_date, fmt: str = "pa
     new rows are computed once."""
     spark = new.sparkSession
     written = write_observed(new, key, lambda df: commit_partitions(df, path, key, fmt))
-    frm = _as_iso(from_date)
-    stale = [v for v in partition_values(spark, path, key) if v != NULL_PARTITION and v >= frm and v not in written]
+    frm, more = _as_iso(from_date), {_as_iso(d) for d in also}
+    stale = [v for v in partition_values(spark, path, key) if v != NULL_PARTITION and (v >= frm or v in more) and v not in written]
     drop_partitions(spark, path, key, stale)
     return stale
 
 
-def append_missing(new: DataFrame, table: DataFrame, path: str, key: str, fmt: str = "parquet") -> None:
-    """Append the rows of ``new`` that ``table`` (rows now at ``path``) does
-    not hold: as many copies of a row as are missing, so a rerun adds nothing.
-    For partitions that cannot be rebuilt as a whole."""
-    missing = new.select(*table.columns).exceptAll(table)
-    missing.hint("rebalance", F.col(key)).write.mode("append").partitionBy(key).format(fmt).save(path)
+def pieces(spark: SparkSession, path: str, keys: list[str]) -> dict[tuple[str, ...], object]:
+    """``{values: folder}`` of a table partitioned by several keys (one
+    listing, no data read). A table that has partitions of the first key
+    without the others was written in another layout: an error."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return {}
+    jvm = spark.sparkContext._jvm
+    out = {}
+    for st in fs.globStatus(jvm.org.apache.hadoop.fs.Path(p, "/".join(f"{k}=*" for k in keys))) or []:
+        parts = st.getPath().toString().rsplit("/", len(keys))[1:]
+        out[tuple(unquote(v.split("=", 1)[1]) for v in parts)] = st.getPath()
+    if not out and _partition_dirs(spark, path, keys[0]):
+        raise ValueError(f"{path} is not partitioned by {', '.join(keys)}: rebuild it with a full load")
+    return out
+
+
+def commit_pieces(new: DataFrame, path: str, keys: list[str], stale, fmt: str = "parquet") -> tuple[set, set]:
+    """Make the pieces (combinations of ``keys``) that are in ``new`` hold it,
+    then remove the other pieces for which ``stale(values, written)`` holds.
+    Returns the values written and removed, as text.
+
+    Pieces are overwritten one by one (dynamic partition overwrite) and
+    removed last, so a rerun after a failure at any point gives the same final
+    state. What was written is observed while the rows go by: one value a
+    piece."""
+    spark = new.sparkSession
+    text = [F.coalesce(F.col(k).cast("string"), F.lit(NULL_PARTITION)) for k in keys]
+
+    def write(rows: DataFrame) -> None:
+        rows = rows.hint("rebalance", *[F.col(k) for k in keys])
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).format(fmt).save(path)
+
+    written = {tuple(v) for v in _observed(new, F.array(*text), write)}
+    fs, _ = _fs(spark, path)
+    dropped = {v: folder for v, folder in pieces(spark, path, keys).items() if v not in written and stale(v, written)}
+    for folder in dropped.values():
+        fs.delete(folder, True)
+    return written, set(dropped)
 
 
-def commit_full(new: DataFrame, path: str, key: str, fmt: str = "parquet") -> None:
+def commit_full(new: DataFrame, path: str, key: str | list[str], fmt: str = "parquet") -> None:
     """Full refresh: the table is rebuilt from ``new`` alone (static
-    overwrite). ``new`` must not read ``path`` itself."""
-    new.hint("rebalance", F.col(key)).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(key).format(fmt).save(path)
+    overwrite), partitioned by one key or several. ``new`` must not read
+    ``path`` itself."""
+    keys = [key] if isinstance(key, str) else key
+    rows = new.hint("rebalance", *[F.col(k) for k in keys])
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*keys).format(fmt).save(path)
 
 
 def _as_iso(d) -> str:

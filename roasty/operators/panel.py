@@ -78,7 +78,7 @@ def campaign_panel(fact: DataFrame, by_install: bool = True) -> DataFrame:
     panel = panel.withColumn("revenue", money_round("_m_revenue")).withColumn("cost", money_round("_m_cost"))
     if by_install:
         return conform(panel, PANEL_BY_INSTALL)
-    panel = panel.withColumn("roas", ratio(F.col("_m_revenue_usd").cast("double"), F.col("_m_cost").cast("double")))
+    panel = panel.withColumn("roas", ratio(F.col("_m_revenue_usd"), F.col("_m_cost")))
     return conform(panel, PANEL_CAMPAIGN)
 
 
@@ -118,7 +118,7 @@ def campaign_kpis(fact: DataFrame) -> DataFrame:
         "events",
         money_round("_revenue", 2).alias("revenue"),
         money_round("_cost", 2).alias("cost"),
-        ratio(F.col("_cost").cast("double"), F.col("installs").cast("double")).alias("cpi"),
+        ratio(F.col("_cost"), F.col("installs")).alias("cpi"),
     )
 
 

@@ -18,7 +18,7 @@ from roasty.functions.dates import as_date
 from roasty.operators import fact as fact_ops
 from roasty.operators import incremental as inc
 from roasty.operators import panel as panel_ops
-from roasty.schemas import FACT_TAGGED, FEEDS, PANEL_BY_INSTALL, PANEL_CAMPAIGN, conform
+from roasty.schemas import FACT_KEYS, FACT_LANDED, FACT_TAGGED, FEEDS, PANEL_BY_INSTALL, PANEL_CAMPAIGN, conform
 from roasty.sources import landing
 
 
@@ -53,9 +53,9 @@ def _read_table(spark: SparkSession, path: str, schema):
     return conform(spark.read.schema(schema).parquet(path), schema)
 
 
-def read_fact(spark: SparkSession, layout: Layout):
-    """The fact table."""
-    return _read_table(spark, layout.fact_path, FACT_TAGGED)
+def read_fact(spark: SparkSession, layout: Layout, landed: bool = False):
+    """The fact table, with the landing day of each row if ``landed``."""
+    return _read_table(spark, layout.fact_path, FACT_LANDED if landed else FACT_TAGGED)
 
 
 def read_panel(spark: SparkSession, layout: Layout):
@@ -80,40 +80,53 @@ def load_landing(spark: SparkSession, layout: Layout, days: list[str]) -> None:
         landing.load_raw(fact_ops.check_lead(df), layout.raw_path(feed), days)
 
 
-def refresh_fact_on_disk(spark: SparkSession, layout: Layout, from_date, late: str = "widen") -> list[_dt.date]:
-    """Refresh the fact from ``from_date`` and return the days rewritten,
-    ``from_date`` standing for all from there on.
+def _held(spark: SparkSession, layout: Layout, delivered=()):
+    """Whether the raw tables answer for what a feed's landing day brought:
+    the day was just delivered, or the feed's raw reaches back to it (a day
+    without rows is then empty, not expired)."""
+    oldest = {f: min(inc.partition_values(spark, layout.raw_path(f), "ymd"), default=None) for f in layout.feeds}
+    delivered = set(delivered)
 
-    ``late="widen"`` also replaces each earlier day that the new files hold
-    events of and the raw tables reach back to; rows of older days, and rows
-    without an event time, are appended as far as the fact lacks them.
-    ``"drop"`` leaves late rows out; ``"reject"`` fails the job on one."""
+    def held(feed: str, landed: str) -> bool:
+        reach = oldest.get(feed)
+        return landed in delivered or (reach is not None and landed >= reach)
+
+    return held
+
+
+def refresh_fact_on_disk(spark: SparkSession, layout: Layout, from_date, late: str = "widen",
+                         delivered=()) -> list[_dt.date]:
+    """Refresh the fact from the landing days ``>= from_date`` and return the
+    event days before it that changed, then ``from_date``.
+
+    The fact keeps the landing day and feed of its rows as partitions, so the
+    pieces that those landing days brought are replaced, whatever their event
+    days: late and early rows and rows without a time are in the fact once,
+    however often this runs. Pieces of landing days that a feed's raw no
+    longer reaches back to stay, unless ``delivered`` names the day.
+
+    ``late="drop"`` leaves event days before ``from_date`` as they are;
+    ``"reject"`` fails the job on a new row of one."""
     if late not in inc.LATE_MODES:
         raise ValueError(f"late must be one of {inc.LATE_MODES}, got {late!r}")
     first = from_date if isinstance(from_date, _dt.date) else _dt.date.fromisoformat(str(from_date))
-    raw = {f: landing.read_raw(spark, layout.raw_path(f), FEEDS[f]) for f in layout.feeds}
+    frm, frm_ymd = first.isoformat(), _ymd(first)
+    raw = {f: landing.read_raw(spark, layout.raw_path(f), FEEDS[f], frm_ymd) for f in layout.feeds}
+    new, dt = fact_ops.build_fact(raw["installs"], raw["inapp"], landing_key="ymd"), F.col("dt")
+    if late == "reject":
+        new = inc.reject_late(new, "dt", first)
+    elif late == "drop":
+        new = new.where((dt >= F.lit(first)) | dt.isNull())
+    held = _held(spark, layout, delivered)
 
-    def rows(from_ymd: str):
-        return fact_ops.build_fact(*(raw[f].where(F.col("ymd") >= from_ymd) for f in ("installs", "inapp")))
+    def stale(piece, _written) -> bool:
+        day, feed, landed = piece
+        here = late == "widen" or day == inc.NULL_PARTITION or day >= frm
+        return here and frm_ymd <= landed != inc.NULL_PARTITION and held(feed, landed)
 
-    window, dt = rows(_ymd(first)), F.col("dt")
-    if late == "reject":
-        window = inc.reject_late(window, "dt", first)
-    # The late days, from the event time alone: one value a day.
-    late_days = set()
-    if late != "drop":
-        found = window.where(dt < F.lit(first)).select("dt").distinct().collect()
-        late_days = {r["dt"] for r in found}
-    landed = [v for f in layout.feeds for v in inc.partition_values(spark, layout.raw_path(f), "ymd")]
-    oldest = min(landed, default=_ymd(first))
-    whole = sorted(d for d in late_days if _ymd(d) >= oldest)
-    gone = sorted(late_days - set(whole))
-    start = _ymd(min([first, *whole]) - _dt.timedelta(days=fact_ops.LEAD_DAYS))
-    touched = (dt >= F.lit(first)) | dt.isin(whole) if whole else dt >= F.lit(first)
-    inc.commit_window(rows(start).where(touched), layout.fact_path, "dt", first)
-    rest = dt.isNull() | dt.isin(gone) if gone else dt.isNull()
-    inc.append_missing(window.where(rest), read_fact(spark, layout).where(rest), layout.fact_path, "dt")
-    return [*gone, *whole, first]
+    written, dropped = inc.commit_pieces(new, layout.fact_path, FACT_KEYS, stale)
+    days = {day for day, _, _ in written | dropped} - {inc.NULL_PARTITION}
+    return [*sorted(_dt.date.fromisoformat(d) for d in days if d < frm), first]
 
 
 def refresh_panel_on_disk(spark: SparkSession, layout: Layout, from_date, late_days=()) -> None:
@@ -125,7 +138,7 @@ def refresh_panel_on_disk(spark: SparkSession, layout: Layout, from_date, late_d
         days = days | dt.isin(list(late_days))
     new = panel_ops.campaign_panel(read_fact(spark, layout).where(days), layout.by_install)
     schema = PANEL_BY_INSTALL if layout.by_install else PANEL_CAMPAIGN
-    inc.commit_window(new.select(*schema.fieldNames()), layout.panel_path, "dt", from_date)
+    inc.commit_window(new.select(*schema.fieldNames()), layout.panel_path, "dt", from_date, also=late_days)
 
 
 def run_daily(spark: SparkSession, layout: Layout, as_of, days_back: int = 1, logger=None,
@@ -145,8 +158,9 @@ def backfill(spark: SparkSession, layout: Layout, first_day, last_day, logger=No
     if logger:
         logger.log("start")
     try:
-        load_landing(spark, layout, _days(first, last))
-        days = refresh_fact_on_disk(spark, layout, first, late)
+        delivered = _days(first, last)
+        load_landing(spark, layout, delivered)
+        days = refresh_fact_on_disk(spark, layout, first, late, delivered)
         refresh_panel_on_disk(spark, layout, first, days[:-1])
     except Exception:
         if logger:
@@ -168,11 +182,18 @@ def run_lookback(spark: SparkSession, layout: Layout, as_of, lookback_days: int
     if logger:
         logger.log("start")
     try:
-        load_landing(spark, layout, _days(first, day))
-        raw = {f: landing.read_raw(spark, layout.raw_path(f), FEEDS[f]) for f in layout.feeds}
+        delivered = _days(first, day)
+        load_landing(spark, layout, delivered)
         early = _ymd(first - _dt.timedelta(days=fact_ops.LEAD_DAYS))
-        fact = fact_ops.build_fact(*(raw[f].where(F.col("ymd") >= early) for f in ("installs", "inapp")))
-        inc.commit_partitions(inc.lookback(fact, "dt", day, lookback_days), layout.fact_path, "dt")
+        raw = {f: landing.read_raw(spark, layout.raw_path(f), FEEDS[f], early) for f in layout.feeds}
+        fact = fact_ops.build_fact(raw["installs"], raw["inapp"], landing_key="ymd")
+        held = _held(spark, layout, delivered)
+
+        def stale(piece, written) -> bool:
+            """Of the days overwritten, what raw has no rows of any more."""
+            return piece[0] in {w[0] for w in written} and held(piece[1], piece[2])
+
+        inc.commit_pieces(inc.lookback(fact, "dt", day, lookback_days), layout.fact_path, FACT_KEYS, stale)
         panel = panel_ops.panel_lookback(read_fact(spark, layout), day, lookback_days, layout.by_install)
         schema = PANEL_BY_INSTALL if layout.by_install else PANEL_CAMPAIGN
         inc.commit_partitions(panel.select(*schema.fieldNames()), layout.panel_path, "dt")
@@ -189,8 +210,9 @@ def run_lookback(spark: SparkSession, layout: Layout, as_of, lookback_days: int
 JOB_STEPS = ("fact_init", "fact_daily", "daily_panel_init", "daily_panel_daily")
 
 
-def run_step(spark: SparkSession, layout: Layout, step: str, day: _dt.date, late: str = "widen") -> None:
-    """One configured step for the day ``day``:
+def run_step(spark: SparkSession, layout: Layout, step: str, day: _dt.date, late: str = "widen", late_days=()) -> list[_dt.date]:
+    """One configured step for the day ``day``; returns the days before it
+    that the fact changed in (``late_days`` for the panel step after it):
 
     * ``fact_init``: the empty fact table with the union schema;
     * ``fact_daily``: window replace of the fact from ``day``;
@@ -198,17 +220,18 @@ def run_step(spark: SparkSession, layout: Layout, step: str, day: _dt.date, late
     * ``daily_panel_daily``: window replace of the panel from ``day``.
     """
     if step == "fact_init":
-        inc.commit_full(fact_ops.init_fact(spark, tag=True), layout.fact_path, "dt")
+        inc.commit_full(spark.createDataFrame([], FACT_LANDED), layout.fact_path, FACT_KEYS)
     elif step == "fact_daily":
-        refresh_fact_on_disk(spark, layout, day, late)
+        return refresh_fact_on_disk(spark, layout, day, late)[:-1]
     elif step == "daily_panel_init":
         schema = PANEL_BY_INSTALL if layout.by_install else PANEL_CAMPAIGN
         panel = panel_ops.panel_up_to(read_fact(spark, layout), day, layout.by_install)
         inc.commit_full(panel.select(*schema.fieldNames()), layout.panel_path, "dt")
     elif step == "daily_panel_daily":
-        refresh_panel_on_disk(spark, layout, day)
+        refresh_panel_on_disk(spark, layout, day, late_days)
     else:
         raise ValueError(f"unknown step {step!r} (one of {JOB_STEPS})")
+    return []
 
 
 def run_jobs(spark: SparkSession, layout: Layout, config: dict, action: str, as_of, days_back: int = 1,
@@ -225,7 +248,8 @@ def run_jobs(spark: SparkSession, layout: Layout, config: dict, action: str, as_
     single job asked for by name (``jobs=[name]``) that is not enabled logs
     ``skipped``."""
     day = (as_of if isinstance(as_of, _dt.date) else _dt.date.fromisoformat(str(as_of))) - _dt.timedelta(days=days_back)
-    done = []
+    done: list[str] = []
+    late_days: list[_dt.date] = []
     for job, actions in config["etl_jobs"].items():
         if jobs is not None and job not in jobs:
             continue
@@ -244,7 +268,7 @@ def run_jobs(spark: SparkSession, layout: Layout, config: dict, action: str, as_
             continue
         if step is not None:
             try:
-                run_step(spark, layout, step, day)
+                late_days = [*late_days, *run_step(spark, layout, step, day, late_days=late_days)]
             except Exception:
                 if logger:
                     logger.log("error")

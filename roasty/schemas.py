@@ -87,6 +87,11 @@ FEEDS = {"installs": INSTALLS, "inapp": INAPP}
 FACT_COLUMNS = ["dt"] + [f.name for f in INSTALLS.fields]
 FACT = T.StructType([_f("dt", DT, "event date, DATE(event_time)")] + list(INSTALLS.fields))
 FACT_TAGGED = T.StructType(list(FACT.fields) + [_f("data_source", S, "feed the row came from")])
+LANDED = "landed"
+FACT_LANDED = T.StructType(list(FACT_TAGGED.fields) + [_f(LANDED, S, "landing day of the row's file, yyyyMMdd")])
+#: How the fact is partitioned on disk: by event day, and within it by where
+#: the rows came from, so that a landing day can be replaced alone.
+FACT_KEYS = ["dt", "data_source", LANDED]
 
 # The event names, platforms and channels the panels pivot on,
 # and the column names the two panel variants give them.
