@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from roasty.operators.incremental import drop_table
 from roasty.session import scratch_path
 
 #: White space that separates words of the rules and join operators.
@@ -23,7 +26,40 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm/{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    for noted in _NOTED:
+        noted.append(path)
+    return out
+
+
+#: Lists that take down the folders being written, see ``working_tables``.
+_NOTED: list[list[str]] = []
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the folders of ``stored`` tables that nothing reads any more:
+    all that was made of them has been written."""
+    for t in tables:
+        drop_table(t.sparkSession, t._stored_at)
+
+
+@contextlib.contextmanager
+def working_tables(spark: SparkSession, docs: DataFrame, noted: list[str]) -> Iterator[None]:
+    """Notes the folders that ``stored`` writes in this block in ``noted``,
+    after removing those noted before that ``docs`` does not read. For steps
+    in a row of which each one's result is written before the next begins."""
+    bare = lambda path: path.split(":", 1)[-1].replace("///", "/")
+    read = [bare(f) for f in docs.inputFiles()]
+    for path in list(noted):
+        if not any(f.startswith(bare(path)) for f in read):
+            drop_table(spark, path)
+            noted.remove(path)
+    _NOTED.append(noted)
+    try:
+        yield
+    finally:
+        _NOTED.remove(noted)
 
 
 def text_key(text: Column) -> Column:

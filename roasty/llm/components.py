@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roasty.llm.common import stored
+from roasty.llm.common import discard, stored
 
 
 def _checksum(edges: DataFrame) -> tuple:
@@ -32,7 +32,8 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         small = large.join(small_least, F.col("u") == F.col("c")).select(
             F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")
         ).select("e.*").filter("u != v").distinct()
-        now = stored(small, name)
+        before, now = now, stored(small, name)
+        discard(before)
         after = _checksum(now)
         if after == seen:
             break

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roasty.llm.common import SPACE_CLASS, packed, stored, text_key, unpacked
+from roasty.llm.common import SPACE_CLASS, discard, packed, stored, text_key, unpacked
 from roasty.llm.components import components
 from roasty.llm.shingling import digest, mixed, pack, pack_sorted, shingle_set, unpack, unpack_sorted
 
@@ -120,6 +120,7 @@ def frequent(own: DataFrame, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarra
             least = r["s"] + 1
             break
     rows = found.filter(step >= least).toArrow()
+    discard(found)
     keys, times = rows["k"].to_numpy().astype(np.uint64), rows["n"].to_numpy()
     order = np.argsort(keys)
     return keys[order], times[order]
@@ -243,7 +244,7 @@ def lists(entries: DataFrame) -> DataFrame:
     packed_ = entries.select("r", "k", "e", "p", "m")
     light = packed_.filter("r >= 0").groupBy("r").applyInArrow(listed, LIST)
     hot = packed_.filter("r < 0").mapInArrow(opened, "g long, cid long, n int, pos int, ord long")
-    hot = stored(hot.dropDuplicates(["g", "cid"]), "jaccard-frequent-lists")
+    hot = hot.dropDuplicates(["g", "cid"])
     me = F.struct("pos", "ord", "cid", "n")
     centres = hot.groupBy("g").agg(F.min(me).alias("c"), F.max(me).alias("z")).filter("c.cid != z.cid").select(F.col("g").alias("_g"), "c")
     hot = hot.join(centres, F.col("g") == F.col("_g")).select(
@@ -303,7 +304,7 @@ def _whole_sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str
     # Null ids get a key of their own, so that the join is on plain columns.
     number = lambda c: F.coalesce(c, F.lit(0))
     hashed = lambda c, k: F.xxhash64(c.isNull(), k)
-    who = stored(who.select("cid", number(F.col("id")).alias("w1"), hashed(F.col("id"), F.col("tk")).alias("w2")), "jaccard-need")
+    need = who = stored(who.select("cid", number(F.col("id")).alias("w1"), hashed(F.col("id"), F.col("tk")).alias("w2")), "jaccard-need")
     doc = F.col(id_col).cast("long")
     text = docs.select(
         number(doc).alias("t1"), hashed(doc, text_key(F.col(text_col))).alias("t2"), F.col(text_col).alias("text")
@@ -318,7 +319,9 @@ def _whole_sets(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str
             sets = [shingle_set(t.as_py() or b"", SHINGLE).view(np.int64) for t in b.column(1).cast(pa.binary())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["cid", "sh"])
 
-    return stored(one.select("cid", "text").mapInArrow(run, "cid long, sh array<long>"), "jaccard-sets")
+    out = stored(one.select("cid", "text").mapInArrow(run, "cid long, sh array<long>"), "jaccard-sets")
+    discard(need)
+    return out
 
 
 def _labelled(rows: DataFrame, label: DataFrame, cid: str, name: str) -> DataFrame:
@@ -341,13 +344,14 @@ def links(met: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_c
     best = stored(_suffix_filter(best, nodes), "jaccard-best")
     sets = _whole_sets(stars, nodes, docs, id_col, text_col)
     edges = stored(_verified(best, sets), "jaccard-edges")
-    label = components(edges)
+    label = components(edges, "jaccard-labels")
 
     # The other centres, where they would join two components.
     open_ = _labelled(_labelled(stars.join(best, ["a", "b"], "left_anti"), label, "a", "_la"), label, "b", "_lb")
     open_ = _suffix_filter(open_.filter("_la != _lb").select("a", "b"), nodes)
     edges = edges.unionByName(stored(_verified(open_, sets), "jaccard-edges"))
-    label = components(edges)
+    discard(sets, best, label)
+    label = components(edges, "jaccard-labels")
 
     # Every pair of a list that is still in two components; of a list of two
     # the pair has been tried. Of a linked pair, the smaller set shares a
@@ -371,10 +375,13 @@ def links(met: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_c
     done = stars.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
     rest = rest.join(done, (F.least("a", "b") == F.col("lo")) & (F.greatest("a", "b") == F.col("hi")), "left_anti")
     rest = stored(rest, "jaccard-rest")
-    if rest.isEmpty():
-        return edges
-    sets = _whole_sets(rest, nodes, docs, id_col, text_col)
-    return edges.unionByName(stored(_verified(rest, sets), "jaccard-edges"))
+    discard(here, stars, label)
+    if not rest.isEmpty():
+        sets = _whole_sets(rest, nodes, docs, id_col, text_col)
+        edges = edges.unionByName(stored(_verified(rest, sets), "jaccard-edges"))
+        discard(sets)
+    discard(rest)
+    return edges
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -390,12 +397,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ignored; texts of any length are read whole."""
     own = docs.select(F.col(id_col).cast("long").alias("_id"), text_key(F.col(text_col)).alias("_key"), F.col(text_col).cast("string").alias("_text"))
     made = stored(prefixes(own, frequent(own)), "jaccard-prefixes")
-    rows = made.filter("r IS NULL").select("_id", "_key", F.col("n").cast("long").alias("n_shingles"), "n", "a", "b", "parts")
+    rows = stored(made.filter("r IS NULL").select("_id", "_key", F.col("n").cast("long").alias("n_shingles"), "n", "a", "b", "parts"), "jaccard-rows")
     first = F.min(F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_key").alias("tk")))
     classes = rows.filter("n > 0").groupBy("a", "b").agg(first.alias("doc"), F.first("n").alias("n"), F.first("parts").alias("parts"))
     nodes = stored(classes.select(F.col("a").alias("cid"), F.col("b").alias("db"), "doc.id", "doc.tk", "n", "parts"), "jaccard-classes")
     met = stored(lists(made.filter("r IS NOT NULL")), "jaccard-lists")
-    label = components(links(met, nodes, docs, id_col, text_col))
+    discard(made)
+    label = components(links(met, nodes, docs, id_col, text_col), "jaccard-labels")
+    discard(met)
     named = _labelled(nodes.select("cid", "db", "id"), label, "cid", "comp")
     least = named.groupBy("comp").agg(F.min("id").alias("component_id")).withColumnRenamed("comp", "_comp")
     of_class = named.join(least, F.col("comp") == F.col("_comp")).select("cid", "db", "comp", "component_id")

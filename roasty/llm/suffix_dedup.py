@@ -1,8 +1,8 @@
 """Exact substring deduplication by a distributed, hash-compared suffix sort.
 
-Every byte covered by a string of ``LENGTH`` bytes that also starts elsewhere
+Every byte covered by a string of some length (``LENGTH`` bytes) that also starts elsewhere
 goes. Of each such string one anchor is chosen by its content alone: the
-leftmost of its ``GRAM``-byte runs with the smallest hash. Equal strings have
+leftmost of its runs of a third of that length with the smallest hash. Equal strings have
 equal anchors at equal offsets, so only stretches around anchors whose run
 occurs twice have to meet. Stretches that are equal as a whole are counted by
 digest. The others that share an anchor are compared as suffixes: mergesorts
@@ -26,10 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roasty.llm.common import packed, stored, text_key, unpacked
+from roasty.llm.common import discard, packed, stored, text_key, unpacked
 
 LENGTH = 400
-GRAM = 128
 #: Bytes of a text that are looked at together; stretches may end there.
 BLOCK = 1 << 20
 #: Stretches of one anchor that are sorted in one task (12 MB of bytes);
@@ -66,17 +65,18 @@ def prefix_hashes(data: bytes) -> np.ndarray:
     return out
 
 
-def anchors(data: bytes) -> Iterator[tuple[int, bytes, int, int, int]]:
+def anchors(data: bytes, length: int = LENGTH) -> Iterator[tuple[int, bytes, int, int, int]]:
     """``run hash, digest of the stretch, anchor, first, last``: strings of
-    LENGTH bytes that start at first .. last have this anchor; the stretch is
+    ``length`` bytes that start at first .. last have this anchor; the stretch is
     all their bytes."""
-    width = LENGTH - GRAM + 1
-    for block in range(0, max(0, len(data) - LENGTH + 1), BLOCK):
-        part = data[block : block + BLOCK + LENGTH - 1]
-        n = len(part) - GRAM + 1
+    gram = length * 8 // 25
+    width = length - gram + 1
+    for block in range(0, max(0, len(data) - length + 1), BLOCK):
+        part = data[block : block + BLOCK + length - 1]
+        n = len(part) - gram + 1
         p = prefix_hashes(part)
         with np.errstate(over="ignore"):
-            h = (p[GRAM:] - p[:-GRAM]) * _powers(len(part))[1][:n]
+            h = (p[gram:] - p[:-gram]) * _powers(len(part))[1][:n]
             h ^= h >> np.uint64(32)
             h *= np.uint64(0xD6E8FEB86659FD93)
             h ^= h >> np.uint64(32)
@@ -93,15 +93,15 @@ def anchors(data: bytes) -> Iterator[tuple[int, bytes, int, int, int]]:
         lasts = np.concatenate([cuts - 1, [len(at) - 1]]).tolist()
         for first, last in zip(firsts, lasts, strict=True):
             a = int(at[first])
-            digest = xxhash.xxh3_128_digest(part[first : last + LENGTH], seed=a - first)
+            digest = xxhash.xxh3_128_digest(part[first : last + length], seed=a - first)
             yield int(h[a]) - (1 << 63), digest, block + a, block + first, block + last
 
 
 class Stretches:
     """Stretches of one anchor, compared by hashes of their prefixes."""
 
-    def __init__(self, data: list[bytes], anchor: list[int]):
-        self.data, self.anchor = data, anchor
+    def __init__(self, data: list[bytes], anchor: list[int], length: int = LENGTH):
+        self.data, self.anchor, self.length = data, anchor, length
         self.prefix = [memoryview(prefix_hashes(d)) for d in data]
         self.power = _powers(max(map(len, data), default=0) + 1)[0].tolist()
 
@@ -147,11 +147,11 @@ class Stretches:
 
     def offsets(self) -> list[list[tuple[int, int]]]:
         """Per stretch the intervals of offsets before the anchor at which its
-        string of LENGTH bytes occurs in another stretch too.
+        string of ``length`` bytes occurs in another stretch too.
 
         A string that starts ``l`` bytes before the anchor is shared by two
         stretches if their left extension is at least ``l`` and their right one
-        at least ``LENGTH - l``. Neighbours in right order are joined from the
+        at least ``length - l``. Neighbours in right order are joined from the
         longest extension down; a joined run is kept in left order, where the
         longest left extension is that of a neighbour."""
         n = len(self.data)
@@ -169,9 +169,9 @@ class Stretches:
 
         def note(i: int, j: int, reach: int) -> None:
             left = self.left(i, j)
-            if left >= LENGTH - reach:
-                out[i].append((LENGTH - reach, left))
-                out[j].append((LENGTH - reach, left))
+            if left >= self.length - reach:
+                out[i].append((self.length - reach, left))
+                out[j].append((self.length - reach, left))
 
         def top(r: int) -> int:
             while run_of[r] != r:
@@ -200,7 +200,7 @@ MARK = "id long, key long, first int, last int"
 _MARK = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("first", pa.int32()), ("last", pa.int32())])
 
 
-def _find_anchors(docs: DataFrame) -> DataFrame:
+def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
     schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("run", pa.int64()), ("da", pa.int64()), ("db", pa.int64()),
                         ("anchor", pa.int32()), ("first", pa.int32()), ("last", pa.int32())])
 
@@ -208,8 +208,9 @@ def _find_anchors(docs: DataFrame) -> DataFrame:
         for b in batches:
             rows: list[tuple] = []
             for doc, key, text in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                if text and len(text) * 4 >= LENGTH:
-                    rows += [(doc, key, run, *struct.unpack("<qq", d), a, f, z) for run, d, a, f, z in anchors(text.encode("utf-8", "surrogatepass"))]
+                if text and len(text) * 4 >= length:
+                    found = anchors(text.encode("utf-8", "surrogatepass"), length)
+                    rows += [(doc, key, run, *struct.unpack("<qq", d), a, f, z) for run, d, a, f, z in found]
                 if len(rows) > 200_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
                     rows = []
@@ -221,7 +222,7 @@ def _find_anchors(docs: DataFrame) -> DataFrame:
     )
 
 
-def _cut_stretches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def _cut_stretches(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """``run, part, id, key, anchor, first, last, bytes`` of the ``wanted``
     stretches; a document's are gathered first, then met by its text once."""
     per_doc = wanted.groupBy("id", "key").agg(F.collect_list(F.struct("run", "part", "anchor", "first", "last")).alias("stretches"))
@@ -236,18 +237,18 @@ def _cut_stretches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         for b in batches:
             for doc, key, text, stretches in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 raw = text.encode("utf-8", "surrogatepass")
-                rows = [{**s, "id": doc, "key": key, "bytes": raw[s["first"] : s["last"] + LENGTH]} for s in stretches]
+                rows = [{**s, "id": doc, "key": key, "bytes": raw[s["first"] : s["last"] + length]} for s in stretches]
                 yield pa.RecordBatch.from_pylist(rows, schema)
 
     out = met.mapInArrow(cut, "run long, part int, id long, key long, anchor int, first int, last int, bytes binary")
     return out
 
 
-def _sort_group(rows: list[dict]) -> Iterator[tuple]:
+def _sort_group(rows: list[dict], length: int) -> Iterator[tuple]:
     """Marks of one anchor's stretches: the starts of shared strings."""
     distinct = {(r["id"], r["key"], r["first"]): r for r in rows}
     rows = list(distinct.values())
-    s = Stretches([r["bytes"] for r in rows], [r["anchor"] - r["first"] for r in rows])
+    s = Stretches([r["bytes"] for r in rows], [r["anchor"] - r["first"] for r in rows], length)
     for r, intervals in zip(rows, s.offsets(), strict=True):
         for low, high in intervals:
             first, last = max(r["first"], r["anchor"] - high), min(r["last"], r["anchor"] - low)
@@ -255,7 +256,7 @@ def _sort_group(rows: list[dict]) -> Iterator[tuple]:
                 yield r["id"], r["key"], first, last
 
 
-def _sort_stretches(stretches: DataFrame) -> DataFrame:
+def _sort_stretches(stretches: DataFrame, length: int) -> DataFrame:
     """Marks found by sorting; groups of a run and part are taken one by one
     as they come, sorted by Spark."""
 
@@ -274,7 +275,7 @@ def _sort_stretches(stretches: DataFrame) -> DataFrame:
 
         found: list[tuple] = []
         for g in groups():
-            found += _sort_group(g)
+            found += _sort_group(g, length)
             if len(found) > 100_000:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found, strict=True), _MARK, strict=True)], schema=_MARK)
                 found = []
@@ -284,7 +285,7 @@ def _sort_stretches(stretches: DataFrame) -> DataFrame:
     return stretches.mapInArrow(run, MARK)
 
 
-def _across_parts(stretches: DataFrame) -> DataFrame:
+def _across_parts(stretches: DataFrame, length: int) -> DataFrame:
     """Marks of the strings that the parts of one huge group share: by digest
     of each string, counted map-side first."""
 
@@ -295,7 +296,7 @@ def _across_parts(stretches: DataFrame) -> DataFrame:
                 rows = []
                 for start in range(r["first"], r["last"] + 1):
                     at = start - r["first"]
-                    da, db = struct.unpack("<qq", xxhash.xxh3_128_digest(r["bytes"][at : at + LENGTH]))
+                    da, db = struct.unpack("<qq", xxhash.xxh3_128_digest(r["bytes"][at : at + length]))
                     rows.append((da, db, r["id"], r["key"], start, start))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
@@ -308,9 +309,10 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("id"), text_key(F.col(text_col)).alias("key"), F.col(text_col).alias("text"))
 
 
-def marks(keyed: DataFrame) -> DataFrame:
-    """``id, key, first, last``: starts of the strings that occur twice."""
-    found = _find_anchors(keyed)
+def marks(keyed: DataFrame, length: int = LENGTH) -> DataFrame:
+    """``id, key, first, last``: starts of the strings of ``length`` bytes
+    that occur twice."""
+    found = _find_anchors(keyed, length)
     # Runs that occur once are most of all; two digests per run tell whether
     # all its stretches are equal.
     runs = found.groupBy("run").agg(
@@ -339,45 +341,45 @@ def marks(keyed: DataFrame) -> DataFrame:
         "run", F.when(F.col("k").isNotNull(), F.pmod("da", F.ceil(F.col("k") / GROUP)) + 1).otherwise(0).cast("int").alias("part"), "s.*"
     )
     totals = kinds.agg(F.count(F.lit(1)).alias("n")).collect()[0]["n"]
-    buckets = max(1, -(-totals * 2 * LENGTH // BUCKET_BYTES))
-    cut = _cut_stretches(keyed, dealt)
+    buckets = max(1, -(-totals * 2 * length // BUCKET_BYTES))
+    cut = _cut_stretches(keyed, dealt, length)
     small = cut.repartition(buckets, "run", "part").sortWithinPartitions("run", "part")
-    out = whole.unionByName(equal).unionByName(_sort_stretches(small))
+    out = whole.unionByName(equal).unionByName(_sort_stretches(small, length))
     # Only groups beyond GROUP were dealt out.
     if not large.isEmpty():
-        out = out.unionByName(_across_parts(_cut_stretches(keyed, dealt.filter("part > 0"))))
+        out = out.unionByName(_across_parts(_cut_stretches(keyed, dealt.filter("part > 0"), length), length))
+    out = stored(out.distinct(), "suffix-marks")
+    discard(runs, twice, kinds, large)
     return out
 
 
-def _cut_out(raw: bytes, starts: list[tuple[int, int]]) -> tuple[list[bytes], int, int]:
-    """What is left of ``raw``, and how many bytes and runs went."""
-    kept, at, removed, spans, end = [], 0, 0, 0, -1
+def _cut_out(raw: bytes, starts: list[tuple[int, int]], length: int = LENGTH, least_words: int = 0) -> tuple[list[bytes], int, int]:
+    """What is left of ``raw`` without the runs that the strings cover, and
+    how many bytes and runs went. Runs of fewer words stay."""
+    runs: list[list[int]] = []
     for first, last in sorted(starts):
-        stop = last + LENGTH
-        if first > end:
-            spans += 1
-            kept.append(raw[at:first])
-            removed += stop - first
-            end = at = stop
-        elif stop > end:
-            removed += stop - end
-            end = at = stop
-    kept.append(raw[at:])
-    return kept, removed, spans
-
-
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+        if runs and first <= runs[-1][1]:
+            runs[-1][1] = max(runs[-1][1], last + length)
+        else:
+            runs.append([first, last + length])
+    runs = [r for r in runs if len(raw[r[0] : r[1]].split()) >= least_words]
+    bounds = [0, *[x for r in runs for x in r], len(raw)]
+    kept = [raw[a:b] for a, b in zip(bounds[::2], bounds[1::2], strict=True)]
+    return kept, sum(b - a for a, b in runs), len(runs)
+
+
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, length: int = LENGTH) -> DataFrame:
     """Per row of ``docs``: ``id_col, n_bytes, n_removed, n_spans,
     kept_sha256`` of its text as UTF-8 and, if asked for, ``kept``, the bytes
     that are left, and ``text_key``.
 
-    Null text is empty; texts under LENGTH bytes lose nothing. Matches stay
+    Null text is empty; texts under ``length`` bytes lose nothing. Matches stay
     within a document. Strings are judged on the input: all copies go, the
     first one too. Repeated rows are copies of each other; null ids are ids;
     other columns are ignored; an empty table gives an empty result."""
     keyed = _keyed(docs, id_col, text_col)
     starts = (
-        marks(keyed).distinct().groupBy("id", "key").agg(F.collect_list(F.struct("first", "last")).alias("starts"))
+        marks(keyed, length).groupBy("id", "key").agg(F.collect_list(F.struct("first", "last")).alias("starts"))
         .withColumnsRenamed({"id": "_id", "key": "_key"})
     )
     met = keyed.join(starts, F.col("id").eqNullSafe(F.col("_id")) & (F.col("key") == F.col("_key")), "left").select("id", "key", "text", "starts")
@@ -389,7 +391,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_
             rows = []
             for doc, key, text, found in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 raw = (text or "").encode("utf-8", "surrogatepass")
-                parts, removed, spans = _cut_out(raw, [(s["first"], s["last"]) for s in found or ()])
+                parts, removed, spans = _cut_out(raw, [(s["first"], s["last"]) for s in found or ()], length)
                 left = b"".join(parts)
                 rows.append((doc, key, len(raw), removed, spans, hashlib.sha256(left).hexdigest(), left if with_text else None))
             columns = zip(*rows, strict=True) if rows else [[] for _ in schema]
@@ -400,14 +402,16 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_
     return named if with_text else named.drop("kept", "text_key")
 
 
-def remove_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None) -> DataFrame:
-    """``docs`` with the repeated strings cut out of ``text_col``: a character
-    that loses some of its bytes goes whole. ``length_col`` gets the new
+def remove_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str | None = None,
+                      length: int = LENGTH, least_words: int = 0) -> DataFrame:
+    """``docs`` with the runs covered by repeated strings of ``length`` bytes
+    cut out of ``text_col``, if they have ``least_words`` words (parts of words
+    at their ends count): a character that loses some of its bytes goes whole. ``length_col`` gets the new
     number of characters of the texts that changed. Documents of which nothing
     is left go; those that came empty stay, as do all other columns."""
     keyed = _keyed(docs, id_col, text_col)
     starts = (
-        marks(keyed).distinct().groupBy("id", "key").agg(F.collect_list(F.struct("first", "last")).alias("_starts"))
+        marks(keyed, length).groupBy("id", "key").agg(F.collect_list(F.struct("first", "last")).alias("_starts"))
         .withColumnsRenamed({"id": "_id", "key": "_key"})
     )
     rows = packed(docs, id=F.col(id_col).cast("long"), key=text_key(F.col(text_col)), text=F.col(text_col))
@@ -421,7 +425,7 @@ def remove_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             for text, found in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 if found:
                     raw = text.encode("utf-8", "surrogatepass")
-                    left = _cut_out(raw, [(s["first"], s["last"]) for s in found])[0]
+                    left = _cut_out(raw, [(s["first"], s["last"]) for s in found], length, least_words)[0]
                     text = "".join(p.decode("utf-8", "ignore") for p in left)
                 texts.append(text)
                 keep.append(bool(text) or not found)
