@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from roasty.llm import decontamination, jaccard_join, pieces, quality, suffix_dedup
+from roasty.llm import decontamination, jaccard_join, pieces, quality, shingling, suffix_dedup
 from roasty.llm.components import components
 from roasty.llm.oracle_sql import OP1, OP4, OP8
 
@@ -101,16 +101,19 @@ def test_quality_sketches_merge(spark):
 # Suffix-array dedup.
 
 
-def brute_dedup(docs):
+def brute_dedup(docs, length=400, least_words=0):
     seen, raws = Counter(), [(t or "").encode() for _, t in docs]
     for raw in raws:
-        seen.update(raw[k : k + 400] for k in range(len(raw) - 399))
+        seen.update(raw[k : k + length] for k in range(len(raw) - length + 1))
     out = []
     for (i, _), raw in zip(docs, raws, strict=True):
         gone = bytearray(len(raw))
-        for k in range(len(raw) - 399):
-            if seen[raw[k : k + 400]] > 1:
-                gone[k : k + 400] = b"\1" * 400
+        for k in range(len(raw) - length + 1):
+            if seen[raw[k : k + length]] > 1:
+                gone[k : k + length] = b"\1" * length
+        for run in re.finditer(b"\1+", bytes(gone)):
+            if len(raw[run.start() : run.end()].split()) < least_words:
+                gone[run.start() : run.end()] = bytes(run.end() - run.start())
         kept = bytes(b for b, g in zip(raw, gone, strict=True) if not g)
         spans = sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone))
         out.append((i, len(raw), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
@@ -123,6 +126,19 @@ def test_suffix_dedup_against_brute_force(spark, monkeypatch, group):
     docs = corpus(n=70) + [(900, "ab" * 500), (901, "x" * 399), (902, "x" * 400), (903, "y" * 401), (904, None), (905, ""), (906, "ab" * 260)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
     assert rows(suffix_dedup.dedup(df)) == brute_dedup(docs)
+    assert rows(suffix_dedup.dedup(df, length=150)) == brute_dedup(docs, 150)
+
+
+def test_passages_by_words(spark):
+    """Of shared runs those with too few words stay, whatever their bytes."""
+    docs = corpus(31, 50)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in suffix_dedup.remove_duplicates(df, length=150, least_words=40).collect()}
+    want = {i: sha for i, *_, sha in brute_dedup(docs, 150, 40)}
+    some = {i for i, t in left.items() if t == dict(docs)[i]}
+    assert 0 < len(some) < len(left) and brute_dedup(docs, 150, 40) != brute_dedup(docs, 150)
+    for i, t in left.items():  # a character that loses a byte goes whole
+        assert hashlib.sha256(t.encode()).hexdigest() == want[i] or not t.isascii()
 
 
 def test_suffix_dedup_odd_rows(edge_docs, no_docs):
@@ -233,10 +249,16 @@ def brute_components(docs):
     return sorted([(i, len(s), least.get(top(k)) if s else i) for k, ((i, _), s) in enumerate(zip(docs, sets, strict=True))], key=str)
 
 
-@pytest.mark.parametrize("hot", [False, True])
-def test_jaccard_against_brute_force(spark, monkeypatch, hot):
-    if hot:  # every shingle takes the way of the hot ones
-        monkeypatch.setattr(jaccard_join, "hot_limit", lambda counts: -1)
+@pytest.mark.parametrize("way", ["as is", "hot", "some hot", "many classes"])
+def test_jaccard_against_brute_force(spark, monkeypatch, way):
+    if way == "hot":  # every shingle takes the way of the frequent ones
+        monkeypatch.setattr(jaccard_join, "RARE", 0)
+    if way == "some hot":  # more frequent shingles than tasks are sent, many deals
+        monkeypatch.setattr(jaccard_join, "RARE", 1)
+        monkeypatch.setattr(jaccard_join, "MOST_FREQUENT", 200)
+        monkeypatch.setattr(jaccard_join, "HELD", 500)
+    if way == "many classes":
+        monkeypatch.setattr(jaccard_join, "FEW_CLASSES", 0)
     docs = corpus(11, 120) + [(5000, "a b c"), (5001, "A B c"), (5002, "a b c d"), (5003, ""), (5004, None), (5005, "  ")]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     got = rows(jaccard_join.near_duplicates(df).drop("text_key", "node"))
@@ -244,6 +266,30 @@ def test_jaccard_against_brute_force(spark, monkeypatch, hot):
     assert got == sorted(by_duckdb(OP4, frame(docs, ["doc_id", "text"])), key=str)
 
 
+def test_jaccard_of_a_large_group(spark, monkeypatch):
+    """Copies with so many changes that some reach each other only through
+    others: every list holds the whole group."""
+    monkeypatch.setattr(jaccard_join, "RARE", 8)
+    r = random.Random(9)
+    base = [f"w{r.randrange(10**6)}" for _ in range(120)]
+    docs = []
+    for i in range(150):
+        w = list(base)
+        for _ in range(r.randrange(6)):
+            w[r.randrange(120)] = f"x{r.randrange(10**6)}"
+        docs.append((i, " ".join(w)))
+    got = rows(jaccard_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).drop("text_key", "node"))
+    assert got == brute_components(docs) and len({c for _, _, c in got}) > 1
+
+
+def test_packed_columns_round_trip():
+    r = np.random.default_rng(1)
+    for width, n in ((5, 0), (5, 1000), (8, 300), (4, 7)):
+        v = np.sort(r.integers(0, 256**width - 1, n, np.uint64, endpoint=True))
+        assert (shingling.unpack_sorted(shingling.pack_sorted(v, width), width) == v).all()
+        assert (shingling.unpack(shingling.pack(v[::-1], width), width) == v[::-1]).all()
+
+
 def test_jaccard_links_chains(spark):
     """Each text is close to the next one only; all are one component."""
     r = random.Random(4)

@@ -32,6 +32,81 @@ def test_main_text_without_the_rest():
     assert text == TEXT.format(n=7) and path.endswith("article.post-#")
 
 
+@pytest.mark.parametrize("before", [
+    "<svg-icon>", "<title-bar>x</title-bar>", "<iframe-box a='1'>", "<template-part/>", "<script-like>", "<style-guide></style-guide>",
+    '<svg class="i"/>', '<svg><path d="M0"/>', "<svg><g><title>t</title><circle r=1 /></g></svg>", "<template><p>Hidden one</p></template>",
+    "<svg/><svg viewBox='0 0 1 1'><use href='#a'/></svg>", "<math><mi>x</mi></math>",
+])
+def test_elements_that_only_start_like_raw_text(before):
+    page = f"<html><body><div>{before}</div><article><h1>T</h1><p>The article, a sentence long.</p></article></body></html>"
+    assert html_extraction.extract(page, None)[0].endswith("T\n\nThe article, a sentence long.")
+
+
+def test_against_a_plain_parser():
+    """Random well-formed articles between menus and footers, read by the
+    standard library's parser: its text blocks inside the article."""
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.depth = self.skipped = 0
+            self.blocks, self.now = [], []
+
+        def _end(self):
+            text = " ".join("".join(self.now).split())
+            self.now = []
+            if text:
+                self.blocks.append(text)
+
+        def handle_starttag(self, tag, attrs):
+            self.depth += tag == "article"
+            self.skipped += tag in ("script", "svg-x", "aside")
+            if tag not in ("b", "a", "em"):
+                self._end()
+
+        def handle_endtag(self, tag):
+            if tag not in ("b", "a", "em"):
+                self._end()
+            self.depth -= tag == "article"
+            self.skipped -= tag in ("script", "svg-x", "aside")
+
+        def handle_data(self, data):
+            if self.depth and not self.skipped:
+                self.now.append(data)
+
+    r = random.Random(17)
+    say = lambda n: " ".join(r.choice(["alpha", "b&amp;b", "caf&eacute;", "x &lt; y", "delta", "5 &gt; 4"]) for _ in range(n))
+
+    def block(depth):
+        kind = r.randrange(6)
+        if kind == 0 and depth < 6:
+            return f"<section>{''.join(block(depth + 1) for _ in range(r.randrange(1, 4)))}</section>"
+        if kind == 1:
+            return f"<ul><li>{say(6)}</li><li><b>{say(2)}</b> {say(3)}</li></ul>"
+        if kind == 2:
+            return f"<blockquote>\n {say(8)}\n</blockquote>"
+        if kind == 3:
+            return f"<h2>{say(3)}</h2><p>{say(9)}</p><script>var a = '<p>no</p>';</script>"
+        return f"<p>{say(12)} <em>{say(2)}</em>, {say(4)}</p>"
+
+    for _ in range(60):
+        page = (f"<html><head><title>t</title></head><body><nav><a href='/'>{say(4)}</a></nav><main><article><h1>{say(4)}</h1>"
+                f"<p>{say(30)}</p>{''.join(block(0) for _ in range(r.randrange(1, 9)))}</article><aside>{say(5)}</aside></main><footer>{say(6)}</footer></body></html>")
+        plain = Plain()
+        plain.feed(page)
+        assert html_extraction.extract(page, None)[0].split("\n\n") == plain.blocks
+
+
+@pytest.mark.parametrize("opened", ["<div>", "<div>word ", "<blockquote>some words ", "<div><p>words "])
+def test_a_hundred_thousand_open_elements(opened):
+    import time
+
+    at = time.process_time()
+    text, _ = html_extraction.extract("<html><body>" + opened * 100_000 + "<article><p>the end of it</p>", None)
+    assert text.endswith("the end of it") and time.process_time() - at < 20
+
+
 def test_pages_of_a_host_agree(spark):
     pages = [(i, f"https://a.example/{i}", PAGE.format(n=i)) for i in range(6)]
     # Of this one the article is short; by itself its longest container is the other.
@@ -101,7 +176,7 @@ def test_articles_in_elements_named_like_boilerplate(page, title):
     body = [f"Paragraph {i} of the body, with words enough." for i in range(9)]
     winner = "html/body/div.none"
     assert html_extraction.extract(page, winner)[0].split("\n\n") == title + body
-    assert html_extraction.scores(html_extraction.blocks(page))
+    assert html_extraction.scores(html_extraction.Page(page))
 
 
 # WARC.
@@ -340,7 +415,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     rows = [d for d in docs if d[0] in kept]
     first = {c: i for i, _, c in sorted(brute_components(rows), reverse=True)}
     rows = [d for d in rows if d[0] in set(first.values())]
-    cut = {i: sha for i, *_, sha in brute_dedup(rows)}
+    cut = {i: sha for i, *_, sha in brute_dedup(rows, corpus_pipeline.REPEATED, corpus_pipeline.LEAST_WORDS)}
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     for i, r in got.items():
         assert hashlib.sha256(r.text.encode()).hexdigest() == cut[i] or "�" in r.text or any(ord(c) > 127 for c in r.text)
