@@ -1,40 +1,55 @@
 """The training-corpus pipeline: each stage's kept documents are written and
-become the next stage's input."""
+become the next stage's input. A stage first removes the working tables of
+those before it, whose results have been written by then."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from roasty.llm import decontamination, jaccard_join, pieces, quality, suffix_dedup
-from roasty.llm.common import stored, table
+from roasty.llm.common import stored, table, working_tables
+
+#: Folders of the working tables of the stages so far.
+_WORKING: list[str] = []
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base and the adaptive rules keep."""
-    return quality.keep(docs)
+    with working_tables(spark, docs, _WORKING):
+        return quality.keep(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the
     smallest id."""
-    return jaccard_join.keep_one(docs)
+    with working_tables(spark, docs, _WORKING):
+        return jaccard_join.keep_one(docs)
+
+
+#: Passages that documents share go if they have over 50 words. So many words
+#: rarely take up fewer bytes than REPEATED; shorter passages stay, whatever
+#: their bytes.
+REPEATED, LEAST_WORDS = 200, 51
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the bytes of 400-byte strings that occur elsewhere;
-    ``n_chars`` follows the text. Documents of which nothing is left go."""
-    return suffix_dedup.remove_duplicates(docs, length_col="n_chars")
+    """Documents without the passages that occur elsewhere; ``n_chars``
+    follows the text. Documents of which nothing is left go."""
+    with working_tables(spark, docs, _WORKING):
+        return suffix_dedup.remove_duplicates(docs, length_col="n_chars", length=REPEATED, least_words=LEAST_WORDS)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any ten-word window of a benchmark item."""
-    return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    with working_tables(spark, docs, _WORKING):
+        return decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with the piece ids of their text, and whether decoding
     them gives the text back."""
-    return pieces.encode(docs)
+    with working_tables(spark, docs, _WORKING):
+        return pieces.encode(docs)
 
 
 STAGES = [
