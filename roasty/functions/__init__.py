@@ -15,6 +15,7 @@ from roasty.functions.dates import (
     as_ts,
     event_date,
     hour_boundaries_between,
+    timestamp_millis,
     whole_hours_between,
     ymd,
     date_in_name,
@@ -34,6 +35,7 @@ __all__ = [
     "as_ts",
     "event_date",
     "hour_boundaries_between",
+    "timestamp_millis",
     "whole_hours_between",
     "ymd",
     "date_in_name",

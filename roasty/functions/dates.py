@@ -12,7 +12,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -64,6 +63,12 @@ def whole_hours_between(start: str | Column, end) -> Column:
     return F.timestamp_diff("HOUR", _col(start), as_ts(end))
 
 
+def timestamp_millis(ms: str | Column) -> Column:
+    """Milliseconds since 1970 (UTC) as a ``timestamp_ntz``; the session's
+    time zone plays no part."""
+    return F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(secs=(_col(ms) / 1000).cast("decimal(18,6)"))
+
+
 def date_in_name(c: str | Column) -> Column:
     """Date of the first ``_YYYYMMDD`` in a name; NULL when there is none
     or it is not a real date."""

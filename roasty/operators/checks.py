@@ -13,6 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from roasty.functions.dates import as_date, days_back, whole_hours_between
 from roasty.functions.strings import is_blank
 from roasty.schemas import CHECK_COLUMNS, CHECK_RESULT
+from roasty.sources.files import file_table
 
 # Declared column tests of the fact, the panel and each staged feed (fixed
 # values: the columns the data tests name).
@@ -265,38 +267,22 @@ def newest_by_landing(df: DataFrame, ts_col: str, newest_landing: str, landing_k
 
 
 def modified_at(spark: SparkSession, path: str) -> _dt.datetime | None:
-    """Newest modification time (UTC) of the files under ``path``, from a
-    recursive listing; None without files. No data is read."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    newest = 0
-    if fs.exists(p):
-        files = fs.listFiles(p, True)
-        while files.hasNext():
-            f = files.next()
-            if not f.getPath().getName().startswith(("_", ".")):
-                newest = max(newest, f.getModificationTime())
-    return _dt.datetime(1970, 1, 1) + _dt.timedelta(milliseconds=newest) if newest else None
+    """Newest modification time (UTC) of the files under ``path``; None
+    without files. No data is read."""
+    return file_table(spark, path).agg(F.max("modified").alias("ts")).first()["ts"]
 
 
 def freshness_modified(spark: SparkSession, path: str, as_of_ts, hours: int, kpi: str, table_name: str) -> DataFrame:
     """``freshness`` by the newest modification time of a table's files."""
-    one = spark.createDataFrame([(modified_at(spark, path),)], "ts timestamp_ntz")
-    return freshness(one, "ts", as_of_ts, hours, kpi, table_name)
+    return freshness(file_table(spark, path), "modified", as_of_ts, hours, kpi, table_name)
 
 
 def last_modified(df: DataFrame) -> DataFrame:
     """Newest modification time of the files a DataFrame reads, as ``ts`` (a
     ``timestamp_ntz`` in UTC). The files are those of its plan; their times
-    come from a listing of each, not from a scan."""
-    spark = df.sparkSession
-    conf, jvm, newest = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm, 0
-    for f in df.inputFiles():
-        p = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f))
-        newest = max(newest, p.getFileSystem(conf).getFileStatus(p).getModificationTime())
-    ts = _dt.datetime(1970, 1, 1) + _dt.timedelta(milliseconds=newest) if newest else None
-    return spark.createDataFrame([(ts,)], "ts timestamp_ntz")
+    come from a listing that Spark spreads over tasks, not from a scan."""
+    files = [unquote(f) for f in df.inputFiles()]
+    return file_table(df.sparkSession, files).agg(F.max("modified").alias("ts"))
 
 
 def severity(df: DataFrame, n_col: str, warn_above: int = 0, error_above: int = 0, out: str = "severity") -> DataFrame:

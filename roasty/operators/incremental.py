@@ -234,6 +234,22 @@ def commit_window(new: DataFrame, path: str, key: str, from_date, fmt: str = "pa
     return stale
 
 
+def commit_keys(new: DataFrame, path: str, key: str, keys, fmt: str = "parquet") -> list[str]:
+    """Make the table at ``path`` hold ``new`` for the given ``keys`` (None:
+    rows without one): what is in ``new`` is overwritten, the keys that got no
+    rows are removed, other partitions stay. Returns the keys removed."""
+
+    def write(rows: DataFrame) -> None:
+        commit_partitions(rows, path, key, fmt)
+
+    text = F.coalesce(F.col(key).cast("string"), F.lit(NULL_PARTITION))
+    written = set(_observed(new, text, write))
+    named = {NULL_PARTITION if k is None else _as_iso(k) for k in keys}
+    stale = sorted((named - written) & set(partition_values(new.sparkSession, path, key)))
+    drop_partitions(new.sparkSession, path, key, stale)
+    return stale
+
+
 def pieces(spark: SparkSession, path: str, keys: list[str]) -> dict[tuple[str, ...], object]:
     """``{values: folder}`` of a table partitioned by several keys (one
     listing, no data read). A table that has partitions of the first key

@@ -291,7 +291,8 @@ def run_loader(spark: SparkSession, config: dict, etl_name: str, action: str, la
     the raw table named after the file, under ``{raw_root}/{dataset_id}``
     (``load_day_by_file``). ``hourly``: the files landed since the last run,
     by a file stream per declared table (``schemas``, files ``{table}.{fmt}``),
-    checkpointed under ``checkpoint_root``. Disabled actions load nothing. Returns
+    and the days whose files were replaced or removed; both are kept track of
+    under ``checkpoint_root``. Disabled actions load nothing. Returns
     ``{table: raw path}``."""
     if logger:
         logger.log("start")
@@ -320,8 +321,8 @@ def _load(spark, config, etl_name, action, landing_root, raw_root, day, schemas,
             if not schemas or not checkpoint_root:
                 raise ValueError("the hourly load streams declared tables: give schemas and checkpoint_root")
             for table, schema in schemas.items():
-                path = f"{dest}/{table}"
-                ingest_available(spark, src, f"{table}.{fmt}", schema, path, f"{checkpoint_root.rstrip('/')}/{table}")
+                path, state = f"{dest}/{table}", f"{checkpoint_root.rstrip('/')}/{table}"
+                ingest_available(spark, src, f"{table}.{fmt}", schema, path, state, manifest=f"{state}_files")
                 loaded[table] = path
         else:
             d = day if isinstance(day, _dt.date) else _dt.date.fromisoformat(str(day))
