@@ -333,24 +333,22 @@ def _labelled(rows: DataFrame, label: DataFrame, cid: str, name: str) -> DataFra
 def links(met: DataFrame, nodes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Edges (u, v) between classes that connect all that are similar, given
     the lists."""
-    stars = stored(
+    stars = (
         met.filter(F.col("cid") != F.col("c_cid"))
         .filter(_may_link("n", "pos", "c_n", "c_pos"))
         .groupBy(F.col("cid").alias("a"), F.col("c_cid").alias("b"))
-        .agg(F.count(F.lit(1)).alias("shared")),
-        "jaccard-stars",
+        .agg(F.count(F.lit(1)).alias("shared"))
     )
+    stars = stored(_suffix_filter(stars, nodes), "jaccard-stars")
     best = stars.groupBy("a").agg(F.max(F.struct("shared", "b"))["b"].alias("b"))
-    best = stored(_suffix_filter(best, nodes), "jaccard-best")
     sets = _whole_sets(stars, nodes, docs, id_col, text_col)
     edges = stored(_verified(best, sets), "jaccard-edges")
     label = components(edges, "jaccard-labels")
 
     # The other centres, where they would join two components.
     open_ = _labelled(_labelled(stars.join(best, ["a", "b"], "left_anti"), label, "a", "_la"), label, "b", "_lb")
-    open_ = _suffix_filter(open_.filter("_la != _lb").select("a", "b"), nodes)
-    edges = edges.unionByName(stored(_verified(open_, sets), "jaccard-edges"))
-    discard(sets, best, label)
+    edges = edges.unionByName(stored(_verified(open_.filter("_la != _lb").select("a", "b"), sets), "jaccard-edges"))
+    discard(sets, label)
     label = components(edges, "jaccard-labels")
 
     # Every pair of a list that is still in two components; of a list of two
