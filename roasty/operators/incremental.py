@@ -18,11 +18,13 @@ rerun after a failure with the same result.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from roasty.functions.dates import as_date, date_in_name, days_back
 
@@ -181,6 +183,77 @@ def drop_table(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p) and fs.delete(p, True))
 
 
+def swap_table(spark: SparkSession, new_path: str, path: str) -> None:
+    """Put the table at ``new_path`` in the place of the one at ``path``, by
+    two renames: readers see the old table or the new one, never a mix. What
+    a failure between the two leaves is mended by ``restore_table``."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    old = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__old")
+    if fs.exists(old):
+        fs.delete(old, True)
+    if fs.exists(p) and not fs.rename(p, old):
+        raise RuntimeError(f"cannot move {path}")
+    if not fs.rename(jvm.org.apache.hadoop.fs.Path(new_path), p):
+        raise RuntimeError(f"cannot move {new_path}")
+    fs.delete(old, True)
+
+
+def restore_table(spark: SparkSession, path: str) -> bool:
+    """Take back the old table if a swap ended between its two renames."""
+    fs, p = _fs(spark, path)
+    old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}__old")
+    return bool(not fs.exists(p) and fs.exists(old) and fs.rename(old, p))
+
+
+def _contract_path(path: str) -> str:
+    return f"{path.rstrip('/')}__schema"
+
+
+def init_table(spark: SparkSession, path: str, schema, keys: str | list[str]) -> None:
+    """An empty table, whatever was there, and its contract: the declared
+    columns and partition keys, kept beside it as JSON."""
+    keys = [keys] if isinstance(keys, str) else keys
+    commit_full(spark.createDataFrame([], schema), path, keys)
+    lines = [(schema.json(),), (",".join(keys),)]
+    spark.createDataFrame(lines, "value string").coalesce(1).write.mode("overwrite").text(_contract_path(path))
+
+
+def contract(spark: SparkSession, path: str):
+    """``(schema, keys)`` that ``init_table`` declared, or None."""
+    fs, p = _fs(spark, _contract_path(path))
+    if not fs.exists(p):
+        return None
+    lines = [r["value"] for r in spark.read.text(_contract_path(path)).collect()]
+    schema = next(v for v in lines if v.startswith("{"))
+    return T.StructType.fromJson(json.loads(schema)), next(v for v in lines if not v.startswith("{")).split(",")
+
+
+def require_contract(df: DataFrame, path: str, keys: str | list[str]) -> None:
+    """Fails a job that would write other columns, types or partition keys
+    than the table was declared with. A table without a contract takes all."""
+    declared = contract(df.sparkSession, path)
+    if declared is None:
+        return
+    keys = [keys] if isinstance(keys, str) else keys
+    want = {f.name: f.dataType.simpleString() for f in declared[0].fields}
+    have = dict(df.dtypes)
+    wrong = [f"{c} is {have.get(c, 'absent')}, declared {want.get(c, 'absent')}" for c in dict.fromkeys([*want, *have]) if want.get(c) != have.get(c)]
+    if declared[1] != list(keys):
+        wrong.append(f"partitioned by {', '.join(keys)}, declared {', '.join(declared[1])}")
+    if wrong:
+        raise ValueError(f"{path} was declared otherwise: {'; '.join(wrong)}")
+
+
+def read_declared(spark: SparkSession, path: str) -> DataFrame:
+    """A table made by ``init_table``, with its declared columns and types,
+    also while it is empty."""
+    declared = contract(spark, path)
+    if declared is None:
+        raise ValueError(f"{path} was not declared: run its init step first")
+    return spark.read.schema(declared[0]).parquet(path).select(*declared[0].fieldNames())
+
+
 def commit_partitions(new: DataFrame, path: str, key: str, fmt: str = "parquet") -> None:
     """Write ``new`` replacing only the partitions it holds (insert
     overwrite). Reading and rewriting the same table in one job is safe in
@@ -227,6 +300,7 @@ def commit_window(new: DataFrame, path: str, key: str, from_date, fmt: str = "pa
     per task, merged on the driver: one value per partition written), so the
     new rows are computed once."""
     spark = new.sparkSession
+    require_contract(new, path, key)
     written = write_observed(new, key, lambda df: commit_partitions(df, path, key, fmt))
     frm, more = _as_iso(from_date), {_as_iso(d) for d in also}
     stale = [v for v in partition_values(spark, path, key) if v != NULL_PARTITION and (v >= frm or v in more) and v not in written]
@@ -277,6 +351,7 @@ def commit_pieces(new: DataFrame, path: str, keys: list[str], stale, fmt: str =
     state. What was written is observed while the rows go by: one value a
     piece."""
     spark = new.sparkSession
+    require_contract(new, path, keys)
     text = [F.coalesce(F.col(k).cast("string"), F.lit(NULL_PARTITION)) for k in keys]
 
     def write(rows: DataFrame) -> None:

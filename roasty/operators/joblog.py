@@ -10,10 +10,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from roasty.functions.dates import as_date, hour_boundaries_between
 from roasty.functions.strings import strip_days_back
+from roasty.operators.incremental import drop_table, restore_table, swap_table
 from roasty.schemas import JOB_LOG, LOG_EXPECTATION
+from roasty.sources.files import file_table
+from roasty.sources.landing import path_exists
 
 # A configuration table is broadcast to every task; it is built from a list
 # on the driver, so its size is known before it is used.
@@ -31,9 +35,18 @@ def config_frame(spark: SparkSession, rows: Sequence, schema) -> DataFrame:
 # --- K11: append one row per step ----------------------------------------------
 
 
+#: Steps after which a run goes on: their rows wait for the run's last one.
+OPEN_STEPS = frozenset({"start", "success"})
+
+
 class JobLogger:
-    """Appends one job-log row per step to a table partitioned by job type;
-    the step id grows by one per row."""
+    """Job-log rows of one run, a row per step, the step id growing by one;
+    the table is partitioned by job type.
+
+    Rows are held until a step that ends the run (``end``, ``error`` and
+    whatever else is not ``start`` or ``success``) or ``flush``, and appended
+    in one write. Used as a context, the run's rows are written when it ends,
+    an exception logged as ``error``."""
 
     def __init__(self, spark: SparkSession, path: str, job_name: str, job_type: str, file_name: str,
                  message: str = "", log_type: str = "prod", username: str | None = None):
@@ -48,15 +61,56 @@ class JobLogger:
             "message": message,
         }
         self.step_id = 0
+        self.held: list[tuple] = []
 
     def log(self, step: str, now: _dt.datetime | None = None) -> dict:
         self.step_id += 1
         ts = now or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
         row = dict(self.base, ts=ts, dt=ts.strftime("%Y-%m-%d"), step_name=step, step_id=self.step_id)
-        df = self.spark.createDataFrame([tuple(row[f.name] for f in JOB_LOG.fields)], JOB_LOG)
-        df.write.mode("append").partitionBy("job_type").parquet(self.path)
+        self.held.append(tuple(row[f.name] for f in JOB_LOG.fields))
+        if step not in OPEN_STEPS:
+            self.flush()
         return row
 
+    def flush(self) -> None:
+        """Append the rows held: one small file."""
+        if self.held:
+            df = self.spark.createDataFrame(self.held, JOB_LOG).coalesce(1)
+            df.write.mode("append").partitionBy("job_type").parquet(self.path)
+            self.held = []
+
+    def __enter__(self) -> JobLogger:
+        return self
+
+    def __exit__(self, kind, *_exc) -> None:
+        if kind is not None:
+            self.log("error")
+        self.flush()
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """The job log; empty before the first run."""
+    restore_table(spark, path)
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], JOB_LOG)
+    return spark.read.schema(JOB_LOG).parquet(path).select(*JOB_LOG.fieldNames())
+
+
+def compact_log(spark: SparkSession, path: str, tries: int = 3) -> int:
+    """Rewrite the log's many small files as few per job type, and return the
+    files it has then. The new table takes the old one's place by a rename; a
+    run that appended meanwhile makes the rewrite start over, so its rows are
+    not lost."""
+    for _ in range(tries):
+        before = file_table(spark, path).select("path").collect()
+        work = f"{path.rstrip('/')}__new_{uuid.uuid4().hex[:8]}"
+        read_log(spark, path).hint("rebalance", F.col("job_type")).write.partitionBy("job_type").parquet(work)
+        if set(file_table(spark, path).select("path").collect()) == set(before):
+            swap_table(spark, work, path)
+            return file_table(spark, path).count()
+        drop_table(spark, work)
+    raise RuntimeError(f"{path} was appended to during each of {tries} rewrites")
+
 
 # --- C10: staleness of the latest matching step --------------------------------
 
@@ -153,7 +207,14 @@ def alert_rows(flags: DataFrame) -> DataFrame:
 def write_flags(flags: DataFrame, path: str) -> None:
     """Write flagged rows as JSON lines; an empty folder of records means no
     flag. Readers take the folder, not one file."""
-    flags.write.mode("overwrite").json(path)
+    flags.write.mode("overwrite").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path)
+
+
+def read_flags(spark: SparkSession, path: str) -> DataFrame:
+    """Flag records as ``write_flags`` wrote them, with the log's types; an
+    empty folder gives no rows."""
+    fields = [StructField("alert_name", StringType()), StructField("raise_flag", BooleanType()), StructField("lt", StringType()), *JOB_LOG.fields]
+    return spark.read.schema(StructType(fields)).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]").json(path)
 
 
 # --- C12: backfill plan ------------------------------------------------------------------

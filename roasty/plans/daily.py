@@ -220,7 +220,7 @@ def run_step(spark: SparkSession, layout: Layout, step: str, day: _dt.date, late
     * ``daily_panel_daily``: window replace of the panel from ``day``.
     """
     if step == "fact_init":
-        inc.commit_full(spark.createDataFrame([], FACT_LANDED), layout.fact_path, FACT_KEYS)
+        inc.init_table(spark, layout.fact_path, FACT_LANDED, FACT_KEYS)
     elif step == "fact_daily":
         return refresh_fact_on_disk(spark, layout, day, late)[:-1]
     elif step == "daily_panel_init":

@@ -49,6 +49,18 @@ def landing_stream(spark: SparkSession, root: str, file_glob: str, schema: T.Str
     )
 
 
+def file_stream(spark: SparkSession, root: str, file_glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A streaming DataFrame with a row per new landing file of
+    ``{root}/*/{file_glob}``: its ``ymd`` and day folder. No file is opened."""
+    r = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    path = F.col("_metadata.file_path")
+    return r.load(f"{root.rstrip('/')}/*/{file_glob}").select(
+        F.regexp_extract(path, DAY_IN_PATH, 1).alias("ymd"), F.regexp_extract(path, r"^(.*)/[^/]*$", 1).alias("_day_dir")
+    )
+
+
 def reload_days(schema: T.StructType, file_glob: str, raw_path: str, fmt: str | None = None, manifest: str | None = None):
     """``foreachBatch`` function: write every day the batch touched, whole,
     from its landing folder, and note its files in the manifest. The driver
@@ -73,7 +85,7 @@ def ingest_available(spark: SparkSession, root: str, file_glob: str, schema: T.S
     files). With ``manifest``, the path of the table of loaded files, days
     whose files were replaced or removed since are loaded again, too. Returns
     the finished query."""
-    stream = landing_stream(spark, root, file_glob, schema, fmt, max_files_per_trigger)
+    stream = file_stream(spark, root, file_glob, max_files_per_trigger)
     q = (
         stream.writeStream.foreachBatch(reload_days(schema, file_glob, raw_path, fmt, manifest))
         .option("checkpointLocation", checkpoint)
@@ -93,7 +105,7 @@ def start_ingest(spark: SparkSession, root: str, file_glob: str, schema: T.Struc
     ``every`` (the hourly ingest), noting them in ``manifest`` if given; call
     ``sync_landing`` beside it for replaced and removed ones. Stop it with
     ``query.stop()``."""
-    stream = landing_stream(spark, root, file_glob, schema, fmt, max_files_per_trigger)
+    stream = file_stream(spark, root, file_glob, max_files_per_trigger)
     return (
         stream.writeStream.foreachBatch(reload_days(schema, file_glob, raw_path, fmt, manifest))
         .option("checkpointLocation", checkpoint)
