@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -42,9 +43,29 @@ def conditional_counts(
 
 
 def money_total(c: str | Column) -> Column:
-    """Exact sum of a money column as a decimal; NULL if every input is NULL.
-    Round this, not its double, where a result is rounded."""
-    return F.sum(_col(c).cast(MONEY_TYPE)).cast(MONEY_TYPE)
+    """Exact sum of a money column of doubles as a decimal; NULL if every
+    input is NULL. Round this, not its double, where a result is rounded.
+
+    An amount below a million with six decimals at most is a whole number of
+    millionths: those are summed as two longs (the low 20 bits and the rest,
+    which no number of rows overflows), without a decimal per row. Such an
+    amount has 12 digits at most, so its double stands for that decimal and no
+    other. Only what is not of this kind is summed as decimals."""
+    amount = _col(c)
+    d = amount.cast("double")
+    units = F.when(F.abs(d) < 1e6, F.rint(d * 1e6).cast("long"))
+    plain = units.cast("double") / 1e6 == d
+    high = F.sum(F.when(plain, F.shiftright(units, 20)))
+    low = F.sum(F.when(plain, units.bitwiseAND(F.lit((1 << 20) - 1))))
+    millionth = F.lit(Decimal("0.000001"))
+    quick = ((high.cast("decimal(20,0)") * F.lit(1 << 20) + low.cast("decimal(20,0)")).cast("decimal(31,0)") * millionth).cast(MONEY_TYPE)
+    rest = F.sum(F.when(~F.coalesce(plain, F.lit(False)), amount.cast(MONEY_TYPE))).cast(MONEY_TYPE)
+    return F.when(rest.isNull(), quick).when(high.isNull(), rest).otherwise((quick + rest).cast(MONEY_TYPE))
+
+
+def money_merge(c: str | Column) -> Column:
+    """Sum of ``money_total`` results."""
+    return F.sum(_col(c)).cast(MONEY_TYPE)
 
 
 def money_round(total: str | Column, scale: int = 0) -> Column:

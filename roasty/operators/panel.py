@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roasty.functions.aggregates import count_rows, money_round, money_total, ratio
+from roasty.functions.aggregates import conditional_counts, count_rows, money_merge, money_round, money_total, ratio
 from roasty.functions.dates import as_date, days_back
 from roasty.operators.incremental import overwrite_partitions, replace_window
 from roasty.schemas import (
@@ -30,13 +30,12 @@ def is_install_label():
     return F.when(F.col("event_name") == F.lit("install"), F.col("event_name")).otherwise(F.lit("non_install"))
 
 
-def _count_columns(by_install: bool) -> list[tuple[str, str, str]]:
-    """(column, value, output name) of every conditional count of a panel."""
+def _count_columns(by_install: bool) -> dict[str, dict[str, str]]:
+    """Output names of the conditional counts of a panel, by column and value."""
     if by_install:
-        return [(c, v, n) for c, m in PANEL_BY_INSTALL_COUNT_NAMES.items() for v, n in m.items()]
-    pairs = [("event_name", v) for v in PANEL_EVENTS] + [("platform", v) for v in PANEL_PLATFORMS]
-    pairs += [("af_channel", v) for v in PANEL_CHANNELS]
-    return [(c, v, f"t_{v}") for c, v in pairs]
+        return PANEL_BY_INSTALL_COUNT_NAMES
+    values = {"event_name": PANEL_EVENTS, "platform": PANEL_PLATFORMS, "af_channel": PANEL_CHANNELS}
+    return {c: {v: f"t_{v}" for v in vs} for c, vs in values.items()}
 
 
 def campaign_panel(fact: DataFrame, by_install: bool = True) -> DataFrame:
@@ -65,14 +64,14 @@ def campaign_panel(fact: DataFrame, by_install: bool = True) -> DataFrame:
         money["revenue_usd"] = "event_revenue_usd"
     fine = src.groupBy(*keys, *strings).agg(
         count_rows().alias("_n"),
-        *[F.sum(F.when(F.col(c) == F.lit(v), F.lit(1))).alias(f"_{n}") for c, v, n in counts],
+        *[n for c, names in counts.items() for n in conditional_counts(c, names, {v: f"_{name}" for v, name in names.items()})],
         *[money_total(col).alias(f"_u_{name}") for name, col in money.items()],
     )
     panel = fine.groupBy(*keys).agg(
         F.max("af_channel").alias("media_source"),
         F.sum("_n").cast("long").alias("t_events"),
-        *[F.sum(f"_{n}").cast("long").alias(n) for _, _, n in counts],
-        *[money_total(f"_u_{name}").alias(f"_m_{name}") for name in money],
+        *[F.sum(f"_{n}").cast("long").alias(n) for names in counts.values() for n in names.values()],
+        *[money_merge(f"_u_{name}").alias(f"_m_{name}") for name in money],
         (F.max("data_source") if has_tag else F.lit(None).cast("string")).alias("data_source"),
     )
     panel = panel.withColumn("revenue", money_round("_m_revenue")).withColumn("cost", money_round("_m_cost"))
