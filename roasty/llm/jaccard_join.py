@@ -41,7 +41,7 @@ KEY_BYTES = KEY_BITS // 8
 RARE = 32
 MOST_FREQUENT = 1 << 21
 #: Entries that a task holds before it deals them out by ranges of keys.
-HELD = 3_000_000
+HELD = 800_000
 #: Parts of the hash space that the suffix filter compares, 64 a word.
 PARTS = 512
 #: Classes whose names (24 bytes each) are sent to every task, so that only
