@@ -103,4 +103,113 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM d LEFT JOIN c USING (r) JOIN (SELECT r, min(x) AS component_id FROM reach GROUP BY r) USING (r)
 """
 
-ORACLE_SQL = {"op4_jaccard_join": OP4, "op10_warc": OP10, "op1_quality_rules": OP1, "op8_benchmark_decontamination": OP8}
+# Centroid clustering and Merkle manifests, built level by level.
+
+
+def _rounds(rounds=10):
+    """The rounds of the clustering, one after the other."""
+    parts = []
+    for i in range(rounds + 1):
+        parts.append(f"""
+near{i} AS MATERIALIZED (SELECT r, min(struct_pack(d := d, k := k)) AS best FROM (
+  SELECT v.r, c.k, CAST(v.sq + c.sq - 2 * array_inner_product(v.x, c.x) AS BIGINT) AS d FROM v, c{i} c) GROUP BY r)""")
+        if i < rounds:
+            parts.append(f"""
+sums{i} AS (SELECT k, e, sum(w) AS s, count(*) AS n FROM (
+  SELECT n.best.k AS k, unnest(v.l) AS w, generate_subscripts(v.l, 1) AS e FROM near{i} n JOIN v USING (r)) GROUP BY ALL),
+c{i + 1} AS MATERIALIZED (SELECT k, x, array_inner_product(x, x) AS sq FROM (
+  SELECT o.k, coalesce(m.x, o.x) AS x FROM c{i} o LEFT JOIN (
+    SELECT k, CAST(list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY e) AS DOUBLE[64]) AS x FROM sums{i} GROUP BY k) m USING (k)))""")
+    return ",".join(parts)
+
+
+OP12 = f"""
+WITH kept AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS HUGEINT)) AS l
+  FROM embeddings WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(CAST(x AS DOUBLE)))) = 64),
+v AS MATERIALIZED (SELECT r, vec_id, l, CAST(l AS DOUBLE[64]) AS x, array_inner_product(CAST(l AS DOUBLE[64]), CAST(l AS DOUBLE[64])) AS sq FROM kept),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), l) - 1 AS k, x, sq FROM v ORDER BY sha256('3:' || vec_id), l LIMIT 8),
+{_rounds()},
+met AS (SELECT v.vec_id, n.best.k AS k, n.best.d AS d FROM near10 n JOIN v USING (r)),
+named AS (SELECT k, sha256(array_to_string(list_transform(CAST(x AS DOUBLE[]), lambda y: CAST(CAST(y AS BIGINT) AS VARCHAR)), ',')) AS sha FROM c10)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY k) AS BIGINT) AS cluster_inertia,
+       CAST(sum(d) OVER () AS BIGINT) AS inertia, sha AS centroid_sha256
+FROM met JOIN named USING (k)
+"""
+
+
+def _tree(name, leaves, levels):
+    """Levels of 8-ary trees over ``leaves`` (g, i, h): (g, i, h, n) each, and
+    the root of each g. A tree that has one node left has no more levels."""
+    parts = [f"{name}0 AS MATERIALIZED (SELECT *, count(*) OVER (PARTITION BY g) AS n FROM {leaves})"]
+    for k in range(1, levels + 1):
+        parts.append(
+            f"{name}{k} AS MATERIALIZED (SELECT g, i // 8 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h, any_value((n + 7) // 8) AS n "
+            f"FROM {name}{k - 1} WHERE n > 1 GROUP BY g, i // 8)"
+        )
+    roots = " UNION ALL ".join(f"SELECT g, h FROM {name}{k} WHERE n = 1" for k in range(levels + 1))
+    return ", ".join(parts) + f", {name}_roots AS MATERIALIZED ({roots})"
+
+
+def _paths(name, levels):
+    """``left`` and ``right`` siblings of each node, level by level."""
+    parts = []
+    for k in range(levels):
+        parts.append(
+            f"{name}s{k} AS MATERIALIZED (SELECT a.g, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i < a.i), '') AS l, "
+            f"coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (WHERE b.i > a.i), '') AS r "
+            f"FROM {name}{k} a JOIN {name}{k} b ON a.g = b.g AND a.i // 8 = b.i // 8 WHERE a.n > 1 GROUP BY a.g, a.i)"
+        )
+    return ", ".join(parts)
+
+
+def _folded(source, key, name, levels, proof):
+    """``d`` folded through the levels of ``name``; ``proof`` grows."""
+    parts = []
+    for k in range(levels):
+        parts.append(
+            f"{source}{k + 1} AS (SELECT t.* REPLACE (CASE WHEN s.l IS NULL THEN t.d ELSE sha256(s.l || t.d || s.r) END AS d, "
+            f"t.{proof} || coalesce(s.l || s.r, '') AS {proof}) "
+            f"FROM {source}{k} t LEFT JOIN {name}s{k} s ON s.g = t.{key} AND s.i = t.pos // {8 ** k})"
+        )
+    return ", ".join(parts)
+
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE strlen(CAST({0} AS VARCHAR)) || ':' || {0} END"
+_CRC = (
+    "xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS UBIGINT))), "
+    "lambda s, b: xor(s >> 8, crc.t[CAST(xor(s, b) & 255 AS INTEGER) + 1])))"
+)
+
+
+def _step(x, times):
+    for _ in range(times):
+        x = f"(CASE WHEN {x} & 1 = 1 THEN xor({x} >> 1, 3988292384) ELSE {x} >> 1 END)"
+    return x
+
+
+_LEVELS, _OVER = 8, 3
+OP13 = (
+    "WITH "
+    + ", ".join(
+        f"crc{k} AS (SELECT list_transform({'range(256)' if k == 0 else 't'}, lambda x: {_step('CAST(x AS UBIGINT)', 1)}) AS t{'' if k == 0 else f' FROM crc{k - 1}'})"
+        for k in range(8)
+    )
+    + ", crc AS MATERIALIZED (SELECT t FROM crc7), "
+    + "d AS (SELECT doc_id, lang, "
+    + f"sha256({' || '.join(_FIELD.format(c) for c in ('doc_id', 'source', 'lang', 'n_chars', 'text'))}) AS leaf, "
+    + "sha256(" + " || ".join(_FIELD.format(c if c != "text" else "low") for c in ("doc_id", "source", "lang", "n_chars", "text")) + ") AS changed, "
+    + f"coalesce({_CRC} % 3 = 0, FALSE) AS tampered FROM (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents), crc), "
+    + "langs AS (SELECT lang, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS g FROM (SELECT DISTINCT lang FROM d)), "
+    + "ranked AS MATERIALIZED (SELECT g, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, doc_id, leaf AS h, "
+    + "CASE WHEN tampered THEN changed ELSE leaf END AS now FROM d JOIN langs ON d.lang IS NOT DISTINCT FROM langs.lang), "
+    + "leaves AS (SELECT g, pos AS i, h FROM ranked), " + _tree("t", "leaves", _LEVELS) + ", "
+    + "subs AS (SELECT 0 AS g, g AS i, h FROM t_roots), " + _tree("o", "subs", _OVER) + ", "
+    + _paths("t", _LEVELS) + ", " + _paths("o", _OVER) + ", "
+    + "f0 AS (SELECT g, pos, doc_id, h, now AS d, '' AS proof FROM ranked), " + _folded("f", "g", "t", _LEVELS, "proof") + ", "
+    + f"u0 AS (SELECT doc_id, h, 0 AS z, g AS pos, d, proof, g FROM f{_LEVELS}), " + _folded("u", "z", "o", _OVER, "proof")
+    + f" SELECT doc_id, u.h AS leaf, s.h AS subroot, o.h AS root, sha256(proof) AS proof_sha256, d AS folded_root, d = o.h AS verified "
+    + f"FROM u{_OVER} u JOIN t_roots s ON s.g = u.g, o_roots o"
+)
+
+ORACLE_SQL = {"op12_centroid_clustering": OP12, "op13_merkle_manifest": OP13, "op4_jaccard_join": OP4, "op10_warc": OP10, "op1_quality_rules": OP1, "op8_benchmark_decontamination": OP8}

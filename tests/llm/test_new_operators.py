@@ -7,15 +7,27 @@ import random
 import struct
 import zlib
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from roasty.llm import byte_bpe, centroids, merkle
 
+from roasty.llm.oracle_sql import OP12, OP13
+
 from .conftest import CLASHING, TEXTS
 from .test_documents import corpus, rows
 
+
+def by_duckdb(sql, name, columns, data):
+    """The SQL's rows over a table of these rows."""
+    con = duckdb.connect()
+    con.execute(f"CREATE TABLE {name} ({columns})")
+    if data:
+        con.executemany(f"INSERT INTO {name} VALUES ({', '.join('?' * len(data[0]))})", data)
+    return sorted(con.execute(sql).fetchall(), key=str)
+
 RANKS = byte_bpe.read_ranks(open(byte_bpe.RANKS_PATH, "rb").read())
 
 
@@ -121,6 +133,7 @@ def clustered(spark, table, **more):
 def test_clusters_against_brute_force(spark, spread):
     table = vectors(150, 3, spread)
     assert clustered(spark, table) == brute_clusters(table)
+    assert by_duckdb(OP12, "embeddings", "vec_id BIGINT, embedding FLOAT[]", table) == brute_clusters(table)
 
 
 def test_clusters_odd_rows(spark):
@@ -210,6 +223,7 @@ def test_manifest_against_brute_force(spark, sizes):
     r.shuffle(table)
     got = rows(merkle.manifest(spark.createDataFrame(table, FIELDS).repartition(5)).drop("proof"))
     assert got == brute_manifest(table)
+    assert by_duckdb(OP13, "documents", "doc_id BIGINT, source VARCHAR, lang VARCHAR, n_chars BIGINT, text VARCHAR", table) == got
     assert {x[-1] for x in got} <= {True, False}
 
 
