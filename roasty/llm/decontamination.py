@@ -208,23 +208,28 @@ def score(
 
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, mode: str = "documents", size: int = 10, text_col: str = "text",
-    item_id_col: str = "item_id", item_text_col: str = "text",
+    item_id_col: str = "item_id", item_text_col: str = "text", id_col: str | None = "doc_id",
 ) -> DataFrame:
     """``docs`` without its contaminated documents (``mode='documents'``), or
     with the hit words and the separators after them cut out
-    (``mode='spans'``). Columns and other rows stay as they are."""
+    (``mode='spans'``). Columns and other rows stay as they are. What was hit
+    is told by ``id_col``, if the table has it, and a hash of the text."""
     if mode not in ("documents", "spans"):
         raise ValueError(f"mode {mode!r}: 'documents' or 'spans'")
     grams, _, lengths, broadcast = _measured(benchmark_windows(benchmark, size, item_id_col, item_text_col))
-    rows = packed(docs, key=text_key(F.col(text_col)), text=F.col(text_col))
-    keyed = rows.select(F.lit(0).alias("_id"), F.col("key").alias("_key"), F.col("text").alias("_text"))
+    own = F.col(id_col).cast("string") if id_col in docs.columns else F.lit(None).cast("string")
+    rows = packed(docs, id=own, key=text_key(F.col(text_col)), text=F.col(text_col))
+    keyed = rows.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("text").alias("_text"))
     found = (
         _hits(keyed, grams, lengths, broadcast, "_text")
-        .groupBy(F.col("_key").alias("hit_key"))
+        .groupBy(F.col("_id").alias("hit_id"), F.col("_key").alias("hit_key"))
         .agg(F.array_sort(F.collect_set(F.struct("start", "gram_len"))).alias("spans"))
     )
+    # Written: few rows, and Spark can see that when it picks the join.
+    found = stored(found, "decontamination-hits")
+    same = F.col("id").eqNullSafe(F.col("hit_id")) & (F.col("key") == F.col("hit_key"))
     if mode == "documents":
-        return unpacked(rows.join(found, F.col("key") == F.col("hit_key"), "left_anti"), docs.columns)
+        return unpacked(rows.join(found, same, "left_anti"), docs.columns)
     # Text before the first word, then each word with what follows it.
     parts = F.regexp_extract_all("text", F.lit(f"[^{RAW_SEPARATORS}]+[{RAW_SEPARATORS}]*"), F.lit(0))
     head = F.regexp_extract("text", f"^[{RAW_SEPARATORS}]*", 0)
@@ -232,4 +237,4 @@ def decontaminate(
         parts, lambda _, i: ~F.exists(F.col("spans"), lambda s: (s["start"] <= i) & (i < s["start"] + s["gram_len"]))
     )
     cut = F.when(F.col("spans").isNull(), F.col("text")).otherwise(F.concat(head, F.array_join(kept, "")))
-    return unpacked(rows.join(found, F.col("key") == F.col("hit_key"), "left"), docs.columns, **{text_col: cut})
+    return unpacked(rows.join(found, same, "left"), docs.columns, **{text_col: cut})

@@ -13,6 +13,7 @@ import base64
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,22 +35,28 @@ def load(ranks: bytes):
     return tiktoken.Encoding("given", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
 
 
+#: Places where a pre-token surely ends, whatever is around them. The pattern's
+#: tokens are runs of letters, of digits or of other signs, the first space of
+#: a run of white space going to the word after it: so a run ends before white
+#: space and before a run of another kind. An apostrophe may start a suffix
+#: with the letters after it, so nothing is sure there.
+SURE = regex.compile(
+    r"(?<=\S)(?=\s)|(?<=\p{L})(?=[^\s\p{L}])|(?<=\p{N})(?=[^\s\p{N}])|(?<=[^\s\p{L}\p{N}'])(?=[\p{L}\p{N}])|(?<=')(?=\p{N})"
+)
+
+
 def sure(before: str, after: str) -> bool:
-    """Whether a pre-token ends between the two texts, whatever is around
-    them: a letter or digit, then one space and a letter or digit. Only the
-    last character of one and the first two of the other are looked at."""
-    return len(after) > 1 and after[0] == " " and bool(before) and before[-1].isalnum() and after[1].isalnum()
+    """Whether a pre-token surely ends between the two texts, by the last
+    character of one and the first of the other."""
+    return bool(before and after) and SURE.match(before[-1] + after[0], 1) is not None
 
 
 def cut(text: str) -> list[str]:
     """The text in segments of SEGMENT characters or somewhat more."""
-    out, start, n = [], 0, len(text)
-    while start < n:
-        at = text.find(" ", start + SEGMENT)
-        while at > 0 and not (at + 1 < n and text[at - 1].isalnum() and text[at + 1].isalnum()):
-            at = text.find(" ", at + 1)
-        if at <= 0:
-            at = n
+    out, start = [], 0
+    while start < len(text):
+        end = SURE.search(text, start + SEGMENT)
+        at = end.start() if end else len(text)
         out.append(text[start:at])
         start = at
     return out

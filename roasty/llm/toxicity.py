@@ -289,8 +289,8 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
     have it and a text, TRAIN_DOCS at most in the order of their hashes, as
     whole texts, without those that the rest of the label's TRAIN_DOCS *
     TRAIN_CHARS characters does not hold (the shortest text if it holds none).
-    Only those bounded lists reach the driver. A label that the table has and
-    no document with a word is an error, unless there are no documents."""
+    Only those bounded lists reach the driver. A label that no document with a
+    word has is not learned: the network then knows the other one alone."""
     known = (
         labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
         .groupBy(F.col(id_col).alias("_lid")).agg(F.max(label_col).cast("int").alias("_label"))
@@ -318,10 +318,6 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label
         for r in rows.orderBy("_label", F.xxhash64("_id"), "_id", "_wkey").select("_text", "_label").collect():
             texts.append(r["_text"])
             marks.append(r["_label"])
-    learned = {m for t, m in zip(texts, marks, strict=True) if tokens(t)}
-    missing = [label for label in (0, 1) if label not in learned and not known.filter(F.col("_label") == label).isEmpty()]
-    if missing and not docs.isEmpty():
-        raise ValueError(f"labels {missing} are given, but no document to learn them from")
     return texts, marks
 
 
@@ -334,8 +330,9 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     A null or empty text, or one without words, scores 0. Null ids and labels
     are not learned from; of repeated labels of an id the largest counts;
-    without labels, or with one label only, all texts with words get the same
-    score; labels that no document can teach are an error. Repeated rows score alike. Other columns are ignored."""
+    without labels, or with one label only (also one that documents with words
+    have, beside one that none has), all texts with words get the same score.
+    Repeated rows score alike. Other columns are ignored."""
     net = train(*sample(docs, labels, id_col, text_col, label_col))
     model = docs.sparkSession.sparkContext.broadcast(net)  # 2 MB, fixed by the parameters above
     id_type = dict(docs.dtypes)[id_col]
