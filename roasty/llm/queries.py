@@ -49,9 +49,10 @@ def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The conversations as flat transcripts, parsed back into turns."""
+    """The conversations as flat transcripts, parsed back into turns by a model
+    fitted on three in four of them."""
     parts = chat.as_transcript(table(spark, sf_dir, "conversations"))
-    return chat.parse(parts, chat.fit(parts))
+    return chat.parse(parts, chat.fit(parts.filter(chat.fitted(F.col("conv_id")))))
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

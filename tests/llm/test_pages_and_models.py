@@ -256,6 +256,7 @@ def test_roles_come_back_and_blocks_do_not_matter(spark, monkeypatch):
     assert right >= 0.95 * len(told)
     assert whole[0][4].startswith("<|im_start|>") and whole[0][4].endswith("<|im_end|>\n")
     monkeypatch.setattr(chat, "BLOCK_LINES", 40)  # the long conversation over many blocks
+    monkeypatch.setattr(chat, "FAN", 2)  # and a tree of several levels over these
     assert np.allclose(chat.fit(parts).step, model.step)
     assert sorted(map(tuple, chat.parse(parts, model).collect())) == whole
 
@@ -270,11 +271,46 @@ def test_stretches_join_to_the_viterbi_path():
     first = (model.start + model.seen[:, pieces[0][0]])[:, None] + model.across(pieces[0][1:])
     tables[0] = np.tile(first.max(axis=0), (chat.STATES, 1))
     joined = []
-    for p, (before, last) in zip(pieces, chat.join_stretches(model, tables), strict=True):
+    for p, (before, last) in zip(pieces, chat.join_stretches(tables), strict=True):
         joined += model.viterbi(p, before, last)
     assert joined == model.viterbi(symbols, None, None)
 
 
+def test_viterbi_is_the_best_of_all_paths():
+    """Every path of short transcripts, from and to given states."""
+    import itertools
+
+    r = np.random.default_rng(8)
+    for n in (1, 2, 4):
+        model = chat.Model(r.random(chat.STATES) * 5, r.random((chat.STATES,) * 2) * 9, r.random((chat.STATES, chat.SYMBOLS)) * 9)
+        for before, last in ((None, None), (3, None), (None, 2), (0, 4)):
+            symbols = r.integers(0, chat.SYMBOLS, n).tolist()
+
+            def score(path):
+                total = (model.start if before is None else model.step[before])[path[0]] + model.seen[path[0], symbols[0]]
+                for a, b, x in zip(path, path[1:], symbols[1:]):
+                    total += model.step[a, b] + model.seen[b, x]
+                return total
+
+            paths = [p for p in itertools.product(range(chat.STATES), repeat=n) if last is None or p[-1] == last]
+            best = max(map(score, paths))
+            got = model.viterbi(symbols, before, last)
+            assert score(got) == best or (np.isinf(best) and np.isinf(score(got)))
+
+
+def test_conversations_not_fitted_on_come_back(spark):
+    turns = spark.read.parquet("/root/testdata/sf0.01/conversations.parquet")
+    parts = chat.as_transcript(turns)
+    got = {}
+    for r in chat.parse(parts, chat.fit(parts.filter(chat.fitted(F.col("conv_id"))))).collect():
+        got.setdefault(r.conv_id, {})[r.turn] = (r.role, r.text)
+    want = {}
+    for r in turns.filter(~chat.fitted(F.col("conv_id"))).collect():
+        want.setdefault(str(r.conv_id), {})[r.turn] = (r.role, r.text)
+    right = sum(got[c] == of for c, of in want.items())
+    assert len(want) >= 15 and right > 0.95 * len(want)
+
+
 def test_chat_odd_rows(spark):
     rows = [(1, 0, "user", "Hi there?"), (1, 0, "user", "Hi there?"), (1, 1, "assistant", ""), (None, None, None, "Assistant: hello\nmore"), (2, 1, "tool", None),
             (3, 0, "user", "A: <|im_end|> x")]
