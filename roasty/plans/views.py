@@ -25,7 +25,7 @@ def register_views(spark: SparkSession, layout: Layout, panel_view: str = "daily
     return names
 
 
-def register_tables(spark: SparkSession, layout: Layout, external: dict[str, str] | None = None, feeds_view: str = "appsflyer_all",
+def register_tables(spark: SparkSession, layout: Layout, external: dict[str, str] | None = None, feeds_view: str = "raw_all",
                     panel_view: str = "daily_campaign_panel") -> list[str]:
     """``register_views``, a view ``feeds_view`` over both raw feeds (tagged,
     by name), and external tables over landing files that are not loaded
