@@ -58,7 +58,7 @@ def probe_length(n: int) -> int:
 def _range_bits(docs: DataFrame) -> int:
     """Ranges of keys so many that a range's share of all shingles is far
     below a task's input, at any size."""
-    return max(6, (16 * docs.rdd.getNumPartitions() - 1).bit_length())
+    return max(6, (8 * docs.rdd.getNumPartitions() - 1).bit_length())
 
 
 def _dealt(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:

@@ -30,8 +30,8 @@ MARK = "▁"
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 
 #: Encoded words a task keeps between batches; it starts anew beyond that.
-CACHED_WORDS = 250_000
-CACHED_PAIRS = 400_000
+CACHED_WORDS = 150_000
+CACHED_PAIRS = 250_000
 #: Characters whose words are sorted together.
 BATCH_CHARS = 2_000_000
 

@@ -211,7 +211,7 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
                 if text and len(text) * 4 >= length:
                     found = anchors(text.encode("utf-8", "surrogatepass"), length)
                     rows += [(doc, key, run, *struct.unpack("<qq", d), a, f, z) for run, d, a, f, z in found]
-                if len(rows) > 200_000:
+                if len(rows) > 50_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
                     rows = []
             if rows:
