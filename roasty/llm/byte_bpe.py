@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roasty.llm.common import claim
+
 RANKS_PATH = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 #: The pattern that cuts texts into words; a fixed value of the vocabulary.
@@ -210,6 +212,7 @@ _LOADED: dict[int, Merges] = {}
 
 def _loaded(ranks, pattern: str) -> Merges:
     """One vocabulary a worker process, whatever tasks it runs."""
+    claim("byte_bpe", _LOADED.clear)
     key = hash((ranks.value, pattern))
     if key not in _LOADED:
         _LOADED.clear()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,6 +62,20 @@ def working_tables(spark: SparkSession, docs: DataFrame, noted: list[str]) -> It
         _NOTED.remove(noted)
 
 
+#: What operators keep in a worker process between tasks, and how to drop it.
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, drop: Callable[[], None] | None = None) -> None:
+    """Called where a task of ``owner`` starts: worker processes go from one
+    operator's tasks to another's, so what the others keep is dropped. With
+    ``drop``, what the owner keeps can be dropped by them in turn."""
+    for other in [k for k in _KEPT if k != owner]:
+        _KEPT.pop(other)()
+    if drop:
+        _KEPT[owner] = drop
+
+
 def text_key(text: Column) -> Column:
     """Tells rows with one id apart by their text; null and '' agree."""
     return F.xxhash64(F.coalesce(text, F.lit("")))

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roasty.llm.common import SPACE_CLASS, discard, packed, stored, text_key, unpacked
+from roasty.llm.common import SPACE_CLASS, claim, discard, packed, stored, text_key, unpacked
 from roasty.llm.components import components
 from roasty.llm.shingling import digest, mixed, pack, pack_sorted, shingle_set, unpack, unpack_sorted
 
@@ -78,6 +78,7 @@ def frequent(own: DataFrame, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarra
     bits = _range_bits(own)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard")
         held, n, seen = [], 0, set()
 
         def deal() -> pa.RecordBatch:
@@ -145,6 +146,7 @@ def prefixes(own: DataFrame, often: tuple[np.ndarray, np.ndarray], size: int = S
         return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("jaccard")
         keys, times = spread.value
         held: dict[bool, list] = {False: [], True: []}
         held_n, seen = 0, set()

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roasty.llm.common import claim
+
 #: The space mark, a fixed value of the format.
 MARK = "▁"
 
@@ -233,6 +235,7 @@ _LOADED: dict[int, Vocabulary] = {}
 
 def _loaded(model, kind: str) -> Vocabulary:
     """One vocabulary a worker process, whatever tasks it runs."""
+    claim("pieces", _LOADED.clear)
     key = hash((model.value, kind))
     if key not in _LOADED:
         _LOADED.clear()

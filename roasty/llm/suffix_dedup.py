@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roasty.llm.common import discard, packed, stored, text_key, unpacked
+from roasty.llm.common import claim, discard, packed, stored, text_key, unpacked
 
 LENGTH = 400
 #: Bytes of a text that are looked at together; stretches may end there.
@@ -205,6 +205,7 @@ def _find_anchors(docs: DataFrame, length: int) -> DataFrame:
                         ("anchor", pa.int32()), ("first", pa.int32()), ("last", pa.int32())])
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("suffix")
         for b in batches:
             rows: list[tuple] = []
             for doc, key, text in zip(*[c.to_pylist() for c in b.columns], strict=True):
