@@ -96,15 +96,19 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(JOB_LOG).parquet(path).select(*JOB_LOG.fieldNames())
 
 
+#: Bytes of log, as stored, that ``compact_log`` puts into one file.
+COMPACT_BYTES = 32 << 20
+
+
 def compact_log(spark: SparkSession, path: str, tries: int = 3) -> int:
-    """Rewrite the log's many small files as few per job type, and return the
-    files it has then. The new table takes the old one's place by a rename; a
-    run that appended meanwhile makes the rewrite start over, so its rows are
-    not lost."""
+    """Rewrite the log's many small files as few per job type, at most one for
+    each ``COMPACT_BYTES`` begun, and return the files it has then. The new table
+    takes the old one's place by a rename; a run that appended meanwhile makes
+    the rewrite start over, so its rows are not lost."""
     for _ in range(tries):
         before = file_table(spark, path).select("path").collect()
         work = f"{path.rstrip('/')}__new_{uuid.uuid4().hex[:8]}"
-        read_log(spark, path).hint("rebalance", F.col("job_type")).write.partitionBy("job_type").parquet(work)
+        _in_few_files(spark, path).write.partitionBy("job_type").parquet(work)
         if set(file_table(spark, path).select("path").collect()) == set(before):
             swap_table(spark, work, path)
             return file_table(spark, path).count()
@@ -112,6 +116,19 @@ def compact_log(spark: SparkSession, path: str, tries: int = 3) -> int:
     raise RuntimeError(f"{path} was appended to during each of {tries} rewrites")
 
 
+def _in_few_files(spark: SparkSession, path: str) -> DataFrame:
+    """The log, dealt out so that a job type comes in no more parts than its
+    files have ``COMPACT_BYTES``."""
+    log = read_log(spark, path)
+    if not path_exists(spark, path):
+        return log
+    files = spark.read.schema(JOB_LOG).parquet(path).select("job_type", "_metadata.file_path", "_metadata.file_size").distinct()
+    parts = files.groupBy(F.col("job_type").alias("_type")).agg(F.ceil(F.sum("file_size") / COMPACT_BYTES).alias("_parts"))
+    part = F.pmod(F.xxhash64(*log.columns), F.coalesce("_parts", F.lit(1)))
+    dealt = log.join(parts, F.col("job_type").eqNullSafe(F.col("_type")), "left").withColumn("_part", part)
+    return dealt.repartition("job_type", "_part").select(*log.columns)
+
+
 # --- C10: staleness of the latest matching step --------------------------------
 
 

@@ -17,6 +17,7 @@ from roasty.operators import incremental as inc
 from roasty.operators import joblog as J
 from roasty.operators import profiles as P
 from roasty.operators import upstream as U
+from roasty.plans import catalog
 from roasty.plans import daily as chain
 from roasty.schemas import FACT_KEYS, FACT_LANDED, INAPP, INSTALLS, JOB_LOG
 from roasty.sources import files as FL
@@ -264,6 +265,36 @@ def test_compaction_keeps_rows_and_survives_a_stop(spark, tmp, monkeypatch):
     assert J.read_log(spark, path).count() == 7
 
 
+def test_compacted_files_follow_the_bytes(spark, tmp, monkeypatch):
+    kind = "CASE id % 8 WHEN 0 THEN NULL WHEN 1 THEN 'hourly' ELSE 'daily' END"
+    given = {"ts": "timestamp_ntz'2024-01-01 07:00:00'", "uid": "hex(id)", "job_type": kind, "step_id": "id"}
+    log = spark.range(40_000).selectExpr(*[f"CAST({given.get(f.name, 'CAST(id AS STRING)')} AS {f.dataType.simpleString()}) AS {f.name}" for f in JOB_LOG.fields])
+    log.repartition(16).write.partitionBy("job_type").parquet(f"{tmp}/log")
+    # Spark may cut its shuffles finely: that is no reason for more files.
+    monkeypatch.setattr(J, "COMPACT_BYTES", 1 << 19)
+    sizes = {r[0]: r[1] for r in FL.file_table(spark, f"{tmp}/log").groupBy(F.regexp_extract("path", "job_type=([^/]*)", 1)).agg(F.sum("n_bytes")).collect()}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16k")
+    try:
+        files = J.compact_log(spark, f"{tmp}/log")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len(sizes) == 3 and 3 <= files <= sum(-(-n // (1 << 19)) for n in sizes.values())
+    back = J.read_log(spark, f"{tmp}/log")
+    assert back.count() == 40_000 and back.exceptAll(log).count() == 0
+
+
+def test_the_round_of_a_large_log(spark, tmp):
+    orders = spark.range(60_000).selectExpr(
+        "id AS o_orderkey", "id % 1000 AS o_custkey", "element_at(array('F', 'O', 'P'), CAST(id % 3 + 1 AS INT)) AS o_orderstatus", "1.0D AS o_totalprice",
+        "timestamp_ntz'1998-07-01 00:00:00' + make_dt_interval(CAST(id % 30 AS INT)) AS o_orderdate", "'1-URGENT' AS o_orderpriority")
+    orders.write.parquet(f"{tmp}/orders.parquet")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        assert {r.log_rows for r in catalog.QUERIES["job_log_round"](spark, tmp).collect()} == {60_007}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
 def test_flags_round_trip(spark, tmp):
     row_ = (dt.datetime(2024, 1, 1, 7, 0, 0, 250000), "2024-01-01", "u", "me", "j", "daily", "f.py", "end", 3, "prod", "f.py --days-back 2")
     stale = spark.createDataFrame([row_], JOB_LOG).selectExpr("'a' AS alert_name", "true AS raise_flag", "'2024-01-01' AS lt", "*")
