@@ -16,7 +16,7 @@ import base64
 import hashlib
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -243,17 +243,19 @@ def write(
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
     records = rows.mapInArrow(build, "record binary").select(F.col("record").cast("string").alias("value"))
-    records.write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
+    # The fastest level: less time for somewhat larger archives.
+    records.write.option("lineSep", "\r\n").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """The records of the archives at ``path``, one a row (columns of RECORD)."""
+def read_records(spark: SparkSession, path: str, wanted: Callable[[dict], bool] | None = None) -> DataFrame:
+    """The records of the archives at ``path``, one a row (columns of RECORD);
+    with ``wanted`` only those that it holds for."""
     raw = spark.read.option("lineSep", BETWEEN).text(path).select(F.col("value").cast("binary").alias("raw"))
     schema = pa.schema([(f.name, {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary()}[f.dataType.simpleString()]) for f in RECORD])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [r for raw in b.column(0).to_pylist() for r in parse_records(raw)]
+            rows = [r for raw in b.column(0).to_pylist() for r in parse_records(raw) if wanted is None or wanted(r)]
             yield pa.RecordBatch.from_pylist(rows, schema)
 
     return raw.mapInArrow(parse, RECORD)
@@ -267,16 +269,21 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     whether all segments are there (numbers without a gap, total length as
     stated), the framing is sound and the payload has the digest the record
     names. Records that repeat a segment count once."""
-    records = read_records(spark, path)
-    first = records.filter("type IN ('response', 'revisit')")
-    # Only pages that were cut have continuations. A group is one page's.
+    pages = ("response", "revisit")
+    whole = read_records(spark, path, lambda r: r["type"] in pages and r["segment"] is None)
+    # Only pages that were cut have continuations. Their records are written,
+    # so that the archives are read once for both sides of the join.
+    segments = stored(
+        read_records(spark, path, lambda r: r["type"] == "continuation" or r["type"] in pages and r["segment"] is not None), "warc-segments"
+    )
+    # A group is one page's.
     rest = (
-        records.filter("type = 'continuation'")
+        segments.filter("type = 'continuation'")
         .groupBy(F.col("origin").alias("rest_of"))
         .agg(F.array_sort(F.collect_set(F.struct("segment", "block", "length_ok"))).alias("segments"), F.max("total_length").alias("total"))
     )
-    whole = first.filter("segment IS NULL").select("*", F.lit(None).cast("array<struct<segment:int,block:binary,length_ok:boolean>>").alias("segments"), F.lit(None).cast("long").alias("total"))
-    cut = first.filter("segment IS NOT NULL").join(rest, F.col("record_id") == F.col("rest_of"), "left").drop("rest_of")
+    whole = whole.select("*", F.lit(None).cast("array<struct<segment:int,block:binary,length_ok:boolean>>").alias("segments"), F.lit(None).cast("long").alias("total"))
+    cut = segments.filter("type IN ('response', 'revisit')").join(rest, F.col("record_id") == F.col("rest_of"), "left").drop("rest_of")
     joined = whole.unionByName(cut).select(
         "page_id", F.col("target_uri").alias("url"), "record_id", "type", "refers_to_record", "digest", "segment", "length_ok", "block", "segments", "total"
     )

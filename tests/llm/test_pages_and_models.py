@@ -199,6 +199,16 @@ def test_archives_come_back(spark):
     assert warc.round_trip(df.filter("false")).count() == 0
 
 
+def test_archives_are_read_once_for_cut_pages(spark, tmp_path, capsys):
+    pages = [(i, f"u{i}", chr(97 + i) * (100 if i % 2 else 50_000)) for i in range(6)]
+    path = str(tmp_path / "warc")
+    warc.write(spark.createDataFrame(pages, "page_id long, url string, html string"), path)
+    back = warc.read(spark, path)
+    back.explain()
+    assert capsys.readouterr().out.count("FileScan text") == 1
+    assert sorted((r.page_id, r.url, r.payload.decode(), r.complete) for r in back.collect()) == [(*p, True) for p in pages]
+
+
 def test_urls_that_end_like_a_version_line(spark):
     r = random.Random(4)
     big = "".join(r.choice("abc") for _ in range(40_000))
