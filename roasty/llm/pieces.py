@@ -38,6 +38,16 @@ CACHED_PAIRS = 250_000
 BATCH_CHARS = 2_000_000
 
 
+def _shared(a: str, b: str) -> int:
+    """Characters that two words have in common at their beginnings."""
+    n = 0
+    for x, y in zip(a, b):  # noqa: B905
+        if x != y:
+            break
+        n += 1
+    return n
+
+
 class Vocabulary:
     """Pieces with scores; ``kind`` is 'bpe' or 'unigram'. Characters without
     a piece become byte pieces, or the unknown piece if there are none."""
@@ -46,6 +56,7 @@ class Vocabulary:
                  dummy_prefix: bool = True):
         self.kind, self.byte_ids, self.unknown, self.dummy_prefix = kind, byte_ids, unknown, dummy_prefix
         self.ids = {p: i for p, (i, _) in pieces.items()}
+        self._packed = {p: pack("<i", i) for p, i in self.ids.items()}
         self.scores = {p: s for p, (_, s) in pieces.items()}
         self.longest = max(map(len, pieces), default=1)
         if any(MARK in p.lstrip(MARK) for p in pieces):
@@ -97,8 +108,12 @@ class Vocabulary:
                     break
         sizes: dict[str, set[int]] = {}
         for p in self.rank:
-            sizes.setdefault(p[-2:], set()).add(len(p))
-        #: Lengths of the pieces that end in two given characters, long first.
+            sizes.setdefault(p[-3:], set()).add(len(p))
+        for k, v in sizes.items():
+            if k[-2:] in self.rank:
+                v.add(2)
+        #: Lengths of the pieces that end in three given characters, or in two
+        #: where none ends in those three, long first.
         self.sizes = {k: tuple(sorted(v, reverse=True)) for k, v in sizes.items()}
 
     def _pair_holds(self, a: str, b: str) -> bool:
@@ -128,23 +143,39 @@ class Vocabulary:
 
     # The forward pass.
 
-    def _extend_bpe(self, word: str, end: int, states: list) -> int:
-        """Length of the last piece of the prefix that ends at ``end``."""
-        for size in self.sizes.get(word[end - 2 : end], ()):
-            if size > end:
-                continue
-            start = end - size
-            piece = word[start:end]
-            if piece in self.rank:
-                if start == 0:
-                    return size
-                pair = (word[start - states[start] : start], piece)
-                follows = self._valid.get(pair)
-                if follows is None:
-                    follows = self._may_follow(*pair)
-                if follows:
-                    return size
-        return 1
+    def _cut_bpe(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
+        """Each word and its pieces. The state of a prefix is its last piece:
+        the longest that may follow the piece before it."""
+        sizes, rank, valid, may_follow = self.sizes.get, self.rank, self._valid.get, self._may_follow
+        states = [""]
+        before = ""
+        for word in sorted(words):
+            shared = _shared(word, before)
+            del states[shared + 1 :]
+            for end in range(shared + 1, len(word) + 1):
+                for size in (end > 2 and sizes(word[end - 3 : end])) or sizes(word[max(end - 2, 0) : end], ()):
+                    start = end - size
+                    if start > 0:
+                        piece = word[start:end]
+                        if piece in rank:
+                            pair = (states[start], piece)
+                            follows = valid(pair)
+                            if follows or follows is None and may_follow(*pair):
+                                states.append(piece)
+                                break
+                    elif start == 0 and word[:end] in rank:
+                        states.append(word[:end])
+                        break
+                else:
+                    states.append(word[end - 1])
+            parts = []
+            end = len(word)
+            while end:
+                parts.append(states[end])
+                end -= len(states[end])
+            parts.reverse()
+            yield word, parts
+            before = word
 
     def _extend_unigram(self, word: str, end: int, states: list) -> tuple[float, int]:
         """Best score of the prefix and its last piece's length; of equal
@@ -159,38 +190,39 @@ class Vocabulary:
                     best = (total, size)
         return best
 
-    def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
-        """Piece ids of each word. ``words`` are visited in sorted order; the
-        states of the prefix shared with the word before are kept."""
-        out: dict[str, list[int]] = {}
-        bpe = self.kind == "bpe"
-        states: list = [0 if bpe else (0.0, 0)]
-        extend = self._extend_bpe if bpe else self._extend_unigram
+    def _cut_unigram(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
+        states = [(0.0, 0)]
         before = ""
         for word in sorted(words):
-            shared, most = 0, min(len(word), len(before))
-            while shared < most and word[shared] == before[shared]:
-                shared += 1
+            shared = _shared(word, before)
             del states[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                states.append(extend(word, end, states))
-            ids: list[int] = []
+                states.append(self._extend_unigram(word, end, states))
+            parts = []
             end = len(word)
             while end:
-                size = states[end] if bpe else states[end][1]
-                piece = word[end - size : end]
-                known = self.ids.get(piece)
-                if known is not None:
-                    ids.append(known)
-                elif self.byte_ids:
-                    ids.extend(self.byte_ids[b] for b in reversed(piece.encode("utf-8", "surrogatepass")))
-                else:
-                    ids.append(self.unknown)
-                end -= size
-            ids.reverse()
-            out[word] = ids
+                parts.append(word[end - states[end][1] : end])
+                end -= states[end][1]
+            parts.reverse()
+            yield word, parts
             before = word
-        return out
+
+    def _cut(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
+        """Each word and its pieces. ``words`` are visited in sorted order; the
+        states of the prefix shared with the word before are kept."""
+        return self._cut_bpe(words) if self.kind == "bpe" else self._cut_unigram(words)
+
+    def _ids_of(self, part: str) -> list[int]:
+        known = self.ids.get(part)
+        if known is not None:
+            return [known]
+        if self.byte_ids:
+            return [self.byte_ids[b] for b in part.encode("utf-8", "surrogatepass")]
+        return [self.unknown]
+
+    def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
+        """Piece ids of each word."""
+        return {word: [i for p in parts for i in self._ids_of(p)] for word, parts in self._cut(words)}
 
     # Texts.
 
@@ -215,9 +247,14 @@ class Vocabulary:
         older = self._older
         for word in new.intersection(older):
             known[word] = older[word]
-        for word, ids in self.encode_words(new.difference(known)).items():
-            known[word] = pack(f"<{len(ids)}i", *ids)
-        return [b"".join([known[w] for w in words]) for words in split]
+        packed = self._packed.__getitem__
+        for word, parts in self._cut(new.difference(known)):
+            try:
+                known[word] = b"".join(map(packed, parts))
+            except KeyError:  # characters without a piece
+                ids = [i for p in parts for i in self._ids_of(p)]
+                known[word] = pack(f"<{len(ids)}i", *ids)
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of piece ids; unknown and control ids have none."""

@@ -207,6 +207,18 @@ def test_pieces_caches_start_anew(monkeypatch):
     assert one_by_one == large.encode_texts(texts)
 
 
+@pytest.mark.parametrize("kind", ["bpe", "unigram"])
+@pytest.mark.parametrize("byte_ids", [None, list(range(300, 556))])
+def test_pieces_of_characters_without_one(kind, byte_ids):
+    vocab = {p: (i, -10 - i / 10) for i, p in enumerate(["a", "b", "▁", "ab", "▁ab"])}
+    v = pieces.Vocabulary(vocab, kind, byte_ids, 99)
+    other = [300 + b for b in "é".encode()] if byte_ids else [99]
+    texts = ["ab éab ab", "ab", "é", ""]
+    want = [[4, 2, *other, 3, 4], [4], [2, *other], []]
+    assert [np.frombuffer(c, "<i4").tolist() for c in v.encode_texts(texts)] == want
+    assert v.encode_words(["▁éab", "▁ab"]) == {"▁ab": [4], "▁éab": [2, *other, 3]}
+
+
 def test_pieces_odd_rows(edge_docs, no_docs):
     coded = pieces.encode(edge_docs)
     assert set(coded.columns) == {*edge_docs.columns, "round_trip"}
