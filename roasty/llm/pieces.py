@@ -15,12 +15,13 @@ whole. So the pass gives exactly what the merges would, prefix by prefix.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 CACHED_WORDS = 150_000
 CACHED_PAIRS = 250_000
 #: Characters whose words are sorted together.
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 4_000_000
 
 
 def _shared(a: str, b: str) -> int:
@@ -63,8 +64,8 @@ class Vocabulary:
             raise ValueError("pieces that hold a space mark after another character cannot be encoded word by word")
         joined = {c for p in pieces if len(p) > 1 for c in p}
         #: A line end that no longer piece holds is a word of its own.
-        self.word = re.compile(rf"{MARK}+[^{MARK}\n]*|[^{MARK}\n]+|\n" if "\n" not in joined else rf"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        self._valid: dict[tuple[str, str], bool] = {}
+        self._line_words = "\n" not in joined
+        self._pairs = 0
         self._encoded: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         worst = min(self.scores.values(), default=0.0)
@@ -106,15 +107,35 @@ class Vocabulary:
                 if (i == 1 or a in self.rank) and (len(b) == 1 or b in self.rank) and self._pair_holds(a, b):
                     self.rank[p], self.split[p] = made[p], (a, b)
                     break
-        sizes: dict[str, set[int]] = {}
-        for p in self.rank:
-            sizes.setdefault(p[-3:], set()).add(len(p))
-        for k, v in sizes.items():
-            if k[-2:] in self.rank:
-                v.add(2)
-        #: Lengths of the pieces that end in three given characters, or in two
-        #: where none ends in those three, long first.
-        self.sizes = {k: tuple(sorted(v, reverse=True)) for k, v in sizes.items()}
+        self._build_automaton()
+
+    def _build_automaton(self) -> None:
+        """An automaton over the pieces that merges reach. A node is the
+        longest beginning of a piece that ends a prefix: its steps by
+        character, the node of the next shorter one, and the pieces that end
+        the prefix, long first, each with what it may follow so far known."""
+        self._follows: dict[str, dict[str, bool]] = {p: {"": True} for p in self.rank}
+        self._root = root = ({}, None, ())
+        level, size, pieces = {"": root}, 0, list(self.rank)
+        while pieces:
+            size += 1
+            above, level = level, {}
+            for p in pieces:
+                head = p[:size]
+                if head not in level:
+                    parent = above[head[:-1]]
+                    lower = self._step(parent[1], head[-1])
+                    own = ((size, head, self._follows[head]),) if head in self.rank else ()
+                    level[head] = parent[0][head[-1]] = ({}, lower, own + lower[2])
+            pieces = [p for p in pieces if len(p) > size]
+
+    def _step(self, node: tuple | None, c: str) -> tuple:
+        while node is not None:
+            to = node[0].get(c)
+            if to is not None:
+                return to
+            node = node[1]
+        return self._root
 
     def _pair_holds(self, a: str, b: str) -> bool:
         """Whether merging the characters of ``a + b`` gives ``a, b`` before
@@ -136,9 +157,13 @@ class Vocabulary:
                 limit, b = rb + 1, split[b][0]
 
     def _may_follow(self, a: str, b: str) -> bool:
-        if len(self._valid) >= CACHED_PAIRS:
-            self._valid.clear()
-        got = self._valid[a, b] = self._pair_holds(a, b)
+        if self._pairs >= CACHED_PAIRS:
+            for known in self._follows.values():
+                known.clear()
+                known[""] = True
+            self._pairs = 0
+        self._pairs += 1
+        got = self._follows[b][a] = self._pair_holds(a, b)
         return got
 
     # The forward pass.
@@ -146,33 +171,30 @@ class Vocabulary:
     def _cut_bpe(self, words: Iterable[str]) -> Iterator[tuple[str, list[str]]]:
         """Each word and its pieces. The state of a prefix is its last piece:
         the longest that may follow the piece before it."""
-        sizes, rank, valid, may_follow = self.sizes.get, self.rank, self._valid.get, self._may_follow
-        states = [""]
+        step, may_follow = self._step, self._may_follow
+        states, nodes = [""], [self._root]
         before = ""
         for word in sorted(words):
-            shared = _shared(word, before)
-            del states[shared + 1 :]
-            for end in range(shared + 1, len(word) + 1):
-                for size in (end > 2 and sizes(word[end - 3 : end])) or sizes(word[max(end - 2, 0) : end], ()):
-                    start = end - size
-                    if start > 0:
-                        piece = word[start:end]
-                        if piece in rank:
-                            pair = (states[start], piece)
-                            follows = valid(pair)
-                            if follows or follows is None and may_follow(*pair):
-                                states.append(piece)
-                                break
-                    elif start == 0 and word[:end] in rank:
-                        states.append(word[:end])
+            end = _shared(word, before)
+            del states[end + 1 :], nodes[end + 1 :]
+            node = nodes[end]
+            for c in word[end:]:
+                end += 1
+                node = node[0].get(c) or step(node[1], c)
+                nodes.append(node)
+                for size, piece, known in node[2]:
+                    last = states[end - size]
+                    follows = known.get(last)
+                    if follows or follows is None and may_follow(last, piece):
+                        states.append(piece)
                         break
                 else:
-                    states.append(word[end - 1])
+                    states.append(c)
             parts = []
-            end = len(word)
             while end:
-                parts.append(states[end])
-                end -= len(states[end])
+                piece = states[end]
+                parts.append(piece)
+                end -= len(piece)
             parts.reverse()
             yield word, parts
             before = word
@@ -226,41 +248,67 @@ class Vocabulary:
 
     # Texts.
 
-    def marked_words(self, text: str) -> list[str]:
-        if not text:
-            return []
-        return self.word.findall((MARK if self.dummy_prefix else "") + text.replace(" ", MARK))
-
-    def encode_texts(self, texts: list[str]) -> list[bytes]:
-        """Each text's piece ids as little-endian 32-bit integers."""
-        split = [self.marked_words(t) for t in texts]
-        known = self._encoded
-        distinct: set[str] = set()
-        for words in split:
-            distinct.update(words)
-        new = distinct.difference(known)
+    def _marked_words(self, texts: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
+        """The distinct marked words of ``texts``, which of them the texts
+        hold one after the other, and where each text begins in that row."""
+        texts = pc.replace_substring(texts.cast(pa.string()).fill_null(""), MARK, " ")
+        if self.dummy_prefix:
+            texts = pc.if_else(pc.equal(texts, ""), texts, pc.binary_join_element_wise(" ", texts, ""))
+        bounds = np.concatenate([[0], np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))]).astype(np.int32)
+        raw = np.frombuffer(b"".join(texts.cast(pa.binary()).to_pylist()), np.uint8)
+        space, line = raw == ord(" "), raw == ord("\n")
+        begins = space.copy()
+        begins[1:] &= ~space[:-1]
+        if self._line_words:
+            begins |= line
+            begins[1:] |= line[:-1]
+        begins[bounds[:-1][bounds[:-1] < bounds[1:]]] = True
+        starts = np.flatnonzero(begins)
+        offsets = np.append(starts, len(raw)).astype(np.int32)
+        words = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(raw)).dictionary_encode()
+        return pc.replace_substring(words.dictionary, " ", MARK), words.indices, np.searchsorted(starts, bounds)
+
+    def _encoded_words(self, words: list[str]) -> list[bytes]:
+        """Each word's piece ids as little-endian 32-bit integers."""
+        known, packed = self._encoded, self._packed.__getitem__
+        new = [w for w in words if w not in known]
         if len(known) + len(new) > CACHED_WORDS:
             # Words in use come over from the older half, the rest goes.
             self._older, known = known, {}
             self._encoded = known
-            new = distinct
-        older = self._older
-        for word in new.intersection(older):
-            known[word] = older[word]
-        packed = self._packed.__getitem__
-        for word, parts in self._cut(new.difference(known)):
+            new = words
+        if self._older:
+            older = self._older.get
+            known.update((w, code) for w in new if (code := older(w)) is not None)
+            new = [w for w in new if w not in known]
+        for word, parts in self._cut(new):
             try:
                 known[word] = b"".join(map(packed, parts))
             except KeyError:  # characters without a piece
                 ids = [i for p in parts for i in self._ids_of(p)]
                 known[word] = pack(f"<{len(ids)}i", *ids)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+        return [known[w] for w in words]
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The piece ids of all texts in a row, and where each text's begin."""
+        words, held, bounds = self._marked_words(texts)
+        coded = pa.array(self._encoded_words(words.to_pylist()), pa.large_binary()).take(held)
+        if not len(coded):
+            return np.zeros(0, np.int32), bounds
+        _, ends, data = coded.buffers()
+        ends = np.frombuffer(ends, np.int64)[: len(coded) + 1] // 4
+        return np.frombuffer(data, "<i4", ends[-1]), ends[bounds]
+
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
+        """Each text's piece ids as little-endian 32-bit integers."""
+        flat, ends = self.encode_array(pa.array(texts, pa.string()))
+        return [flat[a:b].tobytes() for a, b in pairwise(ends)]
 
     def decode(self, ids: Iterable[int]) -> str:
         """The text of piece ids; unknown and control ids have none."""
         of = self._bytes_of
         try:
-            raw = b"".join([of[i] for i in ids])
+            raw = b"".join(map(of.__getitem__, ids))
         except IndexError:
             raw = b"".join(of[i] for i in ids if i < len(of))
         text = raw.decode("utf-8", "replace").replace(MARK, " ")
@@ -312,11 +360,9 @@ def encode(docs: DataFrame, model_path: str = MODEL_PATH, kind: str = "bpe", tex
             texts = [t or "" for t in b.column(1).to_pylist()]
             for part in _portions(texts):
                 some = texts[part]
-                coded = v.encode_texts(some)
-                flat = np.frombuffer(b"".join(coded), "<i4")
-                ends = np.cumsum([0, *[len(c) // 4 for c in coded]])
+                flat, ends = v.encode_array(b.column(1).slice(part.start, len(some)))
                 ids = flat.tolist()
-                ok = [v.decode(ids[ends[i] : ends[i + 1]]) == t for i, t in enumerate(some)]
+                ok = [v.decode(ids[a:z]) == t for (a, z), t in zip(pairwise(ends.tolist()), some, strict=True)]
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32()))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(part.start, len(some)), lists, pa.array(ok, pa.bool_())], ["_row", "pieces", "ok"]

@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from roasty.llm import decontamination, jaccard_join, pieces, quality, shingling, suffix_dedup
@@ -207,6 +208,23 @@ def test_pieces_caches_start_anew(monkeypatch):
     assert one_by_one == large.encode_texts(texts)
 
 
+def test_pieces_of_a_batch_handle_each_word_once(monkeypatch):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    with open(pieces.MODEL_PATH, "rb") as f:
+        model = f.read()
+    sp, v = sentencepiece.SentencePieceProcessor(model_proto=model), pieces.Vocabulary.from_model(model)
+    seen = []
+    monkeypatch.setattr(v, "_cut", lambda words: (seen.extend(words), v._cut_bpe(words))[1])
+    texts = ["left out", " ends in space ", None, "", " begins  so", "▁a mark", "two\n\nlines \n of", "漢字 é😀", "ends in space", "left out"]
+    flat, ends = v.encode_array(pa.array(texts, pa.string()).slice(1, 8))
+    for t, a, b in zip(texts[1:9], ends[:-1], ends[1:], strict=True):
+        assert flat[a:b].tolist() == sp.encode(t or "")
+    assert len(seen) == len(set(seen)) and "▁in" in seen and "▁left" not in seen
+    for nothing in ([], [None, ""]):
+        flat, ends = v.encode_array(pa.array(nothing, pa.string()))
+        assert len(flat) == 0 and ends.tolist() == [0] * (len(nothing) + 1)
+
+
 @pytest.mark.parametrize("kind", ["bpe", "unigram"])
 @pytest.mark.parametrize("byte_ids", [None, list(range(300, 556))])
 def test_pieces_of_characters_without_one(kind, byte_ids):
