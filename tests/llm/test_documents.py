@@ -14,6 +14,7 @@ import pytest
 from roasty.llm import decontamination, jaccard_join, pieces, quality, shingling, suffix_dedup
 from roasty.llm.components import components
 from roasty.llm.oracle_sql import OP1, OP4, OP8
+from roasty.llm.queries import QUERIES
 
 from .conftest import CLASHING, TEXTS
 
@@ -151,6 +152,20 @@ def test_suffix_dedup_odd_rows(edge_docs, no_docs):
     assert suffix_dedup.dedup(no_docs).count() == 0 and suffix_dedup.remove_duplicates(no_docs).count() == 0
 
 
+def test_suffix_query_returns_what_is_left(spark, tmp_path):
+    """The text without its repeated strings, whole for all others; of two
+    characters that share a byte with a string, the rest goes too."""
+    passage = "".join(chr(97 + k * k % 23 * k % 26) for k in range(500))
+    docs = [(1, f"one {passage}é end"), (2, f"two, later: {passage}è, done"), (3, "clean é text " * 3), (4, passage[:399]), (5, None), (6, "")]
+    docs += [(7, "same text " * 60), (7, "same text " * 60)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    done = QUERIES["op2_suffix_array_dedup"](spark, str(tmp_path))
+    assert done.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert rows(done.drop("text")) == brute_dedup(docs)
+    left = {1: "one end", 2: "two, later:, done", 3: docs[2][1], 4: passage[:399], 5: "", 6: "", 7: ""}
+    assert {r.doc_id: r.text for r in done.collect()} == left
+
+
 def test_suffix_sort_survives_hash_collisions(monkeypatch):
     """Hashes that all agree: extensions are then found on the bytes."""
     monkeypatch.setattr(suffix_dedup.Stretches, "_same", lambda *a: True)
